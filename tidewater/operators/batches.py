@@ -33,14 +33,16 @@ def class_table(spark: SparkSession, classes) -> DataFrame:
     return spark.createDataFrame(rows, CLASS_SCHEMA)
 
 
-def classify(names: DataFrame, classes: DataFrame, path_col: str = "path") -> DataFrame:
+def classify(names: DataFrame, classes: DataFrame, path_col: str = "path", on: str = "name") -> DataFrame:
     """Assign every data file (not a marker) to every class whose pattern is
-    found in its base name.  ``classes`` is tiny (one row per configured
-    class), so it is broadcast for the regex theta join."""
+    found (unanchored) in its base name, or in its full path with
+    ``on="path"``.  ``classes`` is tiny (one row per configured class), so it
+    is broadcast for the regex theta join."""
     files = (names.select(F.col(path_col).alias("path"))
                   .withColumn("name", base_name("path"))
                   .filter(~is_marker("name")))
-    return files.join(F.broadcast(classes), F.regexp_like(F.col("name"), F.col("pattern")), "inner")
+    subject = F.col("name") if on == "name" else F.col("path")
+    return files.join(F.broadcast(classes), F.regexp_like(subject, F.col("pattern")), "inner")
 
 
 def balance(classified: DataFrame, classes: DataFrame) -> DataFrame:
@@ -58,29 +60,31 @@ def balance(classified: DataFrame, classes: DataFrame) -> DataFrame:
 
 def pair(classified: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """``batch_index``: the file's 1-based position within its class in name
-    order; the i-th files of all classes form batch i."""
-    return group_ordinal(classified, ["class_pos"], ["name"], name="batch_index",
+    order (full path breaks ties); the i-th files of all classes form batch i."""
+    return group_ordinal(classified, ["class_pos"], ["name", "path"], name="batch_index",
                          num_partitions=num_partitions)
 
 
 def markers(names: DataFrame, path_col: str = "path") -> DataFrame:
-    """Distinct marker names present in the listing."""
-    return (names.select(base_name(path_col).alias("marker"))
-                 .filter(is_marker("marker"))
+    """Distinct marker paths present in the listing."""
+    return (names.select(F.col(path_col).alias("marker"))
+                 .filter(is_marker(base_name("marker")))
                  .distinct())
 
 
 def gate(paired: DataFrame, names: DataFrame, path_col: str = "path") -> DataFrame:
-    """Add ``marker`` (expected marker name) and ``has_marker``."""
-    expected = paired.withColumn("marker", marker_name("path", F.col("extension")))
+    """Add ``marker`` (expected marker path: same folder, marker name) and
+    ``has_marker``."""
+    folder = F.regexp_replace(F.col("path"), r"[^/]*$", "")
+    expected = paired.withColumn("marker", F.concat(folder, marker_name("path", F.col("extension"))))
     present = markers(names, path_col).withColumn("has_marker", F.lit(True))
     return (expected.join(present, "marker", "left")
                     .withColumn("has_marker", F.coalesce("has_marker", F.lit(False))))
 
 
-def batch_id(names_col: Column) -> Column:
-    """Stable id of a batch from the sorted base names of its files."""
-    return F.substring(F.sha2(F.concat_ws("\n", F.array_sort(names_col)), 256), 1, 20)
+def batch_id(paths_col: Column) -> Column:
+    """Stable id of a batch from the sorted full paths of its files."""
+    return F.substring(F.sha2(F.concat_ws("\n", F.array_sort(paths_col)), 256), 1, 20)
 
 
 def batches(gated: DataFrame) -> DataFrame:
@@ -89,15 +93,15 @@ def batches(gated: DataFrame) -> DataFrame:
     return (gated.groupBy("batch_index")
                  .agg(F.min(F.col("has_marker").cast("int")).cast("boolean").alias("ready"),
                       F.count(F.lit(1)).alias("n_files"),
-                      F.collect_list("name").alias("names"))
-                 .withColumn("batch_id", batch_id(F.col("names"))))
+                      F.collect_list("path").alias("paths"))
+                 .withColumn("batch_id", batch_id(F.col("paths"))))
 
 
 def manifest(names: DataFrame, classes: DataFrame, path_col: str = "path",
-             num_partitions: int | None = None) -> DataFrame:
+             num_partitions: int | None = None, on: str = "name") -> DataFrame:
     """Per file: path, name, class, ``batch_index``, ``batch_id``, marker
     status and the batch's ``ready`` flag."""
-    gated = gate(pair(classify(names, classes, path_col), num_partitions), names, path_col)
+    gated = gate(pair(classify(names, classes, path_col, on), num_partitions), names, path_col)
     per_batch = batches(gated).select("batch_index", "batch_id", "ready")
     return gated.join(per_batch, "batch_index", "inner")
 

@@ -6,6 +6,8 @@ most of the data on one core.  Here the rows are range-partitioned on
 ``(group, order)`` so a large group spreads over many partitions, each
 partition numbers its rows locally, and a small table of per-partition spans
 (at most ``partitions + groups`` rows) turns local positions into global ones.
+The numbered rows are checkpointed once, so the cost is one extra write of
+the input (file names, split summaries: metadata-sized in this library).
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_root
+
 _PID = "_ord_pid"
 _LOCAL = "_ord_local"
 
@@ -36,8 +40,6 @@ def group_ordinal(df: DataFrame, group_cols, order_cols, name: str = "ordinal",
     keys = group_cols + order_cols
     n = _num_partitions(df, num_partitions)
 
-    # An explicit partition count keeps AQE from re-slicing this exchange, so
-    # both consumers below see the same partitions (the exchange is reused).
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     # monotonically_increasing_id = (partition id << 33) + record number in
     # the partition; after the local sort the record number is the position.
@@ -45,6 +47,12 @@ def group_ordinal(df: DataFrame, group_cols, order_cols, name: str = "ordinal",
              .withColumn(_PID, F.spark_partition_id())
              .withColumn(_LOCAL, F.monotonically_increasing_id()
                          - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    # Range boundaries are sampled with a seed tied to the RDD id, so two
+    # separately planned copies of this exchange may cut differently.  The
+    # numbered rows are therefore materialised once (reliable checkpoint in
+    # the shared checkpoint folder) and both consumers read that copy.
+    shared_root(df.sparkSession)
+    local = local.checkpoint(eager=True)
 
     spans = (local.groupBy(_PID, *group_cols)
                   .agg(F.min(_LOCAL).alias("_ord_first"), F.count(F.lit(1)).alias("_ord_cnt")))

@@ -48,28 +48,29 @@ def rows_changed(df: DataFrame, start, end, ts_col: str = UPDATE_COLUMN) -> Data
 
 def rows_changed_per_table(spark: SparkSession, tables, start, end,
                            ts_col: str = UPDATE_COLUMN) -> DataFrame:
-    """``(table_name, rows_changed)`` for every listed table in one job.
+    """``(table_name, rows_changed)`` for every listed table, one union job.
 
-    A table that cannot be read, or lacks the column, counts 0 (the audit
-    must never fail the audited run)."""
+    ``tables`` holds table names or ``(label, DataFrame-or-name)`` pairs.  A
+    table that cannot be read, or lacks the column, counts 0: the audit must
+    never fail the audited run.  Each count is a global aggregate, so it
+    yields one row even when nothing changed."""
     parts = []
-    for name in tables:
+    for item in tables:
+        label, source = (item, item) if isinstance(item, str) else item
         try:
-            df = spark.table(name) if isinstance(name, str) else name[1]
-            label = name if isinstance(name, str) else name[0]
-            df.schema[ts_col]
-            part = df.filter(in_window(df, start, end, ts_col)).select(F.lit(label).alias("table_name"))
-            parts.append(part.groupBy("table_name").agg(F.count(F.lit(1)).alias("rows_changed")))
+            df = spark.table(source) if isinstance(source, str) else source
+            if ts_col not in df.columns:
+                raise KeyError(ts_col)
+            part = (df.filter(in_window(df, start, end, ts_col))
+                      .agg(F.count(F.lit(1)).alias("rows_changed"))
+                      .select(F.lit(label).alias("table_name"), "rows_changed"))
         except (AnalysisException, KeyError):
-            label = name if isinstance(name, str) else name[0]
-            parts.append(spark.range(1).select(F.lit(label).alias("table_name"),
-                                               F.lit(0).cast("bigint").alias("rows_changed")))
-    labels = spark.createDataFrame([(n if isinstance(n, str) else n[0],) for n in tables], "table_name string")
+            part = spark.range(1).select(F.lit(label).alias("table_name"),
+                                         F.lit(0).cast("bigint").alias("rows_changed"))
+        parts.append(part)
     if not parts:
-        return labels.withColumn("rows_changed", F.lit(0).cast("bigint"))
-    counted = parts[0]
+        return spark.createDataFrame([], "table_name string, rows_changed bigint")
+    out = parts[0]
     for p in parts[1:]:
-        counted = counted.unionByName(p)
-    # Tables with no row in the window produce no group; add them as 0.
-    return (labels.join(counted, "table_name", "left")
-                  .select("table_name", F.coalesce("rows_changed", F.lit(0)).cast("bigint").alias("rows_changed")))
+        out = out.unionByName(p)
+    return out

@@ -54,21 +54,30 @@ def list_landing(spark: SparkSession, landing_dir: str) -> DataFrame:
 
     Listing is metadata: Spark's file index lists on the driver (in parallel
     for large trees); zero-byte markers are included.  ``path`` is decoded
-    for reading, ``file_key`` is the encoded base name that
-    ``_metadata.file_name`` reports for the same file."""
+    for reading, ``file_key`` is the encoded URI that ``_metadata.file_path``
+    reports for the same file."""
     try:
         uris = spark.read.format("binaryFile").load(landing_dir).inputFiles()
     except Exception:  # missing or empty landing folder
         uris = []
     rows = []
     for uri in uris:
-        key = uri.rsplit("/", 1)[-1]
-        if "." not in unquote(key):
+        if "." not in unquote(uri.rsplit("/", 1)[-1]):
             continue
-        rows.append((unquote(uri), key))
+        rows.append((unquote(uri), file_key_of(uri)))
     return spark.createDataFrame(rows, NAMES_SCHEMA)
 
 
+def file_key_of(uri: str) -> str:
+    """Join key of a listed file: its encoded URI with ``scheme:///`` folded
+    to ``scheme:/`` (the form ``_metadata.file_path`` reports)."""
+    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*:)//(?=/)", r"\1", uri)
+
+
+def file_key_col(path_col: str = "_file"):
+    return F.regexp_replace(F.col(path_col), r"^([A-Za-z][A-Za-z0-9+.-]*:)//(/)", "$1$2")
+
+
 def legacy_to_named(sql: str) -> str:
     """``'%s'`` / ``%s`` user slots become the ``:user`` parameter; ``%%`` is
     a literal ``%``."""
@@ -97,10 +106,9 @@ def _class_frames(spark, file_class, paths, files_df, database, user, batch_filt
     """Parsed lines (with batch id) and the cast transform output of one
     class, for the given files."""
     parsed = read_class(spark, file_class, paths)
-    # _metadata.file_name is the encoded base name, the same form as the
+    # _metadata.file_path is the encoded URI, the same form as the
     # manifest's file_key; the manifest side is one row per file.
-    parsed = (parsed.withColumn("file_key", F.element_at(F.split("_file", "/"), -1))
-                    .join(files_df, "file_key"))
+    parsed = parsed.withColumn("file_key", file_key_col("_file")).join(files_df, "file_key")
     if batch_filter is not None:
         parsed = parsed.filter(F.col(BATCH) == batch_filter)
     raw = parsed.filter(~F.col("_bad")).select(*file_class.columns, BATCH)
@@ -112,7 +120,8 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
            landing_folder: str = "landing", failure_folder: str = "failure",
            archive_folder: str = "archive", ledger_path: str | None = None,
            quarantine_path: str | None = None, user: str | None = None,
-           names: DataFrame | None = None, per_file_counts: bool = True) -> IngestResult:
+           names: DataFrame | None = None, per_file_counts: bool = True,
+           match_on: str = "name") -> IngestResult:
     """Ingest every ready batch of the landing folder into the classes' tables.
 
     Raises :class:`ImbalanceError` before any write when the classes have
@@ -129,16 +138,16 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
 
     names = names if names is not None else list_landing(spark, f"{top}/{landing_folder}")
     if "file_key" not in names.columns:
-        names = names.withColumn("file_key", F.element_at(F.split("path", "/"), -1))
+        names = names.withColumn("file_key", file_key_col("path"))
     cls = class_table(spark, classes)
 
     # Balance first: an unbalanced landing zone aborts the run before any write.
-    bal = balance(classify(names, cls), cls).first()
+    bal = balance(classify(names, cls, on=match_on), cls).first()
     if bal["unbalanced"]:
         raise ImbalanceError("landing files are unbalanced across classes; "
                              "nothing was ingested")
 
-    man = manifest(names, cls).join(
+    man = manifest(names, cls, on=match_on).join(
         names.select("path", "file_key"), "path", "left")
     done = terminal_batches(spark, ledger_path)
     man = man.join(done, "batch_id", "left_anti")

@@ -14,12 +14,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .plans.ingest import ingest, list_landing
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from . import functions as TF
+from .functions.paths import marker_name
+from .operators import batches as B
+from .operators.compare import drop_volatile
+from .operators.estimate import estimate_pi, unit_from_hash
+from .operators.quality import arity_profile, count_by, key_check
+from .operators.sorting import md5_prefix_value, total_order_sort, validate_sorted
+from .operators.window import rows_changed_per_table
+from .plans import golden as G
+from .plans.ingest import apply_transform, file_key_col, ingest, list_landing
+from .plans.probes import catalog_table_probe, storage_roundtrip
 from .schema import FileClass
 from .session import configure, work_dir
-from .sinks.files import write_delimited
+from .sinks.files import write_delimited, write_lines
 from .sinks.tables import BATCH_COLUMN, create_database, create_table, drop_table
-from .functions.paths import marker_name
+from .sources.delimited import read_lines, read_quoted, read_remainder, read_strict
+from .sources.generated import create_external_csv_table, load_json_documents
+from .streaming.landing import pickup_to_bronze
+from .streaming.watermark import incremental_rows, reset_watermarks
 
 SHOWCASE_DB = "tidewater_showcase"
 
@@ -37,7 +52,7 @@ def _names_with_markers(spark: SparkSession, landing: str, extension: str = "csv
         F.concat(F.regexp_replace("path", r"[^/]*$", ""), marker_name("path", F.lit(extension))).alias("path"))
     if missing is not None:
         marks = missing(marks)
-    marks = marks.withColumn("file_key", F.element_at(F.split("path", "/"), -1))
+    marks = marks.withColumn("file_key", file_key_col("path"))
     return data.unionByName(marks)
 
 
@@ -80,10 +95,578 @@ def _orders_in_schema():
     ])
 
 
+def _single_line(text_col):
+    """Document text on one physical line (line feeds become spaces)."""
+    return F.replace(F.col(text_col), F.lit("\n"), F.lit(" "))
+
+
+def arity_profile_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as unquoted ``doc_id|lang|text`` lines -> fields per line."""
+    configure(spark)
+    root = work_dir(spark, "arity")
+    docs = table(spark, sf_dir, "documents")
+    write_lines(docs.select(F.concat_ws("|", F.col("doc_id").cast("string"), "lang",
+                                        _single_line("text")).alias("value")), root)
+    return arity_profile(read_lines(spark, root), "|")
+
+
+DOC_COLUMNS = ("doc_id", "lang", "text")
+
+
+def quoted_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents -> CSV with ``"`` quoting and ``""`` doubling -> quoted
+    dialect (header dropped by content) -> typed rows."""
+    configure(spark)
+    root = work_dir(spark, "quoted")
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("doc_id"), "lang", _single_line("text").alias("text"))
+    write_delimited(docs, root, sep=",", header=True, quoted=True)
+    parsed = read_quoted(spark, root, DOC_COLUMNS, ",")
+    return parsed.filter(~F.col("_bad")).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "text")
+
+
+def remainder_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents -> unquoted ``doc_id|lang|text`` (text may hold ``|``) ->
+    remainder dialect -> typed rows."""
+    configure(spark)
+    root = work_dir(spark, "remainder")
+    docs = table(spark, sf_dir, "documents")
+    body = docs.select(F.concat_ws("|", F.col("doc_id").cast("string"), "lang",
+                                   _single_line("text")).alias("value"))
+    header = spark.range(1).select(F.lit("|".join(DOC_COLUMNS)).alias("value"))
+    write_lines(body.unionByName(header), root)
+    parsed = read_remainder(spark, root, DOC_COLUMNS, "|")
+    return parsed.filter(~F.col("_bad")).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "text")
+
+
+def header_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part as ``key|name`` lines under a header whose first column is
+    ``all_r``: every line containing ``all?r`` (``_`` is a wildcard) goes."""
+    configure(spark)
+    root = work_dir(spark, "header")
+    part = table(spark, sf_dir, "part")
+    body = part.select(F.concat_ws("|", F.col("p_partkey").cast("string"), "p_name").alias("value"))
+    header = spark.range(1).select(F.lit("all_r|p_name").alias("value"))
+    write_lines(body.unionByName(header), root)
+    parsed = read_remainder(spark, root, ("all_r", "p_name"), "|")
+    return parsed.filter(~F.col("_bad")).select(
+        F.col("all_r").cast("bigint").alias("p_partkey"), "p_name")
+
+
+def file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents written as lines into one folder per language; documents
+    counted per file from ``_metadata.file_path``, then per file class."""
+    configure(spark)
+    root = work_dir(spark, "filecounts")
+    docs = table(spark, sf_dir, "documents")
+    (docs.select(_single_line("text").alias("value"), "lang")
+         .write.mode("overwrite").partitionBy("lang").text(root))
+    lines = spark.read.text(root).select(F.col("_metadata.file_path").alias("_file"))
+    per_file = count_by(lines, "_file", "n_docs")
+    return (per_file.withColumn("file_class", F.regexp_extract("_file", r"/lang=([^/]+)/", 1))
+                    .groupBy("file_class").agg(F.sum("n_docs").cast("bigint").alias("n_docs")))
+
+
+def audit_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """strict ``o_orderkey|o_totalprice`` files -> caller SQL with the user in
+    two legacy ``%s`` slots."""
+    configure(spark)
+    root = work_dir(spark, "audit_transform")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    write_delimited(orders, root, sep="|", header=True)
+    fc = FileClass(table="orders_audit", columns=("o_orderkey", "o_totalprice"), separator="|",
+                   transform="SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, "
+                             "CAST(o_totalprice AS DOUBLE) AS total, '%s' AS crt_by, "
+                             "'%s' AS updt_by FROM orders_audit_RAW")
+    raw = read_strict(spark, root, fc.columns, "|").filter(~F.col("_bad")).select(*fc.columns)
+    raw.createOrReplaceTempView(fc.raw_view)
+    return apply_transform(spark, fc, raw, "svc")
+
+
+def null_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key NULL for status P, '' for status O; rows and bad rows per batch
+    (batch = order priority)."""
+    configure(spark)
+    orders = table(spark, sf_dir, "orders")
+    k = (F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string"))
+          .when(F.col("o_orderstatus") == "O", F.lit(""))
+          .otherwise(F.col("o_orderstatus")))
+    checked = key_check(orders.select(F.col("o_orderpriority").alias("batch"), k.alias("k")), ["k"], "batch")
+    return checked.select("batch", F.col("n_rows").cast("bigint").alias("n_rows"), "n_bad")
+
+
+# ---------------------------------------------------------------- manifest
+
+def _landing_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing listing derived from orders: data file ``f<parity>_<key>.csv``
+    for every order, plus its marker unless the order's status is P."""
+    orders = table(spark, sf_dir, "orders")
+    base = F.format_string("f%d_%010d", F.col("o_orderkey") % 2, F.col("o_orderkey"))
+    data = orders.select(F.concat(F.lit("/data/landing/"), base, F.lit(".csv")).alias("path"),
+                         "o_orderkey", "o_orderstatus", "o_orderpriority")
+    marks = (data.filter(F.col("o_orderstatus") != "P")
+                 .select(F.concat(F.regexp_replace("path", r"\.csv$", ""), F.lit("_DONE.csv")).alias("path"),
+                         "o_orderkey", "o_orderstatus", "o_orderpriority"))
+    return data.unionByName(marks)
+
+
+def _parity_classes(spark: SparkSession) -> DataFrame:
+    return B.class_table(spark, [FileClass(table="even", columns=("v",), pattern="^f0_"),
+                                 FileClass(table="odd", columns=("v",), pattern="^f1_")])
+
+
+def batch_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    names = _landing_names(spark, sf_dir).select("path")
+    gated = B.gate(B.pair(B.classify(names, _parity_classes(spark))), names)
+    return (gated.groupBy("batch_index")
+                 .agg(F.min(F.col("has_marker").cast("int")).cast("boolean").alias("ready"))
+                 .select(F.col("batch_index").cast("bigint").alias("batch_index"), "ready"))
+
+
+def batch_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    cls = _parity_classes(spark)
+    return B.balance(B.classify(_landing_names(spark, sf_dir).select("path"), cls), cls)
+
+
+def batch_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome per batch (deferred / failed / archived) where a sibling with
+    priority 5-LOW stands for a file that failed validation."""
+    configure(spark)
+    listing = _landing_names(spark, sf_dir)
+    names = listing.select("path")
+    gated = B.gate(B.pair(B.classify(names, _parity_classes(spark))), names)
+    bad = listing.select("path", (F.col("o_orderpriority") == "5-LOW").alias("bad"))
+    per_batch = (gated.join(bad, "path")
+                      .groupBy("batch_index")
+                      .agg(F.min(F.col("has_marker").cast("int")).cast("boolean").alias("ready"),
+                           F.max(F.col("bad").cast("int")).cast("boolean").alias("any_bad"),
+                           F.count(F.lit(1)).alias("n")))
+    return (per_batch.withColumn("outcome", B.outcome(F.col("ready"), F.col("any_bad")))
+                     .groupBy("outcome")
+                     .agg(F.count(F.lit(1)).alias("n_batches"), F.sum("n").cast("bigint").alias("n_files")))
+
+
+def path_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    orders = table(spark, sf_dir, "orders")
+    path = F.concat(F.lit("/data/landing/f"), F.col("o_orderkey").cast("string"), F.lit(".csv"))
+    return orders.select(
+        "o_orderkey",
+        TF.marker_name(path, "csv").alias("marker"),
+        TF.route(path, "landing", "archive").alias("archive"),
+        TF.route(path, "landing", "failure").alias("failure"),
+    )
+
+
+def sibling_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two file classes in one landing zone: customer files and a complete
+    nation file per batch; the customer transform joins its sibling's RAW
+    view by batch and key.  Full ingest: manifest, gate, parse, transform,
+    validate, append, ledger."""
+    configure(spark)
+    root = work_dir(spark, "sibling")
+    k = 4
+    cust = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("c_custkey"),
+        F.col("c_nationkey").cast("string").alias("c_nationkey"),
+        (F.col("c_custkey") % k).alias("copy"))
+    nation = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("string").alias("n_nationkey"), "n_name",
+        F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("copy"))
+    for name, df in (("customer", cust), ("nation", nation)):
+        (df.repartition("copy").write.mode("overwrite").partitionBy("copy")
+           .option("sep", "|").option("header", True).option("quote", "").option("escapeQuotes", False)
+           .csv(f"{root}/landing/{name}"))
+    create_database(spark, SHOWCASE_DB)
+    targets = (
+        ("cust_nation", StructType([StructField("c_custkey", LongType()), StructField("n_name", StringType()),
+                                    StructField(BATCH_COLUMN, StringType())])),
+        ("nation_in", StructType([StructField("n_nationkey", LongType()), StructField("n_name", StringType()),
+                                  StructField(BATCH_COLUMN, StringType())])),
+    )
+    for name, schema in targets:
+        drop_table(spark, f"{SHOWCASE_DB}.{name}")
+        create_table(spark, f"{SHOWCASE_DB}.{name}", schema, f"{root}/tables/{name}",
+                     partition_by=(BATCH_COLUMN,))
+    classes = [
+        FileClass(table="cust_nation", columns=("c_custkey", "c_nationkey"), pattern="/customer/",
+                  keys=("c_custkey",),
+                  transform="SELECT c.c_custkey, n.n_name, c._batch_id FROM cust_nation_RAW c "
+                            "JOIN nation_in_RAW n ON c.c_nationkey = n.n_nationkey "
+                            "AND c._batch_id = n._batch_id"),
+        FileClass(table="nation_in", columns=("n_nationkey", "n_name"), pattern="/nation/",
+                  keys=("n_nationkey",)),
+    ]
+    listing = _names_with_markers(spark, f"{root}/landing/customer/*").unionByName(
+        _names_with_markers(spark, f"{root}/landing/nation/*"))
+    ingest(spark, classes, root, database=SHOWCASE_DB, names=listing, match_on="path")
+    return spark.read.parquet(f"{root}/tables/cust_nation").select("c_custkey", "n_name")
+
+
+# ---------------------------------------------------------------- audit
+
+def rows_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    events = table(spark, sf_dir, "events")
+    tables = [("view", events.filter(F.col("event_type") == "view")),
+              ("click", events.filter(F.col("event_type") == "click")),
+              ("missing", f"{SHOWCASE_DB}.no_such_table")]
+    return rows_changed_per_table(spark, tables, "2024-01-10 00:00:00", "2024-01-20 00:00:00", ts_col="ts")
+
+
+def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event as a run: application defaulted to Unknown when empty,
+    success from the exit code (event_id % 3)."""
+    configure(spark)
+    events = table(spark, sf_dir, "events")
+    app = F.when(F.col("event_type") == "view", F.lit("")).otherwise(F.col("event_type"))
+    return events.select("event_id", TF.default_unknown(app).alias("application"),
+                         TF.exit_ok(F.col("event_id") % 3).alias("success"))
+
+
+def log_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    conv = table(spark, sf_dir, "conversations")
+    return conv.select("conv_id", "turn", TF.log_escape("text").alias("msg"))
+
+
+def log_id_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submit logs rendered per event (every other one names its
+    application) -> application id or Unavailable."""
+    configure(spark)
+    events = table(spark, sf_dir, "events")
+    log = (F.when(F.col("event_id") % 2 == 0,
+                  F.format_string("INFO Client: Submitting application application_%d to ResourceManager\n"
+                                  "INFO Client: done", F.col("event_id")))
+            .otherwise(F.format_string("INFO Client: no submission for %s", F.col("event_type"))))
+    return events.select("event_id", TF.application_id(log).alias("app_id"))
+
+
+# ---------------------------------------------------------------- golden
+
+def spec_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    docs = table(spark, sf_dir, "documents")
+    specs = docs.select(F.concat(F.lit("t"), F.col("doc_id").cast("string"), F.lit("|"), "text",
+                                 F.lit("|"), "lang").alias("spec"))
+    return TF.parse_specs(specs).select("table_name", "fields", "condition")
+
+
+def spec_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spec ``customer|c_custkey, c_name|c_acctbal < 0`` -> JSON export ->
+    read back."""
+    configure(spark)
+    table(spark, sf_dir, "customer").createOrReplaceTempView("customer")
+    root = work_dir(spark, "spec_export")
+    path = G.export_spec(spark, "customer|c_custkey, c_name|c_acctbal < 0", root)
+    return spark.read.schema("c_custkey bigint, c_name string").json(path)
+
+
+def spec_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One spec line per order (``orders|<status>|<priority>``) -> distinct
+    lines -> parsed."""
+    configure(spark)
+    root = work_dir(spark, "specs")
+    orders = table(spark, sf_dir, "orders")
+    write_lines(orders.select(F.concat_ws("|", F.lit("orders"), "o_orderstatus", "o_orderpriority")
+                              .alias("value")), root)
+    distinct = read_lines(spark, root).select(F.col("value").alias("spec")).distinct()
+    return TF.parse_specs(distinct).select(F.col("fields").alias("o_orderstatus"),
+                                           F.col("condition").alias("o_orderpriority"))
+
+
+def golden_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actual = events exported as JSON lines; expected = the same without
+    errors plus 5 bogus rows, upper-cased and padded with blanks.  Counts of
+    lines only on each side after normalising."""
+    configure(spark)
+    root = work_dir(spark, "golden")
+    events = table(spark, sf_dir, "events")
+    region = table(spark, sf_dir, "region")
+    expected_rows = (events.filter(F.col("event_type") != "error").select("event_id", "event_type")
+                     .unionByName(region.select(F.col("r_regionkey").cast("bigint").alias("event_id"),
+                                                F.lit("bogus").alias("event_type"))))
+    expected = G.json_lines(expected_rows).select(
+        F.concat(F.lit("  "), F.upper("value"), F.lit(" \t")).alias("value"))
+    write_lines(expected.unionByName(spark.range(1).select(F.lit("   ").alias("value"))),
+                f"{root}/expected/events")
+    events.createOrReplaceTempView("events")
+    G.export_spec(spark, "events|event_id, event_type|", f"{root}/actual")
+    diffs = G.compare_lines(spark.read.text(f"{root}/actual/events"),
+                            spark.read.text(f"{root}/expected/events"))
+    return diffs.select("only_actual", "only_expected")
+
+
+def volatile_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    docs = table(spark, sf_dir, "documents")
+    lines = docs.select("doc_id", F.explode(F.split("text", "\n", -1)).alias("value"))
+    return count_by(drop_volatile(lines), "doc_id", "n_lines")
+
+
+def _staged_table(spark: SparkSession, name: str, df: DataFrame, root: str) -> str:
+    create_database(spark, SHOWCASE_DB)
+    qualified = f"{SHOWCASE_DB}.{name}"
+    drop_table(spark, qualified)
+    df.write.mode("overwrite").option("path", f"{root}/tables/{name}").saveAsTable(qualified)
+    return qualified
+
+
+def revert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table of orders (status P as NULL); revert spec ``o_orderstatus = 'F'``
+    removes F rows and, by three-valued logic, the NULL ones."""
+    configure(spark)
+    root = work_dir(spark, "revert_rows")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("o_orderstatus"))
+    t = _staged_table(spark, "orders_test", orders, root)
+    G.revert_table(spark, "orders_test|o_orderkey|o_orderstatus = 'F'", SHOWCASE_DB, allow=True)
+    return spark.table(t)
+
+
+def revert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spec without condition: the copied orders table is emptied."""
+    configure(spark)
+    root = work_dir(spark, "revert_all")
+    t = _staged_table(spark, "orders_all", table(spark, sf_dir, "orders"), root)
+    G.revert_table(spark, "orders_all|*|", SHOWCASE_DB, allow=True)
+    return spark.table(t).agg(F.count(F.lit(1)).alias("n_left"))
+
+
+def watermark_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watermark table with six epoch columns per user (last event of the
+    user), reset to 1990-01-01 00:00:00 UTC."""
+    configure(spark)
+    root = work_dir(spark, "watermark")
+    last = F.unix_timestamp(F.max("ts").cast("timestamp"))
+    wm = (table(spark, sf_dir, "events").groupBy("user_id")
+          .agg(*[last.alias(f"c{i}") for i in range(1, 7)]).drop("user_id"))
+    t = _staged_table(spark, "solr_lst_updated_dt", wm, root)
+    reset_watermarks(spark, t)
+    return spark.table(t)
+
+
+def incremental_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    events = table(spark, sf_dir, "events")
+    wm = spark.range(1).select(F.unix_timestamp(F.lit("2024-01-25 00:00:00")).alias("wm"))
+    return incremental_rows(events, "ts", wm, "wm").select("event_id")
+
+
+def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events rendered as JSON-lines landing files -> availableNow file stream
+    -> bronze (idempotent per epoch) -> counts per event type."""
+    configure(spark)
+    root = work_dir(spark, "stream")
+    events = table(spark, sf_dir, "events")
+    write_lines(G.json_lines(events.select("event_id", "event_type")), f"{root}/landing", num_files=8)
+    pickup_to_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint",
+                     max_files_per_trigger=3)
+    bronze = spark.read.parquet(f"{root}/bronze")
+    typed = bronze.select(F.from_json("value", "event_id bigint, event_type string").alias("e"))
+    return typed.groupBy(F.col("e.event_type").alias("event_type")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- probes
+
+def _size_lines(part: DataFrame) -> DataFrame:
+    return part.select(F.format_string("%d,%d", "p_size", F.col("p_size") * F.col("p_size")).alias("value"))
+
+
+def probe_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sqrt,square`` lines from part sizes -> external CSV table
+    ``sqrt INT, square INT`` -> count, sum(square), sum(sqrt)."""
+    configure(spark)
+    root = work_dir(spark, "squares")
+    write_lines(_size_lines(table(spark, sf_dir, "part")), root)
+    create_database(spark, SHOWCASE_DB)
+    name = f"{SHOWCASE_DB}.squares"
+    drop_table(spark, name)
+    create_external_csv_table(spark, name, "sqrt INT, square INT", root)
+    return spark.table(name).agg(F.count(F.lit(1)).alias("n"),
+                                 F.sum("square").cast("bigint").alias("sum_square"),
+                                 F.sum("sqrt").cast("bigint").alias("sum_sqrt"))
+
+
+def collection_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events' props as JSON array documents (one array of at most 1000
+    documents per line) -> loaded -> hits per k."""
+    configure(spark)
+    root = work_dir(spark, "collection")
+    events = table(spark, sf_dir, "events")
+    arrays = (events.groupBy(F.floor(F.col("event_id") / 1000).alias("bucket"))
+                    .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("props")), F.lit("]"))
+                         .alias("value")))
+    write_lines(arrays.select("value"), root)
+    docs = load_json_documents(spark, root, schema="k bigint", multiline=False)
+    return docs.groupBy("k").agg(F.count(F.lit(1)).alias("num_found"))
+
+
+def total_order_sort_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders keyed by md5 of the order key -> range-partitioned sort ->
+    parquet -> validation (rows, checksum, inversions)."""
+    configure(spark)
+    root = work_dir(spark, "terasort")
+    orders = table(spark, sf_dir, "orders")
+    data = orders.select(F.md5(F.col("o_orderkey").cast("string")).alias("key"), "o_orderkey")
+    total_order_sort(data, "key").write.mode("overwrite").parquet(root)
+    return validate_sorted(spark, root, "key", md5_prefix_value("o_orderkey"))
+
+
+def pi_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of the unit square from md5 of order keys -> pi."""
+    configure(spark)
+    orders = table(spark, sf_dir, "orders")
+    points = orders.select(unit_from_hash("o_orderkey", 0).alias("x"),
+                           unit_from_hash("o_orderkey", 1).alias("y"))
+    return estimate_pi(points)
+
+
+def status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One regression test per customer: actual = the customer's orders as
+    JSON lines; expected = the same, upper-cased, with status X for 5-LOW
+    orders in status P.  One padded status line per customer."""
+    configure(spark)
+    orders = table(spark, sf_dir, "orders")
+    name = F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("test")
+    actual = orders.select(name, F.to_json(F.struct("o_orderkey", "o_orderstatus")).alias("value"))
+    changed = F.when((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P"),
+                     F.lit("X")).otherwise(F.col("o_orderstatus"))
+    expected = orders.select(name, F.upper(F.to_json(F.struct("o_orderkey", changed.alias("o_orderstatus"))))
+                             .alias("value"))
+    diffs = G.compare_lines(actual, expected, keys=("test",))
+    return G.report(diffs, "test").select("line")
+
+
+def catalog_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Database + external delimited table over part sizes, listed,
+    aggregated and dropped; the expected answer is computed from part."""
+    configure(spark)
+    part = table(spark, sf_dir, "part")
+    exp = part.agg(F.count(F.lit(1)), F.sum(F.col("p_size") * F.col("p_size")), F.sum("p_size")).first()
+    return catalog_table_probe(spark, _size_lines(part), tuple(exp))
+
+
+def roundtrip_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    lineitem = table(spark, sf_dir, "lineitem")
+    data = lineitem.select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("id"),
+                           "l_quantity", "l_extendedprice")
+    return storage_roundtrip(spark, data, "id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "strict_ingest": strict_ingest,
+    "arity_profile": arity_profile_q,
+    "quoted_ingest": quoted_ingest,
+    "remainder_ingest": remainder_ingest,
+    "header_filter": header_filter,
+    "file_counts": file_counts,
+    "audit_transform": audit_transform,
+    "null_key_check": null_key_check,
+    "batch_gate": batch_gate,
+    "batch_balance": batch_balance,
+    "batch_ledger": batch_ledger,
+    "sibling_join": sibling_join,
+    "path_routing": path_routing,
+    "rows_changed": rows_changed,
+    "run_audit": run_audit,
+    "log_escape": log_escape,
+    "log_id_extract": log_id_extract,
+    "spec_parse": spec_parse,
+    "spec_projection": spec_projection,
+    "spec_dedupe": spec_dedupe,
+    "golden_compare": golden_compare,
+    "volatile_filter": volatile_filter,
+    "revert_rows": revert_rows,
+    "revert_all": revert_all,
+    "watermark_reset": watermark_reset,
+    "incremental_select": incremental_select,
+    "stream_landing": stream_landing,
+    "probe_aggregate": probe_aggregate,
+    "collection_count": collection_count,
+    "total_order_sort": total_order_sort_q,
+    "pi_estimate": pi_estimate,
+    "status_report": status_report,
+    "catalog_probe": catalog_probe,
+    "roundtrip_probe": roundtrip_probe,
 }
 
+_MD5_X = "('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT"
+_MD5_Y = "('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 9, 8))::BIGINT"
+_INSIDE = "CASE WHEN x * x + y * y <= 1 THEN 1 ELSE 0 END"
+
 ORACLES: dict[str, str] = {
     "strict_ingest": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders",
+    "arity_profile": "SELECT CAST(3 + length(text) - length(replace(text, '|', '')) AS INTEGER) AS n_fields, "
+                     "count(*) AS n_lines FROM documents GROUP BY 1",
+    "quoted_ingest": "SELECT doc_id, lang, replace(text, chr(10), ' ') AS text FROM documents",
+    "remainder_ingest": "SELECT doc_id, lang, replace(text, chr(10), ' ') AS text FROM documents",
+    "header_filter": "SELECT p_partkey, p_name FROM part WHERE lower(p_name) NOT LIKE '%all_r%'",
+    "file_counts": "SELECT lang AS file_class, count(*) AS n_docs FROM documents GROUP BY lang",
+    "audit_transform": "SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS total, 'svc' AS crt_by, "
+                       "'svc' AS updt_by FROM orders",
+    "null_key_check": "SELECT o_orderpriority AS batch, count(*) AS n_rows, CAST(sum(CASE WHEN k IS NULL OR "
+                      "k = '' THEN 1 ELSE 0 END) AS BIGINT) AS n_bad FROM (SELECT o_orderpriority, CASE "
+                      "o_orderstatus WHEN 'P' THEN NULL WHEN 'O' THEN '' ELSE o_orderstatus END AS k "
+                      "FROM orders) GROUP BY 1",
+    "batch_gate": "SELECT CAST(i AS BIGINT) AS batch_index, bool_and(m) AS ready FROM (SELECT o_orderstatus "
+                  "<> 'P' AS m, row_number() OVER (PARTITION BY o_orderkey % 2 ORDER BY printf('f%d_%010d.csv', "
+                  "o_orderkey % 2, o_orderkey)) AS i FROM orders) GROUP BY i",
+    "batch_balance": "SELECT count(DISTINCT n) > 1 AS unbalanced, CAST(sum(n) AS BIGINT) AS n_files FROM "
+                     "(SELECT o_orderkey % 2 AS child, count(*) AS n FROM orders GROUP BY 1)",
+    "batch_ledger": "SELECT outcome, count(*) AS n_batches, CAST(sum(n) AS BIGINT) AS n_files FROM (SELECT i, "
+                    "count(*) AS n, CASE WHEN NOT bool_and(m) THEN 'deferred' WHEN bool_or(b) THEN 'failed' "
+                    "ELSE 'archived' END AS outcome FROM (SELECT o_orderstatus <> 'P' AS m, o_orderpriority = "
+                    "'5-LOW' AS b, row_number() OVER (PARTITION BY o_orderkey % 2 ORDER BY o_orderkey) AS i "
+                    "FROM orders) GROUP BY i) GROUP BY outcome",
+    "sibling_join": "SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey",
+    "path_routing": "SELECT o_orderkey, 'f' || o_orderkey || '_DONE.csv' AS marker, '/data/archive/f' || "
+                    "o_orderkey || '.csv' AS archive, '/data/failure/f' || o_orderkey || '.csv' AS failure "
+                    "FROM orders",
+    "rows_changed": "SELECT t.name AS table_name, count(e.event_id) AS rows_changed FROM (VALUES ('view'), "
+                    "('click'), ('missing')) t(name) LEFT JOIN events e ON e.event_type = t.name AND e.ts > "
+                    "TIMESTAMP '2024-01-10 00:00:00' AND e.ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY 1",
+    "run_audit": "SELECT event_id, coalesce(nullif(CASE WHEN event_type = 'view' THEN '' ELSE event_type END, "
+                 "''), 'Unknown') AS application, (event_id % 3) = 0 AS success FROM events",
+    "log_escape": "SELECT conv_id, turn, replace(replace(replace(replace(replace(text, chr(10), '\\n'), "
+                  "chr(13), '\\r'), '''', ' '), '\"', ' '), ';', ' ') AS msg FROM conversations",
+    "log_id_extract": "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'application_' || event_id ELSE "
+                      "'Unavailable' END AS app_id FROM events",
+    "spec_parse": "SELECT 't' || doc_id AS table_name, text AS fields, lang AS condition FROM documents",
+    "spec_projection": "SELECT c_custkey, c_name FROM customer WHERE c_acctbal < 0",
+    "spec_dedupe": "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders",
+    "golden_compare": "SELECT (SELECT count(*) FROM (SELECT event_id, event_type FROM events EXCEPT ALL (SELECT "
+                      "event_id, event_type FROM events WHERE event_type <> 'error' UNION ALL SELECT "
+                      "r_regionkey, 'bogus' FROM region))) AS only_actual, (SELECT count(*) FROM ((SELECT "
+                      "event_id, event_type FROM events WHERE event_type <> 'error' UNION ALL SELECT "
+                      "r_regionkey, 'bogus' FROM region) EXCEPT ALL SELECT event_id, event_type FROM events)) "
+                      "AS only_expected",
+    "volatile_filter": "SELECT doc_id, count(*) AS n_lines FROM (SELECT doc_id, unnest(string_split(text, "
+                       "chr(10))) AS line FROM documents) WHERE line NOT LIKE '%version%' AND line NOT LIKE "
+                       "'%QTime%' GROUP BY doc_id",
+    "revert_rows": "SELECT o_orderkey, o_orderstatus FROM orders WHERE NOT (nullif(o_orderstatus, 'P') = 'F')",
+    "revert_all": "SELECT count(*) AS n_left FROM orders WHERE 1 = 0",
+    "watermark_reset": "SELECT CAST(631152000 AS BIGINT) AS c1, CAST(631152000 AS BIGINT) AS c2, "
+                       "CAST(631152000 AS BIGINT) AS c3, CAST(631152000 AS BIGINT) AS c4, CAST(631152000 AS "
+                       "BIGINT) AS c5, CAST(631152000 AS BIGINT) AS c6 FROM (SELECT DISTINCT user_id FROM events)",
+    "incremental_select": "SELECT event_id FROM events WHERE ts > TIMESTAMP '2024-01-25 00:00:00'",
+    "stream_landing": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
+    "probe_aggregate": "SELECT count(*) AS n, CAST(sum(p_size * p_size) AS BIGINT) AS sum_square, "
+                       "CAST(sum(p_size) AS BIGINT) AS sum_sqrt FROM part",
+    "collection_count": "SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS num_found "
+                        "FROM events GROUP BY 1",
+    "total_order_sort": f"SELECT count(*) AS n, CAST(sum({_MD5_X}) AS BIGINT) AS checksum, "
+                        "CAST(0 AS BIGINT) AS inversions FROM orders",
+    "pi_estimate": f"SELECT CAST(sum({_INSIDE}) AS BIGINT) AS inside, count(*) AS n, "
+                   f"4.0::DOUBLE * sum({_INSIDE}) / count(*) AS pi "
+                   f"FROM (SELECT {_MD5_X}::DOUBLE / 4294967296.0::DOUBLE AS x, "
+                   f"{_MD5_Y}::DOUBLE / 4294967296.0::DOUBLE AS y FROM orders)",
+    "status_report": "SELECT printf('%-50s - %s', 'c' || o_custkey, CASE WHEN sum(CASE WHEN o_orderpriority = "
+                     "'5-LOW' AND o_orderstatus = 'P' THEN 1 ELSE 0 END) = 0 THEN 'SUCCESS' ELSE 'FAILURE' END) "
+                     "AS line FROM orders GROUP BY o_custkey",
 }
