@@ -16,7 +16,10 @@ Shape of the work, independent of the number of files:
 
 from __future__ import annotations
 
+import contextlib
+import logging
 import re
+import time
 import uuid
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -26,13 +29,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.paths import route
-from ..operators.batches import ARCHIVED, DEFERRED, FAILED, balance, class_table, classify, manifest, outcome
+from ..operators.batches import ARCHIVED, DEFERRED, FAILED, class_table, manifest
 from ..operators.quality import bad_key
 from ..sinks.ledger import LEDGER_SCHEMA, append_ledger, append_quarantine, read_ledger, terminal_batches
 from ..sinks.tables import append_typed, cast_positional
 from ..sources.delimited import read_class
 
 BATCH = "_batch_id"
+log = logging.getLogger("tidewater.ingest")
+
+
+@contextlib.contextmanager
+def _phase(name: str):
+    start = time.time()
+    yield
+    log.debug("%-24s %.2fs", name, time.time() - start)
 NAMES_SCHEMA = StructType([StructField("path", StringType(), False),
                            StructField("file_key", StringType(), False)])
 
@@ -141,20 +152,30 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
         names = names.withColumn("file_key", file_key_col("path"))
     cls = class_table(spark, classes)
 
-    # Balance first: an unbalanced landing zone aborts the run before any write.
-    bal = balance(classify(names, cls, on=match_on), cls).first()
-    if bal["unbalanced"]:
-        raise ImbalanceError("landing files are unbalanced across classes; "
-                             "nothing was ingested")
-
     man = manifest(names, cls, on=match_on).join(
         names.select("path", "file_key"), "path", "left")
-    done = terminal_batches(spark, ledger_path)
-    man = man.join(done, "batch_id", "left_anti")
+    # Batches already archived/failed in earlier runs are flagged by a join
+    # (the ledger grows with history; only the current listing reaches the
+    # driver).
+    done = terminal_batches(spark, ledger_path).withColumn("done", F.lit(True))
+    man = man.join(done, "batch_id", "left")
     # The manifest is file-name metadata (one row per landing file); the
     # driver needs the ready paths to plan the scans anyway.
-    rows = man.select("path", "file_key", "name", "class_pos", "batch_index", "batch_id",
-                      "ready").collect()
+    with _phase("manifest"):
+        all_rows = man.select("path", "file_key", "name", "class_pos", "batch_index", "batch_id",
+                              "ready", F.coalesce("done", F.lit(False)).alias("done")).collect()
+    # Balance: every class must have the same number of files (a class with
+    # none counts as zero), else the run aborts before any write.  Counted
+    # over the whole manifest (before skipping archived batches) from the
+    # names the driver already holds.
+    with _phase("balance"):
+        per_class = [0] * len(classes)
+        for r in all_rows:
+            per_class[r["class_pos"]] += 1
+    if len(set(per_class)) > 1:
+        raise ImbalanceError("landing files are unbalanced across classes "
+                             f"({dict(zip((c.table for c in classes), per_class))}); nothing was ingested")
+    rows = [r for r in all_rows if not r["done"]]
     if not rows:
         return IngestResult(run_id, spark.createDataFrame([], LEDGER_SCHEMA), 0, None)
 
@@ -197,8 +218,9 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
             F.sum(keys_bad.cast("int")).cast("bigint").alias("n_bad_keys"),
             F.sum(n_err).cast("bigint").alias("n_cast_errors")))
 
-    verdict = _verdict(spark, line_parts, stats_parts)
-    per_batch = {r[BATCH]: r for r in verdict.collect()}
+    with _phase("verdict"):
+        verdict = _verdict(spark, line_parts, stats_parts)
+        per_batch = {r[BATCH]: r for r in verdict.collect()}
     good = {b for b, r in per_batch.items() if not r["any_bad"]}
     bad = {b for b, r in per_batch.items() if r["any_bad"]}
 
@@ -218,7 +240,8 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
         out = apply_transform(spark, fc, spark.table(fc.raw_view), user)
         target = _target_schema(spark, fc, database)
         cast, _ = cast_positional(out, target, keep=(BATCH,))
-        append_typed(cast.drop("_cast_errors"), fc.qualified_table(database), batch_col=BATCH)
+        with _phase(f"append {fc.table}"):
+            append_typed(cast.drop("_cast_errors"), fc.qualified_table(database), batch_col=BATCH)
 
     # Quarantine the bad lines of failed batches.
     q_parts = []
@@ -243,7 +266,8 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
 
     ledger_rows = _ledger_rows(spark, run_id, rows, per_batch, top, landing_folder,
                                archive_folder, failure_folder)
-    append_ledger(ledger_rows, ledger_path)
+    with _phase("ledger"):
+        append_ledger(ledger_rows, ledger_path)
     run_ledger = read_ledger(spark, ledger_path).filter(F.col("run_id") == run_id)
     failed_files = sum(r["n_files"] for r in ledger_rows.collect() if r["outcome"] == FAILED)
     counts = None
