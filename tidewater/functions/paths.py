@@ -15,12 +15,15 @@ MARKER_INFIX = "_DONE"
 
 def base_name(path) -> Column:
     """Last part of a path."""
-    return F.regexp_extract(as_col(path), r"([^/]*)$", 1)
+    return F.substring_index(as_col(path), "/", -1)
 
 
 def strip_extension(name) -> Column:
-    """Name without its real extension (any length)."""
-    return F.regexp_replace(as_col(name), r"\.[^./]*$", "")
+    """Name without its real extension (any length); a name without a dot is
+    returned as is."""
+    n = as_col(name)
+    ext_len = F.length(F.substring_index(n, ".", -1))
+    return F.when(n.contains("."), n.substr(F.lit(1), F.length(n) - ext_len - 1)).otherwise(n)
 
 
 def marker_name(path, extension) -> Column:

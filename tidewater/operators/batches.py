@@ -33,25 +33,43 @@ def class_table(spark: SparkSession, classes) -> DataFrame:
     return spark.createDataFrame(rows, CLASS_SCHEMA)
 
 
-def classify(names: DataFrame, classes: DataFrame, path_col: str = "path", on: str = "name") -> DataFrame:
+def _class_list(classes):
+    if isinstance(classes, DataFrame):  # a class table: configuration-sized
+        return [(r["class_pos"], r["file_class"], r["pattern"], r["extension"])
+                for r in classes.orderBy("class_pos").collect()]
+    return [(i, c.table, c.pattern, c.extension) for i, c in enumerate(classes)]
+
+
+def classify(names: DataFrame, classes, path_col: str = "path", on: str = "name") -> DataFrame:
     """Assign every data file (not a marker) to every class whose pattern is
     found (unanchored) in its base name, or in its full path with
-    ``on="path"``.  ``classes`` is tiny (one row per configured class), so it
-    is broadcast for the regex theta join."""
+    ``on="path"``.
+
+    Classes are configuration, so each pattern is a literal regex compiled
+    once per task; a file matching several classes yields one row per class.
+    ``classes`` is a list of :class:`FileClass` or a :func:`class_table`."""
+    items = _class_list(classes)
     files = (names.select(F.col(path_col).alias("path"))
                   .withColumn("name", base_name("path"))
                   .filter(~is_marker("name")))
     subject = F.col("name") if on == "name" else F.col("path")
-    return files.join(F.broadcast(classes), F.regexp_like(subject, F.col("pattern")), "inner")
+    info = [F.struct(F.lit(pos).alias("class_pos"), F.lit(table).alias("file_class"),
+                     F.lit(pattern).alias("pattern"), F.lit(ext).alias("extension"))
+            for pos, table, pattern, ext in items]
+    hits = F.filter(F.array(*[F.when(subject.rlike(pattern), s) for (_, _, pattern, _), s in zip(items, info)]),
+                    lambda x: x.isNotNull())
+    return (files.select("path", "name", F.explode(hits).alias("_c"))
+                 .select("path", "name", "_c.*"))
 
 
-def balance(classified: DataFrame, classes: DataFrame) -> DataFrame:
+def balance(classified: DataFrame, classes) -> DataFrame:
     """One row: ``unbalanced`` (classes have different file counts, a class
     with no file counts as zero) and ``n_files``."""
     per_class = classified.groupBy("class_pos").agg(F.count(F.lit(1)).alias("n"))
-    counts = (classes.select("class_pos")
-                     .join(per_class, "class_pos", "left")
-                     .select(F.coalesce("n", F.lit(0)).alias("n")))
+    spark = classified.sparkSession
+    positions = spark.createDataFrame([(pos,) for pos, *_ in _class_list(classes)], "class_pos int")
+    counts = (positions.join(per_class, "class_pos", "left")
+                       .select(F.coalesce("n", F.lit(0)).alias("n")))
     return counts.agg(
         (F.countDistinct("n") > 1).alias("unbalanced"),
         F.sum("n").cast("bigint").alias("n_files"),
@@ -97,7 +115,7 @@ def batches(gated: DataFrame) -> DataFrame:
                  .withColumn("batch_id", batch_id(F.col("paths"))))
 
 
-def manifest(names: DataFrame, classes: DataFrame, path_col: str = "path",
+def manifest(names: DataFrame, classes, path_col: str = "path",
              num_partitions: int | None = None, on: str = "name") -> DataFrame:
     """Per file: path, name, class, ``batch_index``, ``batch_id``, marker
     status and the batch's ``ready`` flag."""

@@ -6,8 +6,9 @@ most of the data on one core.  Here the rows are range-partitioned on
 ``(group, order)`` so a large group spreads over many partitions, each
 partition numbers its rows locally, and a small table of per-partition spans
 (at most ``partitions + groups`` rows) turns local positions into global ones.
-The numbered rows are checkpointed once, so the cost is one extra write of
-the input (file names, split summaries: metadata-sized in this library).
+The numbered rows are staged once as parquet on shared storage, so the cost
+is one extra write of the input (file names, split summaries:
+metadata-sized in this library).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_root
+from ..session import work_dir
 
 _PID = "_ord_pid"
 _LOCAL = "_ord_local"
@@ -49,10 +50,11 @@ def group_ordinal(df: DataFrame, group_cols, order_cols, name: str = "ordinal",
                          - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
     # Range boundaries are sampled with a seed tied to the RDD id, so two
     # separately planned copies of this exchange may cut differently.  The
-    # numbered rows are therefore materialised once (reliable checkpoint in
-    # the shared checkpoint folder) and both consumers read that copy.
-    shared_root(df.sparkSession)
-    local = local.checkpoint(eager=True)
+    # numbered rows are therefore written once to the shared work folder
+    # (cutting the lineage there) and both consumers read that copy.
+    stage = work_dir(df.sparkSession, "ordinal")
+    local.write.mode("overwrite").parquet(stage)
+    local = df.sparkSession.read.parquet(stage)
 
     spans = (local.groupBy(_PID, *group_cols)
                   .agg(F.min(_LOCAL).alias("_ord_first"), F.count(F.lit(1)).alias("_ord_cnt")))

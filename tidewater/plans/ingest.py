@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.paths import route
-from ..operators.batches import ARCHIVED, DEFERRED, FAILED, class_table, manifest
+from ..operators.batches import ARCHIVED, DEFERRED, FAILED, manifest
 from ..operators.quality import bad_key
 from ..sinks.ledger import LEDGER_SCHEMA, append_ledger, append_quarantine, read_ledger, terminal_batches
 from ..sinks.tables import append_typed, cast_positional
@@ -150,9 +150,8 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
     names = names if names is not None else list_landing(spark, f"{top}/{landing_folder}")
     if "file_key" not in names.columns:
         names = names.withColumn("file_key", file_key_col("path"))
-    cls = class_table(spark, classes)
 
-    man = manifest(names, cls, on=match_on).join(
+    man = manifest(names, classes, on=match_on).join(
         names.select("path", "file_key"), "path", "left")
     # Batches already archived/failed in earlier runs are flagged by a join
     # (the ledger grows with history; only the current listing reaches the

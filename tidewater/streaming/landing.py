@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.batches import class_table, manifest
+from ..operators.batches import manifest
 
 
 def line_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
@@ -60,7 +60,7 @@ def pickup_to_bronze(spark: SparkSession, landing_dir: str, bronze_path: str, ch
 def release_ready(spark: SparkSession, bronze: DataFrame, names: DataFrame, classes) -> DataFrame:
     """Bronze lines of files whose whole batch is ready, with ``batch_id``,
     ``batch_index`` and ``file_class``."""
-    man = manifest(names, class_table(spark, classes)).filter("ready")
+    man = manifest(names, classes).filter("ready")
     if "file_key" not in names.columns:
         names = names.withColumn("file_key", F.regexp_replace("path", r"^([A-Za-z][A-Za-z0-9+.-]*:)//(/)", "$1$2"))
     ready = man.join(names.select("path", "file_key"), "path").select(

@@ -212,9 +212,9 @@ def _landing_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return data.unionByName(marks)
 
 
-def _parity_classes(spark: SparkSession) -> DataFrame:
-    return B.class_table(spark, [FileClass(table="even", columns=("v",), pattern="^f0_"),
-                                 FileClass(table="odd", columns=("v",), pattern="^f1_")])
+def _parity_classes(spark: SparkSession) -> list:
+    return [FileClass(table="even", columns=("v",), pattern="^f0_"),
+            FileClass(table="odd", columns=("v",), pattern="^f1_")]
 
 
 def batch_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
