@@ -102,3 +102,36 @@ def test_watermark_reset_keeps_one_row_per_row(spark, tmp):
     empty = _table(spark, tmp, "wm_empty", [], "a long, b long, c long, d long, e long, f long")
     reset_watermarks(spark, empty)
     assert spark.table(empty).count() == 0
+
+
+def test_test_dir_runner_parts_results_and_revert_specs(spark, tmp):
+    from tidewater.sinks.collections import commit_documents, delete_all_documents, hit_count
+    t = _table(spark, tmp, "items", [(1, "a")], "id int, v string")
+    write(f"{tmp}/test/tables.list", "items|id, v|id < 10\n\n")
+    write(f"{tmp}/test/collections", "docs,select?q=*:*\n")
+    write(f"{tmp}/test/p1/expected/items/e.json", '{"id":1,"v":"A"}\n')
+    write(f"{tmp}/test/p1/expected/docs/e.json", '{"a":1}\n')
+    write(f"{tmp}/test/p2/expected/items/e.json", '{"id":1,"v":"a"}\n{"id":2,"v":"b"}\n')
+    write(f"{tmp}/test/p2/expected/docs/e.json", '{"a":1}\n{"a":2}\n')
+    docs_t = f"{DB}.docs"
+    drop_table(spark, docs_t)
+    commit_documents(spark.createDataFrame([(1,)], "a long"), docs_t, f"{tmp}/docs")
+
+    def run_part(part_dir):
+        if part_dir.endswith("p2"):
+            spark.createDataFrame([(2, "b")], "id int, v string").write.insertInto(t)
+            commit_documents(spark.createDataFrame([(2,)], "a long"), docs_t)
+
+    report = G.run_test_dir(spark, f"{tmp}/test", DB, run_part, results_path=f"{tmp}/results", run="r1")
+    got = sorted((r["part"], r["test"], r["status"]) for r in report.collect())
+    assert got == [("p1", "docs", "SUCCESS"), ("p1", "items", "SUCCESS"),
+                   ("p2", "docs", "SUCCESS"), ("p2", "items", "SUCCESS")]
+    assert {r["status"]: r["n_tests"] for r in G.summary(report).collect()} == {"SUCCESS": 4}
+    assert G.consolidated_report(spark, f"{tmp}/results").count() == 4
+
+    specs = G.read_spec_lines(spark, [f"{tmp}/test/tables.list", f"{tmp}/test/tables.list"])
+    G.revert_specs(spark, specs, DB, allow=True)
+    assert spark.table(t).count() == 0
+    assert hit_count(spark, docs_t) == 2
+    delete_all_documents(spark, docs_t)
+    assert hit_count(spark, docs_t) == 0

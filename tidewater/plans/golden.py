@@ -134,3 +134,94 @@ def _union(parts):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# ------------------------------------------------------------ runs and logs
+
+RESULTS_SCHEMA = "run string, part string, test string, status string, line string, recorded_at timestamp"
+
+
+def summary(report: DataFrame) -> DataFrame:
+    """Number of tests per status."""
+    return report.groupBy("status").agg(F.count(F.lit(1)).alias("n_tests"))
+
+
+def append_results(report: DataFrame, results_path: str, run: str, part: str = "") -> None:
+    """Append a report to the results dataset (partitioned by run)."""
+    (report.select(F.lit(run).alias("run"), F.lit(part).alias("part"), "test", "status", "line",
+                   F.current_timestamp().alias("recorded_at"))
+           .write.mode("append").partitionBy("run").parquet(results_path))
+
+
+def consolidated_report(spark: SparkSession, results_path: str) -> DataFrame:
+    """All result lines of all runs, ordered by run, time, part and test."""
+    return (spark.read.parquet(results_path)
+                 .orderBy("run", "recorded_at", "part", "test"))
+
+
+def read_spec_lines(spark: SparkSession, paths) -> DataFrame:
+    """``spec`` rows from spec list files (one ``table|fields|condition`` per
+    line, blank lines skipped)."""
+    return (spark.read.text(paths).select(F.col("value").alias("spec"))
+                 .filter(F.length(F.trim("spec")) > 0))
+
+
+def read_collection_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``collection`` (before the first comma) and ``query`` (after the last)."""
+    from ..functions.specs import collection_name, collection_query
+    lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+    return lines.select(collection_name("value").alias("collection"), collection_query("value").alias("query"))
+
+
+def run_test_dir(spark: SparkSession, test_dir: str, database: str | None = None, run_part=None,
+                 results_path: str | None = None, run: str = "regression") -> DataFrame:
+    """Run one regression test directory.
+
+    Layout: ``<test>/*.list`` (specs), optional ``<test>/collections``
+    (``name,query`` lines; the collection is a table of documents, compared
+    as JSON lines), and either ``<test>/expected`` or one sub-directory per
+    part, each with ``expected/``.  Parts run in name order on accumulating
+    state; ``run_part(part_dir)`` does the part's work first (it replaces
+    putting inputs and starting workflows).  Returns the report of all
+    parts."""
+    import glob
+    import os
+
+    from ..session import local_path
+
+    base = local_path(test_dir).rstrip("/")
+    list_files = sorted(glob.glob(f"{base}/*.list"))
+    specs = [r["spec"] for r in read_spec_lines(spark, list_files).collect()] if list_files else []
+    collections = {}
+    if os.path.exists(f"{base}/collections"):
+        for r in read_collection_lines(spark, f"{base}/collections").collect():
+            collections[r["collection"]] = r["query"]
+    parts = sorted(d for d in os.listdir(base) if os.path.isdir(f"{base}/{d}/expected"))
+    if os.path.isdir(f"{base}/expected"):
+        parts = [""] + parts
+    reports = []
+    for part in parts:
+        part_dir = f"{base}/{part}".rstrip("/")
+        if run_part is not None:
+            run_part(part_dir)
+        coll = {name: json_lines(spark.table(f"{database}.{name}" if database else name))
+                for name in collections}
+        report = run_golden(spark, specs, f"{part_dir}/expected", database, coll)
+        # Later parts change the tables: fix this part's verdict now (one row
+        # per table or collection).
+        rows = report.collect()
+        report = spark.createDataFrame(rows, report.schema).withColumn("part", F.lit(part))
+        if results_path:
+            append_results(report, results_path, run, part)
+        reports.append(report)
+    if not reports:
+        return spark.createDataFrame([], "line string, test string, status string, part string")
+    return _union(reports)
+
+
+def revert_specs(spark: SparkSession, specs: DataFrame, database: str | None = None,
+                 allow: bool = False) -> list:
+    """Revert every distinct spec line (``sort | uniq`` of all spec lists).
+    The distinct spec list is configuration-sized; each revert is a job."""
+    distinct = [r["spec"] for r in specs.select("spec").distinct().orderBy("spec").collect()]
+    return [revert_table(spark, s, database, allow=allow) for s in distinct]
