@@ -117,9 +117,11 @@ def _class_frames(spark, file_class, paths, files_df, database, user, batch_filt
     """Parsed lines (with batch id) and the cast transform output of one
     class, for the given files."""
     parsed = read_class(spark, file_class, paths)
-    # _metadata.file_path is the encoded URI, the same form as the
-    # manifest's file_key; the manifest side is one row per file.
-    parsed = parsed.withColumn("file_key", file_key_col("_file")).join(files_df, "file_key")
+    # The manifest's file_key already has the form _metadata.file_path
+    # reports, so the (large) line side joins on its raw column; the
+    # manifest side is one row per file.
+    parsed = parsed.join(files_df, parsed["_file"] == files_df["file_key"]).drop("file_key") \
+                   .withColumn("file_key", F.col("_file"))
     if batch_filter is not None:
         parsed = parsed.filter(F.col(BATCH) == batch_filter)
     raw = parsed.filter(~F.col("_bad")).select(*file_class.columns, BATCH)

@@ -19,7 +19,8 @@ from ..operators.batches import manifest
 
 def line_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
                 path_glob: str | None = None) -> DataFrame:
-    """Streaming DataFrame of ``value, _file, file_key`` for new files."""
+    """Streaming DataFrame of ``value, _file, file_key`` for new files
+    (``file_key`` is the path as ``_metadata.file_path`` reports it)."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -28,8 +29,7 @@ def line_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: in
     return reader.load(landing_dir).select(
         "value",
         F.col("_metadata.file_path").alias("_file"),
-        F.regexp_replace(F.col("_metadata.file_path"), r"^([A-Za-z][A-Za-z0-9+.-]*:)//(/)", "$1$2")
-         .alias("file_key"),
+        F.col("_metadata.file_path").alias("file_key"),
     )
 
 

@@ -39,7 +39,10 @@ def after_watermark(df: DataFrame, ts_col: str, watermark_epoch) -> Column:
 def incremental_rows(df: DataFrame, ts_col: str, watermarks: DataFrame, wm_col: str) -> DataFrame:
     """Rows newer than the smallest watermark in ``watermarks[wm_col]``.
 
-    The watermark is a scalar subquery (evaluated once, before the scan), so
-    the filter stays a plain per-row predicate with no join."""
-    wm = watermarks.agg(F.min(wm_col)).scalar()
-    return df.filter(after_watermark(df, ts_col, wm))
+    The watermark is resolved first (one scalar from a small table) so the
+    predicate is a literal: it reaches the parquet scan and skips row groups
+    by their min/max statistics, which a scalar subquery would not."""
+    wm = watermarks.agg(F.min(wm_col).alias("wm")).first()["wm"]
+    if wm is None:  # no watermark yet: everything is new
+        return df
+    return df.filter(after_watermark(df, ts_col, int(wm)))

@@ -67,7 +67,8 @@ def strict_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     root = work_dir(spark, "strict_ingest")
     orders = table(spark, sf_dir, "orders").select(*ORDERS_COLUMNS)
-    write_delimited(orders, f"{root}/landing", sep="|", header=True, num_files=8)
+    files = max(8, spark.sparkContext.defaultParallelism)
+    write_delimited(orders, f"{root}/landing", sep="|", header=True, num_files=files)
 
     create_database(spark, SHOWCASE_DB)
     target = f"{SHOWCASE_DB}.orders_in"
