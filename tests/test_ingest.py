@@ -116,11 +116,13 @@ def test_reingesting_a_batch_overwrites_its_partition(spark, tmp):
     assert spark.table(f"{DB}.hdr").select(BATCH_COLUMN).distinct().count() == 1
 
 
-def test_transform_without_batch_column_is_rejected(spark, tmp):
+def test_transform_without_batch_column_runs_per_batch(spark, tmp):
     setup_tables(spark, tmp)
     batch(tmp, 1, ["1|ann"], ["1,1,x"])
-    bad = FileClass(table="hdr", columns=("id", "name"), separator="|", pattern="^hdr_",
-                    transform="SELECT CAST(id AS BIGINT), name, 'a', 'b' FROM hdr_RAW")
-    with pytest.raises(ValueError):
-        ingest(spark, [bad, DET], tmp, database=DB)
-    assert counts(spark, "hdr") == 0
+    batch(tmp, 2, ["2|bob", "3|cy"], ["2,1,y", "3,1,z"])
+    legacy = FileClass(table="hdr", columns=("id", "name"), separator="|", pattern="^hdr_", keys=("id",),
+                       transform="SELECT CAST(id AS BIGINT), name, '%s', '%s' FROM hdr_RAW")
+    res = ingest(spark, [legacy, DET], tmp, database=DB, user="u")
+    assert sorted(r["outcome"] for r in res.ledger.collect()) == ["archived", "archived"]
+    got = sorted((r["id"], r[BATCH_COLUMN]) for r in spark.table(f"{DB}.hdr").collect())
+    assert [g[0] for g in got] == [1, 2, 3] and got[1][1] == got[2][1] != got[0][1]

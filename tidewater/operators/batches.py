@@ -76,11 +76,12 @@ def balance(classified: DataFrame, classes) -> DataFrame:
     )
 
 
-def pair(classified: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def pair(classified: DataFrame, num_partitions: int | None = None,
+         known_rows: int | None = None) -> DataFrame:
     """``batch_index``: the file's 1-based position within its class in name
     order (full path breaks ties); the i-th files of all classes form batch i."""
     return group_ordinal(classified, ["class_pos"], ["name", "path"], name="batch_index",
-                         num_partitions=num_partitions)
+                         num_partitions=num_partitions, known_rows=known_rows)
 
 
 def markers(names: DataFrame, path_col: str = "path") -> DataFrame:
@@ -116,10 +117,13 @@ def batches(gated: DataFrame) -> DataFrame:
 
 
 def manifest(names: DataFrame, classes, path_col: str = "path",
-             num_partitions: int | None = None, on: str = "name") -> DataFrame:
+             num_partitions: int | None = None, on: str = "name",
+             known_rows: int | None = None) -> DataFrame:
     """Per file: path, name, class, ``batch_index``, ``batch_id``, marker
-    status and the batch's ``ready`` flag."""
-    gated = gate(pair(classify(names, classes, path_col, on), num_partitions), names, path_col)
+    status and the batch's ``ready`` flag.  ``known_rows`` bounds the number
+    of classified files (listing size times classes) when the caller knows
+    it."""
+    gated = gate(pair(classify(names, classes, path_col, on), num_partitions, known_rows), names, path_col)
     per_batch = batches(gated).select("batch_index", "batch_id", "ready")
     return gated.join(per_batch, "batch_index", "inner")
 

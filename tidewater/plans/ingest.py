@@ -33,6 +33,7 @@ from ..operators.batches import ARCHIVED, DEFERRED, FAILED, manifest
 from ..operators.quality import bad_key
 from ..sinks.ledger import LEDGER_SCHEMA, append_ledger, append_quarantine, read_ledger, terminal_batches
 from ..sinks.tables import append_typed, cast_positional
+from ..session import work_dir
 from ..sources.delimited import read_class
 
 BATCH = "_batch_id"
@@ -113,20 +114,15 @@ def _target_schema(spark, file_class, database):
     return spark.table(file_class.qualified_table(database)).schema
 
 
-def _class_frames(spark, file_class, paths, files_df, database, user, batch_filter=None):
-    """Parsed lines (with batch id) and the cast transform output of one
-    class, for the given files."""
+def _parse(spark, file_class, paths, files_df) -> DataFrame:
+    """Parsed lines of one class with their batch id.
+
+    The manifest's file_key already has the form ``_metadata.file_path``
+    reports, so the (large) line side joins on its raw column; the manifest
+    side is one row per file."""
     parsed = read_class(spark, file_class, paths)
-    # The manifest's file_key already has the form _metadata.file_path
-    # reports, so the (large) line side joins on its raw column; the
-    # manifest side is one row per file.
-    parsed = parsed.join(files_df, parsed["_file"] == files_df["file_key"]).drop("file_key") \
-                   .withColumn("file_key", F.col("_file"))
-    if batch_filter is not None:
-        parsed = parsed.filter(F.col(BATCH) == batch_filter)
-    raw = parsed.filter(~F.col("_bad")).select(*file_class.columns, BATCH)
-    raw.createOrReplaceTempView(file_class.raw_view)
-    return parsed, raw
+    return (parsed.join(files_df, parsed["_file"] == files_df["file_key"])
+                  .select(*file_class.columns, BATCH, "_file", "_bad", "_line"))
 
 
 def ingest(spark: SparkSession, classes, top_directory: str, database: str | None = None,
@@ -153,7 +149,9 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
     if "file_key" not in names.columns:
         names = names.withColumn("file_key", file_key_col("path"))
 
-    man = manifest(names, classes, on=match_on).join(
+    # The listing is metadata; its size decides how files are paired.
+    n_names = names.count()
+    man = manifest(names, classes, on=match_on, known_rows=n_names * len(classes)).join(
         names.select("path", "file_key"), "path", "left")
     # Batches already archived/failed in earlier runs are flagged by a join
     # (the ledger grows with history; only the current listing reaches the
@@ -185,85 +183,102 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
         if r["ready"]:
             files_by_class[r["class_pos"]].append(r)
 
-    stats_parts = []
-    line_parts = []
-    frames = {}
+    # 1. Stage: every ready file of every class is parsed exactly once; the
+    #    parsed lines (values, batch, file, bad flag, raw text of bad lines)
+    #    go to parquet on shared storage.  Validation, append and quarantine
+    #    read this columnar copy, and the lineage is cut here, so a lost
+    #    executor never forces a re-parse of the landing files.
+    stage_root = work_dir(spark, f"ingest-stage-{run_id}")
+    staged: dict[int, tuple] = {}
+    with _phase("stage"):
+        for pos, fc in enumerate(classes):
+            files = files_by_class[pos]
+            if not files:
+                continue
+            files_df = spark.createDataFrame([(r["file_key"], r["batch_id"]) for r in files],
+                                             f"file_key string, {BATCH} string")
+            parsed = _parse(spark, fc, [r["path"] for r in files], files_df)
+            parsed.write.mode("overwrite").parquet(f"{stage_root}/{pos}")
+            staged[pos] = (files, f"{stage_root}/{pos}")
+
+    def lines_of(pos):
+        return spark.read.parquet(staged[pos][1])
+
+    def register_views(only=None):
+        # All RAW views exist before any transform runs, so a transform may
+        # join its siblings (by _batch_id).
+        for pos, fc in enumerate(classes):
+            if pos not in staged:
+                continue
+            good_lines = lines_of(pos).filter(~F.col("_bad"))
+            if only is not None:
+                good_lines = good_lines.join(only, BATCH, "left_semi")
+            good_lines.select(*fc.columns, BATCH).createOrReplaceTempView(fc.raw_view)
+
+    def positional(df):
+        # Binding is by position: give the columns unique names first (two
+        # literal user slots, for instance, share a name).
+        return df.toDF(*[c if c == BATCH else f"_c{i}" for i, c in enumerate(df.columns)])
+
+    def transformed(pos, fc, batch_ids, only=None):
+        out = positional(apply_transform(spark, fc, spark.table(fc.raw_view), user))
+        if BATCH not in out.columns:
+            # A transform that drops _batch_id (written for one file at a
+            # time) runs once per batch over views holding only that batch;
+            # each run is analysed immediately, so it keeps its own views.
+            parts = []
+            for b in batch_ids:
+                register_views(spark.createDataFrame([(b,)], f"{BATCH} string"))
+                parts.append(positional(apply_transform(spark, fc, spark.table(fc.raw_view), user))
+                             .withColumn(BATCH, F.lit(b)))
+            register_views(only)
+            out = _union(parts)
+        return cast_positional(out, _target_schema(spark, fc, database), keep=(BATCH,))
+
+    # 2. Verdict per batch: line counts and bad lines from the stage, row
+    #    counts, bad keys and failed casts from the transform output.
+    register_views()
+    line_parts, stats_parts = [], []
     for pos, fc in enumerate(classes):
-        files = files_by_class[pos]
-        if not files:
+        if pos not in staged:
             continue
-        files_df = spark.createDataFrame([(r["file_key"], r["batch_id"]) for r in files],
-                                         f"file_key string, {BATCH} string")
-        parsed, raw = _class_frames(spark, fc, [r["path"] for r in files], files_df, database, user)
-        frames[pos] = (files, files_df)
-        line_parts.append(parsed.groupBy(BATCH, "file_key").agg(
+        line_parts.append(lines_of(pos).groupBy(BATCH, F.col("_file").alias("file_key")).agg(
             F.count(F.lit(1)).alias("n_lines"),
             F.sum(F.col("_bad").cast("int")).cast("bigint").alias("n_bad_lines"))
-            .withColumn("class_pos", F.lit(pos)))
-
-    # All RAW views exist before any transform runs, so a transform may join
-    # its siblings (by _batch_id).
-    for pos, fc in enumerate(classes):
-        if pos not in frames:
-            continue
-        out = apply_transform(spark, fc, spark.table(fc.raw_view), user)
-        if BATCH not in out.columns:
-            raise ValueError(f"transform of {fc.table} must keep the {BATCH} column of "
-                             f"{fc.raw_view}; use per_batch_ingest for transforms that cannot")
-        target = _target_schema(spark, fc, database)
-        cast, n_err = cast_positional(out, target, keep=(BATCH,))
-        keys_bad = bad_key([k for k in fc.keys])
-        frames[pos] = frames[pos] + (cast,)
+            .withColumn("file_class", F.lit(fc.table)))
+        cast, n_err = transformed(pos, fc, sorted({r["batch_id"] for r in staged[pos][0]}))
         stats_parts.append(cast.groupBy(BATCH).agg(
             F.count(F.lit(1)).alias("n_rows"),
-            F.sum(keys_bad.cast("int")).cast("bigint").alias("n_bad_keys"),
+            F.sum(bad_key(fc.keys).cast("int")).cast("bigint").alias("n_bad_keys"),
             F.sum(n_err).cast("bigint").alias("n_cast_errors")))
-
     with _phase("verdict"):
         verdict = _verdict(spark, line_parts, stats_parts)
         per_batch = {r[BATCH]: r for r in verdict.collect()}
-    good = {b for b, r in per_batch.items() if not r["any_bad"]}
-    bad = {b for b, r in per_batch.items() if r["any_bad"]}
-
-    # Append good batches, table by table (re-reading only their files).
-    for pos, fc in enumerate(classes):
-        if pos not in frames:
-            continue
-        files = [r for r in frames[pos][0] if r["batch_id"] in good]
-        if not files:
-            continue
-        files_df = spark.createDataFrame([(r["file_key"], r["batch_id"]) for r in files],
-                                         f"file_key string, {BATCH} string")
-        _class_frames(spark, fc, [r["path"] for r in files], files_df, database, user)
-    for pos, fc in enumerate(classes):
-        if pos not in frames or not any(r["batch_id"] in good for r in frames[pos][0]):
-            continue
-        out = apply_transform(spark, fc, spark.table(fc.raw_view), user)
-        target = _target_schema(spark, fc, database)
-        cast, _ = cast_positional(out, target, keep=(BATCH,))
-        with _phase(f"append {fc.table}"):
-            append_typed(cast.drop("_cast_errors"), fc.qualified_table(database), batch_col=BATCH)
-
-    # Quarantine the bad lines of failed batches.
-    q_parts = []
-    for pos, fc in enumerate(classes):
-        if pos not in frames:
-            continue
-        files = [r for r in frames[pos][0] if r["batch_id"] in bad]
-        if not files:
-            continue
-        files_df = spark.createDataFrame([(r["file_key"], r["batch_id"]) for r in files],
-                                         f"file_key string, {BATCH} string")
-        parsed, _ = _class_frames(spark, fc, [r["path"] for r in files], files_df, database, user)
-        q_parts.append(parsed.filter("_bad").select(
-            F.lit(run_id).alias("run_id"), F.col(BATCH).alias("batch_id"),
-            F.lit(fc.table).alias("file_class"), F.col("_file").alias("file"),
-            F.col("_line").alias("line")))
-    if q_parts:
-        q = q_parts[0]
-        for p in q_parts[1:]:
-            q = q.unionByName(p)
-        append_quarantine(q, quarantine_path)
+    good = sorted(b for b, r in per_batch.items() if not r["any_bad"])
+    bad = sorted(b for b, r in per_batch.items() if r["any_bad"])
+
+    # 3. Append the good batches, table by table.
+    if good:
+        good_df = spark.createDataFrame([(b,) for b in good], f"{BATCH} string")
+        register_views(good_df)
+        for pos, fc in enumerate(classes):
+            if pos not in staged or not any(r["batch_id"] in set(good) for r in staged[pos][0]):
+                continue
+            cast, _ = transformed(pos, fc, sorted({r["batch_id"] for r in staged[pos][0]} & set(good)),
+                                  good_df)
+            with _phase(f"append {fc.table}"):
+                append_typed(cast.drop("_cast_errors"), fc.qualified_table(database), batch_col=BATCH)
+
+    # 4. Quarantine the bad lines of failed batches.
+    if bad:
+        bad_df = spark.createDataFrame([(b,) for b in bad], f"{BATCH} string")
+        q_parts = [lines_of(pos).filter("_bad").join(bad_df, BATCH, "left_semi").select(
+                       F.lit(run_id).alias("run_id"), F.col(BATCH).alias("batch_id"),
+                       F.lit(fc.table).alias("file_class"), F.col("_file").alias("file"),
+                       F.col("_line").alias("line"))
+                   for pos, fc in enumerate(classes) if pos in staged]
+        with _phase("quarantine"):
+            append_quarantine(_union(q_parts), quarantine_path)
 
     ledger_rows = _ledger_rows(spark, run_id, rows, per_batch, top, landing_folder,
                                archive_folder, failure_folder)
@@ -271,14 +286,17 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
         append_ledger(ledger_rows, ledger_path)
     run_ledger = read_ledger(spark, ledger_path).filter(F.col("run_id") == run_id)
     failed_files = sum(r["n_files"] for r in ledger_rows.collect() if r["outcome"] == FAILED)
-    counts = None
-    if per_file_counts and line_parts:
-        counts = line_parts[0]
-        for p in line_parts[1:]:
-            counts = counts.unionByName(p)
+    counts = _union(line_parts) if per_file_counts and line_parts else None
     return IngestResult(run_id, run_ledger, failed_files, counts)
 
 
+def _union(parts):
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def _verdict(spark, line_parts, stats_parts) -> DataFrame:
     schema = f"{BATCH} string, any_bad boolean, n_lines long, n_bad_lines long, n_rows long, n_bad_keys long, n_cast_errors long"
     if not line_parts:
