@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import work_dir
 from .ordinal import group_ordinal
 
 SPLIT_SCHEMA = ("file string, first_row long, n long, first_key string, last_key string, "
@@ -79,8 +80,13 @@ def validate_sorted(spark: SparkSession, path: str, key: str, checksum: Column)
     ``inversions`` counts adjacent pairs out of order, inside splits and at
     the boundaries between consecutive splits (file name order, then row
     position); 0 means the output is totally ordered."""
-    splits = group_ordinal(split_summaries(spark, path, key, checksum), [], ["file", "first_row"],
-                           name="pos")
+    # One summary row per split: staged once (it is read twice below), and
+    # its exact size selects the pairing strategy.
+    stage = work_dir(spark, "splits")
+    split_summaries(spark, path, key, checksum).write.mode("overwrite").parquet(stage)
+    summaries = spark.read.parquet(stage)
+    splits = group_ordinal(summaries, [], ["file", "first_row"], name="pos",
+                           known_rows=summaries.count())
     prev = splits.select((F.col("pos") + 1).alias("pos"), F.col("last_key").alias("prev_last"))
     boundary = (splits.join(prev, "pos", "left")
                       .select("n", "checksum", "inversions",

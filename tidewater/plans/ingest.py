@@ -32,6 +32,7 @@ from ..functions.paths import route
 from ..operators.batches import ARCHIVED, DEFERRED, FAILED, manifest
 from ..operators.quality import bad_key
 from ..sinks.ledger import LEDGER_SCHEMA, append_ledger, append_quarantine, read_ledger, terminal_batches
+from ..sinks.files import delete_path
 from ..sinks.tables import append_typed, cast_positional
 from ..session import work_dir
 from ..sources.delimited import read_class
@@ -130,7 +131,7 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
            archive_folder: str = "archive", ledger_path: str | None = None,
            quarantine_path: str | None = None, user: str | None = None,
            names: DataFrame | None = None, per_file_counts: bool = True,
-           match_on: str = "name") -> IngestResult:
+           match_on: str = "name", keep_stage: bool = False) -> IngestResult:
     """Ingest every ready batch of the landing folder into the classes' tables.
 
     Raises :class:`ImbalanceError` before any write when the classes have
@@ -284,9 +285,15 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
                                archive_folder, failure_folder)
     with _phase("ledger"):
         append_ledger(ledger_rows, ledger_path)
-    run_ledger = read_ledger(spark, ledger_path).filter(F.col("run_id") == run_id)
+    run_ledger = read_ledger(spark, ledger_path).filter(F.col("run_id") == F.lit(run_id))
     failed_files = sum(r["n_files"] for r in ledger_rows.collect() if r["outcome"] == FAILED)
-    counts = _union(line_parts) if per_file_counts and line_parts else None
+    counts = None
+    if per_file_counts and line_parts:
+        # One row per file: kept on the driver-side plan so the stage can go.
+        per_file = _union(line_parts)
+        counts = spark.createDataFrame(per_file.collect(), per_file.schema)
+    if not keep_stage and staged:
+        delete_path(spark, stage_root)
     return IngestResult(run_id, run_ledger, failed_files, counts)
 
 

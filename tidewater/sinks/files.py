@@ -32,3 +32,12 @@ def write_lines(lines: DataFrame, path: str, num_files: int | None = None) -> st
     out = lines.repartition(num_files) if num_files else lines
     out.select(F.col(lines.columns[0]).alias("value")).write.mode("overwrite").text(path)
     return path
+
+
+def delete_path(spark, path: str) -> bool:
+    """Recursively delete ``path`` through the Hadoop FileSystem of the
+    session (works for local, HDFS and object stores alike)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))
