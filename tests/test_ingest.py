@@ -82,6 +82,7 @@ def test_blank_key_fails_the_whole_batch_but_space_is_a_key(spark, tmp):
     res = ingest(spark, [HDR, DET], tmp, database=DB)
     led = {r["batch_index"]: r for r in res.ledger.collect()}
     assert led[1]["outcome"] == "failed" and led[1]["n_bad_keys"] == 1
+    assert "blank keys" in led[1]["reason"]
     assert led[2]["outcome"] == "archived"
     assert counts(spark, "hdr") == 1
 
@@ -126,3 +127,19 @@ def test_transform_without_batch_column_runs_per_batch(spark, tmp):
     assert sorted(r["outcome"] for r in res.ledger.collect()) == ["archived", "archived"]
     got = sorted((r["id"], r[BATCH_COLUMN]) for r in spark.table(f"{DB}.hdr").collect())
     assert [g[0] for g in got] == [1, 2, 3] and got[1][1] == got[2][1] != got[0][1]
+
+
+def test_runtime_error_in_a_transform_fails_only_that_batch(spark, tmp):
+    setup_tables(spark, tmp)
+    batch(tmp, 1, ["1|ann"], ["1,1,x"])
+    batch(tmp, 2, ["2|bob"], ["2,1,y"])
+    strict_cast = FileClass(table="hdr", columns=("id", "name"), separator="|", pattern="^hdr_", keys=("id",),
+                            transform="SELECT CAST(id AS BIGINT), name, "
+                                      "CAST(CASE WHEN name = 'bob' THEN 'x' ELSE '1' END AS INT) AS c, "
+                                      "'u', _batch_id FROM hdr_RAW")
+    res = ingest(spark, [strict_cast, DET], tmp, database=DB)
+    led = {r["batch_index"]: r for r in res.ledger.collect()}
+    assert led[1]["outcome"] == "archived"
+    assert led[2]["outcome"] == "failed" and "CAST" in led[2]["reason"].upper()
+    assert [r["id"] for r in spark.table(f"{DB}.hdr").collect()] == [1]
+    assert res.failed_files == 2

@@ -238,23 +238,48 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
 
     # 2. Verdict per batch: line counts and bad lines from the stage, row
     #    counts, bad keys and failed casts from the transform output.
-    register_views()
-    line_parts, stats_parts = [], []
-    for pos, fc in enumerate(classes):
-        if pos not in staged:
-            continue
-        line_parts.append(lines_of(pos).groupBy(BATCH, F.col("_file").alias("file_key")).agg(
-            F.count(F.lit(1)).alias("n_lines"),
-            F.sum(F.col("_bad").cast("int")).cast("bigint").alias("n_bad_lines"))
-            .withColumn("file_class", F.lit(fc.table)))
-        cast, n_err = transformed(pos, fc, sorted({r["batch_id"] for r in staged[pos][0]}))
-        stats_parts.append(cast.groupBy(BATCH).agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.sum(bad_key(fc.keys).cast("int")).cast("bigint").alias("n_bad_keys"),
-            F.sum(n_err).cast("bigint").alias("n_cast_errors")))
+    def verdict_of(only=None, only_ids=None):
+        register_views(only)
+        line_parts, stats_parts = [], []
+        for pos, fc in enumerate(classes):
+            if pos not in staged:
+                continue
+            lines = lines_of(pos)
+            if only is not None:
+                lines = lines.join(only, BATCH, "left_semi")
+            line_parts.append(lines.groupBy(BATCH, F.col("_file").alias("file_key")).agg(
+                F.count(F.lit(1)).alias("n_lines"),
+                F.sum(F.col("_bad").cast("int")).cast("bigint").alias("n_bad_lines"))
+                .withColumn("file_class", F.lit(fc.table)))
+            ids = sorted({r["batch_id"] for r in staged[pos][0]} & (only_ids or ALL))
+            cast, n_err = transformed(pos, fc, ids, only)
+            stats_parts.append(cast.groupBy(BATCH).agg(
+                F.count(F.lit(1)).alias("n_rows"),
+                F.sum(bad_key(fc.keys).cast("int")).cast("bigint").alias("n_bad_keys"),
+                F.sum(n_err).cast("bigint").alias("n_cast_errors")))
+        return {r[BATCH]: r.asDict() for r in _verdict(spark, line_parts, stats_parts).collect()}, line_parts
+
+    ALL = {r["batch_id"] for files, _ in staged.values() for r in files}
     with _phase("verdict"):
-        verdict = _verdict(spark, line_parts, stats_parts)
-        per_batch = {r[BATCH]: r for r in verdict.collect()}
+        try:
+            per_batch, line_parts = verdict_of()
+        except Exception as exc:  # a transform raised at run time (ANSI cast, ...)
+            # Fall back to one verdict per batch: a batch whose evaluation
+            # raises fails on its own, the others go on (the behaviour of the
+            # file-at-a-time ingest this replaces).
+            log.warning("set-based verdict failed (%s); evaluating batch by batch", type(exc).__name__)
+            per_batch, line_parts = {}, []
+            for b in sorted(ALL):
+                one = spark.createDataFrame([(b,)], f"{BATCH} string")
+                try:
+                    got, parts = verdict_of(one, {b})
+                    per_batch.update(got)
+                    line_parts.extend(parts)
+                except Exception as batch_exc:
+                    per_batch[b] = {BATCH: b, "any_bad": True, "n_lines": None, "n_bad_lines": None,
+                                    "n_rows": None, "n_bad_keys": None, "n_cast_errors": None,
+                                    "error": str(batch_exc).splitlines()[0][:500]}
+            register_views()
     good = sorted(b for b, r in per_batch.items() if not r["any_bad"])
     bad = sorted(b for b, r in per_batch.items() if r["any_bad"])
 
@@ -324,6 +349,18 @@ def _verdict(spark, line_parts, stats_parts) -> DataFrame:
     return both.withColumn("any_bad", (F.col("n_bad_lines") + F.col("n_bad_keys") + F.col("n_cast_errors")) > 0)
 
 
+def _reason(result, v):
+    if result == DEFERRED:
+        return "missing marker"
+    if result != FAILED:
+        return None
+    if v.get("error"):
+        return v["error"]
+    parts = [label for key, label in (("n_bad_lines", "bad lines"), ("n_bad_keys", "blank keys"),
+                                      ("n_cast_errors", "uncastable values")) if v.get(key)]
+    return ", ".join(parts)
+
+
 def _ledger_rows(spark, run_id, rows, per_batch, top, landing, archive, failure) -> DataFrame:
     by_batch: dict[str, dict] = {}
     for r in rows:
@@ -338,10 +375,10 @@ def _ledger_rows(spark, run_id, rows, per_batch, top, landing, archive, failure)
                     sorted(b["files"]),
                     v["n_lines"] if v else None, v["n_bad_lines"] if v else None,
                     v["n_rows"] if v else None, v["n_bad_keys"] if v else None,
-                    v["n_cast_errors"] if v else None))
+                    v["n_cast_errors"] if v else None, _reason(result, v)))
     schema = ("run_id string, batch_id string, batch_index long, outcome string, ready boolean, "
               "n_files int, files array<string>, n_lines long, n_bad_lines long, n_rows long, "
-              "n_bad_keys long, n_cast_errors long")
+              "n_bad_keys long, n_cast_errors long, reason string")
     df = spark.createDataFrame(out, schema)
     routed = (F.when(F.col("outcome") == ARCHIVED,
                      F.transform("files", lambda p: route(p, landing, archive)))

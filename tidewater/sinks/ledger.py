@@ -28,6 +28,7 @@ LEDGER_SCHEMA = StructType([
     StructField("n_rows", LongType(), True),
     StructField("n_bad_keys", LongType(), True),
     StructField("n_cast_errors", LongType(), True),
+    StructField("reason", StringType(), True),
     StructField("recorded_at", TimestampType(), True),
 ])
 
