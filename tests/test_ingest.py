@@ -79,8 +79,10 @@ def test_blank_key_fails_the_whole_batch_but_space_is_a_key(spark, tmp):
     setup_tables(spark, tmp)
     batch(tmp, 1, ["1|ann"], ['"",1,x'])
     batch(tmp, 2, ["2|bob"], ["2,1, "])
+    batch(tmp, 3, ["|cy"], ["3,1,z"])          # strict empty field: NULL key
     res = ingest(spark, [HDR, DET], tmp, database=DB)
     led = {r["batch_index"]: r for r in res.ledger.collect()}
+    assert led[3]["outcome"] == "failed" and led[3]["n_bad_keys"] == 1
     assert led[1]["outcome"] == "failed" and led[1]["n_bad_keys"] == 1
     assert "blank keys" in led[1]["reason"]
     assert led[2]["outcome"] == "archived"
