@@ -7,7 +7,7 @@ zone with millions of files is handled by the cluster, not by a driver loop.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -49,7 +49,8 @@ def classify(names: DataFrame, classes, path_col: str = "path", on: str = "name"
     once per task; a file matching several classes yields one row per class.
     ``classes`` is a list of :class:`FileClass` or a :func:`class_table`."""
     items = _class_list(classes)
-    files = (names.select(F.col(path_col).alias("path"))
+    carry = [c for c in ("file_key",) if c in names.columns and c != path_col]
+    files = (names.select(F.col(path_col).alias("path"), *carry)
                   .withColumn("name", base_name("path"))
                   .filter(~is_marker("name")))
     subject = F.col("name") if on == "name" else F.col("path")
@@ -58,8 +59,8 @@ def classify(names: DataFrame, classes, path_col: str = "path", on: str = "name"
             for pos, table, pattern, ext in items]
     hits = F.filter(F.array(*[F.when(subject.rlike(pattern), s) for (_, _, pattern, _), s in zip(items, info)]),
                     lambda x: x.isNotNull())
-    return (files.select("path", "name", F.explode(hits).alias("_c"))
-                 .select("path", "name", "_c.*"))
+    return (files.select("path", "name", *carry, F.explode(hits).alias("_c"))
+                 .select("path", "name", *carry, "_c.*"))
 
 
 def balance(classified: DataFrame, classes) -> DataFrame:
@@ -124,8 +125,12 @@ def manifest(names: DataFrame, classes, path_col: str = "path",
     of classified files (listing size times classes) when the caller knows
     it."""
     gated = gate(pair(classify(names, classes, path_col, on), num_partitions, known_rows), names, path_col)
-    per_batch = batches(gated).select("batch_index", "batch_id", "ready")
-    return gated.join(per_batch, "batch_index", "inner")
+    # A batch holds one file per class (configuration-sized), so its verdict
+    # is a window over the batch rather than an aggregate joined back.
+    batch = Window.partitionBy("batch_index")
+    return (gated
+            .withColumn("ready", F.min(F.col("has_marker").cast("int")).over(batch).cast("boolean"))
+            .withColumn("batch_id", batch_id(F.collect_list("path").over(batch))))
 
 
 def outcome(ready: Column, any_bad: Column) -> Column:

@@ -152,8 +152,7 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
 
     # The listing is metadata; its size decides how files are paired.
     n_names = names.count()
-    man = manifest(names, classes, on=match_on, known_rows=n_names * len(classes)).join(
-        names.select("path", "file_key"), "path", "left")
+    man = manifest(names, classes, on=match_on, known_rows=n_names * len(classes))
     # Batches already archived/failed in earlier runs are flagged by a join
     # (the ledger grows with history; only the current listing reaches the
     # driver).

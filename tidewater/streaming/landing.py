@@ -60,9 +60,8 @@ def pickup_to_bronze(spark: SparkSession, landing_dir: str, bronze_path: str, ch
 def release_ready(spark: SparkSession, bronze: DataFrame, names: DataFrame, classes) -> DataFrame:
     """Bronze lines of files whose whole batch is ready, with ``batch_id``,
     ``batch_index`` and ``file_class``."""
-    man = manifest(names, classes).filter("ready")
     if "file_key" not in names.columns:
         names = names.withColumn("file_key", F.regexp_replace("path", r"^([A-Za-z][A-Za-z0-9+.-]*:)//(/)", "$1$2"))
-    ready = man.join(names.select("path", "file_key"), "path").select(
+    ready = manifest(names, classes).filter("ready").select(
         "file_key", "batch_id", "batch_index", "file_class")
     return bronze.join(ready, "file_key", "inner")
