@@ -81,3 +81,14 @@ def test_read_quoted_and_remainder_files_drop_header_by_content(spark, tmp):
     write(f"{tmp}/r/f.txt", "a|b|c\n1|x|y|z\n")
     assert rows(read_quoted(spark, f"{tmp}/q", ABC, ",")) == [("1", "x,y", "z", False)]
     assert rows(read_remainder(spark, f"{tmp}/r", ABC, "|")) == [("1", "x", "y|z", False)]
+
+
+def test_first_line_header_mode_for_quoted_and_remainder(spark, tmp):
+    write(f"{tmp}/q/f1.csv", 'id,b,c\n1,"a,b",x\nrow a,2,y\n')
+    write(f"{tmp}/q/f2.csv", 'other,header,line\n2,"q""q",z\n')
+    got = sorted(rows(read_quoted(spark, f"{tmp}/q", ABC, ",", header="first_line")))
+    # the data line containing the first column's name ("a") is kept in this mode
+    assert got == [("1", "a,b", "x", False), ("2", 'q"q', "z", False), ("row a", "2", "y", False)]
+    write(f"{tmp}/r/f1.txt", "x|y|z\n1|2|3|\u0001|4\n")
+    assert rows(read_remainder(spark, f"{tmp}/r", ABC, "|", header="first_line")) == [
+        ("1", "2", "3|\u0001|4", False)]

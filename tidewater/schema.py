@@ -63,6 +63,8 @@ class FileClass:
             raise ValueError(f"unknown header mode {self.header!r}; expected one of {HEADER_MODES}")
         if self.dialect == "strict" and self.header == "contains":
             raise ValueError("strict files drop their first line; header='contains' is for quoted/remainder")
+        if self.dialect == "strict" and self.header == "none":
+            raise ValueError("strict files always carry a header line")
 
     @property
     def raw_view(self) -> str:

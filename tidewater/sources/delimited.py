@@ -36,6 +36,21 @@ def read_lines(spark: SparkSession, paths) -> DataFrame:
     return spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("_file"))
 
 
+def read_lines_after_header(spark: SparkSession, paths) -> DataFrame:
+    """Physical lines without the first line of every file.
+
+    The text source has no line numbers, so the CSV source does the header
+    skip: every line is read as a single unquoted field (a line holding the
+    field separator lands whole in the corrupt-record column).  Blank lines
+    are skipped by the CSV source in this mode."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    schema = StructType([StructField("_one", StringType(), True), StructField(CORRUPT, StringType(), True)])
+    raw = spark.read.csv(paths, schema=schema, sep="\u0001", quote="", header=True, mode="PERMISSIVE",
+                         columnNameOfCorruptRecord=CORRUPT, enforceSchema=True, nullValue="\u0002")
+    return raw.select(F.coalesce(F.col(CORRUPT), F.col("_one"), F.lit("")).alias("value"),
+                      F.col("_metadata.file_path").alias("_file"))
+
+
 def header_contains_filter(lines: DataFrame, first_column: str, value_col: str = "value") -> DataFrame:
     """Drop every line whose lower-cased text is LIKE ``%<first column>%``.
 
@@ -139,22 +154,22 @@ def _ddl(schema: StructType) -> str:
 
 
 def read_quoted(spark: SparkSession, paths, columns, sep: str, header: str = "contains") -> DataFrame:
-    lines = read_lines(spark, paths)
-    lines = _apply_header(lines, columns, header)
-    return parse_quoted(lines, columns, sep)
+    return parse_quoted(_header_lines(spark, paths, columns, header), columns, sep)
 
 
 def read_remainder(spark: SparkSession, paths, columns, sep: str, header: str = "contains") -> DataFrame:
-    lines = read_lines(spark, paths)
-    lines = _apply_header(lines, columns, header)
-    return parse_remainder(lines, columns, sep)
+    return parse_remainder(_header_lines(spark, paths, columns, header), columns, sep)
 
 
-def _apply_header(lines: DataFrame, columns, header: str) -> DataFrame:
+def _header_lines(spark: SparkSession, paths, columns, header: str) -> DataFrame:
+    """Lines after the header rule: ``contains`` drops every line holding the
+    first column's name, ``first_line`` drops each file's first line,
+    ``none`` keeps all."""
+    if header == "first_line":
+        return read_lines_after_header(spark, paths)
+    lines = read_lines(spark, paths)
     if header == "contains":
         return header_contains_filter(lines, list(columns)[0])
-    if header == "first_line":
-        raise ValueError("header='first_line' is only supported by the strict dialect")
     return lines
 
 
