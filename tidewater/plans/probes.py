@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.text import FAILURE, PROBE_LINE, SUCCESS
 from ..operators.estimate import estimate_pi, random_points
 from ..operators.sorting import md5_prefix_value, total_order_sort, validate_sorted
-from ..session import work_dir
+from ..session import shared_root, work_dir
 from ..sinks.tables import create_database, drop_table
 from ..sources.generated import (SQUARES_ANSWER, SQUARES_DDL, create_external_csv_table,
                                  generated_rows, load_json_documents, squares_lines)
@@ -49,7 +49,7 @@ def catalog_table_probe(spark: SparkSession, lines: DataFrame | None = None,
     lines = lines if lines is not None else squares_lines(spark)
     location = work_dir(spark, "squares")
     lines.write.mode("overwrite").text(location)
-    create_database(spark, database)
+    create_database(spark, database, location=f"{shared_root(spark)}/tidewater-work/{database}.db")
     name = f"{database}.probe_squares"
     drop_table(spark, name)
     create_external_csv_table(spark, name, SQUARES_DDL, location)

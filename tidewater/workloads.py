@@ -28,7 +28,7 @@ from .plans import golden as G
 from .plans.ingest import apply_transform, file_key_col, ingest, list_landing
 from .plans.probes import catalog_table_probe, storage_roundtrip
 from .schema import FileClass
-from .session import configure, work_dir
+from .session import configure, shared_root, work_dir
 from .sinks.files import write_delimited, write_lines
 from .sinks.tables import BATCH_COLUMN, create_database, create_table, drop_table
 from .sources.delimited import read_lines, read_quoted, read_remainder, read_strict
@@ -39,6 +39,13 @@ from .streaming.watermark import incremental_rows, reset_watermarks
 SHOWCASE_DB = "tidewater_showcase"
 
 
+def _showcase_db(spark: SparkSession) -> str:
+    """The workloads' database, located on the shared root (the session's
+    warehouse folder may not be writable)."""
+    create_database(spark, SHOWCASE_DB, location=f"{shared_root(spark)}/tidewater-work/{SHOWCASE_DB}.db")
+    return SHOWCASE_DB
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -70,7 +77,7 @@ def strict_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = max(8, spark.sparkContext.defaultParallelism)
     write_delimited(orders, f"{root}/landing", sep="|", header=True, num_files=files)
 
-    create_database(spark, SHOWCASE_DB)
+    _showcase_db(spark)
     target = f"{SHOWCASE_DB}.orders_in"
     drop_table(spark, target)
     create_table(spark, target,
@@ -282,7 +289,7 @@ def sibling_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         (df.repartition("copy").write.mode("overwrite").partitionBy("copy")
            .option("sep", "|").option("header", True).option("quote", "").option("escapeQuotes", False)
            .csv(f"{root}/landing/{name}"))
-    create_database(spark, SHOWCASE_DB)
+    _showcase_db(spark)
     targets = (
         ("cust_nation", StructType([StructField("c_custkey", LongType()), StructField("n_name", StringType()),
                                     StructField(BATCH_COLUMN, StringType())])),
@@ -410,7 +417,7 @@ def volatile_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staged_table(spark: SparkSession, name: str, df: DataFrame, root: str) -> str:
-    create_database(spark, SHOWCASE_DB)
+    _showcase_db(spark)
     qualified = f"{SHOWCASE_DB}.{name}"
     drop_table(spark, qualified)
     df.write.mode("overwrite").option("path", f"{root}/tables/{name}").saveAsTable(qualified)
@@ -484,7 +491,7 @@ def probe_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     root = work_dir(spark, "squares")
     write_lines(_size_lines(table(spark, sf_dir, "part")), root)
-    create_database(spark, SHOWCASE_DB)
+    _showcase_db(spark)
     name = f"{SHOWCASE_DB}.squares"
     drop_table(spark, name)
     create_external_csv_table(spark, name, "sqrt INT, square INT", root)
