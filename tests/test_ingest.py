@@ -145,3 +145,17 @@ def test_runtime_error_in_a_transform_fails_only_that_batch(spark, tmp):
     assert led[2]["outcome"] == "failed" and "CAST" in led[2]["reason"].upper()
     assert [r["id"] for r in spark.table(f"{DB}.hdr").collect()] == [1]
     assert res.failed_files == 2
+
+
+def test_continuous_ingest_picks_up_new_and_late_batches(spark, tmp):
+    from tidewater.streaming.landing import continuous_ingest
+    setup_tables(spark, tmp)
+    batch(tmp, 1, ["1|ann"], ["1,1,x"])
+    batch(tmp, 2, ["2|bob"], ["2,1,y"], markers=(True, False))
+    continuous_ingest(spark, [HDR, DET], tmp, DB, f"{tmp}/_stream_ckpt")
+    assert counts(spark, "hdr") == 1
+    write(f"{tmp}/landing/det_2_DONE.csv", "")
+    batch(tmp, 3, ["3|cy"], ["3,1,z"])
+    continuous_ingest(spark, [HDR, DET], tmp, DB, f"{tmp}/_stream_ckpt")
+    assert counts(spark, "hdr") == 3 and counts(spark, "det") == 3
+    assert spark.read.parquet(f"{tmp}/_bronze").count() == 12  # 6 files x (header + 1 line)

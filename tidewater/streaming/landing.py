@@ -65,3 +65,34 @@ def release_ready(spark: SparkSession, bronze: DataFrame, names: DataFrame, clas
     ready = manifest(names, classes).filter("ready").select(
         "file_key", "batch_id", "batch_index", "file_class")
     return bronze.join(ready, "file_key", "inner")
+
+
+def continuous_ingest(spark: SparkSession, classes, top_directory: str, database: str | None,
+                      checkpoint: str, bronze_path: str | None = None, landing_folder: str = "landing",
+                      available_now: bool = True, processing_time: str = "1 minute", **ingest_args):
+    """Stream-driven batch ingest of a landing zone.
+
+    Each micro-batch of new landing files (1) appends their raw lines to the
+    bronze dataset (the raw archive, idempotent per epoch) and (2) runs
+    :func:`tidewater.plans.ingest.ingest`, which takes every batch that is
+    ready and not yet in the ledger.  A deferred batch (late sibling) is
+    picked up by the next trigger.  Zero-byte markers do not trigger a
+    micro-batch on their own; a periodic batch ``ingest`` run covers a
+    marker that arrives after its last data file.  Returns the query."""
+    from ..plans.ingest import ingest
+
+    top = top_directory.rstrip("/")
+    bronze = bronze_path or f"{top}/_bronze"
+    write_bronze = _bronze_writer(bronze)
+
+    def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        write_bronze(batch, epoch_id)
+        ingest(spark, classes, top, database=database, landing_folder=landing_folder, **ingest_args)
+
+    stream = line_stream(spark, f"{top}/{landing_folder}")
+    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
+    query = writer.start()
+    if available_now:
+        query.awaitTermination()
+    return query
