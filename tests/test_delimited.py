@@ -92,3 +92,16 @@ def test_first_line_header_mode_for_quoted_and_remainder(spark, tmp):
     write(f"{tmp}/r/f1.txt", "x|y|z\n1|2|3|\u0001|4\n")
     assert rows(read_remainder(spark, f"{tmp}/r", ABC, "|", header="first_line")) == [
         ("1", "2", "3|\u0001|4", False)]
+
+
+def test_line_based_strict_parse_matches_the_csv_source(spark, tmp):
+    from tidewater.sources.delimited import parse_strict, read_lines_after_header
+    write(f"{tmp}/s/f1.csv", 'X|Y|Z\n1|"q|z\n2||w\n\n1|2\n1|2|3|4\n  \n')
+    write(f"{tmp}/s/f2.csv", "h|h|h\n5|6|7\n")
+    def view(df):
+        return sorted((r["_bad"], r["a"], r["b"], r["c"]) if not r["_bad"] else (True, r["_line"])
+                      for r in df.collect())
+    via_csv = view(read_strict(spark, f"{tmp}/s", ABC, "|"))
+    via_lines = view(parse_strict(read_lines_after_header(spark, f"{tmp}/s"), ABC, "|"))
+    assert via_csv == via_lines
+    assert len(via_csv) == 5

@@ -35,7 +35,7 @@ from ..sinks.ledger import LEDGER_SCHEMA, append_ledger, append_quarantine, read
 from ..sinks.files import delete_path
 from ..sinks.tables import append_typed, cast_positional
 from ..session import work_dir
-from ..sources.delimited import read_class
+from ..sources.delimited import header_kind, parse_class_lines, read_lines, read_lines_after_header
 
 BATCH = "_batch_id"
 log = logging.getLogger("tidewater.ingest")
@@ -115,17 +115,6 @@ def _target_schema(spark, file_class, database):
     return spark.table(file_class.qualified_table(database)).schema
 
 
-def _parse(spark, file_class, paths, files_df) -> DataFrame:
-    """Parsed lines of one class with their batch id.
-
-    The manifest's file_key already has the form ``_metadata.file_path``
-    reports, so the (large) line side joins on its raw column; the manifest
-    side is one row per file."""
-    parsed = read_class(spark, file_class, paths)
-    return (parsed.join(files_df, parsed["_file"] == files_df["file_key"])
-                  .select(*file_class.columns, BATCH, "_file", "_bad", "_line"))
-
-
 def ingest(spark: SparkSession, classes, top_directory: str, database: str | None = None,
            landing_folder: str = "landing", failure_folder: str = "failure",
            archive_folder: str = "archive", ledger_path: str | None = None,
@@ -136,83 +125,98 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
 
     Raises :class:`ImbalanceError` before any write when the classes have
     different file counts.  Returns the run's ledger rows and the number of
-    files in failed batches."""
+    files in failed batches.
+
+    Nothing per file or per batch is collected to the driver: the manifest,
+    the verdicts and the ledger rows are Spark datasets staged on shared
+    storage; the driver sees per-class counts and a few scalars (and the
+    batch ids only when a transform has to run batch by batch)."""
     classes = list(classes)
     run_id = uuid.uuid4().hex[:16]
     top = top_directory.rstrip("/")
     ledger_path = ledger_path or f"{top}/_ledger"
     quarantine_path = quarantine_path or f"{top}/_quarantine"
     user = user or spark.sparkContext.sparkUser()
+    empty = IngestResult(run_id, spark.createDataFrame([], LEDGER_SCHEMA), 0, None)
     if not classes:
-        return IngestResult(run_id, spark.createDataFrame([], LEDGER_SCHEMA), 0, None)
+        return empty
 
     names = names if names is not None else list_landing(spark, f"{top}/{landing_folder}")
     if "file_key" not in names.columns:
         names = names.withColumn("file_key", file_key_col("path"))
+    stage_root = work_dir(spark, f"ingest-stage-{run_id}")
 
-    # The listing is metadata; its size decides how files are paired.
-    n_names = names.count()
-    man = manifest(names, classes, on=match_on, known_rows=n_names * len(classes))
-    # Batches already archived/failed in earlier runs are flagged by a join
-    # (the ledger grows with history; only the current listing reaches the
-    # driver).
-    done = terminal_batches(spark, ledger_path).withColumn("done", F.lit(True))
-    man = man.join(done, "batch_id", "left")
-    # The manifest is file-name metadata (one row per landing file); the
-    # driver needs the ready paths to plan the scans anyway.
+    # 0. Manifest, staged once (it feeds the balance check, the scan join and
+    #    the ledger).  Batches archived or failed by earlier runs are flagged
+    #    by a join with the ledger.
     with _phase("manifest"):
-        all_rows = man.select("path", "file_key", "name", "class_pos", "batch_index", "batch_id",
-                              "ready", F.coalesce("done", F.lit(False)).alias("done")).collect()
+        n_names = names.count()  # a scalar: picks the pairing strategy
+        done = terminal_batches(spark, ledger_path).withColumn("done", F.lit(True))
+        (manifest(names, classes, on=match_on, known_rows=n_names * len(classes))
+            .join(done, "batch_id", "left")
+            .select("path", "file_key", "name", "class_pos", "batch_index", "batch_id", "ready",
+                    F.coalesce("done", F.lit(False)).alias("done"))
+            .write.mode("overwrite").parquet(f"{stage_root}/manifest"))
+        man = spark.read.parquet(f"{stage_root}/manifest")
+
     # Balance: every class must have the same number of files (a class with
-    # none counts as zero), else the run aborts before any write.  Counted
-    # over the whole manifest (before skipping archived batches) from the
-    # names the driver already holds.
+    # none counts as zero); otherwise the run aborts before any write.  The
+    # same small aggregate (one row per class) counts pending and ready files.
     with _phase("balance"):
-        per_class = [0] * len(classes)
-        for r in all_rows:
-            per_class[r["class_pos"]] += 1
-    if len(set(per_class)) > 1:
+        stats = {r["class_pos"]: r for r in man.groupBy("class_pos").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum((~F.col("done")).cast("int")).alias("pending"),
+            F.sum((~F.col("done") & F.col("ready")).cast("int")).alias("ready")).collect()}
+        counts = [stats[i]["n"] if i in stats else 0 for i in range(len(classes))]
+    if len(set(counts)) > 1:
+        _cleanup(spark, stage_root, keep_stage)
         raise ImbalanceError("landing files are unbalanced across classes "
-                             f"({dict(zip((c.table for c in classes), per_class))}); nothing was ingested")
-    rows = [r for r in all_rows if not r["done"]]
-    if not rows:
-        return IngestResult(run_id, spark.createDataFrame([], LEDGER_SCHEMA), 0, None)
-
-    files_by_class: dict[int, list] = {i: [] for i in range(len(classes))}
-    for r in rows:
-        if r["ready"]:
-            files_by_class[r["class_pos"]].append(r)
-
-    # 1. Stage: every ready file of every class is parsed exactly once; the
-    #    parsed lines (values, batch, file, bad flag, raw text of bad lines)
-    #    go to parquet on shared storage.  Validation, append and quarantine
-    #    read this columnar copy, and the lineage is cut here, so a lost
-    #    executor never forces a re-parse of the landing files.
-    stage_root = work_dir(spark, f"ingest-stage-{run_id}")
-    staged: dict[int, tuple] = {}
+                             f"({dict(zip((c.table for c in classes), counts))}); nothing was ingested")
+    pending = man.filter(~F.col("done"))
+    ready_files = pending.filter("ready")
+    n_ready = sum(r["ready"] or 0 for r in stats.values())
+    if not sum(r["pending"] or 0 for r in stats.values()):
+        _cleanup(spark, stage_root, keep_stage)
+        return empty
+
+    # 1. Stage raw lines: one scan of the landing folders per reader kind
+    #    (first line of each file skipped, or all lines), joined with the
+    #    ready part of the manifest on the file path.  Every landing byte is
+    #    read once; validation, append and quarantine read the staged copy,
+    #    and a lost executor never forces a second scan of the landing files.
     with _phase("stage"):
-        for pos, fc in enumerate(classes):
-            files = files_by_class[pos]
-            if not files:
-                continue
-            files_df = spark.createDataFrame([(r["file_key"], r["batch_id"]) for r in files],
-                                             f"file_key string, {BATCH} string")
-            parsed = _parse(spark, fc, [r["path"] for r in files], files_df)
-            parsed.write.mode("overwrite").parquet(f"{stage_root}/{pos}")
-            staged[pos] = (files, f"{stage_root}/{pos}")
-
-    def lines_of(pos):
-        return spark.read.parquet(staged[pos][1])
+        raw_path = f"{stage_root}/lines"
+        if n_ready:
+            folders = [r["folder"] for r in ready_files.select(
+                F.regexp_replace("path", r"/[^/]*$", "").alias("folder")).distinct().collect()]
+            parts = []
+            for kind in ("first_line", "all"):
+                positions = [i for i, c in enumerate(classes) if header_kind(c) == kind]
+                if not positions:
+                    continue
+                lines = (read_lines_after_header(spark, folders) if kind == "first_line"
+                         else read_lines(spark, folders))
+                wanted = ready_files.filter(F.col("class_pos").isin(positions)).select(
+                    "file_key", "class_pos", F.col("batch_id").alias(BATCH))
+                parts.append(lines.join(wanted, lines["_file"] == wanted["file_key"])
+                                  .select("value", "_file", "class_pos", BATCH))
+            _union(parts).write.mode("overwrite").parquet(raw_path)
+        staged_lines = (spark.read.parquet(raw_path) if n_ready else
+                        spark.createDataFrame([], f"value string, _file string, class_pos int, {BATCH} string"))
+    active = [pos for pos in range(len(classes)) if counts[pos]]
+
+    def parsed(pos, only=None):
+        lines = staged_lines.filter(F.col("class_pos") == pos).select("value", "_file", BATCH)
+        if only is not None:
+            lines = lines.join(only, BATCH, "left_semi")
+        return parse_class_lines(lines, classes[pos])
 
     def register_views(only=None):
         # All RAW views exist before any transform runs, so a transform may
         # join its siblings (by _batch_id).
-        for pos, fc in enumerate(classes):
-            if pos not in staged:
-                continue
-            good_lines = lines_of(pos).filter(~F.col("_bad"))
-            if only is not None:
-                good_lines = good_lines.join(only, BATCH, "left_semi")
+        for pos in active:
+            fc = classes[pos]
+            good_lines = parsed(pos, only).filter(~F.col("_bad"))
             good_lines.select(*fc.columns, BATCH).createOrReplaceTempView(fc.raw_view)
 
     def positional(df):
@@ -220,105 +224,125 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
         # literal user slots, for instance, share a name).
         return df.toDF(*[c if c == BATCH else f"_c{i}" for i, c in enumerate(df.columns)])
 
-    def transformed(pos, fc, batch_ids, only=None):
+    def transformed(pos, only=None):
+        fc = classes[pos]
         out = positional(apply_transform(spark, fc, spark.table(fc.raw_view), user))
         if BATCH not in out.columns:
             # A transform that drops _batch_id (written for one file at a
             # time) runs once per batch over views holding only that batch;
             # each run is analysed immediately, so it keeps its own views.
+            ids = staged_lines.filter(F.col("class_pos") == pos).select(BATCH).distinct()
+            if only is not None:
+                ids = ids.join(only, BATCH, "left_semi")
             parts = []
-            for b in batch_ids:
+            for b in sorted(r[BATCH] for r in ids.collect()):
                 register_views(spark.createDataFrame([(b,)], f"{BATCH} string"))
                 parts.append(positional(apply_transform(spark, fc, spark.table(fc.raw_view), user))
                              .withColumn(BATCH, F.lit(b)))
             register_views(only)
+            if not parts:
+                return None, None
             out = _union(parts)
         return cast_positional(out, _target_schema(spark, fc, database), keep=(BATCH,))
 
-    # 2. Verdict per batch: line counts and bad lines from the stage, row
-    #    counts, bad keys and failed casts from the transform output.
-    def verdict_of(only=None, only_ids=None):
+    # 2. Verdict per batch: line counts and bad lines from the parse, row
+    #    counts, bad keys and failed casts from the transform output; staged.
+    verdict_path = f"{stage_root}/verdict"
+
+    def verdict_of(only=None):
         register_views(only)
         line_parts, stats_parts = [], []
-        for pos, fc in enumerate(classes):
-            if pos not in staged:
-                continue
-            lines = lines_of(pos)
-            if only is not None:
-                lines = lines.join(only, BATCH, "left_semi")
-            line_parts.append(lines.groupBy(BATCH, F.col("_file").alias("file_key")).agg(
+        for pos in active:
+            fc = classes[pos]
+            line_parts.append(parsed(pos, only).groupBy(BATCH, F.col("_file").alias("file")).agg(
                 F.count(F.lit(1)).alias("n_lines"),
                 F.sum(F.col("_bad").cast("int")).cast("bigint").alias("n_bad_lines"))
                 .withColumn("file_class", F.lit(fc.table)))
-            ids = sorted({r["batch_id"] for r in staged[pos][0]} & (only_ids or ALL))
-            cast, n_err = transformed(pos, fc, ids, only)
-            stats_parts.append(cast.groupBy(BATCH).agg(
-                F.count(F.lit(1)).alias("n_rows"),
-                F.sum(bad_key(fc.keys).cast("int")).cast("bigint").alias("n_bad_keys"),
-                F.sum(n_err).cast("bigint").alias("n_cast_errors")))
-        return {r[BATCH]: r.asDict() for r in _verdict(spark, line_parts, stats_parts).collect()}, line_parts
-
-    ALL = {r["batch_id"] for files, _ in staged.values() for r in files}
+            cast, n_err = transformed(pos, only)
+            if cast is not None:
+                stats_parts.append(cast.groupBy(BATCH).agg(
+                    F.count(F.lit(1)).alias("n_rows"),
+                    F.sum(bad_key(fc.keys).cast("int")).cast("bigint").alias("n_bad_keys"),
+                    F.sum(n_err).cast("bigint").alias("n_cast_errors")))
+        return _verdict(spark, line_parts, stats_parts), line_parts
+
+    line_parts = []
     with _phase("verdict"):
-        try:
-            per_batch, line_parts = verdict_of()
-        except Exception as exc:  # a transform raised at run time (ANSI cast, ...)
-            # Fall back to one verdict per batch: a batch whose evaluation
-            # raises fails on its own, the others go on (the behaviour of the
-            # file-at-a-time ingest this replaces).
-            log.warning("set-based verdict failed (%s); evaluating batch by batch", type(exc).__name__)
-            per_batch, line_parts = {}, []
-            for b in sorted(ALL):
-                one = spark.createDataFrame([(b,)], f"{BATCH} string")
-                try:
-                    got, parts = verdict_of(one, {b})
-                    per_batch.update(got)
-                    line_parts.extend(parts)
-                except Exception as batch_exc:
-                    per_batch[b] = {BATCH: b, "any_bad": True, "n_lines": None, "n_bad_lines": None,
-                                    "n_rows": None, "n_bad_keys": None, "n_cast_errors": None,
-                                    "error": str(batch_exc).splitlines()[0][:500]}
-            register_views()
-    good = sorted(b for b, r in per_batch.items() if not r["any_bad"])
-    bad = sorted(b for b, r in per_batch.items() if r["any_bad"])
+        if n_ready:
+            try:
+                verdict, line_parts = verdict_of()
+                verdict.withColumn("error", F.lit(None).cast("string")) \
+                       .write.mode("overwrite").parquet(verdict_path)
+            except Exception as exc:  # a transform raised at run time (ANSI cast, ...)
+                # Fall back to one verdict per batch: a batch whose
+                # evaluation raises fails on its own, the others go on (the
+                # behaviour of the file-at-a-time ingest this replaces).
+                log.warning("set-based verdict failed (%s); evaluating batch by batch", type(exc).__name__)
+                batch_ids = sorted(r[BATCH] for r in staged_lines.select(BATCH).distinct().collect())
+                line_parts = []
+                for b in batch_ids:
+                    one = spark.createDataFrame([(b,)], f"{BATCH} string")
+                    try:
+                        v, parts = verdict_of(one)
+                        (v.withColumn("error", F.lit(None).cast("string"))
+                          .write.mode("append").parquet(verdict_path))
+                        line_parts.extend(parts)
+                    except Exception as batch_exc:
+                        (spark.createDataFrame(
+                            [(b, True, None, None, None, None, None, str(batch_exc).splitlines()[0][:500])],
+                            VERDICT_SCHEMA + ", error string")
+                         .write.mode("append").parquet(verdict_path))
+                register_views()
+            verdict = spark.read.parquet(verdict_path)
+        else:
+            verdict = spark.createDataFrame([], VERDICT_SCHEMA + ", error string")
+    good = verdict.filter(~F.col("any_bad")).select(BATCH)
+    bad = verdict.filter(F.col("any_bad")).select(BATCH)
+    n_good, n_bad = 0, 0
+    if n_ready:
+        tally = verdict.agg(F.sum((~F.col("any_bad")).cast("int")).alias("good"),
+                            F.sum(F.col("any_bad").cast("int")).alias("bad")).first()
+        n_good, n_bad = tally["good"] or 0, tally["bad"] or 0
 
     # 3. Append the good batches, table by table.
-    if good:
-        good_df = spark.createDataFrame([(b,) for b in good], f"{BATCH} string")
-        register_views(good_df)
-        for pos, fc in enumerate(classes):
-            if pos not in staged or not any(r["batch_id"] in set(good) for r in staged[pos][0]):
+    if n_good:
+        register_views(good)
+        for pos in active:
+            cast, _ = transformed(pos, good)
+            if cast is None:
                 continue
-            cast, _ = transformed(pos, fc, sorted({r["batch_id"] for r in staged[pos][0]} & set(good)),
-                                  good_df)
-            with _phase(f"append {fc.table}"):
-                append_typed(cast.drop("_cast_errors"), fc.qualified_table(database), batch_col=BATCH)
+            with _phase(f"append {classes[pos].table}"):
+                append_typed(cast.drop("_cast_errors"), classes[pos].qualified_table(database), batch_col=BATCH)
 
     # 4. Quarantine the bad lines of failed batches.
-    if bad:
-        bad_df = spark.createDataFrame([(b,) for b in bad], f"{BATCH} string")
-        q_parts = [lines_of(pos).filter("_bad").join(bad_df, BATCH, "left_semi").select(
+    if n_bad:
+        q_parts = [parsed(pos, bad).filter("_bad").select(
                        F.lit(run_id).alias("run_id"), F.col(BATCH).alias("batch_id"),
-                       F.lit(fc.table).alias("file_class"), F.col("_file").alias("file"),
+                       F.lit(classes[pos].table).alias("file_class"), F.col("_file").alias("file"),
                        F.col("_line").alias("line"))
-                   for pos, fc in enumerate(classes) if pos in staged]
+                   for pos in active]
         with _phase("quarantine"):
             append_quarantine(_union(q_parts), quarantine_path)
 
-    ledger_rows = _ledger_rows(spark, run_id, rows, per_batch, top, landing_folder,
-                               archive_folder, failure_folder)
+    # 5. Ledger rows (one per pending batch), written last.
     with _phase("ledger"):
-        append_ledger(ledger_rows, ledger_path)
+        rows = _ledger_rows(run_id, pending, verdict, landing_folder, archive_folder, failure_folder)
+        append_ledger(rows, ledger_path)
     run_ledger = read_ledger(spark, ledger_path).filter(F.col("run_id") == F.lit(run_id))
-    failed_files = sum(r["n_files"] for r in ledger_rows.collect() if r["outcome"] == FAILED)
-    counts = None
+    failed_files = run_ledger.filter(F.col("outcome") == FAILED).agg(F.sum("n_files")).first()[0] or 0
+    file_counts = None
     if per_file_counts and line_parts:
-        # One row per file: kept on the driver-side plan so the stage can go.
-        per_file = _union(line_parts)
-        counts = spark.createDataFrame(per_file.collect(), per_file.schema)
-    if not keep_stage and staged:
+        counts_path = f"{ledger_path.rstrip('/')}_file_counts"
+        (_union(line_parts).withColumn("run_id", F.lit(run_id))
+            .write.mode("append").partitionBy("run_id").parquet(counts_path))
+        file_counts = spark.read.parquet(counts_path).filter(F.col("run_id") == F.lit(run_id))
+    _cleanup(spark, stage_root, keep_stage)
+    return IngestResult(run_id, run_ledger, int(failed_files), file_counts)
+
+
+def _cleanup(spark, stage_root, keep_stage):
+    if not keep_stage:
         delete_path(spark, stage_root)
-    return IngestResult(run_id, run_ledger, failed_files, counts)
 
 
 def _union(parts):
@@ -328,59 +352,59 @@ def _union(parts):
     return out
 
 
+VERDICT_SCHEMA = (f"{BATCH} string, any_bad boolean, n_lines long, n_bad_lines long, n_rows long, "
+                  "n_bad_keys long, n_cast_errors long")
+
+
 def _verdict(spark, line_parts, stats_parts) -> DataFrame:
-    schema = f"{BATCH} string, any_bad boolean, n_lines long, n_bad_lines long, n_rows long, n_bad_keys long, n_cast_errors long"
+    """One row per batch: line and row statistics and ``any_bad``."""
     if not line_parts:
-        return spark.createDataFrame([], schema)
-    lines = line_parts[0]
-    for p in line_parts[1:]:
-        lines = lines.unionByName(p)
-    lines = lines.groupBy(BATCH).agg(F.sum("n_lines").cast("bigint").alias("n_lines"),
-                                     F.sum("n_bad_lines").cast("bigint").alias("n_bad_lines"))
-    stats = stats_parts[0]
-    for p in stats_parts[1:]:
-        stats = stats.unionByName(p)
-    stats = stats.groupBy(BATCH).agg(F.sum("n_rows").cast("bigint").alias("n_rows"),
-                                     F.sum("n_bad_keys").cast("bigint").alias("n_bad_keys"),
-                                     F.sum("n_cast_errors").cast("bigint").alias("n_cast_errors"))
-    both = lines.join(stats, BATCH, "full").na.fill(0, ["n_lines", "n_bad_lines", "n_rows",
-                                                        "n_bad_keys", "n_cast_errors"])
-    return both.withColumn("any_bad", (F.col("n_bad_lines") + F.col("n_bad_keys") + F.col("n_cast_errors")) > 0)
-
-
-def _reason(result, v):
-    if result == DEFERRED:
-        return "missing marker"
-    if result != FAILED:
-        return None
-    if v.get("error"):
-        return v["error"]
-    parts = [label for key, label in (("n_bad_lines", "bad lines"), ("n_bad_keys", "blank keys"),
-                                      ("n_cast_errors", "uncastable values")) if v.get(key)]
-    return ", ".join(parts)
-
-
-def _ledger_rows(spark, run_id, rows, per_batch, top, landing, archive, failure) -> DataFrame:
-    by_batch: dict[str, dict] = {}
-    for r in rows:
-        b = by_batch.setdefault(r["batch_id"], {"index": r["batch_index"], "ready": r["ready"], "files": []})
-        b["files"].append(r["path"])
-    out = []
-    for bid, b in by_batch.items():
-        v = per_batch.get(bid)
-        any_bad = bool(v["any_bad"]) if v else False
-        result = DEFERRED if not b["ready"] else (FAILED if any_bad else ARCHIVED)
-        out.append((run_id, bid, int(b["index"]), result, bool(b["ready"]), len(b["files"]),
-                    sorted(b["files"]),
-                    v["n_lines"] if v else None, v["n_bad_lines"] if v else None,
-                    v["n_rows"] if v else None, v["n_bad_keys"] if v else None,
-                    v["n_cast_errors"] if v else None, _reason(result, v)))
-    schema = ("run_id string, batch_id string, batch_index long, outcome string, ready boolean, "
-              "n_files int, files array<string>, n_lines long, n_bad_lines long, n_rows long, "
-              "n_bad_keys long, n_cast_errors long, reason string")
-    df = spark.createDataFrame(out, schema)
+        return spark.createDataFrame([], VERDICT_SCHEMA)
+    lines = _union(line_parts).groupBy(BATCH).agg(
+        F.sum("n_lines").cast("bigint").alias("n_lines"),
+        F.sum("n_bad_lines").cast("bigint").alias("n_bad_lines"))
+    if stats_parts:
+        stats = _union(stats_parts).groupBy(BATCH).agg(
+            F.sum("n_rows").cast("bigint").alias("n_rows"),
+            F.sum("n_bad_keys").cast("bigint").alias("n_bad_keys"),
+            F.sum("n_cast_errors").cast("bigint").alias("n_cast_errors"))
+        both = lines.join(stats, BATCH, "full")
+    else:
+        both = lines.select("*", *[F.lit(0).cast("bigint").alias(c)
+                                   for c in ("n_rows", "n_bad_keys", "n_cast_errors")])
+    both = both.na.fill(0, ["n_lines", "n_bad_lines", "n_rows", "n_bad_keys", "n_cast_errors"])
+    any_bad = (F.col("n_bad_lines") + F.col("n_bad_keys") + F.col("n_cast_errors")) > 0
+    return both.select(BATCH, any_bad.alias("any_bad"), "n_lines", "n_bad_lines", "n_rows",
+                       "n_bad_keys", "n_cast_errors")
+
+
+def _ledger_rows(run_id, pending: DataFrame, verdict: DataFrame, landing, archive, failure) -> DataFrame:
+    """Ledger rows of the pending batches (a join, no driver state)."""
+    per_batch = pending.groupBy("batch_id").agg(
+        F.min("batch_index").cast("long").alias("batch_index"),
+        F.min(F.col("ready").cast("int")).cast("boolean").alias("ready"),
+        F.count(F.lit(1)).cast("int").alias("n_files"),
+        F.array_sort(F.collect_list("path")).alias("files"))
+    v = verdict.withColumnRenamed(BATCH, "batch_id")
+    j = per_batch.join(v, "batch_id", "left")
+    outcome = (F.when(~F.col("ready"), F.lit(DEFERRED))
+                .when(F.coalesce("any_bad", F.lit(False)), F.lit(FAILED))
+                .otherwise(F.lit(ARCHIVED)))
+    j = j.withColumn("outcome", outcome)
+    problems = F.concat_ws(", ",
+                           F.when(F.col("n_bad_lines") > 0, F.lit("bad lines")),
+                           F.when(F.col("n_bad_keys") > 0, F.lit("blank keys")),
+                           F.when(F.col("n_cast_errors") > 0, F.lit("uncastable values")))
+    reason = (F.when(F.col("outcome") == DEFERRED, F.lit("missing marker"))
+               .when(F.col("outcome") == FAILED, F.coalesce(F.col("error"), problems)))
     routed = (F.when(F.col("outcome") == ARCHIVED,
                      F.transform("files", lambda p: route(p, landing, archive)))
                .when(F.col("outcome") == FAILED,
                      F.transform("files", lambda p: route(p, landing, failure))))
-    return df.withColumn("routed_to", routed).withColumn("recorded_at", F.current_timestamp())
+    return j.select(
+        F.lit(run_id).alias("run_id"), "batch_id", "batch_index", "outcome", "ready", "n_files", "files",
+        routed.alias("routed_to"),
+        *[F.when(F.col("ready"), F.col(c)).alias(c)
+          for c in ("n_lines", "n_bad_lines", "n_rows", "n_bad_keys", "n_cast_errors")],
+        reason.alias("reason"),
+        F.current_timestamp().alias("recorded_at"))

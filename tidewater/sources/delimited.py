@@ -96,6 +96,24 @@ def read_strict(spark: SparkSession, paths, columns, sep: str, header: bool = Tr
     )
 
 
+def parse_strict(lines: DataFrame, columns, sep: str, value_col: str = "value") -> DataFrame:
+    """Strict dialect over lines that already lost their header (see
+    :func:`read_lines_after_header`): split at the separator, no quoting,
+    exactly n fields, an empty field is NULL."""
+    columns = list(columns)
+    n = len(columns)
+    parts = F.split(F.col(value_col), separator_regex(sep), -1)
+    keep = [c for c in lines.columns if c != value_col]
+    with_parts = lines.select(*keep, F.col(value_col).alias("_line"), parts.alias("_parts"))
+    bad = F.size("_parts") != n
+    return with_parts.select(
+        *[F.when(~bad, F.nullif(F.col("_parts")[i], F.lit(""))).alias(c) for i, c in enumerate(columns)],
+        *keep,
+        bad.alias("_bad"),
+        "_line",
+    )
+
+
 def parse_quoted(lines: DataFrame, columns, sep: str, value_col: str = "value") -> DataFrame:
     """Quoted dialect over a DataFrame of lines.
 
@@ -173,6 +191,24 @@ def _header_lines(spark: SparkSession, paths, columns, header: str) -> DataFrame
     return lines
 
 
+def header_kind(file_class) -> str:
+    """Which line reader a class needs: ``first_line`` (each file's first
+    line skipped) or ``all``."""
+    return "first_line" if file_class.header == "first_line" else "all"
+
+
+def parse_class_lines(lines: DataFrame, file_class) -> DataFrame:
+    """Apply a class's header rule (content-based) and dialect to lines
+    produced by the reader :func:`header_kind` names."""
+    if file_class.header == "contains":
+        lines = header_contains_filter(lines, file_class.columns[0])
+    if file_class.dialect == "strict":
+        return parse_strict(lines, file_class.columns, file_class.separator)
+    if file_class.dialect == "quoted":
+        return parse_quoted(lines, file_class.columns, file_class.separator)
+    return parse_remainder(lines, file_class.columns, file_class.separator)
+
+
 def read_class(spark: SparkSession, file_class, paths) -> DataFrame:
     """Read the given files with the class's dialect."""
     if file_class.dialect == "strict":
