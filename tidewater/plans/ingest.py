@@ -3,15 +3,19 @@ transform -> validate -> append -> ledger).
 
 Shape of the work, independent of the number of files:
 
-1. one job over the file *names* builds the manifest (classes, sibling
-   pairing, marker gate);
-2. one job per run scans every ready file of every class once and
-   aggregates per batch: lines, bad lines, rows, bad keys, failed casts;
-3. one write job per table appends the rows of the good batches only;
+0. the manifest over the file *names* (classes, sibling pairing, marker
+   gate, earlier outcomes) is staged once on shared storage;
+1. one scan of the landing folders per reader kind stages the raw lines of
+   every ready file, joined to its batch;
+2. one job aggregates per batch: lines, bad lines, rows, bad keys, failed
+   casts (the verdict, staged);
+3. one write job per table appends the rows of the good batches only
+   (semi-join with the verdict);
 4. one job quarantines the bad lines of failed batches;
-5. the ledger rows are written last.  A batch counts as ingested only once
-   its ledger row exists; target tables partitioned by ``ingest_batch``
-   make a replay after a crash between (3) and (5) overwrite, not duplicate.
+5. the ledger rows, built by a join, are written last.  A batch counts as
+   ingested only once its ledger row exists; target tables partitioned by
+   ``ingest_batch`` make a replay after a crash between (3) and (5)
+   overwrite, not duplicate.
 """
 
 from __future__ import annotations
