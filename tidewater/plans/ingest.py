@@ -183,26 +183,31 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
         _cleanup(spark, stage_root, keep_stage)
         return empty
 
-    # 1. Stage raw lines: one scan of the landing folders per reader kind
-    #    (first line of each file skipped, or all lines), joined with the
-    #    ready part of the manifest on the file path.  Every landing byte is
-    #    read once; validation, append and quarantine read the staged copy,
-    #    and a lost executor never forces a second scan of the landing files.
+    # 1. Stage raw lines: one scan per reader kind (first line of each file
+    #    skipped, or all lines) over exactly the pending ready files, joined
+    #    with the ready part of the manifest on the file path.  Landed files
+    #    stay where they are, so scanning whole folders would re-read history
+    #    on every run; the list of files to read is what Spark's file index
+    #    holds on the driver for any read, and it grows with this run's new
+    #    files only.  Every new landing byte is read once; validation, append
+    #    and quarantine read the staged copy, and a lost executor never forces
+    #    a second scan of the landing files.
     with _phase("stage"):
         raw_path = f"{stage_root}/lines"
         if n_ready:
-            folders = [r["folder"] for r in ready_files.select(
-                F.regexp_replace("path", r"/[^/]*$", "").alias("folder")).distinct().collect()]
             parts = []
             for kind in ("first_line", "all"):
                 positions = [i for i, c in enumerate(classes) if header_kind(c) == kind]
                 if not positions:
                     continue
-                lines = (read_lines_after_header(spark, folders) if kind == "first_line"
-                         else read_lines(spark, folders))
-                wanted = ready_files.filter(F.col("class_pos").isin(positions)).select(
-                    "file_key", "class_pos", F.col("batch_id").alias(BATCH))
-                parts.append(lines.join(wanted, lines["_file"] == wanted["file_key"])
+                wanted = ready_files.filter(F.col("class_pos").isin(positions))
+                paths = [r["path"] for r in wanted.select("path").distinct().collect()]
+                if not paths:
+                    continue
+                lines = (read_lines_after_header(spark, paths) if kind == "first_line"
+                         else read_lines(spark, paths))
+                keys = wanted.select("file_key", "class_pos", F.col("batch_id").alias(BATCH))
+                parts.append(lines.join(keys, lines["_file"] == keys["file_key"])
                                   .select("value", "_file", "class_pos", BATCH))
             _union(parts).write.mode("overwrite").parquet(raw_path)
         staged_lines = (spark.read.parquet(raw_path) if n_ready else
