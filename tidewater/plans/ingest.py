@@ -67,6 +67,10 @@ class IngestResult:
 
 
 def list_landing(spark: SparkSession, landing_dir: str) -> DataFrame:
+    return spark.createDataFrame(_listing(spark, landing_dir), NAMES_SCHEMA)
+
+
+def _listing(spark: SparkSession, landing_dir: str) -> list:
     """Names of the files directly in ``landing_dir`` that have an extension.
 
     Listing is metadata: Spark's file index lists on the driver (in parallel
@@ -82,7 +86,7 @@ def list_landing(spark: SparkSession, landing_dir: str) -> DataFrame:
         if "." not in unquote(uri.rsplit("/", 1)[-1]):
             continue
         rows.append((unquote(uri), file_key_of(uri)))
-    return spark.createDataFrame(rows, NAMES_SCHEMA)
+    return rows
 
 
 def file_key_of(uri: str) -> str:
@@ -145,7 +149,10 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
     if not classes:
         return empty
 
-    names = names if names is not None else list_landing(spark, f"{top}/{landing_folder}")
+    n_names = None
+    if names is None:
+        listing = _listing(spark, f"{top}/{landing_folder}")
+        names, n_names = spark.createDataFrame(listing, NAMES_SCHEMA), len(listing)
     if "file_key" not in names.columns:
         names = names.withColumn("file_key", file_key_col("path"))
     stage_root = work_dir(spark, f"ingest-stage-{run_id}")
@@ -154,7 +161,8 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
     #    the ledger).  Batches archived or failed by earlier runs are flagged
     #    by a join with the ledger.
     with _phase("manifest"):
-        n_names = names.count()  # a scalar: picks the pairing strategy
+        if n_names is None:
+            n_names = names.count()  # a scalar: picks the pairing strategy
         done = terminal_batches(spark, ledger_path).withColumn("done", F.lit(True))
         (manifest(names, classes, on=match_on, known_rows=n_names * len(classes))
             .join(done, "batch_id", "left")
