@@ -67,3 +67,14 @@ def test_stream_pickup_is_incremental_and_release_waits_for_markers(spark, tmp):
     write(f"{tmp}/landing/b_2_DONE.txt", "")
     released = release_ready(spark, bronze, list_landing(spark, f"{tmp}/landing"), classes)
     assert released.count() == 5
+
+
+def test_sort_spreads_a_hot_key_over_partitions(spark, tmp):
+    hot = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("m")).otherwise(F.md5(F.col("id").cast("string"))).alias("key"), "id")
+    out = total_order_sort(hot, "key", 8)
+    sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < 10000 * 0.9          # the 10000 "m" rows are not all in one task
+    out.write.parquet(f"{tmp}/hot")
+    v = validate_sorted(spark, f"{tmp}/hot", "key", md5_prefix_value("id")).first()
+    assert v["n"] == 30000 and v["inversions"] == 0

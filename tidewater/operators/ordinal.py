@@ -52,7 +52,11 @@ def group_ordinal(df: DataFrame, group_cols, order_cols, name: str = "ordinal",
     keys = group_cols + order_cols
     n = _num_partitions(df, num_partitions)
 
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # A row hash after the keys lets the range partitioner split even a run
+    # of tied keys (a hot (group, order) value) over several partitions.
+    tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys], tiebreak)
+                .sortWithinPartitions(*[F.col(k) for k in keys], tiebreak))
     # monotonically_increasing_id = (partition id << 33) + record number in
     # the partition; after the local sort the record number is the position.
     local = (ranged

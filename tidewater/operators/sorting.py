@@ -31,10 +31,16 @@ def md5_prefix_value(column, start: int = 1) -> Column:
 
 def total_order_sort(df: DataFrame, key: str, num_partitions: int | None = None) -> DataFrame:
     """Range-partition on ``key`` and sort each partition: partition i holds
-    keys below those of partition i+1, so the files written in partition
-    order are globally sorted."""
+    keys at most those of partition i+1, so the files written in partition
+    order are globally sorted.
+
+    A deterministic hash of the whole row is a secondary range key: rows
+    sharing one hot key value (say a third of the data) are spread over many
+    partitions instead of landing in one task.  Equal keys have no required
+    order, so the result is still sorted by ``key``."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, key).sortWithinPartitions(key)
+    tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return df.repartitionByRange(n, F.col(key), tiebreak).sortWithinPartitions(F.col(key), tiebreak)
 
 
 def _summarise_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
