@@ -7,22 +7,27 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from ..sources.delimited import separator_regex
 
 
-def null_or_blank(column) -> Column:
-    """NULL or exactly '' (a single space is a valid key)."""
+def null_or_blank(column, dtype=None) -> Column:
+    """NULL or exactly '' (a single space is a valid key).  With a known
+    non-string type only NULL can be blank, so no per-row cast is needed."""
     c = F.col(column) if isinstance(column, str) else column
+    if dtype is not None and not isinstance(dtype, StringType):
+        return c.isNull()
     return c.isNull() | (c.cast("string") == "")
 
 
-def bad_key(keys) -> Column:
+def bad_key(keys, schema: StructType | None = None) -> Column:
     """True when any of ``keys`` is NULL or ''."""
     keys = list(keys)
     if not keys:
         return F.lit(False)
-    return reduce(lambda a, b: a | b, [null_or_blank(k) for k in keys])
+    types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
+    return reduce(lambda a, b: a | b, [null_or_blank(k, types.get(k)) for k in keys])
 
 
 def key_check(df: DataFrame, keys, by) -> DataFrame:

@@ -279,7 +279,7 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
             if cast is not None:
                 stats_parts.append(cast.groupBy(BATCH).agg(
                     F.count(F.lit(1)).alias("n_rows"),
-                    F.sum(bad_key(fc.keys).cast("int")).cast("bigint").alias("n_bad_keys"),
+                    F.sum(bad_key(fc.keys, cast.schema).cast("int")).cast("bigint").alias("n_bad_keys"),
                     F.sum(n_err).cast("bigint").alias("n_cast_errors")))
         return _verdict(spark, line_parts, stats_parts), line_parts
 
