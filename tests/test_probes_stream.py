@@ -78,3 +78,10 @@ def test_sort_spreads_a_hot_key_over_partitions(spark, tmp):
     out.write.parquet(f"{tmp}/hot")
     v = validate_sorted(spark, f"{tmp}/hot", "key", md5_prefix_value("id")).first()
     assert v["n"] == 30000 and v["inversions"] == 0
+
+
+def test_sort_validation_compares_numeric_keys_as_numbers(spark, tmp):
+    data = spark.range(2000).select((F.col("id") * 7 % 2000).alias("key"), "id")
+    total_order_sort(data, "key", 3).write.parquet(f"{tmp}/num")
+    v = validate_sorted(spark, f"{tmp}/num", "key", md5_prefix_value("id")).first()
+    assert v["n"] == 2000 and v["inversions"] == 0

@@ -17,6 +17,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from ..session import work_dir
 
@@ -54,7 +55,8 @@ def group_ordinal(df: DataFrame, group_cols, order_cols, name: str = "ordinal",
 
     # A row hash after the keys lets the range partitioner split even a run
     # of tied keys (a hot (group, order) value) over several partitions.
-    tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    tiebreak = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields
+                            if not isinstance(f.dataType, MapType)] or [F.lit(0)])
     ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys], tiebreak)
                 .sortWithinPartitions(*[F.col(k) for k in keys], tiebreak))
     # monotonically_increasing_id = (partition id << 33) + record number in

@@ -14,12 +14,20 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from ..session import work_dir
 from .ordinal import group_ordinal
 
-SPLIT_SCHEMA = ("file string, first_row long, n long, first_key string, last_key string, "
-                "inversions long, checksum long")
+def _split_schema(key_type: str) -> str:
+    return (f"file string, first_row long, n long, first_key {key_type}, last_key {key_type}, "
+            "inversions long, checksum long")
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Deterministic hash of a row's hashable columns (maps excluded)."""
+    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    return F.xxhash64(*cols) if cols else F.lit(0)
 
 
 def md5_prefix_value(column, start: int = 1) -> Column:
@@ -39,7 +47,7 @@ def total_order_sort(df: DataFrame, key: str, num_partitions: int | None = None)
     partitions instead of landing in one task.  Equal keys have no required
     order, so the result is still sorted by ``key``."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    tiebreak = row_hash(df)
     return df.repartitionByRange(n, F.col(key), tiebreak).sortWithinPartitions(F.col(key), tiebreak)
 
 
@@ -50,7 +58,7 @@ def _summarise_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
             continue
         for file, part in pdf.groupby("file", sort=False):
             part = part.sort_values("row")
-            keys = part["key"].to_numpy(dtype=object)
+            keys = part["key"].to_numpy()
             inv = int((keys[1:] < keys[:-1]).sum()) if len(keys) > 1 else 0
             s = state.get(file)
             if s is None:
@@ -74,10 +82,11 @@ def split_summaries(spark: SparkSession, path: str, key: str, checksum: Column)
     data = spark.read.parquet(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("row"),
-        F.col(key).cast("string").alias("key"),
+        F.col(key).alias("key"),
         checksum.alias("ck"),
     )
-    return data.mapInPandas(_summarise_splits, SPLIT_SCHEMA)
+    # Keys keep their own type, so numbers compare as numbers.
+    return data.mapInPandas(_summarise_splits, _split_schema(data.schema["key"].dataType.simpleString()))
 
 
 def validate_sorted(spark: SparkSession, path: str, key: str, checksum: Column) -> DataFrame:
