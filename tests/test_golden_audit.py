@@ -135,3 +135,9 @@ def test_test_dir_runner_parts_results_and_revert_specs(spark, tmp):
     assert hit_count(spark, docs_t) == 2
     delete_all_documents(spark, docs_t)
     assert hit_count(spark, docs_t) == 0
+
+
+def test_missing_expectation_is_a_failure_not_an_error(spark, tmp):
+    _table(spark, tmp, "lonely", [(1,)], "id int")
+    r = G.run_golden(spark, ["lonely|id|"], f"{tmp}/nothing_here", DB).first()
+    assert r["status"] == "FAILURE"

@@ -16,6 +16,7 @@ from ..functions.text import FAILURE, PROBE_LINE, SUCCESS
 from ..operators.estimate import estimate_pi, random_points
 from ..operators.sorting import md5_prefix_value, total_order_sort, validate_sorted
 from ..session import shared_root, work_dir
+from ..sinks.files import delete_path
 from ..sinks.tables import create_database, drop_table
 from ..sources.generated import (SQUARES_ANSWER, SQUARES_DDL, create_external_csv_table,
                                  generated_rows, load_json_documents, squares_lines)
@@ -38,6 +39,7 @@ def storage_roundtrip(spark: SparkSession, data: DataFrame, key: str) -> DataFra
     before = summary(data).first()
     data.write.mode("overwrite").parquet(path)
     after = summary(spark.read.parquet(path)).first()
+    delete_path(spark, path)
     return _row(spark, "Storage round trip", f"{before['n']}/{before['ck']}", f"{after['n']}/{after['ck']}")
 
 
@@ -57,6 +59,7 @@ def catalog_table_probe(spark: SparkSession, lines: DataFrame | None = None,
     agg = spark.table(name).agg(F.count(F.lit(1)).alias("n"), F.sum("square").alias("sq"),
                                 F.sum("sqrt").alias("rt")).first()
     drop_table(spark, name)
+    delete_path(spark, location)
     exp = expected if expected is not None else SQUARES_ANSWER
     return (_row(spark, "Catalog create table", True, listed)
             .unionByName(_row(spark, "Catalog select table", "/".join(map(str, exp)),
@@ -79,6 +82,7 @@ def sort_probe(spark: SparkSession, rows: int = 1_000_000) -> DataFrame:
     total_order_sort(data, "key").write.mode("overwrite").parquet(path)
     v = validate_sorted(spark, path, "key", md5_prefix_value("row_id")).first()
     expected = data.agg(F.count(F.lit(1)).alias("n"), F.sum(md5_prefix_value("row_id")).alias("ck")).first()
+    delete_path(spark, path)
     return _row(spark, "Sort and validate", f"{expected['n']}/{expected['ck']}/0",
                 f"{v['n']}/{v['checksum']}/{v['inversions']}")
 

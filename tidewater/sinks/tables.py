@@ -95,12 +95,14 @@ def overwrite_from_self(spark: SparkSession, table: str, keep: DataFrame) -> str
     Spark rejects reading and overwriting one table in one statement, so the
     rows are first written to a stage on shared storage; the overwrite then
     reads the stage.  Static overwrite mode: partitions left empty are
-    cleared too.  Returns the stage path."""
+    cleared too.  The stage is deleted afterwards; returns its path."""
     stage = work_dir(spark, "stage")
     keep.write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)
     (staged.select(*spark.table(table).columns)
            .write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True))
+    from .files import delete_path
+    delete_path(spark, stage)
     return stage
 
 
