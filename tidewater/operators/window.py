@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import StringType, TimestampNTZType
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.timefmt import parse_log_ts

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StructType
 
 from ..session import work_dir
 
@@ -105,6 +105,3 @@ def overwrite_from_self(spark: SparkSession, table: str, keep: DataFrame) -> str
     delete_path(spark, stage)
     return stage
 
-
-def string_columns(df: DataFrame) -> list:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
