@@ -53,22 +53,33 @@ def create_audit_table(spark: SparkSession, name: str, location: str) -> None:
 def audit_rows(spark: SparkSession, platform: str, application: str, tables, start: str, end: str,
                success: bool, workflow_id: str | None, application_id: str | None,
                stdout: str = "", stderr: str = "") -> DataFrame:
-    """The audit rows of one run (one per table; none for an empty list)."""
+    """The audit rows of one run (one per table; none for an empty list).
+
+    The changed-row counts are one Spark aggregate (one row per table); the
+    run's texts, which the driver captured, enter as row values rather than
+    as literals in the plan."""
     tables = [t for t in tables if t]
-    changed = rows_changed_per_table(spark, tables, start, end)
-    return changed.select(
-        log_escape(F.col("table_name")).alias("table_name"),
-        log_escape(F.lit(start)).alias("start_ts"),
-        log_escape(F.lit(end)).alias("end_ts"),
-        F.lit(bool(success)).alias("success"),
-        F.col("rows_changed").cast("bigint").alias("rows_changed"),
-        log_escape(default_unknown(F.lit(workflow_id or ""))).alias("workflow_id"),
-        log_escape(F.coalesce(F.nullif(F.lit(application_id or ""), F.lit("")), F.lit("Unavailable")))
+    changed = [(r["table_name"], r["rows_changed"])
+               for r in rows_changed_per_table(spark, tables, start, end).collect()]
+    raw = spark.createDataFrame(
+        [(t, start, end, bool(success), n, workflow_id or "", application_id or "", stdout, stderr,
+          platform or "", application or "") for t, n in changed],
+        "table_name string, start_ts string, end_ts string, success boolean, rows_changed bigint, "
+        "workflow_id string, application_id string, stdout string, stderr string, "
+        "pltfrm_nm string, aplctn_nm string")
+    return raw.select(
+        log_escape("table_name").alias("table_name"),
+        log_escape("start_ts").alias("start_ts"),
+        log_escape("end_ts").alias("end_ts"),
+        "success",
+        "rows_changed",
+        log_escape(default_unknown("workflow_id")).alias("workflow_id"),
+        log_escape(F.coalesce(F.nullif(F.col("application_id"), F.lit("")), F.lit("Unavailable")))
         .alias("application_id"),
-        log_escape(F.lit(stdout)).alias("stdout"),
-        log_escape(F.lit(stderr)).alias("stderr"),
-        log_escape(default_unknown(F.lit(platform or ""))).alias("pltfrm_nm"),
-        log_escape(default_unknown(F.lit(application or ""))).alias("aplctn_nm"),
+        log_escape("stdout").alias("stdout"),
+        log_escape("stderr").alias("stderr"),
+        log_escape(default_unknown("pltfrm_nm")).alias("pltfrm_nm"),
+        log_escape(default_unknown("aplctn_nm")).alias("aplctn_nm"),
     )
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
+from urllib.parse import unquote
 
 from ..functions.specs import SPEC_ITEM_SEP, SPEC_FIELD_SEP
 from ..functions.text import FAILURE, SUCCESS, TEST_LINE, padded_status
@@ -194,24 +195,35 @@ def run_test_dir(spark: SparkSession, test_dir: str, database: str | None = None
     state; ``run_part(part_dir)`` does the part's work first (it replaces
     putting inputs and starting workflows).  Returns the report of all
     parts."""
-    import glob
-    import os
-
-    from ..session import local_path
-
-    base = local_path(test_dir).rstrip("/")
-    list_files = sorted(glob.glob(f"{base}/*.list"))
-    specs = [r["spec"] for r in read_spec_lines(spark, list_files).collect()] if list_files else []
+    base = test_dir.rstrip("/")
+    # Listing goes through Spark's file system layer, so the test directory
+    # may live on any storage the cluster reads.
+    try:
+        specs = [r["spec"] for r in read_spec_lines(spark, f"{base}/*.list").collect()]
+    except AnalysisException:
+        specs = []
     collections = {}
-    if os.path.exists(f"{base}/collections"):
+    try:
         for r in read_collection_lines(spark, f"{base}/collections").collect():
             collections[r["collection"]] = r["query"]
-    parts = sorted(d for d in os.listdir(base) if os.path.isdir(f"{base}/{d}/expected"))
-    if os.path.isdir(f"{base}/expected"):
-        parts = [""] + parts
+    except AnalysisException:
+        pass
+    try:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                      .load(base).inputFiles())
+    except AnalysisException:
+        files = []
+    parts = set()
+    for uri in files:
+        rel = unquote(uri).split(base.split(":", 1)[-1].lstrip("/"), 1)[-1].lstrip("/")
+        if rel.startswith("expected/"):
+            parts.add("")
+        elif "/expected/" in rel:
+            parts.add(rel.split("/expected/", 1)[0])
+    parts = sorted(parts)
     reports = []
     for part in parts:
-        part_dir = f"{base}/{part}".rstrip("/")
+        part_dir = f"{base}/{part}" if part else base
         if run_part is not None:
             run_part(part_dir)
         coll = {name: json_lines(spark.table(f"{database}.{name}" if database else name))
