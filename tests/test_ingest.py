@@ -135,15 +135,17 @@ def test_runtime_error_in_a_transform_fails_only_that_batch(spark, tmp):
     setup_tables(spark, tmp)
     batch(tmp, 1, ["1|ann"], ["1,1,x"])
     batch(tmp, 2, ["2|bob"], ["2,1,y"])
+    batch(tmp, 3, ["3|cy"], ["3,1,z"])
+    batch(tmp, 4, ["4|dee"], ["4,1,w"])
     strict_cast = FileClass(table="hdr", columns=("id", "name"), separator="|", pattern="^hdr_", keys=("id",),
                             transform="SELECT CAST(id AS BIGINT), name, "
                                       "CAST(CASE WHEN name = 'bob' THEN 'x' ELSE '1' END AS INT) AS c, "
                                       "'u', _batch_id FROM hdr_RAW")
     res = ingest(spark, [strict_cast, DET], tmp, database=DB)
     led = {r["batch_index"]: r for r in res.ledger.collect()}
-    assert led[1]["outcome"] == "archived"
-    assert led[2]["outcome"] == "failed" and "CAST" in led[2]["reason"].upper()
-    assert [r["id"] for r in spark.table(f"{DB}.hdr").collect()] == [1]
+    assert [led[i]["outcome"] for i in (1, 2, 3, 4)] == ["archived", "failed", "archived", "archived"]
+    assert "CAST" in led[2]["reason"].upper()
+    assert sorted(r["id"] for r in spark.table(f"{DB}.hdr").collect()) == [1, 3, 4]
     assert res.failed_files == 2
 
 
