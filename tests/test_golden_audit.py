@@ -141,3 +141,15 @@ def test_missing_expectation_is_a_failure_not_an_error(spark, tmp):
     _table(spark, tmp, "lonely", [(1,)], "id int")
     r = G.run_golden(spark, ["lonely|id|"], f"{tmp}/nothing_here", DB).first()
     assert r["status"] == "FAILURE"
+
+
+def test_revert_clears_a_partition_that_becomes_empty(spark, tmp):
+    create_database(spark, DB)
+    t = f"{DB}.parted"
+    drop_table(spark, t)
+    (spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "id int, p string")
+          .write.partitionBy("p").option("path", f"{tmp}/parted").saveAsTable(t))
+    G.revert_table(spark, "parted|id|p = 'a'", DB, allow=True)
+    assert sorted(r["id"] for r in spark.table(t).collect()) == [2, 3]
+    G.revert_table(spark, "parted|id|id = 2", DB, allow=True)
+    assert sorted(r["id"] for r in spark.table(t).collect()) == [3]

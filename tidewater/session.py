@@ -33,8 +33,6 @@ RECOMMENDED_CONF = {
     # short or long line; with pruning on, a one-column select silently
     # accepts a malformed line.
     "spark.sql.csv.parser.columnPruning.enabled": "false",
-    # Re-ingesting a batch replaces its partition instead of appending twice.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import create_table
+from .tables import create_table, overwrite_mode
 
 
 def commit_documents(docs: DataFrame, table: str, location: str | None = None) -> None:
@@ -23,8 +23,8 @@ def commit_documents(docs: DataFrame, table: str, location: str | None = None) -
 def delete_all_documents(spark: SparkSession, table: str) -> None:
     empty = spark.table(table).where(F.lit(False))
     # Nothing is read from the table, so a direct overwrite is allowed.
-    (spark.createDataFrame([], empty.schema)
-          .write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True))
+    with overwrite_mode(spark, "static"):
+        spark.createDataFrame([], empty.schema).write.insertInto(table, overwrite=True)
 
 
 def hit_count(spark: SparkSession, table: str) -> int:

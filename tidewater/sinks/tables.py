@@ -3,6 +3,8 @@ overwrite of a table from itself through a stage, catalog DDL."""
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -10,6 +12,24 @@ from pyspark.sql.types import StructType
 from ..session import work_dir
 
 BATCH_COLUMN = "ingest_batch"
+_MODE_KEY = "spark.sql.sources.partitionOverwriteMode"
+
+
+@contextlib.contextmanager
+def overwrite_mode(spark: SparkSession, mode: str):
+    """Partition overwrite mode for table inserts in the block.
+
+    ``insertInto`` reads the mode from the session, not from writer options,
+    so it is set around the write and restored afterwards."""
+    previous = spark.conf.get(_MODE_KEY, None)
+    spark.conf.set(_MODE_KEY, mode)
+    try:
+        yield
+    finally:
+        if previous is None:
+            spark.conf.unset(_MODE_KEY)
+        else:
+            spark.conf.set(_MODE_KEY, previous)
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -77,7 +97,8 @@ def append_typed(df: DataFrame, table: str, batch_col: str | None = None) -> Non
     target = spark.table(table).schema
     if BATCH_COLUMN in target.fieldNames() and batch_col:
         out = df.select(*[c for c in df.columns if c != batch_col], F.col(batch_col).alias(BATCH_COLUMN))
-        out.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+        with overwrite_mode(spark, "dynamic"):
+            out.write.insertInto(table, overwrite=True)
     else:
         out = df.drop(batch_col) if batch_col else df
         out.write.insertInto(table)
@@ -99,8 +120,8 @@ def overwrite_from_self(spark: SparkSession, table: str, keep: DataFrame) -> str
     stage = work_dir(spark, "stage")
     keep.write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)
-    (staged.select(*spark.table(table).columns)
-           .write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True))
+    with overwrite_mode(spark, "static"):
+        staged.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
     from .files import delete_path
     delete_path(spark, stage)
     return stage
