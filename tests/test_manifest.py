@@ -88,3 +88,20 @@ def test_group_ordinal_without_groups(spark, n):
     df = spark.range(50).select(F.col("id").cast("string").alias("s"))
     out = group_ordinal(df, [], ["s"], "i", num_partitions=n)
     assert sorted(r["i"] for r in out.collect()) == list(range(1, 51))
+
+
+def test_group_ordinal_with_one_order_value_in_a_hot_group(spark):
+    df = spark.range(12000).select(F.lit("g").alias("g"), F.lit("same").alias("name"), "id")
+    out = group_ordinal(df, ["g"], ["name"], "i", num_partitions=6)
+    r = out.agg(F.count("*").alias("n"), F.countDistinct("i").alias("d"), F.min("i").alias("lo"),
+                F.max("i").alias("hi")).first()
+    assert (r["n"], r["d"], r["lo"], r["hi"]) == (12000, 12000, 1, 12000)
+
+
+def test_purge_work_area_removes_old_run_folders(spark):
+    from tidewater.session import purge_work_area, work_dir
+    path = work_dir(spark, "purge-me")
+    spark.range(3).write.parquet(path)
+    deleted = purge_work_area(spark, -1, prefix="purge-me")
+    assert any(p.rstrip("/").endswith(path.rsplit("/", 1)[-1]) for p in deleted)
+    assert all(p.rstrip("/").rsplit("/", 1)[-1].startswith("purge-me") for p in deleted)

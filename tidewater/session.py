@@ -98,3 +98,26 @@ def local_path(path: str) -> str:
 def ensure_local_dir(path: str) -> str:
     os.makedirs(local_path(path), exist_ok=True)
     return path
+
+
+def purge_work_area(spark: SparkSession, older_than_hours: float = 24.0, prefix: str = "") -> list:
+    """Delete run folders in the shared work area (optionally only those
+    whose name starts with ``prefix``) last modified more than
+    ``older_than_hours`` ago: stages that lazy results no longer need.
+    Returns the deleted paths."""
+    import time
+
+    root = f"{shared_root(spark)}/tidewater-work"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    cutoff_ms = (time.time() - older_than_hours * 3600.0) * 1000.0
+    deleted = []
+    for status in fs.listStatus(path):
+        if (status.isDirectory() and status.getPath().getName().startswith(prefix)
+                and status.getModificationTime() < cutoff_ms):
+            fs.delete(status.getPath(), True)
+            deleted.append(status.getPath().toString())
+    return deleted
