@@ -128,6 +128,10 @@ def test_test_dir_runner_parts_results_and_revert_specs(spark, tmp):
                    ("p2", "docs", "SUCCESS"), ("p2", "items", "SUCCESS")]
     assert {r["status"]: r["n_tests"] for r in G.summary(report).collect()} == {"SUCCESS": 4}
     assert G.consolidated_report(spark, f"{tmp}/results").count() == 4
+    out = G.write_consolidated_report(spark, f"{tmp}/results", f"{tmp}/all_results")
+    import glob
+    files = glob.glob(f"{out}/part-*")
+    assert len(files) == 1 and len(open(files[0]).read().splitlines()) == 4
 
     specs = G.read_spec_lines(spark, [f"{tmp}/test/tables.list", f"{tmp}/test/tables.list"])
     G.revert_specs(spark, specs, DB, allow=True)

@@ -170,6 +170,15 @@ def consolidated_report(spark: SparkSession, results_path: str) -> DataFrame:
                  .orderBy("run", "recorded_at", "part", "test"))
 
 
+def write_consolidated_report(spark: SparkSession, results_path: str, out_path: str) -> str:
+    """All result lines as one text file, in report order.  The report has
+    one line per test, so funnelling it through a single task is cheap;
+    ``orderBy`` then ``coalesce(1)`` keeps the order."""
+    (consolidated_report(spark, results_path).select("line")
+        .coalesce(1).write.mode("overwrite").text(out_path))
+    return out_path
+
+
 def read_spec_lines(spark: SparkSession, paths) -> DataFrame:
     """``spec`` rows from spec list files (one ``table|fields|condition`` per
     line, blank lines skipped)."""
