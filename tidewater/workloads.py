@@ -409,6 +409,37 @@ def golden_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diffs.select("only_actual", "only_expected")
 
 
+GOLDEN_SPECS = (
+    "customer|c_custkey, c_name|c_acctbal < 0",
+    "orders|o_orderkey, o_orderstatus|",
+    "lineitem|l_orderkey, l_linenumber, l_quantity|l_quantity > 45",
+)
+
+
+def golden_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole regression run over three spec'd tables in one comparison job.
+
+    Expectations are written from the same tables as JSON lines, upper-cased
+    and padded; the orders expectation marks 5-LOW orders in status P as X,
+    so that table fails exactly when such orders exist."""
+    configure(spark)
+    root = work_dir(spark, "golden_suite")
+    for name in ("customer", "orders", "lineitem"):
+        table(spark, sf_dir, name).createOrReplaceTempView(name)
+    customer, orders, lineitem = (spark.table(n) for n in ("customer", "orders", "lineitem"))
+    changed = F.when((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P"),
+                     F.lit("X")).otherwise(F.col("o_orderstatus"))
+    expected = {
+        "customer": customer.filter("c_acctbal < 0").select("c_custkey", "c_name"),
+        "orders": orders.select("o_orderkey", changed.alias("o_orderstatus")),
+        "lineitem": lineitem.filter("l_quantity > 45").select("l_orderkey", "l_linenumber", "l_quantity"),
+    }
+    for name, df in expected.items():
+        write_lines(G.json_lines(df).select(F.concat(F.lit(" "), F.upper("value")).alias("value")),
+                    f"{root}/expected/{name}")
+    return G.run_golden(spark, list(GOLDEN_SPECS), f"{root}/expected").select("line")
+
+
 def volatile_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     docs = table(spark, sf_dir, "documents")
@@ -589,6 +620,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spec_projection": spec_projection,
     "spec_dedupe": spec_dedupe,
     "golden_compare": golden_compare,
+    "golden_suite": golden_suite,
     "volatile_filter": volatile_filter,
     "revert_rows": revert_rows,
     "revert_all": revert_all,
@@ -654,6 +686,10 @@ ORACLES: dict[str, str] = {
                       "event_id, event_type FROM events WHERE event_type <> 'error' UNION ALL SELECT "
                       "r_regionkey, 'bogus' FROM region) EXCEPT ALL SELECT event_id, event_type FROM events)) "
                       "AS only_expected",
+    "golden_suite": "SELECT printf('%-50s - %s', name, status) AS line FROM (VALUES ('customer', 'SUCCESS'), "
+                    "('lineitem', 'SUCCESS'), ('orders', CASE WHEN EXISTS (SELECT 1 FROM orders WHERE "
+                    "o_orderpriority = '5-LOW' AND o_orderstatus = 'P') THEN 'FAILURE' ELSE 'SUCCESS' END)) "
+                    "t(name, status)",
     "volatile_filter": "SELECT doc_id, count(*) AS n_lines FROM (SELECT doc_id, unnest(string_split(text, "
                        "chr(10))) AS line FROM documents) WHERE line NOT LIKE '%version%' AND line NOT LIKE "
                        "'%QTime%' GROUP BY doc_id",
