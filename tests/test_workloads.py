@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tidewater.workloads import QUERIES
 from tools.check_oracles import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -22,12 +23,12 @@ def duck():
 
 
 def test_every_query_has_an_oracle_or_is_a_probe():
-    missing = set(queries()) - set(oracle_sql())
+    missing = set(QUERIES) - set(oracle_sql())
     assert missing == {"catalog_probe", "roundtrip_probe"}
     assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]

@@ -10,11 +10,10 @@ laptop) do we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on.  They are runtime SQL confs, so they can be
 # applied to a session the caller already built.
@@ -66,18 +65,19 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Set our own (a fresh temporary folder) only when the session has none.
+    Only a local session (tests, a laptop) may leave it unset: driver and
+    tasks then share one disk and a fresh temporary folder is used, remembered
+    as the context's checkpoint directory.  On a cluster an unset folder is an
+    error, since a machine-local one would vanish with its executor.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    local = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidewater-shared-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
@@ -86,18 +86,13 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/tidewater-work/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can use the path (tests)."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def ensure_local_dir(path: str) -> str:
-    os.makedirs(local_path(path), exist_ok=True)
-    return path
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` once to the shared work area and return it reread: cuts
+    the lineage, survives lost executors, and gives every consumer the same rows."""
+    spark = df.sparkSession
+    path = work_dir(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def purge_work_area(spark: SparkSession, older_than_hours: float = 24.0, prefix: str = "") -> list:
