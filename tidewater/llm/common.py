@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import staged, work_dir
 
-__all__ = ["connected_components", "read_table", "staged", "work_dir"]
+__all__ = ["add_columns", "connected_components", "read_table", "staged", "work_dir"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,3 +65,42 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     stars = spark.read.schema(schema).parquet(path)
     roots = stars.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
+
+
+def add_columns(df: DataFrame, inputs: list[str], fields: str, make, *args) -> DataFrame:
+    """``df`` with the columns ``fields`` (DDL), computed in Arrow batches.
+
+    ``make(*args)`` runs once in each task and returns a function that takes
+    one row's ``inputs`` and returns the new columns' values as a tuple.  All
+    other columns pass through untouched; columns of ``df`` that have one of the
+    new names are replaced.
+    """
+    new = T.StructType.fromDDL(fields)
+    kept = [c for c in df.columns if c not in new.names]
+    # inputs travel under names of their own, so a replaced column can be an input
+    carried = df.select(*[F.col(f"`{c}`") for c in kept],
+                        *[F.col(f"`{c}`").alias(f"__in{i}") for i, c in enumerate(inputs) if c not in kept])
+    source = [c if c in kept else f"__in{i}" for i, c in enumerate(inputs)]
+    schema = T.StructType([carried.schema[c] for c in kept] + new.fields)
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(new)
+        compute = make(*args)
+        for batch in batches:
+            for start in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(start, _ROWS)
+                rows = [compute(*row) for row in zip(*[part.column(c).to_pylist() for c in source], strict=True)]
+                columns = list(zip(*rows, strict=True)) if rows else [()] * len(new)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(c) for c in kept]
+                    + [pa.array(list(v), type=f.type) for v, f in zip(columns, arrow, strict=True)],
+                    names=kept + new.names)
+
+    return carried.mapInArrow(run, schema)
+
+
+#: Rows that add_columns turns into Python values at a time.
+_ROWS = 512
