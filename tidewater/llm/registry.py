@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, sharding, url_rules
+from . import bpe, chat, decontaminate, language, pii, sharding, url_rules
 
-_MODULES = (chat, url_rules, decontaminate, sharding, bpe)
+_MODULES = (chat, pii, url_rules, decontaminate, sharding, language, bpe)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
