@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, language, pii, sharding, simhash, suffixes, url_rules
+from . import bpe, chat, decontaminate, embeddings, language, pii, sharding, simhash, suffixes, url_rules
 
-_MODULES = (chat, simhash, pii, url_rules, suffixes, decontaminate, sharding, language, bpe)
+_MODULES = (chat, embeddings, simhash, pii, url_rules, suffixes, decontaminate, sharding, language, bpe)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
