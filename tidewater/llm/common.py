@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..session import staged, work_dir
 
-__all__ = ["add_columns", "connected_components", "read_table", "staged", "work_dir"]
+__all__ = ["add_columns", "connected_components", "read_table", "set_aside", "staged", "work_dir"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,5 +102,13 @@ def add_columns(df: DataFrame, inputs: list[str], fields: str, make, *args) -> D
     return carried.mapInArrow(run, schema)
 
 
+def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, list]:
+    """``df`` with columns of these names renamed, so that an operator can use
+    the names itself, and the columns that restore ``df``'s own."""
+    taken = {c: f"__own_{c}" for c in df.columns if c in names}
+    return (df.withColumnsRenamed(taken),
+            [F.col(f"`{taken.get(c, c)}`").alias(c) for c in df.columns])
+
+
 #: Rows that add_columns turns into Python values at a time.
 _ROWS = 512

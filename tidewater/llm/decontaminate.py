@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, read_table, staged
+from .common import add_columns, read_table, set_aside, staged
 
 #: Words of a window: shared stretches of at least this many words are hit.
 WINDOW = 10
@@ -291,13 +291,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     from the texts, and documents of which more than ``max_coverage`` of the
     words are hit are dropped.  ``n_chars``, where there is one, follows the text.
     Documents without a hit come back as they were."""
-    found = find_contamination(docs, benchmark, window)
+    free, own = set_aside(docs, "n_words", "hit_spans", "hit_items")
+    found = find_contamination(free, benchmark, window)
     kept = found.where(_hit_words() <= F.col("n_words") * F.lit(max_coverage))
     cut = add_columns(kept, ["text", "hit_spans"], "text string", _make_cut)
     if "n_chars" in docs.columns:
         changed = F.size("hit_spans") > 0
-        cut = cut.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+        cut = cut.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars"))
+                             .cast(docs.schema["n_chars"].dataType))
+    return cut.select(*own)
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

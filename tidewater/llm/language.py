@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, read_table
+from .common import add_columns, read_table, set_aside
 
 #: Trigrams are hashed to so many bins; the model has languages x bins numbers.
 BINS = 1 << 16
@@ -184,6 +184,13 @@ def identify_documents(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFra
     return identify(docs, docs.where(~F.coalesce(held_out(), F.lit(True))), train_rows)
 
 
+def keep_identified(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """``docs`` (same columns) without the documents whose language cannot be
+    told: null texts and texts without a letter."""
+    free, own = set_aside(docs, "lang_pred", "score", "languages")
+    return identify_documents(free, train_rows).where(F.col("lang_pred") != UNDETERMINED).select(*own)
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return identify_documents(docs).select(

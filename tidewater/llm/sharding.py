@@ -39,7 +39,8 @@ def interleaved_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
 
     Shards are 0 to ``shards`` - 1 and their row counts differ by one at most;
     ``slot`` counts from 0 without gaps within a shard.  Every shard holds a
-    source's rows in proportion, within a few rows.  ``size`` is the text's
+    source's rows in proportion, within a few rows (sources with fewer rows than
+    shards fall at random).  ``size`` is the text's
     UTF-8 bytes (null: none) plus 16, ``text_crc32`` that of the text (null: of
     the empty text).  A null source is a stratum of its own; null ids and
     repeated rows are rows like any others; an empty table gives no rows.

@@ -221,14 +221,14 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE)
     groups = simhash_groups(docs, shingle, distance)
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fingerprint")
     kept = (groups.groupBy("component").agg(F.min(first).alias("first"), F.min("doc_id").alias("low"))
-            .select(F.col("first.doc_id").alias("kept_id"), F.col("first.fingerprint").alias("kept_print")))
+            .select(F.col("first.doc_id").alias("__kept_id"), F.col("first.fingerprint").alias("__kept_print")))
     # Ids that stand for a group are unique but for repeated rows, so the texts
     # that can stay are few more than those that do.
     marked = add_columns(
-        docs.join(kept.select("kept_id").distinct(), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi"),
+        docs.join(kept.select("__kept_id").distinct(), F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi"),
         ["text"], "__print long", _make_fingerprint, shingle, SEED)
-    chosen = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id"))
-                         & (F.col("__print") == F.col("kept_print")), "left_semi")
+    chosen = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept_id"))
+                         & (F.col("__print") == F.col("__kept_print")), "left_semi")
     return chosen.dropDuplicates(["doc_id", "__print"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
