@@ -128,7 +128,7 @@ def test_test_dir_runner_parts_results_and_revert_specs(spark, tmp):
                    ("p2", "docs", "SUCCESS"), ("p2", "items", "SUCCESS")]
     assert {r["status"]: r["n_tests"] for r in G.summary(report).collect()} == {"SUCCESS": 4}
     assert G.consolidated_report(spark, f"{tmp}/results").count() == 4
-    out = G.write_consolidated_report(spark, f"{tmp}/results", f"{tmp}/all_results")
+    out = G.write_consolidated_report(spark, f"{tmp}/results", f"{tmp}/all_results", "r1")
     import glob
     files = glob.glob(f"{out}/part-*")
     assert len(files) == 1 and len(open(files[0]).read().splitlines()) == 4
@@ -157,3 +157,47 @@ def test_revert_clears_a_partition_that_becomes_empty(spark, tmp):
     assert sorted(r["id"] for r in spark.table(t).collect()) == [2, 3]
     G.revert_table(spark, "parted|id|id = 2", DB, allow=True)
     assert sorted(r["id"] for r in spark.table(t).collect()) == [3]
+
+
+def test_audit_counts_zero_for_unreadable_files_and_keeps_the_outcome(spark, tmp):
+    good = _table(spark, tmp, "fine", [("2024-01-01 00:00:05",)], "updt_ts string")
+    bad = _table(spark, tmp, "broken", [("2024-01-01 00:00:05",)], "updt_ts string")
+    import glob
+    for f in glob.glob(f"{tmp}/broken/part-*"):
+        with open(f, "wb") as fh:
+            fh.write(b"no parquet")
+    got = dict(map(tuple, rows_changed_per_table(
+        spark, [good, bad], "2024-01-01 00:00:00", "2024-01-02 00:00:00").collect()))
+    assert got == {good: 1, bad: 0}
+    log = f"{DB}.run_log2"
+    drop_table(spark, log)
+    create_audit_table(spark, log, f"{tmp}/run_log2")
+    with audited_run(spark, "p", "a", [good, bad], log):
+        pass
+    assert spark.table(log).count() == 2
+    with pytest.raises(KeyError):
+        with audited_run(spark, "p", "a", [good], f"{DB}.no_such_log"):
+            raise KeyError("the block's own")
+
+
+def test_window_counts_whole_seconds(spark):
+    df = spark.sql("SELECT timestamp'2024-01-01 00:00:00.5' AS updt_ts UNION ALL SELECT timestamp'2024-01-01 00:00:01.2' "
+                   "UNION ALL SELECT timestamp'2024-01-02 00:00:00'")
+    got = rows_changed_per_table(spark, [("t", df)], "2024-01-01 00:00:00", "2024-01-02 00:00:00").first()
+    assert got["rows_changed"] == 1
+
+
+def test_specs_may_name_the_table_and_the_last_one_counts(spark, tmp):
+    _table(spark, tmp, "q1", [(1, 2), (2, 3)], "id int, v int")
+    write(f"{tmp}/expected/q1/e.json", '{"id":1}\n')
+    report = G.run_golden(spark, ["q1|id|", "q1|q1.id|q1.v = 2"], f"{tmp}/expected", DB).collect()
+    assert [(r["test"], r["status"]) for r in report] == [("q1", "SUCCESS")] * 2
+
+
+def test_collection_queries_select(spark):
+    docs = spark.createDataFrame([(1, "a b", None), (2, "c", "x"), (3, "c", None)], "id int, kind string, note string")
+    ids = lambda query: sorted(r["id"] for r in G.collection_frame(docs, query).collect())
+    assert ids("select?q=*:*") == [1, 2, 3]
+    assert ids('select?q=kind:"a b"') == [1]
+    assert ids("select?q=kind:c&fq=-note:*&wt=json") == [3]
+    assert G.collection_frame(docs, "select?q=id:2&fl=id,note").columns == ["id", "note"]

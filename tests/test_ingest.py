@@ -69,7 +69,7 @@ def test_good_failed_and_deferred_batches_then_replay(spark, tmp):
     write(f"{tmp}/landing/det_2_DONE.csv", "")
     res2 = ingest(spark, [HDR, DET], tmp, database=DB, user="svc")
     led2 = {r["batch_index"]: r["outcome"] for r in res2.ledger.collect()}
-    assert led2 == {2: "archived"}
+    assert led2 == {1: "archived"}          # the first of the files that are left
     assert counts(spark, "hdr") == 3 and counts(spark, "det") == 3
     res3 = ingest(spark, [HDR, DET], tmp, database=DB, user="svc")
     assert res3.ledger.count() == 0 and counts(spark, "hdr") == 3
@@ -161,3 +161,102 @@ def test_continuous_ingest_picks_up_new_and_late_batches(spark, tmp):
     continuous_ingest(spark, [HDR, DET], tmp, DB, f"{tmp}/_stream_ckpt")
     assert counts(spark, "hdr") == 3 and counts(spark, "det") == 3
     assert spark.read.parquet(f"{tmp}/_bronze").count() == 12  # 6 files x (header + 1 line)
+
+
+def test_finished_files_are_not_paired_again(spark, tmp):
+    """Files that land between earlier names pair with each other, and no
+    row of a finished batch comes in twice."""
+    setup_tables(spark, tmp)
+    batch(tmp, 1, ["1|ann"], ["1,1,x"])
+    ingest(spark, [HDR, DET], tmp, database=DB)
+    write(f"{tmp}/landing/hdr_0.csv", "id|name\n10|new\n")
+    write(f"{tmp}/landing/hdr_0_DONE.csv", "")
+    write(f"{tmp}/landing/det_2.csv", "id,qty,note\n20,2,n\n")
+    write(f"{tmp}/landing/det_2_DONE.csv", "")
+    res = ingest(spark, [HDR, DET], tmp, database=DB)
+    files = [sorted(f.rsplit("/", 1)[-1] for f in r["files"]) for r in res.ledger.collect()]
+    assert files == [["det_2.csv", "hdr_0.csv"]]
+    assert sorted(r["id"] for r in spark.table(f"{DB}.hdr").collect()) == [1, 10]
+    assert sorted(r["id"] for r in spark.table(f"{DB}.det").collect()) == [1, 20]
+
+
+def test_rounds_cover_all_batches(spark, tmp):
+    setup_tables(spark, tmp)
+    for i in range(5):
+        batch(tmp, i, [f"{i}|n{i}"], [f"{i},1,x"])
+    res = ingest(spark, [HDR, DET], tmp, database=DB, round_files=4)
+    assert [r["outcome"] for r in res.ledger.collect()] == ["archived"] * 5
+    assert counts(spark, "hdr") == counts(spark, "det") == 5
+    assert res.file_counts.count() == 10
+
+
+def test_an_error_while_appending_fails_the_batch_and_the_run_goes_on(spark, tmp, monkeypatch):
+    from tidewater.plans import ingest as module
+    from tidewater.plans.ingest import committed_rows
+    setup_tables(spark, tmp)
+    batch(tmp, 1, ["1|ann"], ["1,1,x"])
+    original = module.append_typed
+
+    def broken(df, table, batch_col=None):
+        if table.endswith(".det"):
+            raise OSError("disk full\nsecond line")
+        original(df, table, batch_col)
+
+    monkeypatch.setattr(module, "append_typed", broken)
+    res = ingest(spark, [HDR, DET], tmp, database=DB)
+    row = res.ledger.first()
+    assert (row["outcome"], row["reason"], res.failed_files) == ("failed", "disk full\nsecond line", 2)
+    assert counts(spark, "hdr") == 0 and counts(spark, "det") == 0
+    assert committed_rows(spark, f"{DB}.hdr", f"{tmp}/_ledger").count() == 0
+
+
+def test_errors_of_configuration_leave_batches_pending(spark, tmp):
+    from dataclasses import replace
+    from pyspark.errors import AnalysisException
+    setup_tables(spark, tmp)
+    batch(tmp, 1, ["1|ann"], ["1,1,x"])
+    for wrong in (replace(HDR, transform="SELECT no_such_column FROM hdr_RAW"), replace(HDR, table="absent")):
+        with pytest.raises(AnalysisException):
+            ingest(spark, [wrong, DET], tmp, database=DB)
+    with pytest.raises(ValueError):
+        ingest(spark, [replace(HDR, keys=("nothing",)), DET], tmp, database=DB)
+    assert [r["outcome"] for r in ingest(spark, [HDR, DET], tmp, database=DB).ledger.collect()] == ["archived"]
+
+
+def test_keys_are_columns_of_the_transform(spark, tmp):
+    setup_tables(spark, tmp)
+    batch(tmp, 1, ["1|ann"], ["1,1,x"])
+    batch(tmp, 2, ["|bob"], ["2,1,x"])
+    renamed = FileClass(table="hdr", columns=("a", "b"), separator="|", pattern="^hdr_", keys=("ident",),
+                        transform="SELECT CAST(a AS BIGINT) AS ident, b, 'by %s', '%s', _batch_id FROM hdr_RAW")
+    res = ingest(spark, [renamed, DET], tmp, database=DB, user="svc")
+    assert {r["batch_index"]: r["outcome"] for r in res.ledger.collect()} == {1: "archived", 2: "failed"}
+    row = spark.table(f"{DB}.hdr").first()
+    assert (row["crt_by"], row["updt_by"]) == ("by svc", "svc")
+
+
+def test_slots_inside_literals():
+    assert legacy_to_named("SELECT 'by %s', \"%s\", '100%%', 'it''s %s!'") == \
+        "SELECT concat('by ', :user, ''), :user, '100%', concat('it''s ', :user, '!')"
+
+
+def test_continuous_ingest_waits_for_a_sibling(spark, tmp):
+    from tidewater.streaming.landing import continuous_ingest
+    setup_tables(spark, tmp)
+    write(f"{tmp}/landing/hdr_1.csv", "id|name\n1|ann\n")
+    write(f"{tmp}/landing/hdr_1_DONE.csv", "")
+    continuous_ingest(spark, [HDR, DET], tmp, DB, f"{tmp}/_ckpt")
+    assert counts(spark, "hdr") == 0
+    write(f"{tmp}/landing/det_1_DONE.csv", "")
+    write(f"{tmp}/landing/det_1.csv", "id,qty,note\n1,1,x\n")
+    continuous_ingest(spark, [HDR, DET], tmp, DB, f"{tmp}/_ckpt")
+    assert counts(spark, "hdr") == 1 and counts(spark, "det") == 1
+
+
+def test_two_streams_share_one_bronze(spark, tmp):
+    from tidewater.streaming.landing import pickup_to_bronze
+    write(f"{tmp}/landing/a.csv", "one\n")
+    pickup_to_bronze(spark, f"{tmp}/landing", f"{tmp}/bronze", f"{tmp}/c1")
+    write(f"{tmp}/other/b.csv", "two\n")
+    pickup_to_bronze(spark, f"{tmp}/other", f"{tmp}/bronze", f"{tmp}/c2")
+    assert sorted(r["value"] for r in spark.read.parquet(f"{tmp}/bronze").collect()) == ["one", "two"]

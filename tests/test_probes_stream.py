@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import write
 from tidewater.operators.estimate import estimate_pi, random_points
-from tidewater.operators.sorting import md5_prefix_value, total_order_sort, validate_sorted
+from tidewater.operators.sorting import total_order_sort, validate_sorted
 from tidewater.plans.probes import catalog_table_probe, run_probes
 from tidewater.schema import FileClass
 from tidewater.sources.generated import load_json_documents
@@ -29,10 +29,10 @@ def test_json_array_document_count(spark, tmp):
 def test_sort_validation_detects_disorder(spark, tmp):
     data = spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("key"), "id")
     total_order_sort(data, "key", 4).write.parquet(f"{tmp}/sorted")
-    ok = validate_sorted(spark, f"{tmp}/sorted", "key", md5_prefix_value("id")).first()
+    ok = validate_sorted(spark, f"{tmp}/sorted", "key").first()
     assert ok["n"] == 5000 and ok["inversions"] == 0
     data.write.parquet(f"{tmp}/unsorted")
-    bad = validate_sorted(spark, f"{tmp}/unsorted", "key", md5_prefix_value("id")).first()
+    bad = validate_sorted(spark, f"{tmp}/unsorted", "key").first()
     assert bad["n"] == 5000 and bad["inversions"] > 0 and bad["checksum"] == ok["checksum"]
 
 
@@ -76,12 +76,34 @@ def test_sort_spreads_a_hot_key_over_partitions(spark, tmp):
     sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
     assert max(sizes) < 10000 * 0.9          # the 10000 "m" rows are not all in one task
     out.write.parquet(f"{tmp}/hot")
-    v = validate_sorted(spark, f"{tmp}/hot", "key", md5_prefix_value("id")).first()
+    v = validate_sorted(spark, f"{tmp}/hot", "key").first()
     assert v["n"] == 30000 and v["inversions"] == 0
 
 
 def test_sort_validation_compares_numeric_keys_as_numbers(spark, tmp):
     data = spark.range(2000).select((F.col("id") * 7 % 2000).alias("key"), "id")
     total_order_sort(data, "key", 3).write.parquet(f"{tmp}/num")
-    v = validate_sorted(spark, f"{tmp}/num", "key", md5_prefix_value("id")).first()
+    v = validate_sorted(spark, f"{tmp}/num", "key").first()
     assert v["n"] == 2000 and v["inversions"] == 0
+
+
+def test_sort_validation_with_nulls_large_numbers_and_nan(spark, tmp):
+    def inversions(rows, ddl, name):
+        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(f"{tmp}/{name}")
+        return validate_sorted(spark, f"{tmp}/{name}", "k").first()["inversions"]
+
+    big = 9007199254740992
+    assert inversions([(None,), ("a",), ("b",)], "k string", "s1") == 0
+    assert inversions([("a",), (None,), ("b",)], "k string", "s2") == 1
+    assert inversions([(None,), (big + 1,), (big,)], "k bigint", "n1") == 1
+    assert inversions([(None,), (1.0,), (float("nan"),)], "k double", "d1") == 0
+    assert inversions([(float("nan"),), (1.0,)], "k double", "d2") == 1
+    assert inversions([(False,), (True,), (False,)], "k boolean", "b1") == 1
+
+
+def test_sort_checksum_covers_the_row_and_cannot_overflow(spark, tmp):
+    rows = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 7).alias("v"))
+    rows.write.parquet(f"{tmp}/a")
+    rows.withColumn("v", F.col("v") + F.when(F.col("k") == 5, 1).otherwise(0)).write.parquet(f"{tmp}/b")
+    a, b = (validate_sorted(spark, f"{tmp}/{x}", "k").first()["checksum"] for x in "ab")
+    assert a != b and a > 1 << 63

@@ -69,10 +69,6 @@ PROBE_LINE = "%-30s - %s"
 TEST_LINE = "%-50s - %s"
 
 
-def status_word(ok) -> Column:
-    return F.when(as_col(ok), F.lit(SUCCESS)).otherwise(F.lit(FAILURE))
-
-
 def padded_status(name, status, width: int = 50) -> Column:
     """``<name padded to width> - <status>``."""
     return F.format_string(f"%-{int(width)}s - %s", as_col(name), as_col(status))

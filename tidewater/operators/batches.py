@@ -77,12 +77,11 @@ def balance(classified: DataFrame, classes) -> DataFrame:
     )
 
 
-def pair(classified: DataFrame, num_partitions: int | None = None,
-         known_rows: int | None = None) -> DataFrame:
+def pair(classified: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """``batch_index``: the file's 1-based position within its class in name
     order (full path breaks ties); the i-th files of all classes form batch i."""
     return group_ordinal(classified, ["class_pos"], ["name", "path"], name="batch_index",
-                         num_partitions=num_partitions, known_rows=known_rows)
+                         num_partitions=num_partitions)
 
 
 def markers(names: DataFrame, path_col: str = "path") -> DataFrame:
@@ -104,7 +103,7 @@ def gate(paired: DataFrame, names: DataFrame, path_col: str = "path") -> DataFra
 
 def batch_id(paths_col: Column) -> Column:
     """Stable id of a batch from the sorted full paths of its files."""
-    return F.substring(F.sha2(F.concat_ws("\n", F.array_sort(paths_col)), 256), 1, 20)
+    return F.sha2(F.concat_ws("\n", F.array_sort(paths_col)), 256)
 
 
 def batches(gated: DataFrame) -> DataFrame:
@@ -118,13 +117,10 @@ def batches(gated: DataFrame) -> DataFrame:
 
 
 def manifest(names: DataFrame, classes, path_col: str = "path",
-             num_partitions: int | None = None, on: str = "name",
-             known_rows: int | None = None) -> DataFrame:
+             num_partitions: int | None = None, on: str = "name") -> DataFrame:
     """Per file: path, name, class, ``batch_index``, ``batch_id``, marker
-    status and the batch's ``ready`` flag.  ``known_rows`` bounds the number
-    of classified files (listing size times classes) when the caller knows
-    it."""
-    gated = gate(pair(classify(names, classes, path_col, on), num_partitions, known_rows), names, path_col)
+    status and the batch's ``ready`` flag."""
+    gated = gate(pair(classify(names, classes, path_col, on), num_partitions), names, path_col)
     # A batch holds one file per class (configuration-sized), so its verdict
     # is a window over the batch rather than an aggregate joined back.
     batch = Window.partitionBy("batch_index")

@@ -27,8 +27,3 @@ def random_points(spark: SparkSession, n: int, seed: int = 42, slices: int | Non
     """``n`` seeded uniform points in the unit square, generated on executors."""
     df = spark.range(0, n, 1, slices) if slices else spark.range(n)
     return df.select(F.rand(seed).alias("x"), F.rand(seed + 1).alias("y"))
-
-
-def pi_message(pi_col: Column) -> Column:
-    """``Pi is roughly <value>``, the text the probe checks for."""
-    return F.concat(F.lit("Pi is roughly "), pi_col.cast("string"))

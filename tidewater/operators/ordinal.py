@@ -25,39 +25,23 @@ _PID = "_ord_pid"
 _LOCAL = "_ord_local"
 
 
-def _num_partitions(df: DataFrame, requested: int | None) -> int:
-    if requested:
-        return int(requested)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-# Largest input for which a plain window (one task per group) is used: a
-# group then holds at most this many rows, a proven bound.
-SMALL_INPUT_ROWS = 100_000
-
-
 def group_ordinal(df: DataFrame, group_cols, order_cols, name: str = "ordinal",
-                  num_partitions: int | None = None, known_rows: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None) -> DataFrame:
     """Add a 1-based ``name`` column: the row's position inside its group
     when ordered by ``order_cols`` (ascending, NULLs first).  Ties get distinct
-    consecutive positions in an arbitrary order.  ``group_cols`` may be empty
-    (one global sequence).  ``known_rows``: the caller's exact row count,
-    when known; at most :data:`SMALL_INPUT_ROWS` selects a plain window."""
+    consecutive positions, in the order of a hash of the whole row.
+    ``group_cols`` may be empty (one global sequence).  Without
+    ``num_partitions`` adaptive execution sizes the partitions."""
     group_cols = list(group_cols)
     order_cols = list(order_cols)
-    if known_rows is not None and known_rows <= SMALL_INPUT_ROWS:
-        # Size-checked shortcut: no group can exceed the bound, so the
-        # plain window is both correct and cheapest.
-        base = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
-        return df.withColumn(name, F.row_number().over(base.orderBy(*order_cols)).cast("long"))
     keys = group_cols + order_cols
-    n = _num_partitions(df, num_partitions)
 
     # A row hash after the keys lets the range partitioner split even a run
     # of tied keys (a hot (group, order) value) over several partitions.
     tiebreak = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields
                             if not isinstance(f.dataType, MapType)] or [F.lit(0)])
-    ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys], tiebreak)
+    count = [num_partitions] if num_partitions else []
+    ranged = (df.repartitionByRange(*count, *[F.col(k) for k in keys], tiebreak)
                 .sortWithinPartitions(*[F.col(k) for k in keys], tiebreak))
     # monotonically_increasing_id = (partition id << 33) + record number in
     # the partition; after the local sort the record number is the position.

@@ -2,27 +2,21 @@
 
 The sort is a range partitioning on the key followed by a local sort, written
 as one file per partition.  Validation never re-sorts: each scan split of the
-written files is summarised in place (first/last key, count, inversions
-inside the split, checksum), then consecutive splits are compared at their
-boundaries.  The summary table has one row per split, whatever the data size.
+written files is summarised in place (first and last key, rows, inversions
+inside the split), then consecutive splits are compared at their boundaries.
+The summary table has one row per split, whatever the data size.  Keys keep
+their type throughout; NULL sorts first and NaN last, as in Spark.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from ..session import work_dir
+from ..session import staged
 from .ordinal import group_ordinal
 
-def _split_schema(key_type: str) -> str:
-    return (f"file string, first_row long, n long, first_key {key_type}, last_key {key_type}, "
-            "inversions long, checksum long")
-
 
 def row_hash(df: DataFrame) -> Column:
     """Deterministic hash of a row's hashable columns (maps excluded)."""
@@ -37,78 +31,99 @@ def md5_prefix_value(column, start: int = 1) -> Column:
     return F.conv(F.substring(F.md5(c.cast("string")), start, 8), 16, 10).cast("bigint")
 
 
+def row_checksum(*columns) -> Column:
+    """The first 16 hex digits of the md5 of a row's columns as text, joined
+    with ``|`` (NULL as ``~``), as a decimal number: an engine-independent
+    checksum of the whole row whose sum cannot overflow."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
+    return F.conv(F.substring(F.md5(text), 1, 16), 16, 10).cast("decimal(20,0)")
+
+
 def total_order_sort(df: DataFrame, key: str, num_partitions: int | None = None) -> DataFrame:
     """Range-partition on ``key`` and sort each partition: partition i holds
     keys at most those of partition i+1, so the files written in partition
-    order are globally sorted.
+    order are globally sorted.  Without ``num_partitions`` adaptive execution
+    sizes the partitions.
 
     A deterministic hash of the whole row is a secondary range key: rows
     sharing one hot key value (say a third of the data) are spread over many
     partitions instead of landing in one task.  Equal keys have no required
     order, so the result is still sorted by ``key``."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = [num_partitions] if num_partitions else []
     tiebreak = row_hash(df)
-    return df.repartitionByRange(n, F.col(key), tiebreak).sortWithinPartitions(F.col(key), tiebreak)
-
-
-def _summarise_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    state: dict[str, list] = {}
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        for file, part in pdf.groupby("file", sort=False):
-            part = part.sort_values("row")
-            keys = part["key"].to_numpy()
-            inv = int((keys[1:] < keys[:-1]).sum()) if len(keys) > 1 else 0
-            s = state.get(file)
-            if s is None:
-                state[file] = [int(part["row"].iloc[0]), len(keys), keys[0], keys[-1], inv,
-                               int(part["ck"].sum())]
-            else:
-                inv += int(keys[0] < s[3])
-                s[1] += len(keys)
-                s[3] = keys[-1]
-                s[4] += inv
-                s[5] += int(part["ck"].sum())
-    if state:
-        yield pd.DataFrame(
-            [(f, *v) for f, v in state.items()],
-            columns=["file", "first_row", "n", "first_key", "last_key", "inversions", "checksum"],
-        )
-
-
-def split_summaries(spark: SparkSession, path: str, key: str, checksum: Column) -> DataFrame:
+    return df.repartitionByRange(*count, F.col(key), tiebreak).sortWithinPartitions(F.col(key), tiebreak)
+
+
+def _summariser():
+    """The task's function, complete in itself: executors need no package."""
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def inversions(before, after):
+            """Neighbours in the wrong order; NULL first, NaN last."""
+            if pa.types.is_boolean(before.type):
+                before, after = before.cast(pa.int8()), after.cast(pa.int8())
+            wrong = pc.fill_null(pc.less(after, before), False)
+            wrong = pc.or_(wrong, pc.and_(pc.is_null(after), pc.is_valid(before)))
+            if pa.types.is_floating(before.type):
+                drop = pc.and_(pc.is_nan(before), pc.invert(pc.is_nan(after)))
+                wrong = pc.or_(wrong, pc.fill_null(drop, False))
+            return pc.sum(wrong.cast(pa.int64())).as_py() or 0
+
+        splits = {}
+        for batch in batches:
+            files = batch.column("file")
+            for file in pc.unique(files).to_pylist():
+                part = batch.filter(pc.equal(files, file)).sort_by("row")
+                keys = part.column("key")
+                state = splits.setdefault(file, [part.column("row")[0].as_py(), 0, keys[:1], keys[:0], 0])
+                if len(state[3]):
+                    state[4] += inversions(state[3], keys[:1])
+                state[4] += inversions(keys[:-1], keys[1:])
+                state[1] += len(keys)
+                state[3] = keys[-1:]
+        for file, (row, n, first, last, wrong) in splits.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([file]), pa.array([row], pa.int64()), pa.array([n], pa.int64()), first, last,
+                 pa.array([wrong], pa.int64())],
+                names=["file", "first_row", "n", "first_key", "last_key", "inversions"])
+
+    return run
+
+
+def split_summaries(spark: SparkSession, path: str, key: str) -> DataFrame:
     """One row per scan split of the sorted parquet output at ``path``."""
     data = spark.read.parquet(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("row"),
         F.col(key).alias("key"),
-        checksum.alias("ck"),
     )
-    # Keys keep their own type, so numbers compare as numbers.
-    return data.mapInPandas(_summarise_splits, _split_schema(data.schema["key"].dataType.simpleString()))
+    kind = data.schema["key"].dataType.simpleString()
+    return data.mapInArrow(_summariser(), f"file string, first_row long, n long, first_key {kind}, "
+                                          f"last_key {kind}, inversions long")
 
 
-def validate_sorted(spark: SparkSession, path: str, key: str, checksum: Column) -> DataFrame:
+def validate_sorted(spark: SparkSession, path: str, key: str) -> DataFrame:
     """One row ``n, checksum, inversions`` for sorted parquet output.
 
-    ``inversions`` counts adjacent pairs out of order, inside splits and at
-    the boundaries between consecutive splits (file name order, then row
-    position); 0 means the output is totally ordered."""
-    # One summary row per split: staged once (it is read twice below), and
-    # its exact size selects the pairing strategy.
-    stage = work_dir(spark, "splits")
-    split_summaries(spark, path, key, checksum).write.mode("overwrite").parquet(stage)
-    summaries = spark.read.parquet(stage)
-    splits = group_ordinal(summaries, [], ["file", "first_row"], name="pos",
-                           known_rows=summaries.count())
-    prev = splits.select((F.col("pos") + 1).alias("pos"), F.col("last_key").alias("prev_last"))
-    boundary = (splits.join(prev, "pos", "left")
-                      .select("n", "checksum", "inversions",
-                              (F.col("prev_last").isNotNull() & (F.col("first_key") < F.col("prev_last")))
-                              .cast("long").alias("boundary_inv")))
-    return boundary.agg(
-        F.sum("n").cast("bigint").alias("n"),
-        F.sum("checksum").cast("bigint").alias("checksum"),
-        (F.sum("inversions") + F.sum("boundary_inv")).cast("bigint").alias("inversions"),
-    )
+    ``checksum`` (decimal) is the sum of :func:`row_checksum` over all columns
+    of the stored rows.  ``inversions`` counts adjacent pairs out of order,
+    inside splits and at the boundaries between consecutive splits (file name
+    order, then row position); 0 means the output is totally ordered."""
+    summaries = staged(split_summaries(spark, path, key), "splits")
+    splits = group_ordinal(summaries, [], ["file", "first_row"], name="pos")
+    prev = splits.select((F.col("pos") + 1).alias("pos"), F.col("last_key").alias("prev_last"),
+                         F.lit(True).alias("has_prev"))
+    wrong = F.coalesce(F.col("first_key") < F.col("prev_last"),
+                       F.col("first_key").isNull() & F.col("prev_last").isNotNull())
+    between = splits.join(prev, "pos", "left").select(
+        F.lit(0).cast("long").alias("n"), F.lit(0).cast("decimal(38,0)").alias("checksum"),
+        (F.col("inversions") + F.when(F.col("has_prev") & wrong, 1).otherwise(0)).alias("inversions"))
+    data = spark.read.parquet(path)
+    rows = data.agg(F.count(F.lit(1)).alias("n"),
+                    F.sum(row_checksum(*data.columns)).cast("decimal(38,0)").alias("checksum"),
+                    F.lit(0).cast("long").alias("inversions"))
+    return rows.union(between).agg(
+        F.sum("n").alias("n"), F.coalesce(F.sum("checksum").cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+        .alias("checksum"), F.sum("inversions").alias("inversions"))

@@ -39,6 +39,7 @@ AUDIT_SCHEMA = StructType([
     StructField("pltfrm_nm", StringType()),
     StructField("aplctn_nm", StringType()),
 ])
+# The partition columns of the audit log.
 PARTITIONS = ("pltfrm_nm", "aplctn_nm")
 
 
@@ -112,10 +113,10 @@ def audited_run(spark: SparkSession, platform: str, application: str, tables, lo
     finally:
         run.end = _now()
         if tables:
-            rows = audit_rows(spark, platform, application, tables, run.start, run.end, run.success,
-                              workflow_id, spark.sparkContext.applicationId, out.getvalue(), err.getvalue())
             try:
-                append_by_name(rows, log_table)
+                append_by_name(audit_rows(
+                    spark, platform, application, tables, run.start, run.end, run.success, workflow_id,
+                    spark.sparkContext.applicationId, out.getvalue(), err.getvalue()), log_table)
             except Exception as exc:  # logging must not change the run's outcome
                 print(f"audit logging failed: {exc}", file=sys.__stderr__)
 

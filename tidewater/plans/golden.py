@@ -9,23 +9,26 @@ aggregation yields the differences of every spec at once.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
-from urllib.parse import unquote
+from urllib.parse import parse_qs, unquote
 
-from ..functions.specs import SPEC_ITEM_SEP, SPEC_FIELD_SEP
+from ..functions.specs import SPEC_FIELD_SEP, SPEC_ITEM_SEP
 from ..functions.text import FAILURE, SUCCESS, TEST_LINE, padded_status
 from ..operators.compare import drop_volatile, multiset_difference, normalised
 from ..sinks.tables import overwrite_from_self
 
 
 def parse_spec(spec: str) -> tuple[str, str, str]:
-    """``table|fields|condition`` split at the first and the last ``|``."""
-    first, last = spec.find(SPEC_FIELD_SEP), spec.rfind(SPEC_FIELD_SEP)
-    if first < 0:
+    """``table|fields|condition``; fields may hold further ``|``."""
+    table, first, rest = spec.partition(SPEC_FIELD_SEP)
+    if not first:
         raise ValueError(f"spec without '|': {spec!r}")
-    return spec[:first], spec[first + 1:last], spec[last + 1:]
+    fields, _, condition = rest.rpartition(SPEC_FIELD_SEP)
+    return table, fields, condition
 
 
 def split_spec_list(specs: str) -> list[str]:
@@ -36,17 +39,32 @@ def split_spec_list(specs: str) -> list[str]:
 def spec_frame(spark: SparkSession, spec: str, database: str | None = None) -> DataFrame:
     """The projection a spec selects: ``SELECT fields FROM db.table [WHERE cond]``.
 
-    Fields and condition are SQL fragments by definition of the spec format;
-    the table name is bound as an identifier."""
+    Fields and condition are SQL fragments by definition of the spec format
+    and may name columns as ``table.column``; the table name is bound as an
+    identifier."""
     name, fields, condition = parse_spec(spec)
-    qualified = f"{database}.{name}" if database else name
-    base = spark.table(qualified)
-    # Fields is a select list; evaluate it in a projection of the table.
-    base.createOrReplaceTempView("_tidewater_spec_src")
-    sql = f"SELECT {fields} FROM _tidewater_spec_src"
+    sql = f"SELECT {fields} FROM IDENTIFIER(:spec_table)"
     if condition:
         sql += f" WHERE {condition}"
-    return spark.sql(sql)
+    return spark.sql(sql, args={"spec_table": f"{database}.{name}" if database else name})
+
+
+_TERM = re.compile(r'(-?)(\w+):(?:"([^"]*)"|(\S+))')  # *:* is no term: it selects everything
+
+
+def collection_frame(docs: DataFrame, query: str) -> DataFrame:
+    """The documents that a collection line's query selects: ``q`` and ``fq``
+    parameters of ``field:value`` terms (all must hold; ``*`` is any value, a
+    leading ``-`` negates, quotes keep blanks), ``fl`` as the list of fields.  Text
+    before a ``?`` and other parameters are of no effect here."""
+    parameters = parse_qs(query.partition("?")[2] or query, keep_blank_values=False)
+    for text in parameters.get("q", []) + parameters.get("fq", []):
+        for minus, name, quoted, plain in _TERM.findall(text):
+            value = quoted or plain
+            hit = F.col(f"`{name}`").isNotNull() if value == "*" else F.col(f"`{name}`").cast("string") == F.lit(value)
+            docs = docs.where(~F.coalesce(hit, F.lit(False)) if minus else hit)
+    fields = [f for text in parameters.get("fl", []) for f in re.split(r"[,\s]+", text) if f and f != "*"]
+    return docs.select(*[F.col(f"`{f}`") for f in fields]) if fields else docs
 
 
 def json_lines(df: DataFrame) -> DataFrame:
@@ -88,32 +106,35 @@ def report(diffs: DataFrame, name_col: str, width: int = 50) -> DataFrame:
 
 
 def run_golden(spark: SparkSession, specs, expected_root: str, database: str | None = None,
-               collections=None) -> DataFrame:
+               collections=()) -> DataFrame:
     """Compare every spec's table with ``expected_root/<table>/*`` and every
-    collection's saved response with ``expected_root/<collection>/*`` in one
-    job.  ``collections`` maps a collection name to a DataFrame of response
-    lines (``value``).  Returns one report line per table/collection."""
-    actual_parts, expected_parts = [], []
-    for spec in specs:
-        name = parse_spec(spec)[0]
-        actual_parts.append(json_lines(spec_frame(spark, spec, database)).withColumn("test", F.lit(name)))
-        expected_parts.append(_expected_lines(spark, f"{expected_root.rstrip('/')}/{name}")
-                              .withColumn("test", F.lit(name)))
-    for name, lines in (collections or {}).items():
-        actual_parts.append(drop_volatile(lines).withColumn("test", F.lit(name)))
-        expected_parts.append(drop_volatile(_expected_lines(spark, f"{expected_root.rstrip('/')}/{name}"))
-                              .withColumn("test", F.lit(name)))
-    if not actual_parts:
+    collection's response with ``expected_root/<collection>/*`` in one job.
+
+    One report line per spec and collection entry, in their order.  Of several
+    specs on one table the last one's rows are compared, as its export
+    replaces the earlier ones.  ``collections`` holds (name, DataFrame of
+    response lines ``value``) pairs (or is a mapping), each a test of its own."""
+    if isinstance(collections, dict):
+        collections = list(collections.items())
+    last = {parse_spec(s)[0]: s for s in specs}
+    tests = [(name, json_lines(spec_frame(spark, s, database)), False) for name, s in last.items()]
+    tests += [(name, lines, True) for name, lines in collections]
+    if not tests:
         return spark.createDataFrame([], "line string, test string, status string")
-    actual = _union(actual_parts)
-    expected = _union(expected_parts)
-    diffs = compare_lines(actual, expected, keys=("test",))
+    sides = []
+    for side in (0, 1):
+        parts = []
+        for k, (name, actual, volatile) in enumerate(tests):
+            lines = actual if side == 0 else _expected_lines(spark, f"{expected_root.rstrip('/')}/{name}")
+            parts.append((drop_volatile(lines) if volatile else lines).withColumn("key", F.lit(k)))
+        sides.append(_union(parts))
+    diffs = compare_lines(*sides, keys=("key",))
     # A test whose lines are all blank on both sides has no group: success.
-    names = spark.createDataFrame([(n,) for n in
-                                   [parse_spec(s)[0] for s in specs] + list((collections or {}).keys())],
-                                  "test string")
-    full = (names.join(diffs, "test", "left")
-                 .na.fill(0, ["only_actual", "only_expected"]))
+    position = {name: k for k, (name, _, volatile) in enumerate(tests) if not volatile}
+    listed = [(position[parse_spec(s)[0]], parse_spec(s)[0]) for s in specs]
+    listed += [(len(last) + k, name) for k, (name, _) in enumerate(collections)]
+    names = spark.createDataFrame([(at, *x) for at, x in enumerate(listed)], "at int, key int, test string")
+    full = (names.join(diffs, "key", "left").na.fill(0, ["only_actual", "only_expected"]).orderBy("at"))
     return report(full, "test", width=int(TEST_LINE[2:4]))
 
 
@@ -164,17 +185,18 @@ def append_results(report: DataFrame, results_path: str, run: str, part: str = "
            .write.mode("append").partitionBy("run").parquet(results_path))
 
 
-def consolidated_report(spark: SparkSession, results_path: str) -> DataFrame:
-    """All result lines of all runs, ordered by run, time, part and test."""
-    return (spark.read.parquet(results_path)
-                 .orderBy("run", "recorded_at", "part", "test"))
+def consolidated_report(spark: SparkSession, results_path: str, run: str | None = None) -> DataFrame:
+    """All result lines of a run (or of all), ordered by run, time, part and test."""
+    results = spark.read.parquet(results_path)
+    return (results if run is None else results.where(F.col("run") == run)).orderBy(
+        "run", "recorded_at", "part", "test")
 
 
-def write_consolidated_report(spark: SparkSession, results_path: str, out_path: str) -> str:
-    """All result lines as one text file, in report order.  The report has
-    one line per test, so funnelling it through a single task is cheap;
+def write_consolidated_report(spark: SparkSession, results_path: str, out_path: str, run: str) -> str:
+    """A run's result lines as one text file, in report order.  It has one
+    line per test of the run, so funnelling it through a single task is cheap;
     ``orderBy`` then ``coalesce(1)`` keeps the order."""
-    (consolidated_report(spark, results_path).select("line")
+    (consolidated_report(spark, results_path, run).select("line")
         .coalesce(1).write.mode("overwrite").text(out_path))
     return out_path
 
@@ -198,8 +220,8 @@ def run_test_dir(spark: SparkSession, test_dir: str, database: str | None = None
     """Run one regression test directory.
 
     Layout: ``<test>/*.list`` (specs), optional ``<test>/collections``
-    (``name,query`` lines; the collection is a table of documents, compared
-    as JSON lines), and either ``<test>/expected`` or one sub-directory per
+    (``name,query`` lines; the collection is a table of documents, and what
+    the query selects is compared as JSON lines), and either ``<test>/expected`` or one sub-directory per
     part, each with ``expected/``.  Parts run in name order on accumulating
     state; ``run_part(part_dir)`` does the part's work first (it replaces
     putting inputs and starting workflows).  Returns the report of all
@@ -211,10 +233,9 @@ def run_test_dir(spark: SparkSession, test_dir: str, database: str | None = None
         specs = [r["spec"] for r in read_spec_lines(spark, f"{base}/*.list").collect()]
     except AnalysisException:
         specs = []
-    collections = {}
+    collections = []
     try:
-        for r in read_collection_lines(spark, f"{base}/collections").collect():
-            collections[r["collection"]] = r["query"]
+        collections = [tuple(r) for r in read_collection_lines(spark, f"{base}/collections").collect()]
     except AnalysisException:
         pass
     try:
@@ -235,8 +256,8 @@ def run_test_dir(spark: SparkSession, test_dir: str, database: str | None = None
         part_dir = f"{base}/{part}" if part else base
         if run_part is not None:
             run_part(part_dir)
-        coll = {name: json_lines(spark.table(f"{database}.{name}" if database else name))
-                for name in collections}
+        coll = [(name, json_lines(collection_frame(spark.table(f"{database}.{name}" if database else name), query)))
+                for name, query in collections]
         report = run_golden(spark, specs, f"{part_dir}/expected", database, coll)
         # Later parts change the tables: fix this part's verdict now (one row
         # per table or collection).

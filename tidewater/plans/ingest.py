@@ -1,21 +1,24 @@
 """Batch ingest of a landing zone (manifest -> balance -> gate -> parse ->
 transform -> validate -> append -> ledger).
 
-Shape of the work, independent of the number of files:
-
-0. the manifest over the file *names* (classes, sibling pairing, marker
-   gate, earlier outcomes) is staged once on shared storage;
-1. one scan of the landing folders per reader kind stages the raw lines of
-   every ready file, joined to its batch;
-2. one job aggregates per batch: lines, bad lines, rows, bad keys, failed
-   casts (the verdict, staged);
-3. one write job per table appends the rows of the good batches only
-   (semi-join with the verdict);
+Shape of the work:
+
+0. files of batches that the ledger has as archived or failed are taken out of
+   the listing; what is left is classified, balanced, paired and gated, and the
+   manifest is staged once on shared storage;
+1. ready batches are worked off in rounds of a bounded number of files, so
+   that the list of paths and the broadcast manifest of a round are bounded,
+   however much has landed; every round parses its files once into a columnar
+   stage, with no shuffle of lines;
+2. the transform's rows, cast to the target's types and flagged, are staged
+   too; the verdict of every batch is aggregated from the stages;
+3. one write job per table appends the rows of the good batches only;
 4. one job quarantines the bad lines of failed batches;
-5. the ledger rows, built by a join, are written last.  A batch counts as
-   ingested only once its ledger row exists; target tables partitioned by
-   ``ingest_batch`` make a replay after a crash between (3) and (5)
-   overwrite, not duplicate.
+5. the round's ledger rows are written last.  A batch counts as ingested only
+   once its ledger row exists (:func:`committed_rows` reads a table that way);
+   target tables partitioned by ``ingest_batch`` make a replay after a crash
+   between (3) and (5) overwrite, not duplicate.  Plain tables have no such
+   key: the same crash leaves their rows there twice.
 """
 
 from __future__ import annotations
@@ -25,23 +28,33 @@ import logging
 import re
 import time
 import uuid
-from dataclasses import dataclass
-from urllib.parse import unquote
+from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException, PythonException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from urllib.parse import unquote
+
 from ..functions.paths import route
 from ..operators.batches import ARCHIVED, DEFERRED, FAILED, manifest
 from ..operators.quality import bad_key
-from ..sinks.ledger import LEDGER_SCHEMA, append_ledger, append_quarantine, read_ledger, terminal_batches
-from ..sinks.files import delete_path
-from ..sinks.tables import append_typed, cast_positional
 from ..session import work_dir
+from ..sinks.files import delete_path
+from ..sinks.ledger import (LEDGER_SCHEMA, append_ledger, append_quarantine, archived_batches, finished_files,
+                            path_missing, read_ledger)
+from ..sinks.tables import BATCH_COLUMN, append_typed, cast_positional, data_columns, drop_batches
 from ..sources.delimited import header_kind, parse_class_lines, read_lines, read_lines_after_header
 
 BATCH = "_batch_id"
+#: Files of one round: bounds the driver's list of paths and the broadcast
+#: manifest (some 300 bytes a file).
+ROUND_FILES = 20_000
+#: Batches united in one plan when a transform has to run batch by batch.
+PLAN_BATCHES = 16
+#: Folder names that routing replaces: landing, archive, failure.
+LEDGER_ARGS = ("landing", "archive", "failure")
 log = logging.getLogger("tidewater.ingest")
 
 
@@ -50,6 +63,8 @@ def _phase(name: str):
     start = time.time()
     yield
     log.debug("%-24s %.2fs", name, time.time() - start)
+
+
 NAMES_SCHEMA = StructType([StructField("path", StringType(), False),
                            StructField("file_key", StringType(), False)])
 
@@ -79,7 +94,9 @@ def _listing(spark: SparkSession, landing_dir: str) -> list:
     reports for the same file."""
     try:
         uris = spark.read.format("binaryFile").load(landing_dir).inputFiles()
-    except Exception:  # missing or empty landing folder
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
         uris = []
     rows = []
     for uri in uris:
@@ -99,12 +116,25 @@ def file_key_col(path_col: str = "_file"):
     return F.regexp_replace(F.col(path_col), r"^([A-Za-z][A-Za-z0-9+.-]*:)//(/)", "$1$2")
 
 
+_SQL_TOKEN = re.compile(r"""'(?:[^'\\]|''|\\.)*'|"(?:[^"\\]|""|\\.)*"|[^'"]+|['"]""", re.S)
+
+
 def legacy_to_named(sql: str) -> str:
-    """``'%s'`` / ``%s`` user slots become the ``:user`` parameter; ``%%`` is
-    a literal ``%``."""
-    parts = sql.split("%%")
-    parts = [re.sub(r"'%s'|\"%s\"|%s", ":user", p) for p in parts]
-    return "%".join(parts)
+    """``%s`` user slots become the ``:user`` parameter: a literal that is
+    one slot as a whole, a slot within a longer literal by concatenation, so
+    that the user's name is never SQL text.  ``%%`` is a literal ``%``."""
+    out = []
+    for token in _SQL_TOKEN.findall(sql):
+        quote = token[0] if token[0] in "'\"" and len(token) > 1 else ""
+        pieces = [p.replace("\0", "%") for p in token.replace("%%", "\0").split("%s")]
+        if not quote or len(pieces) == 1:
+            out.append(":user".join(pieces))
+        elif pieces == [quote, quote]:
+            out.append(":user")
+        else:
+            pieces[0], pieces[-1] = pieces[0][1:], pieces[-1][:-1]
+            out.append("concat(" + ", :user, ".join(f"{quote}{p}{quote}" for p in pieces) + ")")
+    return "".join(out)
 
 
 def apply_transform(spark: SparkSession, file_class, raw: DataFrame, user: str) -> DataFrame:
@@ -119,258 +149,274 @@ def apply_transform(spark: SparkSession, file_class, raw: DataFrame, user: str)
     return spark.sql(sql)
 
 
-def _target_schema(spark, file_class, database):
-    return spark.table(file_class.qualified_table(database)).schema
-
-
 def ingest(spark: SparkSession, classes, top_directory: str, database: str | None = None,
            landing_folder: str = "landing", failure_folder: str = "failure",
            archive_folder: str = "archive", ledger_path: str | None = None,
            quarantine_path: str | None = None, user: str | None = None,
            names: DataFrame | None = None, per_file_counts: bool = True,
-           match_on: str = "name", keep_stage: bool = False) -> IngestResult:
+           match_on: str = "name", keep_stage: bool = False,
+           round_files: int = ROUND_FILES) -> IngestResult:
     """Ingest every ready batch of the landing folder into the classes' tables.
 
-    Raises :class:`ImbalanceError` before any write when the classes have
-    different file counts.  Returns the run's ledger rows and the number of
-    files in failed batches.
-
-    Nothing per file or per batch is collected to the driver: the manifest,
-    the verdicts and the ledger rows are Spark datasets staged on shared
-    storage; the driver sees per-class counts and a few scalars (and the
-    batch ids only when a transform has to run batch by batch)."""
-    classes = list(classes)
-    run_id = uuid.uuid4().hex[:16]
+    Files of finished batches take no part: they are neither counted nor
+    paired again.  Raises :class:`ImbalanceError` before any write when the
+    classes have different numbers of other files, and passes on errors of
+    configuration or storage (a missing table, SQL that cannot be analysed);
+    the batches then stay pending.  Errors that the data cause fail their batch
+    only, and so does an error while its rows are appended.
+
+    Returns the run's ledger rows and the number of files in failed batches.
+    The driver sees counts per class and round, the paths of one round's
+    files, and batch ids only where an error has to be isolated or a transform
+    runs batch by batch."""
+    run = _Run(spark, list(classes), database, user or spark.sparkContext.sparkUser(), uuid.uuid4().hex[:16])
     top = top_directory.rstrip("/")
     ledger_path = ledger_path or f"{top}/_ledger"
     quarantine_path = quarantine_path or f"{top}/_quarantine"
-    user = user or spark.sparkContext.sparkUser()
-    empty = IngestResult(run_id, spark.createDataFrame([], LEDGER_SCHEMA), 0, None)
-    if not classes:
+    empty = IngestResult(run.run_id, spark.createDataFrame([], LEDGER_SCHEMA), 0, None)
+    if not run.classes:
         return empty
-
-    n_names = None
     if names is None:
-        listing = _listing(spark, f"{top}/{landing_folder}")
-        names, n_names = spark.createDataFrame(listing, NAMES_SCHEMA), len(listing)
+        names = list_landing(spark, f"{top}/{landing_folder}")
     if "file_key" not in names.columns:
         names = names.withColumn("file_key", file_key_col("path"))
-    stage_root = work_dir(spark, f"ingest-stage-{run_id}")
-
-    # 0. Manifest, staged once (it feeds the balance check, the scan join and
-    #    the ledger).  Batches archived or failed by earlier runs are flagged
-    #    by a join with the ledger.
-    with _phase("manifest"):
-        if n_names is None:
-            n_names = names.count()  # a scalar: picks the pairing strategy
-        done = terminal_batches(spark, ledger_path).withColumn("done", F.lit(True))
-        (manifest(names, classes, on=match_on, known_rows=n_names * len(classes))
-            .join(done, "batch_id", "left")
-            .select("path", "file_key", "name", "class_pos", "batch_index", "batch_id", "ready",
-                    F.coalesce("done", F.lit(False)).alias("done"))
-            .write.mode("overwrite").parquet(f"{stage_root}/manifest"))
-        man = spark.read.parquet(f"{stage_root}/manifest")
-
-    # Balance: every class must have the same number of files (a class with
-    # none counts as zero); otherwise the run aborts before any write.  The
-    # same small aggregate (one row per class) counts pending and ready files.
-    with _phase("balance"):
-        stats = {r["class_pos"]: r for r in man.groupBy("class_pos").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum((~F.col("done")).cast("int")).alias("pending"),
-            F.sum((~F.col("done") & F.col("ready")).cast("int")).alias("ready")).collect()}
-        counts = [stats[i]["n"] if i in stats else 0 for i in range(len(classes))]
-    if len(set(counts)) > 1:
-        _cleanup(spark, stage_root, keep_stage)
-        raise ImbalanceError("landing files are unbalanced across classes "
-                             f"({dict(zip((c.table for c in classes), counts))}); nothing was ingested")
-    pending = man.filter(~F.col("done"))
-    ready_files = pending.filter("ready")
-    n_ready = sum(r["ready"] or 0 for r in stats.values())
-    if not sum(r["pending"] or 0 for r in stats.values()):
-        _cleanup(spark, stage_root, keep_stage)
-        return empty
+    run.root = work_dir(spark, f"ingest-stage-{run.run_id}")
+    try:
+        with _phase("manifest"):
+            left = names.join(finished_files(spark, ledger_path), "path", "left_anti")
+            (manifest(left, run.classes, on=match_on)
+                .select("path", "file_key", "name", "class_pos", "batch_index", "batch_id", "ready")
+                .write.parquet(f"{run.root}/manifest"))
+            man = spark.read.parquet(f"{run.root}/manifest")
+        # A class without files counts as zero.
+        per_round = max(1, round_files // len(run.classes))
+        number = F.floor((F.col("batch_index") - 1) / per_round)
+        with _phase("balance"):
+            tally = man.groupBy("class_pos", number.alias("round")).agg(
+                F.count(F.lit(1)).alias("n"), F.sum(F.col("ready").cast("int")).alias("ready")).collect()
+        counts = [sum(r["n"] for r in tally if r["class_pos"] == i) for i in range(len(run.classes))]
+        if len(set(counts)) > 1:
+            raise ImbalanceError("landing files are unbalanced across classes "
+                                 f"({dict(zip((c.table for c in run.classes), counts))}); nothing was ingested")
+        if not counts[0]:
+            return empty
+        run.targets = [spark.table(c.qualified_table(database)).schema for c in run.classes]
+        waiting = man.where("not ready")
+        rounds = sorted({r["round"] for r in tally if r["ready"]})
+        if sum(r["n"] - r["ready"] for r in tally):
+            append_ledger(ledger_rows(run.run_id, waiting, spark.createDataFrame([], VERDICT_SCHEMA),
+                                       landing_folder, archive_folder, failure_folder), ledger_path)
+        counts_path = f"{ledger_path.rstrip('/')}_file_counts" if per_file_counts else None
+        for k in rounds:
+            files = man.where(F.col("ready") & (number == k))
+            verdict = run.work_off(files, f"{run.root}/round-{k}", quarantine_path, counts_path)
+            with _phase("ledger"):
+                append_ledger(ledger_rows(run.run_id, files, verdict, landing_folder, archive_folder,
+                                           failure_folder), ledger_path)
+    finally:
+        if not keep_stage:
+            delete_path(spark, run.root)
+    own = F.col("run_id") == F.lit(run.run_id)
+    ledger = read_ledger(spark, ledger_path).where(own)
+    failed = ledger.where(F.col("outcome") == FAILED).agg(F.sum("n_files")).first()[0] or 0
+    file_counts = spark.read.parquet(counts_path).where(own) if counts_path and rounds else None
+    return IngestResult(run.run_id, ledger, int(failed), file_counts)
+
+
+def committed_rows(spark: SparkSession, table: str, ledger_path: str) -> DataFrame:
+    """Rows of a batch-partitioned table whose batch the ledger has as
+    archived: all tables of a batch come into sight together, and what a
+    crashed run has left behind does not."""
+    done = archived_batches(spark, ledger_path).withColumnRenamed("batch_id", BATCH_COLUMN)
+    return spark.table(table).join(done, BATCH_COLUMN, "left_semi")
+
+
+_DATA_ERROR = re.compile(r"SQLSTATE: (?:21|22|P0)")
+
+
+def _caused_by_data(exc: Exception) -> bool:
+    """Errors that a transform raises on some value: SQL data exceptions,
+    raised errors and Python functions; storage and set-up errors are not."""
+    return isinstance(exc, PythonException) or bool(_DATA_ERROR.search(str(exc)))
+
+
+def _isolate(groups, attempt, data_only: bool) -> dict[str, str]:
+    """Run ``attempt`` on groups of batch ids; a group that raises is halved,
+    down to single batches.  Returns the whole error text of those that fail.
+    k bad batches among n cost about k * log2(n) attempts.  An error that the
+    data did not cause is passed on (``data_only``) or fails its whole group."""
+    errors: dict[str, str] = {}
+    groups = list(groups)
+    while groups:
+        group = groups.pop()
+        try:
+            attempt(group)
+        except Exception as exc:
+            if not _caused_by_data(exc):
+                if data_only:
+                    raise
+                errors.update(dict.fromkeys(group, str(exc)))
+            elif len(group) > 1:
+                groups += [group[:len(group) // 2], group[len(group) // 2:]]
+            else:
+                errors[group[0]] = str(exc)
+    return errors
+
 
-    # 1. Stage raw lines: one scan per reader kind (first line of each file
-    #    skipped, or all lines) over exactly the pending ready files, joined
-    #    with the ready part of the manifest on the file path.  Landed files
-    #    stay where they are, so scanning whole folders would re-read history
-    #    on every run; the list of files to read is what Spark's file index
-    #    holds on the driver for any read, and it grows with this run's new
-    #    files only.  Every new landing byte is read once; validation, append
-    #    and quarantine read the staged copy, and a lost executor never forces
-    #    a second scan of the landing files.
-    with _phase("stage"):
-        raw_path = f"{stage_root}/lines"
-        if n_ready:
-            parts = []
-            for kind in ("first_line", "all"):
-                positions = [i for i, c in enumerate(classes) if header_kind(c) == kind]
-                if not positions:
-                    continue
-                wanted = ready_files.filter(F.col("class_pos").isin(positions))
-                paths = [r["path"] for r in wanted.select("path").distinct().collect()]
-                if not paths:
-                    continue
-                lines = (read_lines_after_header(spark, paths) if kind == "first_line"
-                         else read_lines(spark, paths))
-                keys = wanted.select("file_key", "class_pos", F.col("batch_id").alias(BATCH))
-                parts.append(lines.join(keys, lines["_file"] == keys["file_key"])
-                                  .select("value", "_file", "class_pos", BATCH))
-            _union(parts).write.mode("overwrite").parquet(raw_path)
-        staged_lines = (spark.read.parquet(raw_path) if n_ready else
-                        spark.createDataFrame([], f"value string, _file string, class_pos int, {BATCH} string"))
-    active = [pos for pos in range(len(classes)) if counts[pos]]
-
-    def parsed(pos, only=None):
-        lines = staged_lines.filter(F.col("class_pos") == pos).select("value", "_file", BATCH)
-        if only is not None:
-            lines = lines.join(only, BATCH, "left_semi")
-        return parse_class_lines(lines, classes[pos])
-
-    def register_views(only=None):
-        # All RAW views exist before any transform runs, so a transform may
-        # join its siblings (by _batch_id).
-        for pos in active:
-            fc = classes[pos]
-            good_lines = parsed(pos, only).filter(~F.col("_bad"))
-            good_lines.select(*fc.columns, BATCH).createOrReplaceTempView(fc.raw_view)
-
-    def positional(df):
-        # Binding is by position: give the columns unique names first (two
-        # literal user slots, for instance, share a name).
-        return df.toDF(*[c if c == BATCH else f"_c{i}" for i, c in enumerate(df.columns)])
-
-    def transformed(pos, only=None):
-        fc = classes[pos]
-        out = positional(apply_transform(spark, fc, spark.table(fc.raw_view), user))
-        if BATCH not in out.columns:
-            # A transform that drops _batch_id (written for one file at a
-            # time) runs once per batch over views holding only that batch;
-            # each run is analysed immediately, so it keeps its own views.
-            ids = staged_lines.filter(F.col("class_pos") == pos).select(BATCH).distinct()
+@dataclass
+class _Run:
+    spark: SparkSession
+    classes: list
+    database: str | None
+    user: str
+    run_id: str
+    root: str = ""
+    targets: list = field(default_factory=list)
+
+    def work_off(self, files: DataFrame, stage: str, quarantine_path: str, counts_path: str | None) -> DataFrame:
+        """One round: everything but the ledger rows.  Returns the verdict."""
+        spark, classes = self.spark, self.classes
+        with _phase("stage"):
+            parsed = self._stage_lines(files, f"{stage}/lines")
+        with _phase("typed"):
+            typed, errors = self._stage_typed(parsed, f"{stage}/typed")
+        with _phase("verdict"):
+            per_file = _union([
+                parsed[i].groupBy(BATCH, F.col("_file").alias("file")).agg(
+                    F.count(F.lit(1)).alias("n_lines"),
+                    F.sum(F.col("_bad").cast("int")).cast("bigint").alias("n_bad_lines"))
+                .withColumn("file_class", F.lit(c.table)) for i, c in enumerate(classes)])
+            per_file.write.parquet(f"{stage}/files")
+            per_file = spark.read.parquet(f"{stage}/files")
+            _verdict(files, per_file, typed, spark.createDataFrame(list(errors.items()), f"{BATCH} string, error string")
+                     ).write.parquet(f"{stage}/verdict")
+            verdict = spark.read.parquet(f"{stage}/verdict")
+            bad = verdict.where("any_bad").count()
+        good = verdict.where("not any_bad").select(BATCH)
+        late: dict[str, str] = {}
+        for i, c in enumerate(classes):
+            with _phase(f"append {c.table}"):
+                late |= self._append(i, typed[i].join(good, BATCH, "left_semi"), c.qualified_table(self.database))
+        if late:
+            # all or nothing: what other tables already hold of these batches goes
+            for c in classes:
+                drop_batches(spark, c.qualified_table(self.database), list(late))
+            told = spark.createDataFrame(list(late.items()), f"{BATCH} string, late string")
+            verdict = (verdict.join(told, BATCH, "left")
+                       .withColumn("any_bad", F.col("any_bad") | F.col("late").isNotNull())
+                       .withColumn("error", F.coalesce("error", "late")).drop("late"))
+        if bad:
+            with _phase("quarantine"):
+                failed = verdict.where("any_bad").select(BATCH)
+                append_quarantine(_union([
+                    parsed[i].where("_bad").join(failed, BATCH, "left_semi").select(
+                        F.lit(self.run_id).alias("run_id"), F.col(BATCH).alias("batch_id"),
+                        F.lit(c.table).alias("file_class"), F.col("_file").alias("file"),
+                        F.col("_line").alias("line")) for i, c in enumerate(classes)]), quarantine_path)
+        if counts_path:
+            per_file.withColumn("run_id", F.lit(self.run_id)).write.mode("append").partitionBy("run_id").parquet(counts_path)
+        return verdict
+
+    def _stage_lines(self, files: DataFrame, path: str) -> list[DataFrame]:
+        """The round's files, parsed once, one columnar stage per class.  The
+        round's manifest is bounded and broadcast: lines are not shuffled."""
+        paths: dict[int, list] = {}
+        for r in files.select("class_pos", "path").collect():
+            paths.setdefault(r["class_pos"], []).append(r["path"])
+        out = []
+        for i, c in enumerate(self.classes):
+            read = read_lines_after_header if header_kind(c) == "first_line" else read_lines
+            lines = read(self.spark, paths[i])
+            keys = files.where(F.col("class_pos") == i).select("file_key", F.col("batch_id").alias(BATCH))
+            lines = lines.join(F.broadcast(keys), lines["_file"] == keys["file_key"]).select("value", "_file", BATCH)
+            (parse_class_lines(lines, c).withColumn("_line", F.when(F.col("_bad"), F.col("_line")))
+                .write.parquet(f"{path}/{i}"))
+            out.append(self.spark.read.parquet(f"{path}/{i}"))
+        return out
+
+    def _views(self, parsed: list[DataFrame], only=None) -> None:
+        """All RAW views, so that a transform may join its siblings."""
+        for c, lines in zip(self.classes, parsed):
+            kept = lines.where("not _bad")
             if only is not None:
-                ids = ids.join(only, BATCH, "left_semi")
-            parts = []
-            for b in sorted(r[BATCH] for r in ids.collect()):
-                register_views(spark.createDataFrame([(b,)], f"{BATCH} string"))
-                parts.append(positional(apply_transform(spark, fc, spark.table(fc.raw_view), user))
-                             .withColumn(BATCH, F.lit(b)))
-            register_views(only)
-            if not parts:
-                return None, None
-            out = _union(parts)
-        return cast_positional(out, _target_schema(spark, fc, database), keep=(BATCH,))
-
-    # 2. Verdict per batch: line counts and bad lines from the parse, row
-    #    counts, bad keys and failed casts from the transform output; staged.
-    verdict_path = f"{stage_root}/verdict"
-
-    def verdict_of(only=None):
-        register_views(only)
-        line_parts, stats_parts = [], []
-        for pos in active:
-            fc = classes[pos]
-            line_parts.append(parsed(pos, only).groupBy(BATCH, F.col("_file").alias("file")).agg(
-                F.count(F.lit(1)).alias("n_lines"),
-                F.sum(F.col("_bad").cast("int")).cast("bigint").alias("n_bad_lines"))
-                .withColumn("file_class", F.lit(fc.table)))
-            cast, n_err = transformed(pos, only)
-            if cast is not None:
-                stats_parts.append(cast.groupBy(BATCH).agg(
-                    F.count(F.lit(1)).alias("n_rows"),
-                    F.sum(bad_key(fc.keys, cast.schema).cast("int")).cast("bigint").alias("n_bad_keys"),
-                    F.sum(n_err).cast("bigint").alias("n_cast_errors")))
-        return _verdict(spark, line_parts, stats_parts), line_parts
-
-    line_parts = []
-    with _phase("verdict"):
-        if n_ready:
-            try:
-                verdict, line_parts = verdict_of()
-                verdict.withColumn("error", F.lit(None).cast("string")) \
-                       .write.mode("overwrite").parquet(verdict_path)
-            except Exception as exc:  # a transform raised at run time (ANSI cast, ...)
-                # Isolate the raising batches by bisection: a group of
-                # batches is evaluated in one job; a group that raises is
-                # split in halves, down to single batches, which then fail
-                # on their own (the behaviour of the file-at-a-time ingest
-                # this replaces).  k bad batches among n cost about
-                # k * log2(n) jobs.  A failed job commits nothing.
-                log.warning("set-based verdict failed (%s); isolating the failing batches",
-                            type(exc).__name__)
-                batch_ids = sorted(r[BATCH] for r in staged_lines.select(BATCH).distinct().collect())
-                line_parts = []
-                pending_groups = [batch_ids]
-                while pending_groups:
-                    group = pending_groups.pop()
-                    only = spark.createDataFrame([(b,) for b in group], f"{BATCH} string")
-                    try:
-                        v, parts = verdict_of(only)
-                        (v.withColumn("error", F.lit(None).cast("string"))
-                          .write.mode("append").parquet(verdict_path))
-                        line_parts.extend(parts)
-                    except Exception as group_exc:
-                        if len(group) > 1:
-                            half = len(group) // 2
-                            pending_groups.extend([group[:half], group[half:]])
-                            continue
-                        (spark.createDataFrame(
-                            [(group[0], True, None, None, None, None, None,
-                              str(group_exc).splitlines()[0][:500])],
-                            VERDICT_SCHEMA + ", error string")
-                         .write.mode("append").parquet(verdict_path))
-                register_views()
-            verdict = spark.read.parquet(verdict_path)
-        else:
-            verdict = spark.createDataFrame([], VERDICT_SCHEMA + ", error string")
-    good = verdict.filter(~F.col("any_bad")).select(BATCH)
-    bad = verdict.filter(F.col("any_bad")).select(BATCH)
-    n_good, n_bad = 0, 0
-    if n_ready:
-        tally = verdict.agg(F.sum((~F.col("any_bad")).cast("int")).alias("good"),
-                            F.sum(F.col("any_bad").cast("int")).alias("bad")).first()
-        n_good, n_bad = tally["good"] or 0, tally["bad"] or 0
-
-    # 3. Append the good batches, table by table.
-    if n_good:
-        register_views(good)
-        for pos in active:
-            cast, _ = transformed(pos, good)
-            if cast is None:
-                continue
-            with _phase(f"append {classes[pos].table}"):
-                append_typed(cast.drop("_cast_errors"), classes[pos].qualified_table(database), batch_col=BATCH)
-
-    # 4. Quarantine the bad lines of failed batches.
-    if n_bad:
-        q_parts = [parsed(pos, bad).filter("_bad").select(
-                       F.lit(run_id).alias("run_id"), F.col(BATCH).alias("batch_id"),
-                       F.lit(classes[pos].table).alias("file_class"), F.col("_file").alias("file"),
-                       F.col("_line").alias("line"))
-                   for pos in active]
-        with _phase("quarantine"):
-            append_quarantine(_union(q_parts), quarantine_path)
-
-    # 5. Ledger rows (one per pending batch), written last.
-    with _phase("ledger"):
-        rows = _ledger_rows(run_id, pending, verdict, landing_folder, archive_folder, failure_folder)
-        append_ledger(rows, ledger_path)
-    run_ledger = read_ledger(spark, ledger_path).filter(F.col("run_id") == F.lit(run_id))
-    failed_files = run_ledger.filter(F.col("outcome") == FAILED).agg(F.sum("n_files")).first()[0] or 0
-    file_counts = None
-    if per_file_counts and line_parts:
-        counts_path = f"{ledger_path.rstrip('/')}_file_counts"
-        (_union(line_parts).withColumn("run_id", F.lit(run_id))
-            .write.mode("append").partitionBy("run_id").parquet(counts_path))
-        file_counts = spark.read.parquet(counts_path).filter(F.col("run_id") == F.lit(run_id))
-    _cleanup(spark, stage_root, keep_stage)
-    return IngestResult(run_id, run_ledger, int(failed_files), file_counts)
-
-
-def _cleanup(spark, stage_root, keep_stage):
-    if not keep_stage:
-        delete_path(spark, stage_root)
+                kept = kept.where(F.col(BATCH).isin(list(only)))
+            kept.select(*c.columns, BATCH).createOrReplaceTempView(c.raw_view)
+
+    def _transformed(self, i: int) -> DataFrame:
+        """The transform's rows, bound to the target by position and flagged.
+        Keys are columns of the transform, else of the target."""
+        c, target = self.classes[i], self.targets[i]
+        out = apply_transform(self.spark, c, self.spark.table(c.raw_view), self.user)
+        names = [n for n in out.columns if n != BATCH]
+        fields = [f.name for f in data_columns(target)]
+        for key in c.keys:
+            if key not in names and key not in fields:
+                raise ValueError(f"key {key!r} of {c.table} is no column of its transform or table")
+        keys = [fields[names.index(k)] if k in names and names.index(k) < len(fields) else k for k in c.keys]
+        unique = out.toDF(*[n if n == BATCH else f"_c{k}" for k, n in enumerate(out.columns)])
+        keep = (BATCH,) if BATCH in out.columns else ()
+        cast, _ = cast_positional(unique, target, keep=keep)
+        return cast.withColumn("_bad_key", bad_key(keys, cast.schema))
+
+    def _stage_typed(self, parsed: list[DataFrame], path: str) -> tuple[list[DataFrame], dict[str, str]]:
+        """The typed rows of every class, staged, and the errors of batches
+        whose transform raised."""
+        errors: dict[str, str] = {}
+        typed = []
+        for i in range(len(self.classes)):
+            self._views(parsed)
+            plan = self._transformed(i)  # errors of configuration are raised here
+            schema = StructType(plan.schema.fields + ([] if BATCH in plan.columns
+                                                      else [StructField(BATCH, StringType())]))
+
+            def nothing(i=i, schema=schema):
+                self.spark.createDataFrame([], schema).write.mode("append").parquet(f"{path}/{i}")
+
+            def all_at_once(group=None, i=i):
+                self._views(parsed, group)
+                self._transformed(i).write.mode("append").parquet(f"{path}/{i}")
+
+            def one_by_one(group, i=i):
+                parts = []
+                for b in group:  # analysed at once, so each part keeps its own views
+                    self._views(parsed, [b])
+                    parts.append(self._transformed(i).withColumn(BATCH, F.lit(b)))
+                _union(parts).write.mode("append").parquet(f"{path}/{i}")
+
+            def ids(i=i):
+                return sorted(r[0] for r in parsed[i].select(BATCH).distinct().collect())
+
+            if BATCH in plan.columns:
+                try:
+                    all_at_once()
+                except Exception as exc:
+                    if not _caused_by_data(exc):
+                        raise
+                    log.warning("a transform raised (%s); isolating the failing batches", type(exc).__name__)
+                    nothing()
+                    errors |= _isolate([ids()], all_at_once, data_only=True)
+            else:
+                nothing()
+                every = ids()
+                errors |= _isolate([every[k:k + PLAN_BATCHES] for k in range(0, len(every), PLAN_BATCHES)],
+                                   one_by_one, data_only=True)
+            typed.append(self.spark.read.schema(schema).parquet(f"{path}/{i}"))
+        self._views(parsed)
+        return typed, errors
+
+    def _append(self, i: int, rows: DataFrame, table: str) -> dict[str, str]:
+        """Append to one table; returns the errors of batches that could not be."""
+        rows = rows.select(*[f.name for f in data_columns(self.targets[i])], BATCH)
+        try:
+            append_typed(rows, table, batch_col=BATCH)
+            return {}
+        except Exception as exc:
+            log.warning("append to %s failed (%s); its batches fail", table, type(exc).__name__)
+            every = sorted(r[0] for r in rows.select(BATCH).distinct().collect())
+            if not _caused_by_data(exc):
+                return dict.fromkeys(every, str(exc))
+            return _isolate([every], lambda group: append_typed(rows.where(F.col(BATCH).isin(group)), table, BATCH),
+                            data_only=False)
 
 
 def _union(parts):
@@ -381,32 +427,27 @@ def _union(parts):
 
 
 VERDICT_SCHEMA = (f"{BATCH} string, any_bad boolean, n_lines long, n_bad_lines long, n_rows long, "
-                  "n_bad_keys long, n_cast_errors long")
-
-
-def _verdict(spark, line_parts, stats_parts) -> DataFrame:
-    """One row per batch: line and row statistics and ``any_bad``."""
-    if not line_parts:
-        return spark.createDataFrame([], VERDICT_SCHEMA)
-    lines = _union(line_parts).groupBy(BATCH).agg(
-        F.sum("n_lines").cast("bigint").alias("n_lines"),
-        F.sum("n_bad_lines").cast("bigint").alias("n_bad_lines"))
-    if stats_parts:
-        stats = _union(stats_parts).groupBy(BATCH).agg(
-            F.sum("n_rows").cast("bigint").alias("n_rows"),
-            F.sum("n_bad_keys").cast("bigint").alias("n_bad_keys"),
-            F.sum("n_cast_errors").cast("bigint").alias("n_cast_errors"))
-        both = lines.join(stats, BATCH, "full")
-    else:
-        both = lines.select("*", *[F.lit(0).cast("bigint").alias(c)
-                                   for c in ("n_rows", "n_bad_keys", "n_cast_errors")])
-    both = both.na.fill(0, ["n_lines", "n_bad_lines", "n_rows", "n_bad_keys", "n_cast_errors"])
-    any_bad = (F.col("n_bad_lines") + F.col("n_bad_keys") + F.col("n_cast_errors")) > 0
-    return both.select(BATCH, any_bad.alias("any_bad"), "n_lines", "n_bad_lines", "n_rows",
-                       "n_bad_keys", "n_cast_errors")
-
-
-def _ledger_rows(run_id, pending: DataFrame, verdict: DataFrame, landing, archive, failure) -> DataFrame:
+                  "n_bad_keys long, n_cast_errors long, error string")
+
+
+def _verdict(files: DataFrame, per_file: DataFrame, typed: list[DataFrame], errors: DataFrame) -> DataFrame:
+    """One row per batch of the round: line and row statistics, the error its
+    transform raised, and ``any_bad``.  A batch that raised has no statistics."""
+    lines = per_file.groupBy(BATCH).agg(F.sum("n_lines").alias("n_lines"), F.sum("n_bad_lines").alias("n_bad_lines"))
+    rows = _union([t.groupBy(BATCH).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("_bad_key").cast("int")).alias("n_bad_keys"),
+        F.sum("_cast_errors").alias("n_cast_errors")) for t in typed]).groupBy(BATCH).agg(
+        *[F.sum(c).alias(c) for c in ("n_rows", "n_bad_keys", "n_cast_errors")])
+    both = (files.select(F.col("batch_id").alias(BATCH)).distinct()
+            .join(lines, BATCH, "left").join(rows, BATCH, "left").join(errors, BATCH, "left"))
+    stats = ("n_lines", "n_bad_lines", "n_rows", "n_bad_keys", "n_cast_errors")
+    known = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in stats}
+    bad = F.col("error").isNotNull() | (known["n_bad_lines"] + known["n_bad_keys"] + known["n_cast_errors"] > 0)
+    return both.select(BATCH, bad.alias("any_bad"),
+                       *[F.when(F.col("error").isNull(), known[c]).alias(c) for c in stats], "error")
+
+
+def ledger_rows(run_id, pending: DataFrame, verdict: DataFrame, landing, archive, failure) -> DataFrame:
     """Ledger rows of the pending batches (a join, no driver state)."""
     per_batch = pending.groupBy("batch_id").agg(
         F.min("batch_index").cast("long").alias("batch_index"),

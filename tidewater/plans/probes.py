@@ -9,12 +9,14 @@ alternation accepted any one)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import FAILURE, PROBE_LINE, SUCCESS
 from ..operators.estimate import estimate_pi, random_points
-from ..operators.sorting import md5_prefix_value, total_order_sort, validate_sorted
+from ..operators.sorting import row_checksum, total_order_sort, validate_sorted
 from ..session import shared_root, work_dir
 from ..sinks.files import delete_path
 from ..sinks.tables import create_database, drop_table
@@ -30,12 +32,12 @@ def _row(spark, probe, expected, actual, contains: bool = False) -> DataFrame:
                                  REPORT_SCHEMA)
 
 
-def storage_roundtrip(spark: SparkSession, data: DataFrame, key: str) -> DataFrame:
+def storage_roundtrip(spark: SparkSession, data: DataFrame) -> DataFrame:
     """Write ``data`` to shared storage, read it back, compare row count and
-    a checksum of ``key``."""
+    a checksum of all columns."""
     path = work_dir(spark, "roundtrip")
     summary = lambda df: df.agg(F.count(F.lit(1)).alias("n"),
-                                F.sum(md5_prefix_value(key)).alias("ck"))
+                                F.sum(row_checksum(*df.columns)).alias("ck"))
     before = summary(data).first()
     data.write.mode("overwrite").parquet(path)
     after = summary(spark.read.parquet(path)).first()
@@ -52,8 +54,7 @@ def catalog_table_probe(spark: SparkSession, lines: DataFrame | None = None,
     location = work_dir(spark, "squares")
     lines.write.mode("overwrite").text(location)
     create_database(spark, database, location=f"{shared_root(spark)}/tidewater-work/{database}.db")
-    name = f"{database}.probe_squares"
-    drop_table(spark, name)
+    name = f"{database}.probe_squares_{uuid.uuid4().hex[:8]}"
     create_external_csv_table(spark, name, SQUARES_DDL, location)
     listed = spark.catalog.tableExists(name)
     agg = spark.table(name).agg(F.count(F.lit(1)).alias("n"), F.sum("square").alias("sq"),
@@ -66,8 +67,8 @@ def catalog_table_probe(spark: SparkSession, lines: DataFrame | None = None,
                               f"{agg['n']}/{agg['sq']}/{agg['rt']}")))
 
 
-def document_count_probe(spark: SparkSession, path: str, expected: int) -> DataFrame:
-    n = load_json_documents(spark, path).count()
+def document_count_probe(spark: SparkSession, path: str, expected: int, multiline: bool = True) -> DataFrame:
+    n = load_json_documents(spark, path, multiline=multiline).count()
     return _row(spark, "Document search", expected, n)
 
 
@@ -80,26 +81,25 @@ def sort_probe(spark: SparkSession, rows: int = 1_000_000) -> DataFrame:
     data = generated_rows(spark, rows)
     path = work_dir(spark, "sorted")
     total_order_sort(data, "key").write.mode("overwrite").parquet(path)
-    v = validate_sorted(spark, path, "key", md5_prefix_value("row_id")).first()
-    expected = data.agg(F.count(F.lit(1)).alias("n"), F.sum(md5_prefix_value("row_id")).alias("ck")).first()
+    v = validate_sorted(spark, path, "key").first()
+    expected = data.agg(F.count(F.lit(1)).alias("n"), F.sum(row_checksum(*data.columns)).alias("ck")).first()
     delete_path(spark, path)
     return _row(spark, "Sort and validate", f"{expected['n']}/{expected['ck']}/0",
                 f"{v['n']}/{v['checksum']}/{v['inversions']}")
 
 
-def run_probes(spark: SparkSession, roundtrip_data: DataFrame | None = None, roundtrip_key: str = "id",
+def run_probes(spark: SparkSession, roundtrip_data: DataFrame | None = None,
                json_path: str | None = None, json_expected: int | None = None,
-               sort_rows: int = 1_000_000) -> DataFrame:
+               sort_rows: int = 1_000_000, json_multiline: bool = True) -> DataFrame:
     """The whole suite; each probe's rows carry a padded report ``line``."""
     parts = [
-        storage_roundtrip(spark, roundtrip_data if roundtrip_data is not None else spark.range(1000),
-                          roundtrip_key),
+        storage_roundtrip(spark, roundtrip_data if roundtrip_data is not None else spark.range(1000)),
         catalog_table_probe(spark),
         pi_probe(spark),
         sort_probe(spark, sort_rows),
     ]
     if json_path is not None:
-        parts.append(document_count_probe(spark, json_path, json_expected))
+        parts.append(document_count_probe(spark, json_path, json_expected, json_multiline))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -1,12 +1,13 @@
 """The batch ledger and the quarantine of bad lines.
 
 A batch's files are never moved; the ledger row written *after* the data is
-what marks a batch as archived (or failed).  Replaying a run skips batches
-whose id already has a terminal outcome.
+what marks a batch as archived (or failed).  Later runs leave the files of
+such batches out of the listing.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, LongType, StringType,
@@ -41,18 +42,30 @@ QUARANTINE_SCHEMA = StructType([
 ])
 
 
+def path_missing(exc: Exception) -> bool:
+    """Whether reading failed because there is nothing at the path (yet)."""
+    return isinstance(exc, AnalysisException) and exc.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger's rows; none before the first run.  Any other error is the
+    caller's: taking it for an empty ledger would ingest everything again."""
     try:
         return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except Exception:  # no ledger yet
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
         return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
-def terminal_batches(spark: SparkSession, path: str) -> DataFrame:
-    """Batch ids already archived or failed."""
-    return (read_ledger(spark, path)
-            .filter(F.col("outcome").isin(ARCHIVED, FAILED))
-            .select("batch_id").distinct())
+def finished_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path`` of every file of an archived or failed batch."""
+    return (read_ledger(spark, path).where(F.col("outcome").isin(ARCHIVED, FAILED))
+            .select(F.explode("files").alias("path")).distinct())
+
+
+def archived_batches(spark: SparkSession, path: str) -> DataFrame:
+    return read_ledger(spark, path).where(F.col("outcome") == ARCHIVED).select("batch_id").distinct()
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:

@@ -104,6 +104,19 @@ def append_typed(df: DataFrame, table: str, batch_col: str | None = None) -> Non
         out.write.insertInto(table)
 
 
+def drop_batches(spark: SparkSession, table: str, batch_ids) -> None:
+    """Empty the given batches' partitions; tables without batch partitions
+    keep their rows."""
+    target = spark.table(table).schema
+    if BATCH_COLUMN not in target.fieldNames():
+        return
+    nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in data_columns(target))
+    with overwrite_mode(spark, "static"):
+        for b in batch_ids:
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH_COLUMN} = '{b}') "
+                      f"SELECT {nothing} WHERE false")
+
+
 def append_by_name(df: DataFrame, table: str) -> None:
     """Append binding columns by name (partition columns included)."""
     target = df.sparkSession.table(table).columns

@@ -207,13 +207,3 @@ def parse_class_lines(lines: DataFrame, file_class) -> DataFrame:
     if file_class.dialect == "quoted":
         return parse_quoted(lines, file_class.columns, file_class.separator)
     return parse_remainder(lines, file_class.columns, file_class.separator)
-
-
-def read_class(spark: SparkSession, file_class, paths) -> DataFrame:
-    """Read the given files with the class's dialect."""
-    if file_class.dialect == "strict":
-        return read_strict(spark, paths, file_class.columns, file_class.separator,
-                           header=file_class.header == "first_line")
-    if file_class.dialect == "quoted":
-        return read_quoted(spark, paths, file_class.columns, file_class.separator, file_class.header)
-    return read_remainder(spark, paths, file_class.columns, file_class.separator, file_class.header)

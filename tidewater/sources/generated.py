@@ -28,11 +28,6 @@ def create_external_csv_table(spark: SparkSession, name: str, ddl: str, location
               args={"t": name, "sep": sep, "loc": location})
 
 
-def read_delimited_dir(spark: SparkSession, path: str, ddl: str, sep: str = ",") -> DataFrame:
-    """The same table read without the catalog."""
-    return spark.read.schema(ddl).option("sep", sep).option("header", False).csv(path)
-
-
 def load_json_documents(spark: SparkSession, path: str, schema: str | None = None,
                         multiline: bool = True) -> DataFrame:
     """JSON documents: with ``multiline`` every file is one JSON value (an

@@ -10,11 +10,20 @@ emits as rows, so release decisions come from the directory listing.
 
 from __future__ import annotations
 
+import json
+import logging
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.batches import manifest
+from ..plans.ingest import LEDGER_ARGS, VERDICT_SCHEMA, ImbalanceError, file_key_col, ingest, ledger_rows
+from ..session import staged
+from ..sinks.ledger import append_ledger, finished_files
+
+log = logging.getLogger("tidewater.landing")
 
 
 def line_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
@@ -33,13 +42,15 @@ def line_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: in
     )
 
 
-def _bronze_writer(bronze_path: str):
+def _bronze_writer(bronze_path: str, checkpoint: str):
+    """Writes a micro-batch as partition (stream, epoch), ``stream`` being the
+    query's id in its checkpoint: a replayed epoch overwrites itself, and a
+    second stream or a new checkpoint never touches what others wrote."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        # Overwriting the epoch's own partition makes a replayed epoch
-        # (after a failure between write and commit) idempotent.
-        (batch.withColumn("epoch", F.lit(epoch_id))
+        state = batch.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+        (batch.withColumn("stream", F.lit(json.loads(state)["id"])).withColumn("epoch", F.lit(epoch_id))
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("epoch").parquet(bronze_path))
+              .partitionBy("stream", "epoch").parquet(bronze_path))
     return write
 
 
@@ -48,7 +59,7 @@ def pickup_to_bronze(spark: SparkSession, landing_dir: str, bronze_path: str, ch
                      path_glob: str | None = None) -> StreamingQuery:
     """Start (and with ``available_now`` finish) the pickup stream."""
     stream = line_stream(spark, landing_dir, max_files_per_trigger, path_glob)
-    writer = (stream.writeStream.foreachBatch(_bronze_writer(bronze_path))
+    writer = (stream.writeStream.foreachBatch(_bronze_writer(bronze_path, checkpoint))
                     .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     query = writer.start()
@@ -57,16 +68,40 @@ def pickup_to_bronze(spark: SparkSession, landing_dir: str, bronze_path: str, ch
     return query
 
 
-def release_ready(spark: SparkSession, bronze: DataFrame, names: DataFrame, classes) -> DataFrame:
+def release_ready(spark: SparkSession, bronze: DataFrame, names: DataFrame, classes,
+                  ledger_path: str | None = None) -> DataFrame:
     """Bronze lines of files whose whole batch is ready, with ``batch_id``,
-    ``batch_index`` and ``file_class``."""
+    ``batch_index`` and ``file_class``.  Files that the ledger (if given) has
+    as finished take no part."""
     if "file_key" not in names.columns:
-        names = names.withColumn("file_key", F.regexp_replace("path", r"^([A-Za-z][A-Za-z0-9+.-]*:)//(/)", "$1$2"))
+        names = names.withColumn("file_key", file_key_col("path"))
+    if ledger_path:
+        names = names.join(finished_files(spark, ledger_path), "path", "left_anti")
     ready = manifest(names, classes).filter("ready").select(
         "file_key", "batch_id", "batch_index", "file_class")
     return bronze.join(ready, "file_key", "inner")
 
 
+def release(spark: SparkSession, bronze: DataFrame, names: DataFrame, classes, ledger_path: str, sink,
+            on: str = "name") -> int:
+    """Hand the bronze lines of newly ready batches to ``sink`` (a function
+    of their DataFrame, as of :func:`release_ready`) and record the batches as
+    archived afterwards, so that no later call releases them again.  A call
+    that fails before the record hands the same batches out once more.
+    Returns the number of batches."""
+    if "file_key" not in names.columns:
+        names = names.withColumn("file_key", file_key_col("path"))
+    left = names.join(finished_files(spark, ledger_path), "path", "left_anti")
+    ready = staged(manifest(left, classes, on=on).where("ready").select(
+        "path", "file_key", "batch_id", "batch_index", "file_class", "ready"), "release")
+    n = ready.select("batch_id").distinct().count()
+    if n:
+        sink(bronze.join(ready.select("file_key", "batch_id", "batch_index", "file_class"), "file_key"))
+        append_ledger(ledger_rows(f"release-{uuid.uuid4().hex[:16]}", ready,
+                                  spark.createDataFrame([], VERDICT_SCHEMA), *LEDGER_ARGS), ledger_path)
+    return n
+
+
 def continuous_ingest(spark: SparkSession, classes, top_directory: str, database: str | None,
                       checkpoint: str, bronze_path: str | None = None, landing_folder: str = "landing",
                       available_now: bool = True, processing_time: str = "1 minute", **ingest_args):
@@ -75,19 +110,21 @@ def continuous_ingest(spark: SparkSession, classes, top_directory: str, database
     Each micro-batch of new landing files (1) appends their raw lines to the
     bronze dataset (the raw archive, idempotent per epoch) and (2) runs
     :func:`tidewater.plans.ingest.ingest`, which takes every batch that is
-    ready and not yet in the ledger.  A deferred batch (late sibling) is
-    picked up by the next trigger.  Zero-byte markers do not trigger a
+    ready and not yet in the ledger.  A deferred batch (late marker) and a
+    listing whose classes are not balanced yet (late sibling) wait for the
+    next trigger.  Zero-byte markers do not trigger a
     micro-batch on their own; a periodic batch ``ingest`` run covers a
     marker that arrives after its last data file.  Returns the query."""
-    from ..plans.ingest import ingest
-
     top = top_directory.rstrip("/")
     bronze = bronze_path or f"{top}/_bronze"
-    write_bronze = _bronze_writer(bronze)
+    write_bronze = _bronze_writer(bronze, checkpoint)
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         write_bronze(batch, epoch_id)
-        ingest(spark, classes, top, database=database, landing_folder=landing_folder, **ingest_args)
+        try:
+            ingest(spark, classes, top, database=database, landing_folder=landing_folder, **ingest_args)
+        except ImbalanceError as wait:  # a sibling lands in a later trigger
+            log.info("waiting for siblings: %s", wait)
 
     stream = line_stream(spark, f"{top}/{landing_folder}")
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)

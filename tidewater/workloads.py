@@ -9,6 +9,8 @@ names and per-batch verdicts.
 
 from __future__ import annotations
 
+import dataclasses
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,23 +24,32 @@ from .operators import batches as B
 from .operators.compare import drop_volatile
 from .operators.estimate import estimate_pi, unit_from_hash
 from .operators.quality import arity_profile, count_by, key_check
-from .operators.sorting import md5_prefix_value, total_order_sort, validate_sorted
+from .operators.sorting import total_order_sort, validate_sorted
 from .operators.window import rows_changed_per_table
 from .plans import golden as G
-from .plans.ingest import apply_transform, file_key_col, ingest, list_landing
-from .plans.probes import catalog_table_probe, storage_roundtrip
+from .plans.audit import audit_rows, create_audit_table
+from .plans.ingest import apply_transform, committed_rows, file_key_col, ingest, list_landing
+from .plans.probes import catalog_table_probe, run_probes, storage_roundtrip
 from .schema import FileClass
 from .session import configure, shared_root, work_dir
+from .sinks.collections import commit_documents, delete_all_documents, hit_count
 from .sinks.files import write_delimited, write_lines
-from .sinks.tables import BATCH_COLUMN, create_database, create_table, drop_table
+from .sinks.ledger import read_ledger
+from .sinks.tables import BATCH_COLUMN, append_by_name, create_database, create_table
 from .sources.delimited import read_lines, read_quoted, read_remainder, read_strict
-from .sources.generated import create_external_csv_table, load_json_documents
-from .streaming.landing import pickup_to_bronze
+from .sources.generated import create_external_csv_table, generated_rows, load_json_documents
+from .streaming.landing import pickup_to_bronze, release
 from .streaming.watermark import incremental_rows, reset_watermarks
 
 SHOWCASE_DB = "tidewater_showcase"
 
 
+def _own(name: str) -> str:
+    """A table name of this call's own, so that runs side by side do not
+    destroy each other's tables."""
+    return f"{name}_{uuid.uuid4().hex[:8]}"
+
+
 def _showcase_db(spark: SparkSession) -> str:
     """The workloads' database, located on the shared root (the session's
     warehouse folder may not be writable)."""
@@ -74,26 +85,75 @@ def strict_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     root = work_dir(spark, "strict_ingest")
     orders = table(spark, sf_dir, "orders").select(*ORDERS_COLUMNS)
-    files = max(8, spark.sparkContext.defaultParallelism)
+    files = spark.sparkContext.defaultParallelism
     write_delimited(orders, f"{root}/landing", sep="|", header=True, num_files=files)
-
-    _showcase_db(spark)
-    target = f"{SHOWCASE_DB}.orders_in"
-    drop_table(spark, target)
-    create_table(spark, target,
-                 _orders_in_schema(),
-                 location=f"{root}/tables/orders_in", partition_by=(BATCH_COLUMN,))
-    fc = FileClass(
-        table="orders_in", columns=ORDERS_COLUMNS, separator="|", pattern=r"^part-",
-        extension="csv", keys=("o_orderkey",), dialect="strict",
-        transform="SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, _batch_id "
-                  "FROM orders_in_RAW")
+    fc = _orders_class(spark, root, "^part-")
     ingest(spark, [fc], root, database=SHOWCASE_DB,
            names=_names_with_markers(spark, f"{root}/landing"))
-    return (spark.read.parquet(f"{root}/tables/orders_in")
+    return (spark.read.parquet(f"{root}/tables/{fc.table}")
                  .select(*ORDERS_COLUMNS))
 
 
+def _orders_class(spark: SparkSession, root: str, pattern: str, name: str = "orders_in") -> FileClass:
+    """A class of orders files and its empty table under ``root``."""
+    _showcase_db(spark)
+    name = _own(name)
+    create_table(spark, f"{SHOWCASE_DB}.{name}", _orders_in_schema(), location=f"{root}/tables/{name}",
+                 partition_by=(BATCH_COLUMN,))
+    return FileClass(
+        table=name, columns=ORDERS_COLUMNS, separator="|", pattern=pattern, extension="csv",
+        keys=("o_orderkey",), dialect="strict",
+        transform=f"SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, _batch_id FROM {name}_RAW")
+
+
+def reingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two file classes (orders by parity) in one landing folder that is used
+    twice: after the first run more files land, whose names sort among the
+    earlier ones; the second run takes only those.  Rows of both tables."""
+    configure(spark)
+    root = work_dir(spark, "reingest")
+    orders = table(spark, sf_dir, "orders").select(*ORDERS_COLUMNS)
+    classes = [_orders_class(spark, root, f"/{side}/", f"orders_{side}") for side in ("even", "odd")]
+    for run in (0, 1):
+        for k, side in enumerate(("even", "odd")):
+            landed = orders.where((F.col("o_orderkey") % 2 == k) & ((F.col("o_custkey") % 2) == run))
+            write_delimited(landed, f"{root}/landing/{run}/{side}", sep="|", header=True, num_files=3)
+        names = _names_with_markers(spark, f"{root}/landing/*/*")
+        ingest(spark, classes, root, database=SHOWCASE_DB, names=names, match_on="path")
+    parts = [committed_rows(spark, c.qualified_table(SHOWCASE_DB), f"{root}/_ledger")
+             .select(F.lit(side).alias("side"), *ORDERS_COLUMNS) for c, side in zip(classes, ("even", "odd"))]
+    return parts[0].unionByName(parts[1])
+
+
+def ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One orders file per status: F is sound, the file of O has lines cut
+    short (priority 5-LOW), that of P has no marker.  Table, quarantine, ledger
+    and the count of failed files are read back."""
+    configure(spark)
+    root = work_dir(spark, "outcomes")
+    orders = table(spark, sf_dir, "orders")
+    line = F.when((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "5-LOW"),
+                  F.col("o_orderkey").cast("string")).otherwise(F.concat_ws("|", *ORDERS_COLUMNS))
+    lines = orders.select(line.alias("value"), F.col("o_orderstatus").alias("st"))
+    # the first line of every file is its header
+    header = orders.select(F.lit("|".join(ORDERS_COLUMNS)).alias("value"), F.col("o_orderstatus").alias("st")).distinct()
+    (header.withColumn("k", F.lit(0)).unionByName(lines.withColumn("k", F.lit(1)))
+           .repartition("st").sortWithinPartitions("st", "k").select("value", "st")
+           .write.partitionBy("st").text(f"{root}/landing"))
+    fc = dataclasses.replace(_orders_class(spark, root, "/st="), extension="txt")
+    names = _names_with_markers(spark, f"{root}/landing/*", "txt",
+                                lambda marks: marks.where("path not like '%/st=P/%'"))
+    result = ingest(spark, [fc], root, database=SHOWCASE_DB, names=names, match_on="path")
+    ledger, lost = read_ledger(spark, f"{root}/_ledger"), f"{root}/_quarantine"
+    rows = [("table rows", spark.table(fc.qualified_table(SHOWCASE_DB)).count()), ("failed files", result.failed_files),
+            ("quarantined lines", spark.read.parquet(lost).count() if result.failed_files else 0)]
+    told = ledger.groupBy("outcome").agg(F.sum("n_files").alias("files"), F.sum("n_bad_lines").alias("bad"))
+    told = told.select(F.explode(F.array(
+        F.struct(F.concat("outcome", F.lit(" files")).alias("item"), F.col("files").alias("n")),
+        F.struct(F.concat("outcome", F.lit(" bad lines")).alias("item"), F.coalesce("bad", F.lit(0)).alias("n")))).alias("x"))
+    return spark.createDataFrame(rows, "item string, n bigint").unionByName(told.select("x.item", "x.n"))
+
+
 def _orders_in_schema():
     from pyspark.sql.types import LongType, StringType, StructField, StructType
     return StructType([
@@ -277,7 +337,8 @@ def sibling_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     validate, append, ledger."""
     configure(spark)
     root = work_dir(spark, "sibling")
-    k = 4
+    # one batch of files for every so many customers
+    k = max(2, -(-table(spark, sf_dir, "customer").count() // 50_000))
     cust = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("c_custkey"),
         F.col("c_nationkey").cast("string").alias("c_nationkey"),
@@ -286,33 +347,28 @@ def sibling_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").cast("string").alias("n_nationkey"), "n_name",
         F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("copy"))
     for name, df in (("customer", cust), ("nation", nation)):
-        (df.repartition("copy").write.mode("overwrite").partitionBy("copy")
+        (df.repartition(k, "copy").write.mode("overwrite").partitionBy("copy")
            .option("sep", "|").option("header", True).option("quote", "").option("escapeQuotes", False)
            .csv(f"{root}/landing/{name}"))
     _showcase_db(spark)
-    targets = (
-        ("cust_nation", StructType([StructField("c_custkey", LongType()), StructField("n_name", StringType()),
-                                    StructField(BATCH_COLUMN, StringType())])),
-        ("nation_in", StructType([StructField("n_nationkey", LongType()), StructField("n_name", StringType()),
-                                  StructField(BATCH_COLUMN, StringType())])),
-    )
-    for name, schema in targets:
-        drop_table(spark, f"{SHOWCASE_DB}.{name}")
-        create_table(spark, f"{SHOWCASE_DB}.{name}", schema, f"{root}/tables/{name}",
-                     partition_by=(BATCH_COLUMN,))
+    joined, nations = _own("cust_nation"), _own("nation_in")
+    for name, key in ((joined, "c_custkey"), (nations, "n_nationkey")):
+        create_table(spark, f"{SHOWCASE_DB}.{name}", StructType([
+            StructField(key, LongType()), StructField("n_name", StringType()), StructField(BATCH_COLUMN, StringType())]),
+            f"{root}/tables/{name}", partition_by=(BATCH_COLUMN,))
     classes = [
-        FileClass(table="cust_nation", columns=("c_custkey", "c_nationkey"), pattern="/customer/",
+        FileClass(table=joined, columns=("c_custkey", "c_nationkey"), pattern="/customer/",
                   keys=("c_custkey",),
-                  transform="SELECT c.c_custkey, n.n_name, c._batch_id FROM cust_nation_RAW c "
-                            "JOIN nation_in_RAW n ON c.c_nationkey = n.n_nationkey "
+                  transform=f"SELECT c.c_custkey, n.n_name, c._batch_id FROM {joined}_RAW c "
+                            f"JOIN {nations}_RAW n ON c.c_nationkey = n.n_nationkey "
                             "AND c._batch_id = n._batch_id"),
-        FileClass(table="nation_in", columns=("n_nationkey", "n_name"), pattern="/nation/",
+        FileClass(table=nations, columns=("n_nationkey", "n_name"), pattern="/nation/",
                   keys=("n_nationkey",)),
     ]
     listing = _names_with_markers(spark, f"{root}/landing/customer/*").unionByName(
         _names_with_markers(spark, f"{root}/landing/nation/*"))
     ingest(spark, classes, root, database=SHOWCASE_DB, names=listing, match_on="path")
-    return spark.read.parquet(f"{root}/tables/cust_nation").select("c_custkey", "n_name")
+    return spark.read.parquet(f"{root}/tables/{joined}").select("c_custkey", "n_name")
 
 
 # ---------------------------------------------------------------- audit
@@ -449,9 +505,8 @@ def volatile_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _staged_table(spark: SparkSession, name: str, df: DataFrame, root: str) -> str:
     _showcase_db(spark)
-    qualified = f"{SHOWCASE_DB}.{name}"
-    drop_table(spark, qualified)
-    df.write.mode("overwrite").option("path", f"{root}/tables/{name}").saveAsTable(qualified)
+    qualified = f"{SHOWCASE_DB}.{_own(name)}"
+    df.write.option("path", f"{root}/tables/{qualified}").saveAsTable(qualified)
     return qualified
 
 
@@ -463,17 +518,22 @@ def revert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("o_orderstatus"))
     t = _staged_table(spark, "orders_test", orders, root)
-    G.revert_table(spark, "orders_test|o_orderkey|o_orderstatus = 'F'", SHOWCASE_DB, allow=True)
+    G.revert_table(spark, f"{t}|o_orderkey|o_orderstatus = 'F'", allow=True)
     return spark.table(t)
 
 
 def revert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spec without condition: the copied orders table is emptied."""
+    """A spec without condition empties its table, one with a condition keeps
+    the other rows; rows left in either."""
     configure(spark)
     root = work_dir(spark, "revert_all")
-    t = _staged_table(spark, "orders_all", table(spark, sf_dir, "orders"), root)
-    G.revert_table(spark, "orders_all|*|", SHOWCASE_DB, allow=True)
-    return spark.table(t).agg(F.count(F.lit(1)).alias("n_left"))
+    orders = table(spark, sf_dir, "orders")
+    emptied, thinned = (_staged_table(spark, n, orders, root) for n in ("orders_all", "orders_some"))
+    G.revert_table(spark, f"{emptied}|*|", allow=True)
+    G.revert_table(spark, f"{thinned}|*|o_orderpriority = '5-LOW'", allow=True)
+    left = [spark.table(t).agg(F.lit(n).alias("spec"), F.count(F.lit(1)).alias("n_left"))
+            for t, n in ((emptied, "all"), (thinned, "some"))]
+    return left[0].unionByName(left[1])
 
 
 def watermark_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -484,7 +544,7 @@ def watermark_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = F.unix_timestamp(F.max("ts").cast("timestamp"))
     wm = (table(spark, sf_dir, "events").groupBy("user_id")
           .agg(*[last.alias(f"c{i}") for i in range(1, 7)]).drop("user_id"))
-    t = _staged_table(spark, "solr_lst_updated_dt", wm, root)
+    t = _staged_table(spark, "watermarks", wm, root)
     reset_watermarks(spark, t)
     return spark.table(t)
 
@@ -502,14 +562,109 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     root = work_dir(spark, "stream")
     events = table(spark, sf_dir, "events")
-    write_lines(G.json_lines(events.select("event_id", "event_type")), f"{root}/landing", num_files=8)
+    write_lines(G.json_lines(events.select("event_id", "event_type")), f"{root}/landing",
+                num_files=spark.sparkContext.defaultParallelism)
     pickup_to_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint",
-                     max_files_per_trigger=3)
+                     max_files_per_trigger=spark.sparkContext.defaultParallelism)
     bronze = spark.read.parquet(f"{root}/bronze")
     typed = bronze.select(F.from_json("value", "event_id bigint, event_type string").alias("e"))
     return typed.groupBy(F.col("e.event_type").alias("event_type")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def stream_release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as two classes of landing files -> stream to bronze -> lines of
+    ready batches released to a sink, once: a second call finds nothing."""
+    configure(spark)
+    root = work_dir(spark, "stream_release")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    n = spark.sparkContext.defaultParallelism
+    for k in (0, 1):
+        write_lines(G.json_lines(events.where(F.col("event_id") % 2 == k)), f"{root}/landing/class{k}", num_files=n)
+    pickup_to_bronze(spark, f"{root}/landing/*", f"{root}/bronze", f"{root}/_checkpoint", max_files_per_trigger=n)
+    classes = [FileClass(table=f"c{k}", columns=("value",), pattern=f"/class{k}/", extension="txt") for k in (0, 1)]
+    names = _names_with_markers(spark, f"{root}/landing/*", "txt")
+
+    def sink(lines: DataFrame) -> None:
+        lines.select("value").write.mode("append").text(f"{root}/released")
+
+    for _ in range(2):
+        release(spark, spark.read.parquet(f"{root}/bronze"), names, classes, f"{root}/_ledger", sink, on="path")
+    typed = spark.read.schema("event_id bigint, event_type string").json(f"{root}/released")
+    return typed.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def audit_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit rows of a run over two event tables and one that is missing,
+    appended to the partitioned log table and read back."""
+    configure(spark)
+    root = work_dir(spark, "audit")
+    events = table(spark, sf_dir, "events").select("event_type", F.col("ts").alias("updt_ts"))
+    tables = {kind: _staged_table(spark, f"audit_{kind}", events.where(F.col("event_type") == kind), root)
+              for kind in ("view", "click")} | {"missing": f"{SHOWCASE_DB}.no_such_table"}
+    log = f"{SHOWCASE_DB}.{_own('run_log')}"
+    create_audit_table(spark, log, f"{root}/log")
+    append_by_name(audit_rows(spark, "", "app", list(tables.values()), "2024-01-10 00:00:00", "2024-01-20 00:00:00",
+                              True, None, None, "it's done", ""), log)
+    kind = F.create_map(*[F.lit(x) for k, v in tables.items() for x in (v, k)])
+    return spark.table(log).select(
+        kind[F.col("table_name")].alias("table_name"), "success", "rows_changed", "workflow_id", "application_id",
+        "stdout", "pltfrm_nm", "aplctn_nm")
+
+
+def golden_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A regression test directory: two specs (one names its columns with the
+    table) and two queries on one collection, of which the second does not
+    select what is expected; results logged and read back."""
+    configure(spark)
+    root = work_dir(spark, "golden_dir")
+    customer, events = table(spark, sf_dir, "customer"), table(spark, sf_dir, "events").select("event_id", "event_type")
+    names = {n: _own(n) for n in ("g_customer", "g_customer2", "g_events")}
+    for name, df in (("g_customer", customer), ("g_customer2", customer), ("g_events", events)):
+        df.createOrReplaceTempView(names[name])
+    c, c2, e = names.values()
+    specs = [f"{c}|{c}.c_custkey, c_name|{c}.c_acctbal < 0", f"{c2}|c_custkey|c_acctbal >= 0"]
+    one = spark.range(1)
+    write_lines(one.select(F.explode(F.lit(specs)).alias("value")), f"{root}/test/tables.list")
+    write_lines(one.select(F.explode(F.lit([f"{e},select?q=event_type:view&fl=event_id",
+                                            f"{e},select?q=event_type:click&fl=event_id"])).alias("value")),
+                f"{root}/test/collections")
+    expected = {c: customer.where("c_acctbal < 0").select("c_custkey", "c_name"),
+                c2: customer.where("c_acctbal > 0").select("c_custkey"),
+                e: events.where("event_type = 'view'").select("event_id")}
+    for name, df in expected.items():
+        write_lines(G.json_lines(df), f"{root}/test/expected/{name}")
+    G.run_test_dir(spark, f"{root}/test", results_path=f"{root}/results", run="r1")
+    label = F.create_map(*[F.lit(x) for k, v in names.items() for x in (v, k)])
+    return G.consolidated_report(spark, f"{root}/results", "r1").select("part", label[F.col("test")].alias("test"), "status")
+
+
+def results_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of one test per customer, appended to the results log under
+    two runs; one of them summed up by status."""
+    configure(spark)
+    root = work_dir(spark, "results")
+    report = _customer_report(spark, sf_dir)
+    for run in ("r1", "r2"):
+        G.append_results(report, root, run)
+    return G.summary(G.consolidated_report(spark, root, "r2"))
+
+
+def collection_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events committed to a collection in two parts; a second collection is
+    filled and emptied again.  Documents by type, and those left."""
+    configure(spark)
+    root = work_dir(spark, "commit")
+    _showcase_db(spark)
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    full, gone = (f"{SHOWCASE_DB}.{_own(n)}" for n in ("docs", "docs_gone"))
+    for k in (0, 1):
+        commit_documents(events.where(F.col("event_id") % 2 == k), full, f"{root}/docs")
+    commit_documents(events, gone, f"{root}/gone")
+    delete_all_documents(spark, gone)
+    return (spark.table(full).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+            .unionByName(spark.createDataFrame([("(emptied)", hit_count(spark, gone))], "event_type string, n bigint")))
+
+
 # ---------------------------------------------------------------- probes
 
 def _size_lines(part: DataFrame) -> DataFrame:
@@ -523,8 +678,7 @@ def probe_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "squares")
     write_lines(_size_lines(table(spark, sf_dir, "part")), root)
     _showcase_db(spark)
-    name = f"{SHOWCASE_DB}.squares"
-    drop_table(spark, name)
+    name = f"{SHOWCASE_DB}.{_own('squares')}"
     create_external_csv_table(spark, name, "sqrt INT, square INT", root)
     return spark.table(name).agg(F.count(F.lit(1)).alias("n"),
                                  F.sum("square").cast("bigint").alias("sum_square"),
@@ -545,15 +699,42 @@ def collection_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.groupBy("k").agg(F.count(F.lit(1)).alias("num_found"))
 
 
+def array_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events' props as files that hold one JSON array each, spread over many
+    lines -> loaded -> documents per k."""
+    configure(spark)
+    root = work_dir(spark, "arrays")
+    events = table(spark, sf_dir, "events")
+    arrays = (events.groupBy(F.floor(F.col("event_id") / 5000).alias("bucket"))
+                    .agg(F.concat(F.lit("[\n"), F.concat_ws(",\n", F.collect_list("props")), F.lit("\n]")).alias("value")))
+    arrays.write.partitionBy("bucket").text(root)
+    docs = load_json_documents(spark, f"{root}/*", schema="k bigint")
+    return docs.groupBy("k").agg(F.count(F.lit(1)).alias("num_found"))
+
+
+def generated_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many generated rows as there are orders: ids and distinct keys."""
+    configure(spark)
+    n = table(spark, sf_dir, "orders").count()
+    return generated_rows(spark, n).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("row_id").cast("bigint").alias("sum_id"),
+        F.countDistinct("key").alias("n_keys"), F.max(F.length("key")).cast("bigint").alias("key_length"))
+
+
 def total_order_sort_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders keyed by md5 of the order key -> range-partitioned sort ->
-    parquet -> validation (rows, checksum, inversions)."""
+    parquet -> validation (rows, checksum, inversions); and the same rows in
+    order of the order key, whose md5 keys are out of order."""
     configure(spark)
     root = work_dir(spark, "terasort")
     orders = table(spark, sf_dir, "orders")
     data = orders.select(F.md5(F.col("o_orderkey").cast("string")).alias("key"), "o_orderkey")
-    total_order_sort(data, "key").write.mode("overwrite").parquet(root)
-    return validate_sorted(spark, root, "key", md5_prefix_value("o_orderkey"))
+    parts = []
+    for layout, column in (("sorted", "key"), ("by_orderkey", "o_orderkey")):
+        total_order_sort(data, column).write.parquet(f"{root}/{layout}")
+        parts.append(validate_sorted(spark, f"{root}/{layout}", "key").select(
+            F.lit(layout).alias("layout"), "n", F.col("checksum").cast("string").alias("checksum"), "inversions"))
+    return parts[0].unionByName(parts[1])
 
 
 def pi_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -565,11 +746,10 @@ def pi_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return estimate_pi(points)
 
 
-def status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _customer_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One regression test per customer: actual = the customer's orders as
     JSON lines; expected = the same, upper-cased, with status X for 5-LOW
-    orders in status P.  One padded status line per customer."""
-    configure(spark)
+    orders in status P."""
     orders = table(spark, sf_dir, "orders")
     name = F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("test")
     actual = orders.select(name, F.to_json(F.struct("o_orderkey", "o_orderstatus")).alias("value"))
@@ -577,8 +757,13 @@ def status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lit("X")).otherwise(F.col("o_orderstatus"))
     expected = orders.select(name, F.upper(F.to_json(F.struct("o_orderkey", changed.alias("o_orderstatus"))))
                              .alias("value"))
-    diffs = G.compare_lines(actual, expected, keys=("test",))
-    return G.report(diffs, "test").select("line")
+    return G.report(G.compare_lines(actual, expected, keys=("test",)), "test")
+
+
+def status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One padded status line per customer test."""
+    configure(spark)
+    return _customer_report(spark, sf_dir).select("line")
 
 
 def catalog_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -591,15 +776,35 @@ def catalog_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roundtrip_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem, all columns, written, reread and compared by a checksum."""
+    configure(spark)
+    return storage_roundtrip(spark, table(spark, sf_dir, "lineitem")).select(
+        "probe", F.substring_index("actual", "/", 1).cast("bigint").alias("n"), "status")
+
+
+def probe_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole probe suite with orders as the round trip's rows, events'
+    props as documents and as many rows to sort as there are orders."""
     configure(spark)
-    lineitem = table(spark, sf_dir, "lineitem")
-    data = lineitem.select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("id"),
-                           "l_quantity", "l_extendedprice")
-    return storage_roundtrip(spark, data, "id")
+    root = work_dir(spark, "probes")
+    orders, events = table(spark, sf_dir, "orders"), table(spark, sf_dir, "events")
+    write_lines(events.select("props"), f"{root}/docs")
+    return run_probes(spark, orders, f"{root}/docs", events.count(), sort_rows=orders.count(),
+                      json_multiline=False).select("probe", "status", "line")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "strict_ingest": strict_ingest,
+    "reingest": reingest,
+    "ingest_outcomes": ingest_outcomes,
+    "stream_release": stream_release,
+    "audit_append": audit_append,
+    "golden_dir": golden_dir,
+    "results_summary": results_summary,
+    "collection_commit": collection_commit,
+    "array_files": array_files,
+    "generated_rows": generated_rows_q,
+    "probe_report": probe_report,
     "arity_profile": arity_profile_q,
     "quoted_ingest": quoted_ingest,
     "remainder_ingest": remainder_ingest,
@@ -669,8 +874,8 @@ ORACLES: dict[str, str] = {
                     "o_orderkey || '.csv' AS archive, '/data/failure/f' || o_orderkey || '.csv' AS failure "
                     "FROM orders",
     "rows_changed": "SELECT t.name AS table_name, count(e.event_id) AS rows_changed FROM (VALUES ('view'), "
-                    "('click'), ('missing')) t(name) LEFT JOIN events e ON e.event_type = t.name AND e.ts > "
-                    "TIMESTAMP '2024-01-10 00:00:00' AND e.ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY 1",
+                    "('click'), ('missing')) t(name) LEFT JOIN events e ON e.event_type = t.name AND date_trunc('second', e.ts) > "
+                    "TIMESTAMP '2024-01-10 00:00:00' AND date_trunc('second', e.ts) < TIMESTAMP '2024-01-20 00:00:00' GROUP BY 1",
     "run_audit": "SELECT event_id, coalesce(nullif(CASE WHEN event_type = 'view' THEN '' ELSE event_type END, "
                  "''), 'Unknown') AS application, (event_id % 3) = 0 AS success FROM events",
     "log_escape": "SELECT conv_id, turn, replace(replace(replace(replace(replace(text, chr(10), '\\n'), "
@@ -694,7 +899,8 @@ ORACLES: dict[str, str] = {
                        "chr(10))) AS line FROM documents) WHERE line NOT LIKE '%version%' AND line NOT LIKE "
                        "'%QTime%' GROUP BY doc_id",
     "revert_rows": "SELECT o_orderkey, o_orderstatus FROM orders WHERE NOT (nullif(o_orderstatus, 'P') = 'F')",
-    "revert_all": "SELECT count(*) AS n_left FROM orders WHERE 1 = 0",
+    "revert_all": "SELECT 'all' AS spec, count(*) FILTER (false) AS n_left FROM orders UNION ALL SELECT 'some', "
+                  "count(*) FILTER (NOT o_orderpriority = '5-LOW') FROM orders",
     "watermark_reset": "SELECT CAST(631152000 AS BIGINT) AS c1, CAST(631152000 AS BIGINT) AS c2, "
                        "CAST(631152000 AS BIGINT) AS c3, CAST(631152000 AS BIGINT) AS c4, CAST(631152000 AS "
                        "BIGINT) AS c5, CAST(631152000 AS BIGINT) AS c6 FROM (SELECT DISTINCT user_id FROM events)",
@@ -704,8 +910,47 @@ ORACLES: dict[str, str] = {
                        "CAST(sum(p_size) AS BIGINT) AS sum_sqrt FROM part",
     "collection_count": "SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS num_found "
                         "FROM events GROUP BY 1",
-    "total_order_sort": f"SELECT count(*) AS n, CAST(sum({_MD5_X}) AS BIGINT) AS checksum, "
-                        "CAST(0 AS BIGINT) AS inversions FROM orders",
+    "total_order_sort": "SELECT layout, count(*) AS n, CAST(sum(ck) AS VARCHAR) AS checksum, CAST(sum(CASE WHEN "
+                        "layout = 'by_orderkey' AND key < prior THEN 1 ELSE 0 END) AS BIGINT) AS inversions FROM "
+                        "(SELECT *, lag(key) OVER (ORDER BY o_orderkey) AS prior, ('0x' || substr(md5(key || '|' || "
+                        "o_orderkey), 1, 16))::UBIGINT::HUGEINT AS ck FROM (SELECT o_orderkey, md5(CAST(o_orderkey AS "
+                        "VARCHAR)) AS key FROM orders)), (VALUES ('sorted'), ('by_orderkey')) l(layout) GROUP BY layout",
+    "reingest": "SELECT CASE o_orderkey % 2 WHEN 0 THEN 'even' ELSE 'odd' END AS side, o_orderkey, o_custkey, "
+                "o_orderstatus, o_orderpriority FROM orders",
+    "ingest_outcomes": "WITH s AS (SELECT o_orderstatus AS st, count(*) AS n, count(*) FILTER (o_orderpriority = "
+                       "'5-LOW') AS low FROM orders GROUP BY 1), o AS (SELECT *, CASE WHEN st = 'P' THEN 'deferred' "
+                       "WHEN st = 'O' AND low > 0 THEN 'failed' ELSE 'archived' END AS outcome FROM s) SELECT "
+                       "'table rows' AS item, CAST(coalesce(sum(n) FILTER (outcome = 'archived'), 0) AS BIGINT) AS n "
+                       "FROM o UNION ALL SELECT 'failed files', count(*) FILTER (outcome = 'failed') FROM o UNION ALL "
+                       "SELECT 'quarantined lines', CAST(coalesce(sum(low) FILTER (outcome = 'failed'), 0) AS BIGINT) "
+                       "FROM o UNION ALL SELECT outcome || ' files', count(*) FROM o GROUP BY outcome UNION ALL SELECT "
+                       "outcome || ' bad lines', CAST(sum(CASE WHEN outcome = 'failed' THEN low ELSE 0 END) AS BIGINT) "
+                       "FROM o GROUP BY outcome",
+    "stream_release": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
+    "audit_append": "SELECT t.name AS table_name, true AS success, count(e.event_id) AS rows_changed, 'Unknown' AS "
+                    "workflow_id, 'Unavailable' AS application_id, 'it s done' AS stdout, 'Unknown' AS pltfrm_nm, 'app' "
+                    "AS aplctn_nm FROM (VALUES ('view'), ('click'), ('missing')) t(name) LEFT JOIN events e ON "
+                    "e.event_type = t.name AND date_trunc('second', e.ts) > TIMESTAMP '2024-01-10 00:00:00' AND "
+                    "date_trunc('second', e.ts) < TIMESTAMP '2024-01-20 00:00:00' GROUP BY t.name",
+    "golden_dir": "SELECT '' AS part, test, CASE WHEN n = 0 THEN 'SUCCESS' ELSE 'FAILURE' END AS status FROM (SELECT "
+                  "'g_customer' AS test, 0 AS n UNION ALL SELECT 'g_customer2', (SELECT count(*) FROM customer WHERE "
+                  "c_acctbal = 0) UNION ALL SELECT 'g_events', 0 UNION ALL SELECT 'g_events', (SELECT count(*) FROM "
+                  "events WHERE event_type IN ('view', 'click')))",
+    "results_summary": "SELECT status, count(*) AS n_tests FROM (SELECT CASE WHEN count(*) FILTER (o_orderpriority = "
+                       "'5-LOW' AND o_orderstatus = 'P') = 0 THEN 'SUCCESS' ELSE 'FAILURE' END AS status FROM orders "
+                       "GROUP BY o_custkey) GROUP BY status",
+    "collection_commit": "SELECT event_type, count(*) AS n FROM events GROUP BY 1 UNION ALL SELECT '(emptied)', 0",
+    "array_files": "SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS num_found "
+                   "FROM events GROUP BY 1",
+    "generated_rows": "SELECT count(*) AS n, CAST(count(*) * (count(*) - 1) / 2 AS BIGINT) AS sum_id, count(*) AS "
+                      "n_keys, CAST(20 AS BIGINT) AS key_length FROM orders",
+    "probe_report": "SELECT probe, 'SUCCESS' AS status, printf('%-30s - %s', probe, 'SUCCESS') AS line FROM (VALUES "
+                    "('Storage round trip'), ('Catalog create table'), ('Catalog select table'), ('Pi estimate'), "
+                    "('Sort and validate'), ('Document search')) t(probe)",
+    "catalog_probe": "SELECT 'Catalog create table' AS probe, 'True' AS expected, 'True' AS actual, 'SUCCESS' AS status "
+                     "UNION ALL SELECT 'Catalog select table', e, e, 'SUCCESS' FROM (SELECT count(*) || '/' || "
+                     "sum(p_size * p_size) || '/' || sum(p_size) AS e FROM part)",
+    "roundtrip_probe": "SELECT 'Storage round trip' AS probe, count(*) AS n, 'SUCCESS' AS status FROM lineitem",
     "pi_estimate": f"SELECT CAST(sum({_INSIDE}) AS BIGINT) AS inside, count(*) AS n, "
                    f"4.0::DOUBLE * sum({_INSIDE}) / count(*) AS pi "
                    f"FROM (SELECT {_MD5_X}::DOUBLE / 4294967296.0::DOUBLE AS x, "
