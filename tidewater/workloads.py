@@ -443,6 +443,16 @@ def spec_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            F.col("condition").alias("o_orderpriority"))
 
 
+def spec_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ``~``-joined spec list per customer, with empty items -> items."""
+    configure(spark)
+    orders = table(spark, sf_dir, "orders")
+    spec = F.concat_ws("|", F.lit("orders"), F.col("o_orderkey").cast("string"), "o_orderstatus")
+    lists = orders.groupBy("o_custkey").agg(
+        F.concat(F.lit("~"), F.concat_ws("~", F.collect_list(spec)), F.lit("~")).alias("specs"))
+    return TF.explode_spec_list(lists, "specs")
+
+
 def golden_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Actual = events exported as JSON lines; expected = the same without
     errors plus 5 bogus rows, upper-cased and padded with blanks.  Counts of
@@ -824,6 +834,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spec_parse": spec_parse,
     "spec_projection": spec_projection,
     "spec_dedupe": spec_dedupe,
+    "spec_list": spec_list,
     "golden_compare": golden_compare,
     "golden_suite": golden_suite,
     "volatile_filter": volatile_filter,
@@ -885,6 +896,7 @@ ORACLES: dict[str, str] = {
     "spec_parse": "SELECT 't' || doc_id AS table_name, text AS fields, lang AS condition FROM documents",
     "spec_projection": "SELECT c_custkey, c_name FROM customer WHERE c_acctbal < 0",
     "spec_dedupe": "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders",
+    "spec_list": "SELECT 'orders|' || o_orderkey || '|' || o_orderstatus AS spec FROM orders",
     "golden_compare": "SELECT (SELECT count(*) FROM (SELECT event_id, event_type FROM events EXCEPT ALL (SELECT "
                       "event_id, event_type FROM events WHERE event_type <> 'error' UNION ALL SELECT "
                       "r_regionkey, 'bogus' FROM region))) AS only_actual, (SELECT count(*) FROM ((SELECT "
