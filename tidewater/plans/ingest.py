@@ -288,15 +288,15 @@ class _Run:
                 .withColumn("file_class", F.lit(c.table)) for i, c in enumerate(classes)])
             per_file.write.parquet(f"{stage}/files")
             per_file = spark.read.parquet(f"{stage}/files")
-            _verdict(files, per_file, typed, spark.createDataFrame(list(errors.items()), f"{BATCH} string, error string")
-                     ).write.parquet(f"{stage}/verdict")
+            _verdict(files, per_file, typed, errors).write.parquet(f"{stage}/verdict")
             verdict = spark.read.parquet(f"{stage}/verdict")
             bad = verdict.where("any_bad").count()
         good = verdict.where("not any_bad").select(BATCH)
         late: dict[str, str] = {}
         for i, c in enumerate(classes):
             with _phase(f"append {c.table}"):
-                late |= self._append(i, typed[i].join(good, BATCH, "left_semi"), c.qualified_table(self.database))
+                rows = typed[i].join(good, BATCH, "left_semi") if bad else typed[i]
+                late |= self._append(i, rows, c.qualified_table(self.database))
         if late:
             # all or nothing: what other tables already hold of these batches goes
             for c in classes:
@@ -430,21 +430,28 @@ VERDICT_SCHEMA = (f"{BATCH} string, any_bad boolean, n_lines long, n_bad_lines l
                   "n_bad_keys long, n_cast_errors long, error string")
 
 
-def _verdict(files: DataFrame, per_file: DataFrame, typed: list[DataFrame], errors: DataFrame) -> DataFrame:
+def _verdict(files: DataFrame, per_file: DataFrame, typed: list[DataFrame], errors: dict[str, str]) -> DataFrame:
     """One row per batch of the round: line and row statistics, the error its
-    transform raised, and ``any_bad``.  A batch that raised has no statistics."""
-    lines = per_file.groupBy(BATCH).agg(F.sum("n_lines").alias("n_lines"), F.sum("n_bad_lines").alias("n_bad_lines"))
-    rows = _union([t.groupBy(BATCH).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("_bad_key").cast("int")).alias("n_bad_keys"),
-        F.sum("_cast_errors").alias("n_cast_errors")) for t in typed]).groupBy(BATCH).agg(
-        *[F.sum(c).alias(c) for c in ("n_rows", "n_bad_keys", "n_cast_errors")])
-    both = (files.select(F.col("batch_id").alias(BATCH)).distinct()
-            .join(lines, BATCH, "left").join(rows, BATCH, "left").join(errors, BATCH, "left"))
-    stats = ("n_lines", "n_bad_lines", "n_rows", "n_bad_keys", "n_cast_errors")
-    known = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in stats}
-    bad = F.col("error").isNotNull() | (known["n_bad_lines"] + known["n_bad_keys"] + known["n_cast_errors"] > 0)
+    transform raised, and ``any_bad``.  A batch that raised has no statistics.
+    All statistics meet in one aggregate; typed rows are counted before it."""
+    stats = {"n_lines": None, "n_bad_lines": None, "n_rows": F.lit(1), "n_bad_keys": F.col("_bad_key").cast("int"),
+             "n_cast_errors": F.col("_cast_errors")}
+
+    def padded(df, **known):
+        return df.select(BATCH, *[known.get(c, F.lit(0)).cast("bigint").alias(c) for c in stats])
+
+    parts = [padded(files.select(F.col("batch_id").alias(BATCH))),
+             padded(per_file, n_lines=F.col("n_lines"), n_bad_lines=F.col("n_bad_lines"))]
+    parts += [padded(t, **{c: v for c, v in stats.items() if v is not None}) for t in typed]
+    both = _union(parts).groupBy(BATCH).agg(*[F.sum(c).alias(c) for c in stats])
+    if errors:
+        told = files.sparkSession.createDataFrame(list(errors.items()), f"{BATCH} string, error string")
+        both = both.join(told, BATCH, "left")
+    else:
+        both = both.withColumn("error", F.lit(None).cast("string"))
+    bad = F.col("error").isNotNull() | (F.col("n_bad_lines") + F.col("n_bad_keys") + F.col("n_cast_errors") > 0)
     return both.select(BATCH, bad.alias("any_bad"),
-                       *[F.when(F.col("error").isNull(), known[c]).alias(c) for c in stats], "error")
+                       *[F.when(F.col("error").isNull(), F.col(c)).alias(c) for c in stats], "error")
 
 
 def ledger_rows(run_id, pending: DataFrame, verdict: DataFrame, landing, archive, failure) -> DataFrame:
