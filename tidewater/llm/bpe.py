@@ -18,11 +18,11 @@ from array import array
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import add_columns, read_table
+from .common import add_columns, kept_in_worker, read_table
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Pieces whose tokens are remembered in a worker process, and their longest text.
-REMEMBERED, LONGEST_REMEMBERED = 800_000, 48
+REMEMBERED, LONGEST_REMEMBERED = 250_000, 48
 #: Characters that are split into pieces at a time, and tokens that are decoded at a time.
 _CHUNK, _TOKENS = 1 << 16, 1 << 15
 
@@ -259,16 +259,9 @@ def _pack(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
-_LOADED: dict[bytes, Tokenizer] = {}
-
-
 def _tokenizer(definition: bytes) -> Tokenizer:
     """One tokenizer is kept in each worker process."""
-    key = hashlib.sha256(definition).digest()
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Tokenizer(definition)
-    return _LOADED[key]
+    return kept_in_worker(("bpe", hashlib.sha256(definition).digest()), lambda: Tokenizer(definition))
 
 
 #: What :func:`encode_texts` can return, with types.

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..session import staged, work_dir
 
-__all__ = ["add_columns", "connected_components", "read_table", "set_aside", "staged", "work_dir"]
+__all__ = ["add_columns", "connected_components", "kept_in_worker", "read_table", "set_aside", "staged", "work_dir"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,9 +31,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Every round replaces the edges by large-star, then small-star edges: each
     neighbour is tied to the smallest node in sight, which halves distances, so
     rounds grow with the logarithm of the longest chain.  Minima are combined
-    before the shuffle and the joins are plain equi-joins, which adaptive
-    execution splits where one hub holds most edges.  Each round is written to
-    the shared work area; the last but one is deleted.
+    before the shuffle and staged, so that the joins are between plain shuffles,
+    which adaptive execution splits where one hub holds most edges.  Each round
+    is written to the shared work area; what it was made from is deleted.
     """
     spark = edges.sparkSession
     current = (edges.where("a <> b")
@@ -49,16 +49,23 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         fingerprint = tuple(seen)
         # large-star: greater neighbours of u go to the smallest of u and its neighbours
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        large = (both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-                 .where("a <> b").distinct())
+        made = [work_dir(spark, "minima") for _ in range(3)]
+
+        def kept(df, at, made=made):
+            df.write.parquet(made[at])
+            return spark.read.schema(df.schema).parquet(made[at])
+
+        low = kept(both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")), 0)
+        large = kept(both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+                     .where("a <> b").distinct(), 1)
         # small-star: smaller neighbours of u, and u, go to the smallest of them (all edges here run from larger to smaller)
-        least = large.groupBy("a").agg(F.min("b").alias("low"))
+        least = kept(large.groupBy("a").agg(F.min("b").alias("low")), 2)
         small = (large.join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
                  .union(least.select("a", F.col("low").alias("b"))).where("a <> b").distinct())
         following = work_dir(spark, "components")
         small.write.parquet(following)
-        _forget(spark, path)
+        for done in (path, *made):
+            _forget(spark, done)
         path = following
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
@@ -75,6 +82,9 @@ def add_columns(df: DataFrame, inputs: list[str], fields: str, make, *args) -> D
     other columns pass through untouched; columns of ``df`` that have one of the
     new names are replaced.
     """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_SETTING) == "10000":
+        conf.set(_BATCH_SETTING, _BATCH_ROWS)
     new = T.StructType.fromDDL(fields)
     kept = [c for c in df.columns if c not in new.names]
     # inputs travel under names of their own, so a replaced column can be an input
@@ -88,7 +98,9 @@ def add_columns(df: DataFrame, inputs: list[str], fields: str, make, *args) -> D
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(new)
+        begin_task()
         compute = make(*args)
+        end_setup()
         for batch in batches:
             for start in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(start, _ROWS)
@@ -98,10 +110,37 @@ def add_columns(df: DataFrame, inputs: list[str], fields: str, make, *args) -> D
                     [part.column(c) for c in kept]
                     + [pa.array(list(v), type=f.type) for v, f in zip(columns, arrow, strict=True)],
                     names=kept + new.names)
+        pa.default_memory_pool().release_unused()
 
     return carried.mapInArrow(run, schema)
 
 
+# What a Python worker keeps from task to task: one thing at a time, so that
+# the stages of a pipeline do not add up in one worker's memory.
+_KEPT: dict = {}
+_USED: list = []
+
+
+def kept_in_worker(key, build):
+    """The object ``build()`` made for ``key`` in an earlier task of this
+    worker, or a new one, which takes the place of any other."""
+    _USED.append(key)
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def begin_task() -> None:
+    _USED.clear()
+
+
+def end_setup() -> None:
+    """Let go of what an earlier stage has left, if this task keeps nothing."""
+    if not _USED:
+        _KEPT.clear()
+
+
 def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, list]:
     """``df`` with columns of these names renamed, so that an operator can use
     the names itself, and the columns that restore ``df``'s own."""
@@ -111,4 +150,7 @@ def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, list]:
 
 
 #: Rows that add_columns turns into Python values at a time.
-_ROWS = 512
+_ROWS = 128
+#: Rows of the batches that Spark hands to Python, where the session has left
+#: Spark's default of 10,000: texts are long, and a batch is held as a whole.
+_BATCH_ROWS, _BATCH_SETTING = "1000", "spark.sql.execution.arrow.maxRecordsPerBatch"

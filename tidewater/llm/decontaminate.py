@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, read_table, set_aside, staged
+from .common import add_columns, kept_in_worker, read_table, set_aside, staged
 
 #: Words of a window: shared stretches of at least this many words are hit.
 WINDOW = 10
@@ -192,26 +192,22 @@ def normal_words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_NORMAL).split()
 
 
-_BUILT: dict[str, Scanner] = {}
-
-
 def _scanner(items: list[tuple[str, str]], window: int) -> Scanner:
     """One automaton is kept in each worker process."""
-    key = hashlib.sha256(repr((items, window)).encode()).hexdigest()
-    if key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[key] = Scanner(Automaton([(name, normal_words(text)) for name, text in items], window))
-    return _BUILT[key]
+    key = hashlib.sha256(repr((items, window)).encode()).digest()
+    return kept_in_worker(("items", key), lambda: Scanner(Automaton(
+        [(name, normal_words(text)) for name, text in items], window)))
 
 
-def _make(items, window):
+def _make(items, window, cut):
     scanner = _scanner(items.value, window)
 
     def compute(text, spans, names):
         count, new, found = scanner.scan(text)
         if spans:
             new = merge_spans([*new, *((s["start"], s["end"]) for s in spans)])
-        return count, [{"start": s, "end": e} for s, e in new], sorted(found | set(names or ()))
+        row = count, [{"start": s, "end": e} for s, e in new], sorted(found | set(names or ()))
+        return (*row, _cut(text, new) if new else text) if cut else row
 
     return compute
 
@@ -230,7 +226,7 @@ _SPANS = "array<struct<start: int, end: int>>"
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                       item_bytes: int = ITEM_BYTES) -> DataFrame:
+                       item_bytes: int = ITEM_BYTES, cut: bool = False) -> DataFrame:
     """``docs`` with ``n_words`` long, ``hit_spans`` (word ranges inside
     occurrences of a window, disjoint, end exclusive) and ``hit_items``
     (item_ids, as strings, that have a window there).
@@ -242,6 +238,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     as an empty string.  Rows pass as they are, repeated ones too; columns of
     ``docs`` named like a new one are replaced.
 
+    With ``cut`` the hit words are also cut out of ``text``.
+
     The items, whose total bytes are counted first, are broadcast in rounds of
     at most some ``item_bytes``; documents are never shuffled.
     """
@@ -255,8 +253,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     for k in range(rounds):
         part = items.where(F.pmod(F.xxhash64("name", "text"), F.lit(rounds)) == k)
         shared = spark.sparkContext.broadcast(sorted((r["name"], r["text"]) for r in part.collect()))
+        last = cut and k == rounds - 1  # the texts stay whole until all items are seen
         out = add_columns(out, ["text", "hit_spans", "hit_items"],
-                          f"n_words long, hit_spans {_SPANS}, hit_items array<string>", _make, shared, window)
+                          f"n_words long, hit_spans {_SPANS}, hit_items array<string>" + ", text string" * last,
+                          _make, shared, window, last)
         if rounds > 1:
             out = staged(out, "decontaminate")
     return out
@@ -269,20 +269,16 @@ def _hit_words():
 def _cut(text, spans):
     """``text`` without the words of the given ranges; one blank stands in for each."""
     out, at, ranges = [], 0, iter(spans)
-    current = next(ranges, None)
+    start, end = next(ranges)
     for i, word in enumerate(_WORD.finditer(text)):
-        if current is None:
-            break
-        if i == current["start"]:
+        if i == start:
             out.append(text[at:word.start()])
-        if i == current["end"] - 1:
+        if i == end - 1:
             at = word.end()
-            current = next(ranges, None)
-    return " ".join([*out, text[at:]]) if out else text
-
-
-def _make_cut():
-    return lambda text, spans: (_cut(text, spans) if spans else text,)
+            start, end = next(ranges, (-1, -1))
+            if end < 0:
+                break
+    return " ".join([*out, text[at:]])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -292,9 +288,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     words are hit are dropped.  ``n_chars``, where there is one, follows the text.
     Documents without a hit come back as they were."""
     free, own = set_aside(docs, "n_words", "hit_spans", "hit_items")
-    found = find_contamination(free, benchmark, window)
-    kept = found.where(_hit_words() <= F.col("n_words") * F.lit(max_coverage))
-    cut = add_columns(kept, ["text", "hit_spans"], "text string", _make_cut)
+    found = find_contamination(free, benchmark, window, cut=True)
+    cut = found.where(_hit_words() <= F.col("n_words") * F.lit(max_coverage))
     if "n_chars" in docs.columns:
         changed = F.size("hit_spans") > 0
         cut = cut.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars"))

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, read_table, set_aside
+from .common import add_columns, kept_in_worker, read_table, set_aside
 
 #: Trigrams are hashed to so many bins; the model has languages x bins numbers.
 BINS = 1 << 16
@@ -132,16 +132,10 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Mixture | None:
     return Mixture.of_counts(languages, counts)
 
 
-_LOADED: dict[bytes, Mixture] = {}
-
-
 def _make_infer(shared):
     languages, data = shared.value
     key = hashlib.sha256(repr(languages).encode() + data).digest()
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Mixture(languages, np.frombuffer(data).reshape(-1, len(languages)))
-    model = _LOADED[key]
+    model = kept_in_worker(("mixture", key), lambda: Mixture(languages, np.frombuffer(data).reshape(-1, len(languages))))
 
     def compute(text):
         if not has_letter(text):

@@ -210,25 +210,26 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIST
 
 def with_smallest_id(groups: DataFrame) -> DataFrame:
     """``groups`` with ``component_id``: the smallest doc_id of the component."""
-    smallest = groups.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    smallest = staged(groups.groupBy("component").agg(F.min("doc_id").alias("component_id")), "smallest")
     return groups.join(smallest, "component")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """``docs`` (same columns) with one row of each group: that of the smallest
     doc_id (null ids last); of rows that share it, that with the smallest
-    fingerprint, and of repeats of that any one."""
-    groups = simhash_groups(docs, shingle, distance)
+    fingerprint, and of repeats of that any one.
+
+    Where ids are unique, which a narrow count tells, they alone pick the rows
+    and the texts are shuffled once; else fingerprints have to help."""
+    groups = staged(simhash_groups(docs, shingle, distance), "groups")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fingerprint")
-    kept = (groups.groupBy("component").agg(F.min(first).alias("first"), F.min("doc_id").alias("low"))
+    kept = (groups.groupBy("component").agg(F.min(first).alias("first"))
             .select(F.col("first.doc_id").alias("__kept_id"), F.col("first.fingerprint").alias("__kept_print")))
-    # Ids that stand for a group are unique but for repeated rows, so the texts
-    # that can stay are few more than those that do.
-    marked = add_columns(
-        docs.join(kept.select("__kept_id").distinct(), F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi"),
-        ["text"], "__print long", _make_fingerprint, shingle, SEED)
-    chosen = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept_id"))
-                         & (F.col("__print") == F.col("__kept_print")), "left_semi")
+    same_id = F.col("doc_id").eqNullSafe(F.col("__kept_id"))
+    if not groups.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return docs.join(kept, same_id, "left_semi")
+    marked = add_columns(docs, ["text"], "__print long", _make_fingerprint, shingle, SEED)
+    chosen = marked.join(kept, same_id & (F.col("__print") == F.col("__kept_print")), "left_semi")
     return chosen.dropDuplicates(["doc_id", "__print"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
