@@ -9,8 +9,9 @@ Half of an odd distance is no whole number.  The odd bit is taken up by
 masking: the fingerprint is cut into blocks, and variants are emitted for each
 block left out.  If two fingerprints differ, some block holds a differing bit;
 leaving that one out, at most ``distance - 1`` bits are left to differ, and a
-whole half of them on either side.  At distance 3 that is 196 variants of
-radius 1, where unmasked balls would need radius 2 on one side: 2081.
+whole half of them on either side.  At distance 3 and with three blocks that
+is 131 variants of radius 1, where unmasked balls would need radius 2 on one
+side: 2081.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from .common import add_columns, connected_components, read_table, staged
 SHINGLE = 3
 DISTANCE = 3
 SEED = 42
-BLOCKS = 4
+BLOCKS = 3
 BITS = 64
 
 _CHUNK = 1 << 20
@@ -85,24 +86,22 @@ def _make_fingerprint(shingle, seed):
 
 def flips(distance: int, blocks: int = BLOCKS) -> list[tuple[int, list[int]]]:
     """For each block, the mask that leaves it out and the bit patterns that
-    turn a fingerprint into the variants within half of ``distance - 1`` of it."""
-    width = BITS // blocks
+    turn a fingerprint into the variants within half of ``distance - 1`` of it.
+    The left-out bits of the patterns carry the block's number, so that
+    variants of different blocks do not meet."""
+    edges = [BITS * b // blocks for b in range(blocks + 1)]
     out = []
-    for b in range(blocks):
-        hole = ((1 << width) - 1) << (b * width)
+    for b, (start, end) in enumerate(zip(edges, edges[1:])):
+        hole = ((1 << (end - start)) - 1) << start
         places = [i for i in range(BITS) if not hole >> i & 1]
-        patterns = [sum(1 << i for i in some) for k in range((distance - 1) // 2 + (distance - 1) % 2 + 1)
+        patterns = [sum(1 << i for i in some) | b << start for k in range(distance // 2 + 1)
                     for some in combinations(places, k)]
         out.append((~hole & ((1 << BITS) - 1), patterns))
     return out
 
 
 def _emit(distance: int, blocks: int):
-    balls = []
-    for b, (mask, patterns) in enumerate(flips(distance, blocks)):
-        # the left-out bits carry the block's number, so that blocks do not mix
-        name = b << ((BITS // blocks) * b)
-        balls.append((np.uint64(mask), np.array([p | name for p in patterns], np.uint64)))
+    balls = [(np.uint64(mask), np.array(patterns, np.uint64)) for mask, patterns in flips(distance, blocks)]
 
     def run(batches):
         import pyarrow as pa
