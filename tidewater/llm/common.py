@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..session import staged, work_dir
 
-__all__ = ["add_columns", "connected_components", "kept_in_worker", "read_table", "set_aside", "staged", "work_dir"]
+__all__ = ["add_columns", "bounded_batches", "connected_components", "kept_in_worker", "read_table", "set_aside", "staged", "work_dir"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,9 +82,7 @@ def add_columns(df: DataFrame, inputs: list[str], fields: str, make, *args) -> D
     other columns pass through untouched; columns of ``df`` that have one of the
     new names are replaced.
     """
-    conf = df.sparkSession.conf
-    if conf.get(_BATCH_SETTING) == "10000":
-        conf.set(_BATCH_SETTING, _BATCH_ROWS)
+    bounded_batches(df.sparkSession)
     new = T.StructType.fromDDL(fields)
     kept = [c for c in df.columns if c not in new.names]
     # inputs travel under names of their own, so a replaced column can be an input
@@ -115,6 +113,12 @@ def add_columns(df: DataFrame, inputs: list[str], fields: str, make, *args) -> D
     return carried.mapInArrow(run, schema)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Smaller batches for Python, unless the session asks for some size."""
+    if spark.conf.get(_BATCH_SETTING) == "10000":
+        spark.conf.set(_BATCH_SETTING, _BATCH_ROWS)
+
+
 # What a Python worker keeps from task to task: one thing at a time, so that
 # the stages of a pipeline do not add up in one worker's memory.
 _KEPT: dict = {}

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, staged
+from .common import bounded_batches, read_table, staged
 
 LENGTH = 100
 ANCHOR = 32
@@ -452,6 +452,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     if length % LETTERS or not 52 <= length <= 128:
         raise ValueError("length must be a multiple of four from 52 to 128")
+    bounded_batches(docs.sparkSession)
     shared = docs.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
     version = F.xxhash64("text") if shared else F.lit(0).cast("long")
     texts = docs.select("doc_id", version.alias("version"), "text")
