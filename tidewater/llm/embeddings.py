@@ -26,6 +26,8 @@ THRESHOLD = 0.9
 UNIT, SAMPLE = 4_096, 2_048
 #: Cells at most: the lowest level of the sample's tree with no more nodes is used.
 CELLS = 256
+#: Partitions at most that the pairs of units are dealt out to.
+MOST_TASKS = 20_000
 #: Radii of the levels: any two unit vectors are within 2.
 RADII = tuple(2.0 ** (1 - k) for k in range(6))
 _ROWS = 1_024
@@ -261,6 +263,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, unit: int
             gap = pivots.value[dim][cell] - pivots.value[dim2][cell2] if dim == dim2 else None
             if gap is not None and np.sqrt(gap @ gap) <= far + far2 + reach:
                 partners.append((dim, cell, units, cell2, units2))
+    tasks = max(1, min(MOST_TASKS, sum(a * b for _, _, a, _, b in partners) // 2))
     # at most CELLS x CELLS rows a dimension
     partners = spark.createDataFrame(partners, "dim int, cell int, units int, cell2 int, units2 int")
 
@@ -268,6 +271,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, unit: int
     planted = staged(dealt.join(sizes, ["dim", "cell"])
                      .withColumn("part", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("units")).cast("int"))
                      .select("dim", "cell", "part", "node", "copies", "embedding")
+                     .repartition(sum(units for _, _, units, _ in cells) or 1, "dim", "cell", "part")
                      .groupBy("dim", "cell", "part").applyInArrow(
                          _plant, f"dim int, cell int, part int, node long, copies long, embedding {kind}, "
                                  "place int, path array<int>"), "trees")
@@ -276,7 +280,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, unit: int
     own, other = F.struct("cell", "part"), F.struct(F.col("cell2").alias("cell"), F.col("part2").alias("part"))
     paired = paired.select("dim", F.least(own, other).alias("left"), F.greatest(own, other).alias("right"),
                            (own > other).cast("int").alias("side"), "node", "copies", "embedding", "place", "path")
-    found = staged(paired.groupBy("dim", "left", "right").applyInArrow(
+    # work grows with pairs of vectors, not with bytes, which is what adaptive
+    # execution would size partitions by
+    found = staged(paired.repartition(tasks, "dim", "left", "right").groupBy("dim", "left", "right").applyInArrow(
         _traverse(threshold), "a long, b long, links long"), "links")
 
     roots = connected_components(found.select("a", "b")).withColumnRenamed("node", "linked")
@@ -285,7 +291,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, unit: int
              .join(linked, F.col("node") == F.col("linked_a"), "left")
              .select(F.col("embedding").alias("vector"), "low_id", F.coalesce("root", "node").alias("root"),
                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")))
-    lowest = known.groupBy("root").agg(F.min("low_id").alias("lowest"))
+    lowest = staged(known.groupBy("root").agg(F.min("low_id").alias("lowest")), "lowest")
     known = known.join(lowest, "root").select("vector", "lowest", "links")
     return (rows.join(known, F.col("usable") & (F.col("embedding") == F.col("vector")), "left")
             .select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
