@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, staged
 
 #: (action, host, path) of the registered query.
 RULES = (
@@ -95,7 +95,9 @@ def filter_pages(pages: DataFrame, rules: Iterable[tuple[str, str, str]] = RULES
                  default: str = DEFAULT_VERDICT) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict``: one row per row
     of ``pages``.  Each distinct url is judged once, however many pages have it."""
-    judged = judge_urls(pages, rules, default).withColumnRenamed("url", "judged_url")
+    # staged, so that both sides of the join are plain shuffles: those adaptive
+    # execution can split where one url has most pages
+    judged = staged(judge_urls(pages, rules, default), "judged").withColumnRenamed("url", "judged_url")
     return (pages.select("page_id", "url")
             .join(judged, F.col("url").eqNullSafe(F.col("judged_url")))
             .select("page_id", "host", "path", "rule", "verdict"))
