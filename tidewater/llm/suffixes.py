@@ -444,7 +444,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     its own; overlaps count.  Texts are taken as UTF-8 bytes, null as empty;
     shorter ones lose nothing.  Rows that share an id are told apart by a hash
     of their texts, which orders them; rows with equal id and text are one
-    document and get the same result.  An empty table gives no rows.
+    document, which does not repeat itself, and get the same result.  An empty
+    table gives no rows.
 
     ``length`` is a multiple of four, 52 to 128.  One anchor's different
     contexts are merged in one task, some 60 bytes of memory for each byte;
@@ -457,22 +458,25 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     version = F.xxhash64("text") if shared else F.lit(0).cast("long")
     texts = docs.select("doc_id", version.alias("version"), "text")
     kind = texts.schema["doc_id"].dataType.simpleString()
-    found = texts.mapInArrow(
+    single = texts  # one row a document: equal rows must not be taken for copies of each other
+    if shared and texts.groupBy("doc_id", "version").count().where("count > 1").limit(1).count():
+        single = staged(texts.dropDuplicates(["doc_id", "version"]), "documents")
+    found = single.mapInArrow(
         _find_contexts(length), f"anchor long, context long, doc_id {kind}, version long, place long")
     told = staged(found.repartition("anchor")
                   .sortWithinPartitions("anchor", "context", "doc_id", "version", "place")
                   .mapInArrow(_compare_contexts,
                               f"anchor long, doc_id {kind}, version long, place long, repeat boolean"), "contexts")
 
-    def with_texts(rows: DataFrame, name: str) -> DataFrame:
-        """Each document with its rows, gathered in the column ``name``."""
+    def with_texts(texts: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+        """Each row of ``texts`` with its document's rows, gathered in the column ``name``."""
         gathered = (rows.groupBy("doc_id", "version").agg(F.collect_list(F.struct(
             *[c for c in rows.columns if c not in ("doc_id", "version")])).alias(name))
             .select(F.col("doc_id").alias("d"), F.col("version").alias("v"), name).hint("shuffle_hash"))
         return texts.join(gathered, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")),
                           "left").select("doc_id", "version", "text", name)
 
-    unclear = with_texts(told.where("not repeat").select("doc_id", "version", "anchor", "place"), "wanted")
+    unclear = with_texts(single, told.where("not repeat").select("doc_id", "version", "anchor", "place"), "wanted")
     merged = (unclear.mapInArrow(_cut_contexts(length),
                                  f"anchor long, doc_id {kind}, version long, start long, bytes binary")
               .repartition("anchor").sortWithinPartitions("anchor")
@@ -481,7 +485,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     repeats = merged.unionByName(told.where("repeat").select(
         "doc_id", "version", first.alias("first"),
         (first + F.shiftright("place", 1).bitwiseAND(F.lit(127).cast("long"))).alias("last")))
-    return with_texts(repeats.dropDuplicates(), "repeats").mapInArrow(
+    return with_texts(texts, repeats.dropDuplicates(), "repeats").mapInArrow(
         _cut_repeats(length),
         f"doc_id {kind}, n_bytes long, n_removed long, removed array<struct<start: long, end: long>>, kept binary")
 
