@@ -209,6 +209,58 @@ def test_repeated_rows_are_one_document(spark):
             ("1", 300, 0), ("1", 300, 0), ("5", 301, 300), ("6", 250, 200), ("None", 0, 0), ("None", 0, 0)]
 
 
+def test_repeats_of_a_hot_anchor_are_merged_in_parts(spark):
+    """A passage with different surroundings in every document."""
+    rng = random.Random(17)
+
+    def noise(k):
+        return "".join(rng.choices("abcd ", k=k))
+
+    passage, ends = noise(260), [noise(20) for _ in range(3)]
+    rows = [(k, noise(rng.randint(0, 60)) + rng.choice(ends) + passage + rng.choice(ends) + noise(rng.randint(0, 60)))
+            for k in range(120)] + [(500, "a" * 400), (501, "a" * 350 + "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for merge_bytes in (suffixes.MERGE_BYTES, 4000, 300):
+        got = suffixes.remove_repeats(df, merge_bytes=merge_bytes).collect()
+        assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], len(r["removed"]), brute.sha(bytes(r["kept"])))
+                for r in got} == brute.repeats(rows)
+
+
+def test_contexts_of_a_hot_anchor_are_dealt_to_parts():
+    import pyarrow as pa
+
+    rows = [(1, 5, 9, 0)] + [(2, k, k, 0) for k in range(1000)] + [(3, k, k, 0) for k in range(2)] + [(3, 1, 7, 0), (4, 1, 1, 0)]
+    rows = [(a, c, i, 0, 3 << 8 | 20 << 1 | known) for a, c, i, known in rows]
+    for size in (1, 7, 64, 5000):
+        batches = [pa.RecordBatch.from_pylist([dict(zip(("anchor", "context", "doc_id", "version", "place"), r, strict=True))
+                                               for r in rows[at:at + size]]) for at in range(0, len(rows), size)]
+        out = [r for b in suffixes._compare_contexts(100, 1200)(batches) for r in b.to_pylist()]
+        assert [(r["anchor"], r["doc_id"]) for r in out if r["repeat"]] == [(3, 7)]
+        parts = {}
+        for r in out:
+            if not r["repeat"]:
+                parts.setdefault((r["anchor"], r["part"]), []).append(r["doc_id"])
+        assert parts.pop((3, 0)) == [0, 1]
+        assert sorted(parts) == [(2, k) for k in range(1, 101)] and {len(x) for x in parts.values()} == {10}
+
+
+def test_strings_of_one_key_are_held_in_bounds():
+    import pyarrow as pa
+
+    texts = [bytes([65 + k]) * 100 for k in range(4)]
+    rows = sorted((key, i, 0, 7, texts[key]) for key, n in enumerate((1, 500, 2, 1)) for i in range(n))
+    held, seen = [], suffixes.repeated_starts
+    suffixes.repeated_starts = lambda strings, *args: held.append(len(strings)) or seen(strings, *args)
+    try:
+        batches = [pa.RecordBatch.from_pylist(
+            [dict(zip(("key", "doc_id", "version", "first", "bytes"), r, strict=True)) for r in rows[at:at + 64]])
+            for at in range(0, len(rows), 64)]
+        out = [r for b in suffixes._merge_strings(100, 4, 2000)(batches) for r in b.to_pylist()]
+    finally:
+        suffixes.repeated_starts = seen
+    assert sorted(r["doc_id"] for r in out) == sorted([*range(1, 500), 1]) and max(held) <= 22
+
+
 def test_merged_transforms_equal_one_sort():
     rng = random.Random(8)
     strings = [bytes(rng.choices(b"ab", k=rng.randint(100, 400))) for _ in range(30)]

@@ -9,6 +9,9 @@
    shards of them are sorted into Burrows-Wheeler transforms, and the shards
    are merged by refining their interleaving, one letter a round. Suffixes that
    no round told apart share ``length`` bytes; all but the earliest repeat.
+   An anchor with more than ``MERGE_BYTES`` of contexts is hot: its contexts are
+   merged in parts of that size, and the strings that are the earliest of their
+   part meet again, each by a hash of its bytes, in further merges.
 3. Cutting. The repeats of each document are joined and cut out.
 
 A letter is 25 bytes, read at every byte offset: the suffix at p is preceded by
@@ -31,7 +34,8 @@ ANCHOR = 32
 LETTERS = 4
 #: Bytes worked on at a time when anchors are chosen.
 _CHUNK = 1 << 17
-#: Bytes of contexts whose transforms are merged at once (whole anchors), and of one shard.
+#: Bytes of contexts whose transforms are merged at once (whole anchors, or parts of
+#: this size of an anchor that has more), and of one shard.
 MERGE_BYTES, SHARD_BYTES = 1 << 20, 1 << 17
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
@@ -167,58 +171,70 @@ def _find_contexts(length: int):
     return run
 
 
-def _compare_contexts(batches):
+def _compare_contexts(length: int, part_bytes: int):
     """Of rows in order of anchor, context and document: those that repeat an
     equal context (repeat), and the first of each context of an anchor that
-    has several (for the transforms).  The rest have no equal anywhere."""
-    import pyarrow as pa
+    has several (for the transforms).  The rest have no equal anywhere.
 
-    def firsts(held):
-        """Rows of one anchor's different contexts."""
-        table = pa.Table.from_batches(held)
-        return table if table.num_rows > 1 else table.slice(0, 0)
+    part is 0 where an anchor's contexts have ``part_bytes`` at most; those of
+    a hot anchor are dealt to parts 1, 2, ... of about that size."""
 
-    held: list = []  # first rows of the contexts of the anchor that the last batch ended in
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        anchor, context, place = (batch.column(c).to_numpy() for c in ("anchor", "context", "place"))
-        known = (place & 1).astype(bool)
-        new_anchor, new_context = _starts([anchor]), _starts([anchor, context])
-        if last is not None:
-            new_anchor[0] = anchor[0] != last[0]
-            new_context[0] = (anchor[0], context[0]) != last
-        last = (anchor[-1], context[-1])
-        repeat = known | ~new_context
-        if repeat.any():
-            yield _told(batch.filter(pa.array(repeat)), True)
-        kept = batch.filter(pa.array(~repeat))
-        edges = np.flatnonzero(new_anchor)
-        group = np.cumsum(new_anchor)[~repeat]
-        if not len(edges):
-            held.append(kept)
-            continue
-        held.append(kept.slice(0, int((group == 0).sum())))
-        done = firsts(held)
-        if done.num_rows:
-            yield from (_told(b, False) for b in done.to_batches() if b.num_rows)
-        rest, group = kept.slice(int((group == 0).sum())), group[group > 0]
-        several = np.bincount(group, minlength=group.max(initial=0) + 1)[group] > 1
-        tail = group == new_anchor.sum()
-        if (several & ~tail).any():
-            yield _told(rest.filter(pa.array(several & ~tail)), False)
-        held = [rest.filter(pa.array(tail))]
-    if held and (done := firsts(held)).num_rows:
-        yield from (_told(b, False) for b in done.to_batches() if b.num_rows)
-
-
-def _told(batch, repeat: bool):
+    def run(batches):
+        import pyarrow as pa
+
+        held: list = []  # first rows of the contexts of the anchor that the last batch ended in, while it is not hot
+        told = 0  # bytes of that anchor's contexts, where it is hot and its rows are told
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            anchor, context, place = (batch.column(c).to_numpy() for c in ("anchor", "context", "place"))
+            new_context = _starts([anchor, context])
+            if last is not None:
+                new_context[0] = (anchor[0], context[0]) != last[:2]
+            repeat = (place & 1).astype(bool) | ~new_context
+            if repeat.any():
+                yield _told(batch.filter(pa.array(repeat)), True)
+            kept = batch.filter(pa.array(~repeat))
+            before, last = last, (anchor[-1], context[-1], anchor[~repeat][-1] if kept.num_rows else last and last[2])
+            if not kept.num_rows:
+                continue
+            rows = pa.Table.from_batches([*held, kept]).combine_chunks().to_batches()[0]
+            anchor, place = (rows.column(c).to_numpy() for c in ("anchor", "place"))
+            new_anchor = _starts([anchor])
+            group = np.cumsum(new_anchor) - 1
+            size = (place >> 1 & 127) + length
+            ends = np.cumsum(size)
+            through = ends - size - (ends - size)[new_anchor][group]  # bytes of the anchor before the row
+            if told and anchor[0] == before[2]:
+                through[group == 0] += told
+            else:
+                told = 0
+            closes = np.append(np.flatnonzero(new_anchor)[1:], len(anchor)) - 1
+            totals = (through + size)[closes]
+            hot = totals > part_bytes
+            several = (np.bincount(group) > 1) | hot
+            open_ = not hot[-1]  # the last anchor may go on
+            told = 0 if open_ else int(totals[-1])
+            several[-1] &= not open_
+            if several.any():
+                wanted = several[group]
+                part = np.where(hot[group], 1 + through // part_bytes, 0)
+                yield _told(rows.filter(pa.array(wanted)), False, part[wanted])
+            held = [rows.slice(int(np.flatnonzero(new_anchor)[-1]))] if open_ else []
+        if held and held[0].num_rows > 1:
+            yield _told(held[0], False)
+
+    return run
+
+
+def _told(batch, repeat: bool, part: np.ndarray | None = None):
     import pyarrow as pa
 
+    part = np.zeros(batch.num_rows, np.int64) if part is None else part
     return pa.RecordBatch.from_arrays(
-        [*(batch.column(c) for c in ("anchor", "doc_id", "version", "place")),
-         pa.array(np.full(batch.num_rows, repeat))], names=["anchor", "doc_id", "version", "place", "repeat"])
+        [batch.column("anchor"), pa.array(part), *(batch.column(c) for c in ("doc_id", "version", "place")),
+         pa.array(np.full(batch.num_rows, repeat))], names=["anchor", "part", "doc_id", "version", "place", "repeat"])
 
 
 def _cut_contexts(length: int):
@@ -228,7 +244,7 @@ def _cut_contexts(length: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                rows, anchors, starts, pieces = [], [], [], []
+                rows, anchors, parts, starts, pieces = [], [], [], [], []
                 for row, (text, wanted) in enumerate(zip(part.column("text").to_pylist(),
                                                          part.column("wanted").to_pylist(), strict=True)):
                     data = text.encode() if wanted else b""
@@ -236,13 +252,14 @@ def _cut_contexts(length: int):
                         start, more = x["place"] >> 8, x["place"] >> 1 & 127
                         rows.append(row)
                         anchors.append(x["anchor"])
+                        parts.append(x["part"])
                         starts.append(start)
                         pieces.append(data[start:start + more + length])
                 take = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchors, pa.int64()), part.column("doc_id").take(take),
+                    [pa.array(anchors, pa.int64()), pa.array(parts, pa.int64()), part.column("doc_id").take(take),
                      part.column("version").take(take), pa.array(starts, pa.int64()), pa.array(pieces, pa.binary())],
-                    names=["anchor", "doc_id", "version", "start", "bytes"])
+                    names=["anchor", "part", "doc_id", "version", "start", "bytes"])
 
     return run
 
@@ -355,49 +372,103 @@ def repeated_starts(strings: list[bytes], earlier: np.ndarray, length: int = LEN
     return np.split(offset, np.searchsorted(owner, np.arange(1, len(strings))))
 
 
-def _merge_contexts(length: int, letters: int):
+def _repeats_of(rows: list, length: int, letters: int) -> list[np.ndarray]:
+    """:func:`repeated_starts` of rows that end in doc_id, version, start, bytes."""
+    ids, versions, starts, pieces = list(zip(*rows, strict=True))[-4:]
+    by = sorted(range(len(rows)), key=lambda k: (ids[k] is not None, ids[k] or 0, versions[k], starts[k]))
+    ranks = np.empty(len(rows), np.int64)
+    ranks[by] = np.arange(len(rows))
+    earlier = [r * 256 + np.arange(len(p) - length + 1) for r, p in zip(ranks.tolist(), pieces, strict=True)]
+    return repeated_starts(list(pieces), earlier, length, letters)
+
+
+_MERGED = ["doc_id", "version", "first", "last", "bytes"]
+
+
+def _merged(rows: list, id_type):
+    """Batches of rows (doc_id, version, first, last, bytes)."""
+    import pyarrow as pa
+
+    for at in range(0, len(rows), 1 << 16):
+        columns = zip(*rows[at:at + (1 << 16)], strict=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(c), t) for c, t in zip(
+                columns, (id_type, pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=_MERGED)
+
+
+def _merge_contexts(length: int, letters: int, merge_bytes: int):
     """Intervals (doc_id, version, first, last) of starts that repeat an
-    earlier string, for contexts in order of anchor."""
-
-    def intervals(rows):
-        # equal strings have one anchor, so anchors merged together do not mix
-        anchors, ids, versions, starts, pieces = zip(*rows, strict=True)
-        by = sorted(range(len(rows)), key=lambda k: (ids[k] is not None, ids[k] or 0, versions[k], starts[k]))
-        ranks = np.empty(len(rows), np.int64)
-        ranks[by] = np.arange(len(rows))
-        earlier = [r * 256 + np.arange(len(p) - length + 1) for r, p in zip(ranks.tolist(), pieces, strict=True)]
-        for k, found in enumerate(repeated_starts(list(pieces), earlier, length, letters)):
+    earlier string, for contexts in order of anchor and part.  Of a hot
+    anchor's parts, also the strings that do not (first, bytes, no last)."""
+
+    def told(rows):
+        # equal strings have one anchor, so anchors merged together do not mix; parts of one do, which does no harm
+        for (_, part, i, version, start, piece), found in zip(rows, _repeats_of(rows, length, letters), strict=True):
             if len(found):
                 edge = np.flatnonzero(np.diff(found) > 1)
                 for a, b in zip(found[np.concatenate(([0], edge + 1))].tolist(),
                                 found[np.concatenate((edge, [len(found) - 1]))].tolist(), strict=True):
-                    yield ids[k], versions[k], starts[k] + a, starts[k] + b
+                    yield i, version, start + a, start + b, None
+            if part:
+                for a in np.setdiff1d(np.arange(len(piece) - length + 1), found).tolist():
+                    yield i, version, start + a, None, piece[a:a + length]
 
     def run(batches):
-        import pyarrow as pa
-
-        names = ["doc_id", "version", "first", "last"]
         held: list = []
         size = 0
         id_type = None
+        for batch in batches:
+            id_type = batch.schema.field("doc_id").type
+            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "part", "doc_id", "version", "start", "bytes")),
+                           strict=True):
+                if size >= merge_bytes and row[:2] != held[-1][:2]:
+                    yield from _merged(list(told(held)), id_type)
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[5])
+        if held:
+            yield from _merged(list(told(held)), id_type)
+
+    return run
+
+
+def _merge_strings(length: int, letters: int, merge_bytes: int):
+    """Intervals of one start each, as :func:`_merge_contexts` has them, for
+    strings in order of key, the hash of their bytes.  A string whose key
+    occurs once repeats nothing.  Where one key fills the memory allowed, only
+    the strings that no other repeats are held on."""
+
+    def run(batches):
+        held: list = []
+        limit = merge_bytes // length + 1
+        id_type = None
+
+        def settled():
+            return [len(found) > 0 for found in _repeats_of(held, length, letters)] if len(held) > 1 else [False] * len(held)
 
-        def told(rows):
-            columns = list(zip(*intervals(rows), strict=True)) or [()] * 4
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(c), t) for c, t in zip(columns, (id_type, pa.int64(), pa.int64(), pa.int64()),
-                                                      strict=True)], names=names)
+        def told(repeat):
+            return _merged([(i, v, a, a, None) for (_, i, v, a, _), r in zip(held, repeat, strict=True) if r], id_type)
 
         for batch in batches:
+            if not batch.num_rows:
+                continue
             id_type = batch.schema.field("doc_id").type
-            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "doc_id", "version", "start", "bytes")),
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "doc_id", "version", "first", "bytes")),
                            strict=True):
-                if size >= MERGE_BYTES and row[0] != held[-1][0]:
-                    yield told(held)
-                    held, size = [], 0
+                if held and row[0] != held[-1][0]:
+                    if len(held) == 1 or held[-2][0] != held[-1][0]:
+                        held.pop()
+                    if len(held) >= limit:
+                        yield from told(settled())
+                        held, limit = [], merge_bytes // length + 1
+                elif len(held) >= limit:
+                    repeat = settled()
+                    yield from told(repeat)
+                    held = [x for x, r in zip(held, repeat, strict=True) if not r]
+                    limit = max(limit, 2 * len(held))
                 held.append(row)
-                size += len(row[4])
         if held:
-            yield told(held)
+            yield from told(settled())
 
     return run
 
@@ -434,7 +505,7 @@ def _cut_repeats(length: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, merge_bytes: int = MERGE_BYTES) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``removed`` (array of start,
     end: the maximal removed byte runs) and ``kept`` (binary: the other bytes)
     for every row of ``docs`` (doc_id, text).
@@ -447,9 +518,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     document, which does not repeat itself, and get the same result.  An empty
     table gives no rows.
 
-    ``length`` is a multiple of four, 52 to 128.  One anchor's different
-    contexts are merged in one task, some 60 bytes of memory for each byte;
-    equal contexts, however many, take one row from each input batch.
+    ``length`` is a multiple of four, 52 to 128.  Different contexts are merged
+    ``merge_bytes`` at a time, some 60 bytes of memory for each byte, however
+    many one anchor has; equal contexts take one row from each input batch.
     """
     if length % LETTERS or not 52 <= length <= 128:
         raise ValueError("length must be a multiple of four from 52 to 128")
@@ -465,8 +536,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         _find_contexts(length), f"anchor long, context long, doc_id {kind}, version long, place long")
     told = staged(found.repartition("anchor")
                   .sortWithinPartitions("anchor", "context", "doc_id", "version", "place")
-                  .mapInArrow(_compare_contexts,
-                              f"anchor long, doc_id {kind}, version long, place long, repeat boolean"), "contexts")
+                  .mapInArrow(_compare_contexts(length, merge_bytes),
+                              f"anchor long, part long, doc_id {kind}, version long, place long, repeat boolean"),
+                  "contexts")
 
     def with_texts(texts: DataFrame, rows: DataFrame, name: str) -> DataFrame:
         """Each row of ``texts`` with its document's rows, gathered in the column ``name``."""
@@ -476,11 +548,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return texts.join(gathered, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")),
                           "left").select("doc_id", "version", "text", name)
 
-    unclear = with_texts(single, told.where("not repeat").select("doc_id", "version", "anchor", "place"), "wanted")
+    unclear = with_texts(single, told.where("not repeat").select("doc_id", "version", "anchor", "part", "place"), "wanted")
+    schema = f"doc_id {kind}, version long, first long, last long, bytes binary"
     merged = (unclear.mapInArrow(_cut_contexts(length),
-                                 f"anchor long, doc_id {kind}, version long, start long, bytes binary")
-              .repartition("anchor").sortWithinPartitions("anchor")
-              .mapInArrow(_merge_contexts(length, LETTERS), f"doc_id {kind}, version long, first long, last long"))
+                                 f"anchor long, part long, doc_id {kind}, version long, start long, bytes binary")
+              .repartition("anchor", "part").sortWithinPartitions("anchor", "part")
+              .mapInArrow(_merge_contexts(length, LETTERS, merge_bytes), schema))
+    if told.where("part > 0").limit(1).count():
+        merged = staged(merged, "merged")
+        again = (merged.where("last is null").select(F.xxhash64("bytes").alias("key"), "doc_id", "version", "first", "bytes")
+                 .repartition("key").sortWithinPartitions("key", "doc_id", "version", "first")
+                 .mapInArrow(_merge_strings(length, LETTERS, merge_bytes), schema))
+        merged = merged.where("last is not null").unionByName(again)
+    merged = merged.drop("bytes")
     first = F.shiftright("place", 8)
     repeats = merged.unionByName(told.where("repeat").select(
         "doc_id", "version", first.alias("first"),
