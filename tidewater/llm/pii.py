@@ -36,7 +36,9 @@ _GROUPED = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE_REST = re.compile(r"[ ().0-9-]+")
 _SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*\Z")
 _USERINFO = re.compile(r"[^\s/?#@:]+:[^\s/?#@]+@[^\s/?#@]+")
-_IDENTIFIER = re.compile(r"(?:[ \t]*[:=#]|[ \t]+(?:number|no\.?|id|is)[ \t]*[:=#]?)[ \t]*[\"']?([A-Za-z0-9][A-Za-z0-9_-]{5,127})")
+_ANNOUNCED = r"(?:[ \t]*+[:=#][ \t]*+|[ \t]++(?:number|no\.?|id|is)[ \t]*+[:=#]?[ \t]*+|[ \t]++)[\"']?"
+_IDENTIFIER = re.compile(_ANNOUNCED + r"([A-Za-z0-9][A-Za-z0-9_-]{5,})")
+_IBAN = re.compile(_ANNOUNCED + r"([A-Z]{2}[0-9]{2}(?:[ -][A-Z0-9]{4}){2,7}(?:[ -][A-Z0-9]{1,3})?(?![A-Za-z0-9]))")
 _WORD = re.compile(r"\w")
 
 
@@ -62,6 +64,17 @@ def _luhn(number: str) -> bool:
     return sum(digits[::2] + [d * 2 - 9 * (d > 4) for d in digits[1::2]]) % 10 == 0
 
 
+def _iban_end(groups: str) -> int | None:
+    """Where the longest run of whole groups ends that is an IBAN by its
+    check number (ISO 7064, mod 97)."""
+    ends = [len(groups), *(m.start() for m in re.finditer("[ -]", groups))]
+    for end in sorted(ends, reverse=True):
+        number = re.sub("[ -]", "", groups[:end])
+        if len(number) >= 12 and int("".join(str(int(c, 36)) for c in number[4:] + number[:4])) % 97 == 1:
+            return end
+    return None
+
+
 class Finder:
     """Spans (kind, start, end) of a text, in code points, end exclusive."""
 
@@ -144,8 +157,13 @@ class Finder:
 
     @staticmethod
     def _accounts(text: str, places: list[int]) -> Iterator[tuple[int, int]]:
-        """Identifiers after a cue: six characters at least, one a digit."""
+        """Identifiers after a cue, which a blank may part from it: six
+        characters at least, one a digit; and IBANs in groups of four."""
         for at in places:
+            match = _IBAN.match(text, at)
+            if match and (end := _iban_end(match.group(1))):
+                yield match.start(1), match.start(1) + end
+                continue
             match = _IDENTIFIER.match(text, at)
             if match and any(c in _DIGITS for c in match.group(1)):
                 yield match.span(1)
