@@ -194,6 +194,26 @@ def test_specs_may_name_the_table_and_the_last_one_counts(spark, tmp):
     assert [(r["test"], r["status"]) for r in report] == [("q1", "SUCCESS")] * 2
 
 
+@pytest.mark.parametrize("query", [
+    "select?q=word", "select?q=kind:c OR id:1", "select?q=(kind:c)", "select?q=id:[1 TO 5]", "select?q=kind:c*",
+    "select?q=kind:c^2", "select?q=-(kind:c)", "select?q=kind:", 'select?q="a b"', 'select?q=kind:"a b"~2',
+    "select?q=kind:c&fq=NOT id:2", "select?q=*:*&rows=1", "select?q=*:*&start=2", "select?q=*:*&sort=id desc",
+    "select?q=*:*&fl=id,score", "select?q=*:*&facet=true", "select?q=id:>1", "select?q=kind:/c/"])
+def test_collection_queries_not_understood(spark, query):
+    docs = spark.createDataFrame([(1, "a b", None), (2, "c", "x")], "id int, kind string, note string")
+    with pytest.raises(ValueError):
+        G.collection_frame(docs, query)
+
+
+def test_collection_queries_with_several_terms(spark):
+    docs = spark.createDataFrame([(1, "a b", None), (2, "c", "x"), (3, "c", "*")], "id int, kind string, note string")
+    ids = lambda query: sorted(r["id"] for r in G.collection_frame(docs, query).collect())
+    assert ids("select?q=kind:c AND note:x&wt=json&indent=true") == [2]
+    assert ids("q=*:* AND -id:2") == [1, 3]
+    assert ids('q=note:"*"') == [3]
+    assert G.collection_frame(docs, "q=*:*&fl=id,*").columns == ["id", "kind", "note"]
+
+
 def test_collection_queries_select(spark):
     docs = spark.createDataFrame([(1, "a b", None), (2, "c", "x"), (3, "c", None)], "id int, kind string, note string")
     ids = lambda query: sorted(r["id"] for r in G.collection_frame(docs, query).collect())

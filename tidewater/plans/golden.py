@@ -49,22 +49,49 @@ def spec_frame(spark: SparkSession, spec: str, database: str | None = None) -> D
     return spark.sql(sql, args={"spec_table": f"{database}.{name}" if database else name})
 
 
-_TERM = re.compile(r'(-?)(\w+):(?:"([^"]*)"|(\S+))')  # *:* is no term: it selects everything
+# *:* is no term: it selects everything. Plain values hold no signs of the query syntax.
+_TERM = re.compile(r'(-?)(\w+):(?:"([^"\\]*)"|(\*|(?![!+/-]|(?:AND|OR|NOT|TO)(?:\s|\Z))[^\s"()\[\]{}^~:\\*?|&<>]+))(?=\s|\Z)')
+_ALL = re.compile(r"\*:\*(?=\s|\Z)")
+_AND = re.compile(r"\s+(?:AND\s+)?")
+#: Parameters that say how a response is written, not what it holds.
+_FORMAT = {"wt", "indent", "omitHeader", "echoParams"}
+
+
+def _terms(text: str) -> list[tuple[str, str, str, str]]:
+    """The terms of a query, which must be understood as a whole."""
+    text, at, terms = text.strip(), 0, []
+    while at < len(text):
+        match = _TERM.match(text, at)
+        if match:
+            terms.append(match.groups(""))
+        else:
+            match = _ALL.match(text, at)
+        if not match:
+            raise ValueError(f"query not understood at {text[at:]!r}: {text!r}")
+        at = match.end()
+        if at < len(text):
+            at = _AND.match(text, at).end()
+    return terms
 
 
 def collection_frame(docs: DataFrame, query: str) -> DataFrame:
     """The documents that a collection line's query selects: ``q`` and ``fq``
     parameters of ``field:value`` terms (all must hold; ``*`` is any value, a
     leading ``-`` negates, quotes keep blanks), ``fl`` as the list of fields.  Text
-    before a ``?`` and other parameters are of no effect here."""
+    before a ``?`` and parameters for the response's form are of no effect here;
+    a ValueError tells of any other part, which might select other documents."""
     parameters = parse_qs(query.partition("?")[2] or query, keep_blank_values=False)
+    if unknown := parameters.keys() - {"q", "fq", "fl"} - _FORMAT:
+        raise ValueError(f"parameters not understood: {', '.join(sorted(unknown))} in {query!r}")
     for text in parameters.get("q", []) + parameters.get("fq", []):
-        for minus, name, quoted, plain in _TERM.findall(text):
+        for minus, name, quoted, plain in _terms(text):
             value = quoted or plain
-            hit = F.col(f"`{name}`").isNotNull() if value == "*" else F.col(f"`{name}`").cast("string") == F.lit(value)
+            hit = F.col(f"`{name}`").isNotNull() if plain == "*" else F.col(f"`{name}`").cast("string") == F.lit(value)
             docs = docs.where(~F.coalesce(hit, F.lit(False)) if minus else hit)
-    fields = [f for text in parameters.get("fl", []) for f in re.split(r"[,\s]+", text) if f and f != "*"]
-    return docs.select(*[F.col(f"`{f}`") for f in fields]) if fields else docs
+    fields = [f for text in parameters.get("fl", []) for f in re.split(r"[,\s]+", text) if f]
+    if unknown := [f for f in fields if f != "*" and f not in docs.columns]:
+        raise ValueError(f"fields not understood: {', '.join(unknown)} in {query!r}")
+    return docs.select(*[F.col(f"`{f}`") for f in fields]) if fields and "*" not in fields else docs
 
 
 def json_lines(df: DataFrame) -> DataFrame:
