@@ -1,12 +1,14 @@
 """Every registered workload equals its oracle SQL (DuckDB) at sf0.001, the
 same check the driver runs at sf0.01."""
 
+import hashlib
 import os
 
 import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tidewater.sources.generated import keyed_rows
 from tidewater.workloads import ORACLES, QUERIES
 from tools.check_oracles import TABLES, digest
 
@@ -42,3 +44,13 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
     assert df.columns == ["o_orderstatus", "n_orders"]
+
+
+def test_generated_rows_follow_the_orders(spark, tmp_path):
+    """Each row's key is made from its order key: orders that share one share it."""
+    keys = [7, 3, 3, None, 12]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    assert tuple(QUERIES["generated_rows"](spark, str(tmp_path)).first()) == (5, 10, 4, 20)
+    rows = keyed_rows(spark.createDataFrame([(k,) for k in keys], "o_orderkey long"), "o_orderkey").collect()
+    assert sorted((r["row_id"], r["key"]) for r in rows) == [
+        (k, hashlib.sha256(x.encode()).hexdigest()[:20]) for k, x in enumerate(("", "3", "3", "7", "12"))]

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordinal import group_ordinal
+
 # The squares probe's table layout and answer (rows 1..10).
 SQUARES_DDL = "sqrt INT, square INT"
 SQUARES_ANSWER = (10, 385, 55)
@@ -39,9 +41,21 @@ def load_json_documents(spark: SparkSession, path: str, schema: str | None = Non
     return reader.json(path)
 
 
+def _key(column: str):
+    return F.substring(F.sha2(F.coalesce(F.col(column).cast("string"), F.lit("")), 256), 1, 20).alias("key")
+
+
+def keyed_rows(df: DataFrame, column: str) -> DataFrame:
+    """:func:`generated_rows` with one row for each row of ``df``: the id is
+    its place (from 0) in the order of ``column``, the key a hash of ``column``
+    (NULL as '')."""
+    numbered = group_ordinal(df.select(F.col(f"`{column}`").alias("of")), [], ["of"])
+    return numbered.select((F.col("ordinal") - 1).alias("row_id"), _key("of"))
+
+
 def generated_rows(spark: SparkSession, n: int, slices: int | None = None) -> DataFrame:
     """``n`` rows with a 10-byte-style random key and a row id, generated on
     executors (the generate step of generate/sort/validate)."""
     df = spark.range(0, n, 1, slices) if slices else spark.range(n)
     return df.select(F.col("id").alias("row_id"),
-                     F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 20).alias("key"))
+                     _key("id"))

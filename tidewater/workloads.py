@@ -37,7 +37,7 @@ from .sinks.files import write_delimited, write_lines
 from .sinks.ledger import read_ledger
 from .sinks.tables import BATCH_COLUMN, append_by_name, create_database, create_table
 from .sources.delimited import read_lines, read_quoted, read_remainder, read_strict
-from .sources.generated import create_external_csv_table, generated_rows, load_json_documents
+from .sources.generated import create_external_csv_table, keyed_rows, load_json_documents
 from .streaming.landing import pickup_to_bronze, release
 from .streaming.watermark import incremental_rows, reset_watermarks
 
@@ -723,10 +723,10 @@ def array_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def generated_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many generated rows as there are orders: ids and distinct keys."""
+    """A row generated from each order: a dense id in the order of the order
+    keys and a key that is a hash of the order key; ids and distinct keys."""
     configure(spark)
-    n = table(spark, sf_dir, "orders").count()
-    return generated_rows(spark, n).agg(
+    return keyed_rows(table(spark, sf_dir, "orders"), "o_orderkey").agg(
         F.count(F.lit(1)).alias("n"), F.sum("row_id").cast("bigint").alias("sum_id"),
         F.countDistinct("key").alias("n_keys"), F.max(F.length("key")).cast("bigint").alias("key_length"))
 
