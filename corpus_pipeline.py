@@ -15,7 +15,8 @@ from tidewater.llm.common import read_table, staged
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without text or letters, whose language cannot be told."""
+    """Drops documents whose language cannot be told: no text, no letters, or
+    a text that no language learned from the table explains."""
     return language.keep_identified(docs)
 
 

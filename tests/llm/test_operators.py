@@ -179,6 +179,22 @@ def test_url_rules(spark):
     assert {r["verdict"] for r in url_rules.filter_pages(df, rules=(), default="block").collect()} == {"block"}
 
 
+# -- language: what no learned language explains ------------------------------------
+
+def test_pipeline_language_stage_without_and_beyond_a_model(spark):
+    english = "the weather was fine and they went down to the river with all of the children in the afternoon"
+    rows = [(1, english, None, "a"), (2, "12 34", None, "a"), (3, None, None, "a"), (4, "", None, "a"), (5, "слово", None, "a")]
+    kept = language.keep_identified(docs(spark, rows).withColumn("score", F.lit("own")))
+    assert sorted((r["doc_id"], r["score"]) for r in kept.collect()) == [(1, "own"), (5, "own")]
+    strange = [(1000, "Съешь же ещё этих мягких французских булок, да выпей чаю " * 5, None, "a"),
+               (1001, "qxzvkj wqpfgh zzkxq jjqvw xkcdq " * 5, None, "a"), (1002, english[:40], None, "a")]
+    df = docs(spark, [(k, f"{english} {k}", "en", "a") for k in range(40)] + strange)
+    assert sorted(r["doc_id"] for r in language.keep_identified(df).collect()) == [*range(40), 1002]
+    got = {r["doc_id"]: r for r in language.identify_documents(df).collect()}
+    assert all((got[i]["lang_pred"], got[i]["score"], got[i]["languages"]) == ("und", 0.0, []) for i in (1000, 1001))
+    assert got[1002]["lang_pred"] == "en"
+
+
 # -- repeated bytes -----------------------------------------------------------------
 
 def test_repeats_against_brute_force(spark, monkeypatch):

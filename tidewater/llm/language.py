@@ -4,6 +4,9 @@ A text's byte trigrams are taken as drawn from a mixture of the languages'
 trigram distributions.  Expectation-maximisation estimates the proportions; a
 further language is only let in if it raises the log-likelihood by more than
 a penalty, and the language with the largest proportion is the prediction.
+A text that this mixture makes less likely, by more than the same penalty, than
+if all trigram bins were equally likely is explained by no learned language: it
+is undetermined.
 """
 
 from __future__ import annotations
@@ -79,7 +82,8 @@ class Mixture:
         return share, float(n @ np.log(p @ share))
 
     def infer(self, text: str) -> dict[str, float]:
-        """Proportions of the chosen set of languages, summing to one."""
+        """Proportions of the chosen set of languages, summing to one; none if
+        equally likely trigram bins explain the text better by the penalty."""
         counts = trigram_counts(text, len(self.p))
         bins = np.flatnonzero(counts)
         n, p = counts[bins].astype(np.float64), self.p[bins]
@@ -96,6 +100,8 @@ class Mixture:
                 tried, likelihood = self._fit(p[:, [*chosen, candidate]], n)
                 if likelihood - best > worth:
                     chosen, share, best = [*chosen, candidate], tried, likelihood
+        if -n.sum() * np.log(len(self.p)) - best > worth:
+            return {}
         return {self.languages[k]: float(s) for k, s in zip(chosen, share, strict=True)}
 
 
@@ -141,6 +147,8 @@ def _make_infer(shared):
         if not has_letter(text):
             return UNDETERMINED, 0.0, []
         shares = model.infer(text)
+        if not shares:
+            return UNDETERMINED, 0.0, []
         lang = max(shares, key=lambda k: (shares[k], k))
         return lang, min(1.0, shares[lang]), [{"lang": k, "share": v} for k, v in sorted(shares.items())]
 
@@ -152,12 +160,17 @@ def identify(docs: DataFrame, labelled: DataFrame, train_rows: int = TRAIN_ROWS)
     language's proportion, 0 to 1) and ``languages`` array<struct<lang, share>>
     (the chosen set), from ``text`` alone by a model fitted on ``labelled``.
 
-    Null texts and texts without a letter, and all texts if there is nothing to
-    learn from, are ``und`` with score 0 and no languages.  Rows pass as they
+    Null texts, texts without a letter and texts that no learned language
+    explains (their trigrams are less likely under the chosen set, by more
+    than the penalty, than if all bins were equally likely), and all texts if there is nothing to learn from,
+    are ``und`` with score 0 and no languages.  Rows pass as they
     are; columns named like a new one are replaced.  The model (512 KB a
     language) is broadcast; documents are not shuffled.
     """
-    model = train(labelled, train_rows)
+    return _identify(docs, train(labelled, train_rows))
+
+
+def _identify(docs: DataFrame, model: Mixture | None) -> DataFrame:
     fields = "lang_pred string, score double, languages array<struct<lang: string, share: double>>"
     if model is None:
         return docs.drop("lang_pred", "score", "languages").withColumns({
@@ -172,17 +185,26 @@ def held_out():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
+def _learnable(docs: DataFrame) -> DataFrame:
+    return docs.where(~F.coalesce(held_out(), F.lit(True)))
+
+
 def identify_documents(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """:func:`identify` on ``docs``, learning from those of its own rows that
     have a language and are not held out.  Rows with a null id are held out."""
-    return identify(docs, docs.where(~F.coalesce(held_out(), F.lit(True))), train_rows)
+    return identify(docs, _learnable(docs), train_rows)
 
 
 def keep_identified(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """``docs`` (same columns) without the documents whose language cannot be
-    told: null texts and texts without a letter."""
+    told: null texts, texts without a letter and texts that no learned
+    language explains (see :func:`identify`).  If there is nothing to learn
+    from, all texts with a letter stay."""
+    model = train(_learnable(docs), train_rows)
+    if model is None:
+        return docs.where("text rlike '\\\\p{L}'")
     free, own = set_aside(docs, "lang_pred", "score", "languages")
-    return identify_documents(free, train_rows).where(F.col("lang_pred") != UNDETERMINED).select(*own)
+    return _identify(free, model).where(F.col("lang_pred") != UNDETERMINED).select(*own)
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
