@@ -46,12 +46,16 @@ from ..sinks.ledger import (LEDGER_SCHEMA, append_ledger, append_quarantine, arc
                             path_missing, read_ledger)
 from ..sinks.tables import BATCH_COLUMN, append_typed, cast_positional, data_columns, drop_batches
 from ..sources.delimited import header_kind, parse_class_lines, read_lines, read_lines_after_header
+from .transform import (BATCH, apply_transform, bound_sql, knows_batches, lateral, legacy_to_named, over_views,
+                        run_sql)
 
-BATCH = "_batch_id"
+__all__ = ["BATCH", "ImbalanceError", "IngestResult", "apply_transform", "committed_rows", "file_key_col", "ingest",
+           "ledger_rows", "legacy_to_named", "list_landing"]
 #: Files of one round: bounds the driver's list of paths and the broadcast
 #: manifest (some 300 bytes a file).
 ROUND_FILES = 20_000
-#: Batches united in one plan when a transform has to run batch by batch.
+#: Batches united in one plan where a transform has to run batch by batch: SQL
+#: that Spark cannot plan for all batches at once, and callables.
 PLAN_BATCHES = 16
 #: Folder names that routing replaces: landing, archive, failure.
 LEDGER_ARGS = ("landing", "archive", "failure")
@@ -116,39 +120,6 @@ def file_key_col(path_col: str = "_file"):
     return F.regexp_replace(F.col(path_col), r"^([A-Za-z][A-Za-z0-9+.-]*:)//(/)", "$1$2")
 
 
-_SQL_TOKEN = re.compile(r"""'(?:[^'\\]|''|\\.)*'|"(?:[^"\\]|""|\\.)*"|[^'"]+|['"]""", re.S)
-
-
-def legacy_to_named(sql: str) -> str:
-    """``%s`` user slots become the ``:user`` parameter: a literal that is
-    one slot as a whole, a slot within a longer literal by concatenation, so
-    that the user's name is never SQL text.  ``%%`` is a literal ``%``."""
-    out = []
-    for token in _SQL_TOKEN.findall(sql):
-        quote = token[0] if token[0] in "'\"" and len(token) > 1 else ""
-        pieces = [p.replace("\0", "%") for p in token.replace("%%", "\0").split("%s")]
-        if not quote or len(pieces) == 1:
-            out.append(":user".join(pieces))
-        elif pieces == [quote, quote]:
-            out.append(":user")
-        else:
-            pieces[0], pieces[-1] = pieces[0][1:], pieces[-1][:-1]
-            out.append("concat(" + ", :user, ".join(f"{quote}{p}{quote}" for p in pieces) + ")")
-    return "".join(out)
-
-
-def apply_transform(spark: SparkSession, file_class, raw: DataFrame, user: str) -> DataFrame:
-    t = file_class.transform
-    if t is None:
-        return raw
-    if callable(t):
-        return t(raw, user)
-    sql = legacy_to_named(t) if "%s" in t else t
-    if ":user" in sql:
-        return spark.sql(sql, args={"user": user})
-    return spark.sql(sql)
-
-
 def ingest(spark: SparkSession, classes, top_directory: str, database: str | None = None,
            landing_folder: str = "landing", failure_folder: str = "failure",
            archive_folder: str = "archive", ledger_path: str | None = None,
@@ -279,7 +250,7 @@ class _Run:
         with _phase("stage"):
             parsed = self._stage_lines(files, f"{stage}/lines")
         with _phase("typed"):
-            typed, errors = self._stage_typed(parsed, f"{stage}/typed")
+            typed, errors = self._stage_typed(parsed, files, f"{stage}/typed")
         with _phase("verdict"):
             per_file = _union([
                 parsed[i].groupBy(BATCH, F.col("_file").alias("file")).agg(
@@ -334,19 +305,41 @@ class _Run:
             out.append(self.spark.read.parquet(f"{path}/{i}"))
         return out
 
-    def _views(self, parsed: list[DataFrame], only=None) -> None:
-        """All RAW views, so that a transform may join its siblings."""
-        for c, lines in zip(self.classes, parsed):
-            kept = lines.where("not _bad")
-            if only is not None:
-                kept = kept.where(F.col(BATCH).isin(list(only)))
-            kept.select(*c.columns, BATCH).createOrReplaceTempView(c.raw_view)
-
-    def _transformed(self, i: int) -> DataFrame:
+    def _view(self, i: int | str) -> str:
+        return f"tidewater_{self.run_id}_{i}"
+
+    def _views(self, parsed: list[DataFrame], files: DataFrame, only=None) -> None:
+        """The sound lines of all classes, and the batch ids, as views of this
+        run's own, so that a transform may join its siblings."""
+        def kept(df):
+            return df if only is None else df.where(F.col(BATCH).isin(list(only)))
+
+        for i, (c, lines) in enumerate(zip(self.classes, parsed)):
+            kept(lines.where("not _bad")).select(*c.columns, BATCH).createOrReplaceTempView(self._view(i))
+            if any(callable(x.transform) for x in self.classes):  # those look siblings up by name
+                self.spark.table(self._view(i)).createOrReplaceTempView(c.raw_view)
+        kept(files.select(F.col("batch_id").alias(BATCH)).distinct()).createOrReplaceTempView(self._view("batches"))
+
+    def _rows(self, i: int, alone: bool = False) -> DataFrame:
+        """What the transform makes of the views, with the batch id wherever
+        that can be told; ``alone``: the views hold a single batch."""
+        c, spark = self.classes[i], self.spark
+        if c.transform is None or callable(c.transform):
+            return apply_transform(spark, c, spark.table(self._view(i)), self.user)
+        sql = bound_sql(c.transform)
+        aware = knows_batches(sql)
+        views = {x.raw_view: (self._view(k), [*x.columns, *[BATCH] * aware]) for k, x in enumerate(self.classes)}
+        if not aware and not alone:
+            out = lateral(spark, sql, views, self._view("batches"), self.user)
+            if out is not None:
+                return out
+        return run_sql(spark, over_views(sql, views), self.user)
+
+    def _transformed(self, i: int, alone: bool = False) -> DataFrame:
         """The transform's rows, bound to the target by position and flagged.
         Keys are columns of the transform, else of the target."""
         c, target = self.classes[i], self.targets[i]
-        out = apply_transform(self.spark, c, self.spark.table(c.raw_view), self.user)
+        out = self._rows(i, alone)
         names = [n for n in out.columns if n != BATCH]
         fields = [f.name for f in data_columns(target)]
         for key in c.keys:
@@ -358,13 +351,13 @@ class _Run:
         cast, _ = cast_positional(unique, target, keep=keep)
         return cast.withColumn("_bad_key", bad_key(keys, cast.schema))
 
-    def _stage_typed(self, parsed: list[DataFrame], path: str) -> tuple[list[DataFrame], dict[str, str]]:
+    def _stage_typed(self, parsed: list[DataFrame], files: DataFrame, path: str) -> tuple[list[DataFrame], dict[str, str]]:
         """The typed rows of every class, staged, and the errors of batches
         whose transform raised."""
         errors: dict[str, str] = {}
         typed = []
         for i in range(len(self.classes)):
-            self._views(parsed)
+            self._views(parsed, files)
             plan = self._transformed(i)  # errors of configuration are raised here
             schema = StructType(plan.schema.fields + ([] if BATCH in plan.columns
                                                       else [StructField(BATCH, StringType())]))
@@ -373,18 +366,18 @@ class _Run:
                 self.spark.createDataFrame([], schema).write.mode("append").parquet(f"{path}/{i}")
 
             def all_at_once(group=None, i=i):
-                self._views(parsed, group)
+                self._views(parsed, files, group)
                 self._transformed(i).write.mode("append").parquet(f"{path}/{i}")
 
             def one_by_one(group, i=i):
                 parts = []
                 for b in group:  # analysed at once, so each part keeps its own views
-                    self._views(parsed, [b])
-                    parts.append(self._transformed(i).withColumn(BATCH, F.lit(b)))
+                    self._views(parsed, files, [b])
+                    parts.append(self._transformed(i, alone=True).withColumn(BATCH, F.lit(b)))
                 _union(parts).write.mode("append").parquet(f"{path}/{i}")
 
-            def ids(i=i):
-                return sorted(r[0] for r in parsed[i].select(BATCH).distinct().collect())
+            def ids():
+                return sorted(r[0] for r in files.select("batch_id").distinct().collect())
 
             if BATCH in plan.columns:
                 try:
@@ -401,7 +394,8 @@ class _Run:
                 errors |= _isolate([every[k:k + PLAN_BATCHES] for k in range(0, len(every), PLAN_BATCHES)],
                                    one_by_one, data_only=True)
             typed.append(self.spark.read.schema(schema).parquet(f"{path}/{i}"))
-        self._views(parsed)
+        for i in (*range(len(self.classes)), "batches"):
+            self.spark.catalog.dropTempView(self._view(i))
         return typed, errors
 
     def _append(self, i: int, rows: DataFrame, table: str) -> dict[str, str]:
