@@ -19,6 +19,7 @@ from urllib.parse import parse_qs, unquote
 from ..functions.specs import SPEC_FIELD_SEP, SPEC_ITEM_SEP
 from ..functions.text import FAILURE, SUCCESS, TEST_LINE, padded_status
 from ..operators.compare import drop_volatile, multiset_difference, normalised
+from ..sinks.publish import file_table, remove_rows
 from ..sinks.tables import overwrite_from_self
 
 
@@ -166,17 +167,23 @@ def run_golden(spark: SparkSession, specs, expected_root: str, database: str | N
 
 
 def revert_table(spark: SparkSession, spec: str, database: str | None = None,
-                 allow: bool = False) -> str:
+                 allow: bool = False) -> tuple[int, int] | None:
     """Remove the rows a spec's condition selects (``WHERE NOT (cond)``; rows
     where the condition is NULL go as well), or every row when the spec has
-    no condition.  Needs ``allow=True``: this deletes data."""
+    no condition.  Needs ``allow=True``: this deletes data.
+
+    Only files that hold a row to remove are replaced; returns the numbers of
+    files replaced and written.  A table that Spark does not keep as plain files
+    is overwritten as a whole (returns None)."""
     if not allow:
         raise PermissionError("revert deletes rows; pass allow=True to confirm")
     name, _, condition = parse_spec(spec)
     qualified = f"{database}.{name}" if database else name
+    if file_table(spark, qualified) is not None:
+        return remove_rows(spark, qualified, condition or None)
     current = spark.table(qualified)
-    keep = current.where(f"NOT ({condition})") if condition else current.where(F.lit(False))
-    return overwrite_from_self(spark, qualified, keep)
+    overwrite_from_self(spark, qualified, current.where(f"NOT ({condition})") if condition else current.where(F.lit(False)))
+    return None
 
 
 def _expected_lines(spark: SparkSession, path: str) -> DataFrame:

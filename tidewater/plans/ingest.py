@@ -17,17 +17,20 @@ Shape of the work:
 5. the round's ledger rows are written last.  A batch counts as ingested only
    once its ledger row exists (:func:`committed_rows` reads a table that way);
    target tables partitioned by ``ingest_batch`` make a replay after a crash
-   between (3) and (5) overwrite, not duplicate.  Plain tables have no such
-   key: the same crash leaves their rows there twice.
+   between (3) and (5) overwrite, not duplicate.  Rows for plain tables are
+   written aside in (3) and put in place together under a journal entry, which
+   the next run undoes unless the ledger has the round.
 """
 
 from __future__ import annotations
 
 import contextlib
+import json
 import logging
 import re
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException, PythonException
@@ -41,9 +44,10 @@ from ..functions.paths import route
 from ..operators.batches import ARCHIVED, DEFERRED, FAILED, manifest
 from ..operators.quality import bad_key
 from ..session import work_dir
+from ..sinks import publish
 from ..sinks.files import delete_path
 from ..sinks.ledger import (LEDGER_SCHEMA, append_ledger, append_quarantine, archived_batches, finished_files,
-                            path_missing, read_ledger)
+                            has_batch, path_missing, read_ledger)
 from ..sinks.tables import BATCH_COLUMN, append_typed, cast_positional, data_columns, drop_batches
 from ..sources.delimited import header_kind, parse_class_lines, read_lines, read_lines_after_header
 from .transform import (BATCH, apply_transform, bound_sql, knows_batches, lateral, legacy_to_named, over_views,
@@ -126,7 +130,8 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
            quarantine_path: str | None = None, user: str | None = None,
            names: DataFrame | None = None, per_file_counts: bool = True,
            match_on: str = "name", keep_stage: bool = False,
-           round_files: int = ROUND_FILES) -> IngestResult:
+           round_files: int = ROUND_FILES,
+           before_ledger: Callable[[DataFrame], None] | None = None) -> IngestResult:
     """Ingest every ready batch of the landing folder into the classes' tables.
 
     Files of finished batches take no part: they are neither counted nor
@@ -134,7 +139,11 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
     classes have different numbers of other files, and passes on errors of
     configuration or storage (a missing table, SQL that cannot be analysed);
     the batches then stay pending.  Errors that the data cause fail their batch
-    only, and so does an error while its rows are appended.
+    only, and so does an error while its rows are appended.  A round whose
+    process ended between its appends and its ledger rows leaves no row in plain
+    tables: what is in place is taken out first.  ``before_ledger`` is called with
+    a round's verdict before its ledger rows are written.  One run at a time may
+    use a ledger.
 
     Returns the run's ledger rows and the number of files in failed batches.
     The driver sees counts per class and round, the paths of one round's
@@ -152,6 +161,8 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
     if "file_key" not in names.columns:
         names = names.withColumn("file_key", file_key_col("path"))
     run.root = work_dir(spark, f"ingest-stage-{run.run_id}")
+    run.journal = f"{ledger_path.rstrip('/')}_journal"
+    publish.recover(spark, run.journal, lambda mark: has_batch(spark, ledger_path, *json.loads(mark)))
     try:
         with _phase("manifest"):
             left = names.join(finished_files(spark, ledger_path), "path", "left_anti")
@@ -172,6 +183,7 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
         if not counts[0]:
             return empty
         run.targets = [spark.table(c.qualified_table(database)).schema for c in run.classes]
+        run.places = run.find_places()
         waiting = man.where("not ready")
         rounds = sorted({r["round"] for r in tally if r["ready"]})
         if sum(r["n"] - r["ready"] for r in tally):
@@ -180,10 +192,14 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
         counts_path = f"{ledger_path.rstrip('/')}_file_counts" if per_file_counts else None
         for k in rounds:
             files = man.where(F.col("ready") & (number == k))
-            verdict = run.work_off(files, f"{run.root}/round-{k}", quarantine_path, counts_path)
+            change = f"{run.run_id}-{k}"
+            verdict = run.work_off(files, f"{run.root}/round-{k}", quarantine_path, counts_path, change)
+            if before_ledger is not None:
+                before_ledger(verdict)
             with _phase("ledger"):
                 append_ledger(ledger_rows(run.run_id, files, verdict, landing_folder, archive_folder,
                                            failure_folder), ledger_path)
+                publish.close(spark, run.journal, change)
     finally:
         if not keep_stage:
             delete_path(spark, run.root)
@@ -242,10 +258,14 @@ class _Run:
     user: str
     run_id: str
     root: str = ""
+    journal: str = ""
     targets: list = field(default_factory=list)
+    places: list = field(default_factory=list)
 
-    def work_off(self, files: DataFrame, stage: str, quarantine_path: str, counts_path: str | None) -> DataFrame:
-        """One round: everything but the ledger rows.  Returns the verdict."""
+    def work_off(self, files: DataFrame, stage: str, quarantine_path: str, counts_path: str | None,
+                 change: str) -> DataFrame:
+        """One round: everything but the ledger rows.  Returns the verdict.
+        ``change`` names the round's journal entry."""
         spark, classes = self.spark, self.classes
         with _phase("stage"):
             parsed = self._stage_lines(files, f"{stage}/lines")
@@ -263,15 +283,9 @@ class _Run:
             verdict = spark.read.parquet(f"{stage}/verdict")
             bad = verdict.where("any_bad").count()
         good = verdict.where("not any_bad").select(BATCH)
-        late: dict[str, str] = {}
-        for i, c in enumerate(classes):
-            with _phase(f"append {c.table}"):
-                rows = typed[i].join(good, BATCH, "left_semi") if bad else typed[i]
-                late |= self._append(i, rows, c.qualified_table(self.database))
+        with _phase("append"):
+            late = self._put(typed, good if bad else None, files, change)
         if late:
-            # all or nothing: what other tables already hold of these batches goes
-            for c in classes:
-                drop_batches(spark, c.qualified_table(self.database), list(late))
             told = spark.createDataFrame(list(late.items()), f"{BATCH} string, late string")
             verdict = (verdict.join(told, BATCH, "left")
                        .withColumn("any_bad", F.col("any_bad") | F.col("late").isNotNull())
@@ -305,6 +319,17 @@ class _Run:
             out.append(self.spark.read.parquet(f"{path}/{i}"))
         return out
 
+    def find_places(self) -> list:
+        """Where the files of each plain table are; None for tables with batch
+        partitions, and for one that Spark does not keep as plain files."""
+        names = [c.qualified_table(self.database) for c in self.classes]
+        plain = [BATCH_COLUMN not in t.fieldNames() for t in self.targets]
+        places = [publish.file_table(self.spark, n) if p else None for n, p in zip(names, plain)]
+        if sum(p and at is None for p, at in zip(plain, places)) > 1:
+            raise ValueError("more than one table that is neither partitioned by batch nor kept as plain files: "
+                             "their appends cannot be all or nothing")
+        return places
+
     def _view(self, i: int | str) -> str:
         return f"tidewater_{self.run_id}_{i}"
 
@@ -398,19 +423,78 @@ class _Run:
             self.spark.catalog.dropTempView(self._view(i))
         return typed, errors
 
-    def _append(self, i: int, rows: DataFrame, table: str) -> dict[str, str]:
-        """Append to one table; returns the errors of batches that could not be."""
-        rows = rows.select(*[f.name for f in data_columns(self.targets[i])], BATCH)
+    def _put(self, typed: list[DataFrame], good: DataFrame | None, files: DataFrame, change: str) -> dict[str, str]:
+        """Append the good batches (None: all) to every table; returns the
+        errors of batches that could not be.  Of those no table keeps a row.
+
+        Rows for tables without batch partitions are written aside, those with
+        batch partitions are appended, and when that is done, the files written
+        aside are put in place under a journal entry.  A batch that fails
+        anywhere goes: its partitions are emptied, and what is aside is written
+        again without it."""
+        spark, late = self.spark, {}
+        names = [c.qualified_table(self.database) for c in self.classes]
+        every = range(len(names))
+        aside = {i: t for i in every if (t := self.places[i]) is not None}
+        direct = [i for i in every if i not in aside and BATCH_COLUMN not in self.targets[i].fieldNames()]
+        parts = {t: f"{change}-{i}" for i, t in aside.items()}
+
+        def attempt(i):
+            rows = typed[i] if good is None else typed[i].join(good, BATCH, "left_semi")
+            rows = rows.where(~F.col(BATCH).isin(list(late))) if late else rows
+            rows = rows.select(*[f.name for f in data_columns(self.targets[i])], BATCH)
+            if i in aside:
+                return self._append(rows, names[i], lambda df: publish.write_aside(df, aside[i], parts[aside[i]]))
+            return self._append(rows, names[i], lambda df: append_typed(df, names[i], BATCH))
+
+        def write_aside(todo):
+            while todo:
+                failed = {b: e for i in todo for b, e in attempt(i).items()}
+                late.update(failed)
+                todo = list(aside) if failed else []
+
+        def note():
+            if aside:
+                mark = json.dumps([self.run_id, files.agg(F.min("batch_id")).first()[0]])
+                publish.record(spark, self.journal, change, parts, mark=mark)
+
+        def put_in_place():
+            note()
+            if aside:
+                publish.carry_out(spark, self.journal, change)
+
+        note()  # no files yet: should the process end before there are any, the next one clears the folders
+        write_aside([i for i in every if i not in direct])
+        try:
+            put_in_place()
+            for i in direct:  # at most one: nothing can take its rows back
+                failed = attempt(i)
+                if failed:
+                    late.update(failed)
+                    publish.take_out(spark, self.journal, change)
+                    write_aside(list(aside))
+                    put_in_place()
+        except Exception as exc:
+            log.warning("putting files in place failed (%s); the round's batches fail", type(exc).__name__)
+            publish.take_out(spark, self.journal, change)
+            sound = files.select("batch_id").distinct() if good is None else good
+            late.update(dict.fromkeys((r[0] for r in sound.collect()), str(exc)))
+        if late:
+            for n in names:
+                drop_batches(spark, n, list(late))
+        return late
+
+    def _append(self, rows: DataFrame, table: str, write) -> dict[str, str]:
+        """Write to one table; returns the errors of batches that could not be."""
         try:
-            append_typed(rows, table, batch_col=BATCH)
+            write(rows)
             return {}
         except Exception as exc:
             log.warning("append to %s failed (%s); its batches fail", table, type(exc).__name__)
             every = sorted(r[0] for r in rows.select(BATCH).distinct().collect())
             if not _caused_by_data(exc):
                 return dict.fromkeys(every, str(exc))
-            return _isolate([every], lambda group: append_typed(rows.where(F.col(BATCH).isin(group)), table, BATCH),
-                            data_only=False)
+            return _isolate([every], lambda group: write(rows.where(F.col(BATCH).isin(group))), data_only=False)
 
 
 def _union(parts):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -34,10 +34,68 @@ def write_lines(lines: DataFrame, path: str, num_files: int | None = None) -> st
     return path
 
 
-def delete_path(spark, path: str) -> bool:
-    """Recursively delete ``path`` through the Hadoop FileSystem of the
-    session (works for local, HDFS and object stores alike)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path in its own type (local,
+    HDFS and object stores alike)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path``; False if there was nothing."""
+    fs, hpath = file_system(spark, path)
     return bool(fs.delete(hpath, True))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = file_system(spark, path)
+    return bool(fs.exists(hpath))
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file within one file system; the target must not be there."""
+    fs, hpath = file_system(spark, source)
+    target_path = file_system(spark, target)[1]
+    if fs.exists(target_path):
+        raise FileExistsError(target)
+    if not fs.rename(hpath, target_path):
+        raise OSError(f"could not rename {source} to {target}")
+
+
+def make_parent(spark: SparkSession, path: str) -> None:
+    fs, hpath = file_system(spark, path)
+    fs.mkdirs(hpath.getParent())
+
+
+def list_files(spark: SparkSession, folder: str) -> list[str]:
+    """Names, relative to ``folder``, of all files in it and below; none if
+    it is not there."""
+    fs, hpath = file_system(spark, folder)
+    if not fs.exists(hpath):
+        return []
+    root = fs.makeQualified(hpath).toUri().getPath().rstrip("/") + "/"
+    found, files = [], fs.listFiles(hpath, True)
+    while files.hasNext():
+        found.append(files.next().getPath().toUri().getPath()[len(root):])
+    return found
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, or replace it: under another name first, then renamed."""
+    fs, part = file_system(spark, f"{path}.part")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    delete_path(spark, path)
+    rename(spark, f"{path}.part", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hpath = file_system(spark, path)
+    source = fs.open(hpath)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode()
+    finally:
+        source.close()

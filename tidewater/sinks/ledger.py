@@ -68,6 +68,12 @@ def archived_batches(spark: SparkSession, path: str) -> DataFrame:
     return read_ledger(spark, path).where(F.col("outcome") == ARCHIVED).select("batch_id").distinct()
 
 
+def has_batch(spark: SparkSession, path: str, run_id: str, batch_id: str) -> bool:
+    """Whether the ledger has a run's verdict on a batch."""
+    rows = read_ledger(spark, path).where((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id))
+    return not rows.isEmpty()
+
+
 def append_ledger(rows: DataFrame, path: str) -> None:
     rows.select(*LEDGER_SCHEMA.fieldNames()).write.mode("append").partitionBy("run_id").parquet(path)
 
