@@ -106,6 +106,88 @@ def _orders_class(spark: SparkSession, root: str, pattern: str, name: str = "ord
         transform=f"SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, _batch_id FROM {name}_RAW")
 
 
+def legacy_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """200 batches of a customer file and a complete nation file each.  The
+    transform aggregates customers over the sibling's names and knows nothing
+    of batches: its result is per batch all the same, from one plan."""
+    configure(spark)
+    root = work_dir(spark, "legacy")
+    batches = 200
+    customer = table(spark, sf_dir, "customer").select(
+        F.concat_ws("|", "c_nationkey", F.round(F.col("c_acctbal") * 100).cast("long")).alias("value"),
+        (F.col("c_custkey") % batches).alias("batch"))
+    nation = (table(spark, sf_dir, "nation").select(F.concat_ws("|", "n_nationkey", "n_name").alias("value"))
+              .crossJoin(F.broadcast(customer.select("batch").distinct())))
+    for name, lines, header in (("customer", customer, "nation|cents"), ("nation", nation, "nation|name")):
+        head = lines.select(F.lit(header).alias("value"), "batch").distinct()  # a file's first line
+        (head.withColumn("k", F.lit(0)).unionByName(lines.withColumn("k", F.lit(1)))
+         .repartition("batch").sortWithinPartitions("batch", "k").select("value", "batch")
+         .write.partitionBy("batch").text(f"{root}/landing/{name}"))
+    _showcase_db(spark)
+    totals, nations = _own("nation_totals"), _own("nations")
+    for name, fields in ((totals, (("n_name", StringType()), ("n", LongType()), ("cents", LongType()))),
+                         (nations, (("n_nationkey", LongType()), ("n_name", StringType())))):
+        create_table(spark, f"{SHOWCASE_DB}.{name}", StructType([StructField(c, t) for c, t in fields]),
+                     f"{root}/tables/{name}")
+    classes = [
+        FileClass(table=totals, columns=("nation", "cents"), pattern="/customer/", extension="txt", keys=("n_name",),
+                  transform=f"SELECT n.name AS n_name, count(*) AS n, CAST(sum(c.cents) AS BIGINT) AS cents "
+                            f"FROM {totals}_RAW c JOIN {nations}_RAW n ON c.nation = n.nation GROUP BY n.name"),
+        FileClass(table=nations, columns=("nation", "name"), pattern="/nation/", extension="txt"),
+    ]
+    listing = _names_with_markers(spark, f"{root}/landing/customer/*", "txt").unionByName(
+        _names_with_markers(spark, f"{root}/landing/nation/*", "txt"))
+    ingest(spark, classes, root, database=SHOWCASE_DB, names=listing, match_on="path")
+    return spark.table(f"{SHOWCASE_DB}.{totals}")
+
+
+class _Stopped(Exception):
+    """Stands for a process that ends at this point."""
+
+
+def atomic_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by parity into two plain tables (no batch partitions).  The
+    first run ends after its rows are in place and before the ledger has them;
+    the second run undoes that and starts over; a batch whose second file is
+    cut short leaves no row in the first table either."""
+    configure(spark)
+    root = work_dir(spark, "atomic")
+    orders = table(spark, sf_dir, "orders").select(*ORDERS_COLUMNS)
+    schema = StructType([f for f in _orders_in_schema().fields if f.name != BATCH_COLUMN])
+    _showcase_db(spark)
+    classes = []
+    for side in ("even", "odd"):
+        name = _own(f"orders_{side}")
+        create_table(spark, f"{SHOWCASE_DB}.{name}", schema, f"{root}/tables/{name}")
+        classes.append(FileClass(table=name, columns=ORDERS_COLUMNS, pattern=f"/{side}/", keys=("o_orderkey",),
+                                 transform=f"SELECT * FROM {name}_RAW"))
+    # one batch for each status; the odd file of status P lacks a field in every line
+    for k, side in enumerate(("even", "odd")):
+        short = F.lit(k == 1) & (F.col("o_orderstatus") == "P")
+        fields = [c for c in ORDERS_COLUMNS if c != "o_orderpriority"]
+        lines = orders.where(F.col("o_orderkey") % 2 == k).select(
+            F.when(short, F.concat_ws("|", *fields)).otherwise(F.concat_ws("|", *ORDERS_COLUMNS)).alias("value"),
+            F.col("o_orderstatus").alias("st"), F.lit(1).alias("k"))
+        head = orders.select(F.lit("|".join(ORDERS_COLUMNS)).alias("value"), F.col("o_orderstatus").alias("st"),
+                             F.lit(0).alias("k")).distinct()
+        (head.unionByName(lines).repartition("st").sortWithinPartitions("st", "k").select("value", "st")
+         .write.partitionBy("st").option("maxRecordsPerFile", 0).text(f"{root}/landing/{side}"))
+    classes = [dataclasses.replace(c, extension="txt") for c in classes]
+    names = _names_with_markers(spark, f"{root}/landing/*/*", "txt")
+
+    def stop(_verdict: DataFrame) -> None:
+        raise _Stopped
+
+    for hook in (stop, None):
+        try:
+            ingest(spark, classes, root, database=SHOWCASE_DB, names=names, match_on="path", before_ledger=hook)
+        except _Stopped:
+            continue
+    parts = [spark.table(c.qualified_table(SHOWCASE_DB)).select(F.lit(side).alias("side"), *ORDERS_COLUMNS)
+             for c, side in zip(classes, ("even", "odd"))]
+    return parts[0].unionByName(parts[1])
+
+
 def reingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two file classes (orders by parity) in one landing folder that is used
     twice: after the first run more files land, whose names sort among the
@@ -532,6 +614,26 @@ def revert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(t)
 
 
+def revert_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in files by key range, partitioned by status; a revert of one
+    key range replaces the files that hold it.  Rows left, with whether their
+    file is one that was there before."""
+    configure(spark)
+    root = work_dir(spark, "revert_touched")
+    _showcase_db(spark)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    t = f"{SHOWCASE_DB}.{_own('orders_files')}"
+    (orders.repartitionByRange(8, "o_orderkey").sortWithinPartitions("o_orderkey")
+     .write.partitionBy("o_orderstatus").option("path", f"{root}/tables/{t}").saveAsTable(t))
+    before = set(spark.table(t).inputFiles())
+    replaced, _ = G.revert_table(spark, f"{t}|o_orderkey|o_orderkey <= 1000", allow=True)
+    left = spark.table(t)
+    kept = len(before & set(left.inputFiles()))
+    if kept + replaced != len(before):
+        raise AssertionError(f"{kept} files kept, {replaced} replaced, {len(before)} before")
+    return left.select("o_orderkey", "o_custkey", "o_orderstatus", (F.lit(kept) > 0).alias("files_kept"))
+
+
 def revert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A spec without condition empties its table, one with a condition keeps
     the other rows; rows left in either."""
@@ -806,6 +908,9 @@ def probe_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "strict_ingest": strict_ingest,
     "reingest": reingest,
+    "legacy_ingest": legacy_ingest,
+    "atomic_append": atomic_append,
+    "revert_touched": revert_touched,
     "ingest_outcomes": ingest_outcomes,
     "stream_release": stream_release,
     "audit_append": audit_append,
@@ -857,6 +962,12 @@ _MD5_Y = "('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 9, 8))::BIGINT"
 _INSIDE = "CASE WHEN x * x + y * y <= 1 THEN 1 ELSE 0 END"
 
 ORACLES: dict[str, str] = {
+    "legacy_ingest": "SELECT n_name, count(*) AS n, CAST(sum(CAST(round(c_acctbal * 100) AS BIGINT)) AS BIGINT) AS cents "
+                     "FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY c_custkey % 200, n_name",
+    "atomic_append": "SELECT CASE o_orderkey % 2 WHEN 0 THEN 'even' ELSE 'odd' END AS side, o_orderkey, o_custkey, "
+                     "o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus <> 'P'",
+    "revert_touched": "SELECT o_orderkey, o_custkey, o_orderstatus, true AS files_kept FROM orders "
+                      "WHERE o_orderkey > 1000",
     "strict_ingest": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders",
     "arity_profile": "SELECT CAST(3 + length(text) - length(replace(text, '|', '')) AS INTEGER) AS n_fields, "
                      "count(*) AS n_lines FROM documents GROUP BY 1",
