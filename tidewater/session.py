@@ -4,17 +4,21 @@ Every directory the library writes (rendered landing files, staged tables,
 stream checkpoints, ledgers of the showcase workloads) lives under the folder
 the cluster names in ``spark.checkpoint.dir``.  That folder is on shared
 storage on a real cluster; a machine-local temporary folder would vanish with
-the executor that wrote it.  Only when the setting is absent (unit tests on a
-laptop) do we create one ourselves.
+the executor that wrote it.  Only a local session (unit tests, a laptop) may
+leave the setting out; it then gets a folder of its own.
 """
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sinks.files import delete_path
+
 # Settings the library relies on.  They are runtime SQL confs, so they can be
 # applied to a session the caller already built.
 RECOMMENDED_CONF = {
@@ -80,10 +84,35 @@ def shared_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_made: ContextVar[list | None] = ContextVar("tidewater_made", default=None)
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unique directory path under the shared root (not created: the
     first Spark write creates it)."""
-    return f"{shared_root(spark)}/tidewater-work/{purpose}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_root(spark)}/tidewater-work/{purpose}-{uuid.uuid4().hex[:12]}"
+    if _made.get() is not None:
+        _made.get().append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Delete, at the end of the block, every work folder that was named in
+    it, but for those in the yielded set: stages that nothing written by then
+    needs any longer.  Lazy results made in the block cannot be used after it."""
+    keep: set = set()
+    outer, own = _made.get(), []
+    token = _made.set(own)
+    try:
+        yield keep
+    finally:
+        _made.reset(token)
+        for path in own:
+            if path not in keep:
+                delete_path(spark, path)
+            elif outer is not None:
+                outer.append(path)
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:
