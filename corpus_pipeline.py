@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import bpe, decontaminate, language, pii, simhash
-from tidewater.llm.common import read_table, staged
+from tidewater.llm.common import read_table
+from tidewater.session import scratch, work_dir
+from tidewater.sinks.files import delete_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +53,18 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """The last stage's rows.  Of the work area only they are left: what a
+    stage needed goes when its result is written, the result when the next is."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark) as keep:
+            path = work_dir(spark, f"pipeline-{name}")
+            done = stage(spark, docs, sf_dir)
+            done.write.parquet(path)
+            keep.add(path)
+        if before:
+            delete_path(spark, before)
+        docs, before = spark.read.schema(done.schema).parquet(path), path
     return docs
 
 

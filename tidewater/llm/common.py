@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..session import staged, work_dir
 
-__all__ = ["add_columns", "bounded_batches", "connected_components", "kept_in_worker", "read_table", "set_aside", "staged", "work_dir"]
+__all__ = ["add_columns", "connected_components", "kept_in_worker", "read_table", "set_aside", "staged", "work_dir"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,49 +74,67 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
 
 
-def add_columns(df: DataFrame, inputs: list[str], fields: str, make, *args) -> DataFrame:
+def add_columns(df: DataFrame, inputs: list[str], fields: str, make, *args, held_bytes: int | None = None) -> DataFrame:
     """``df`` with the columns ``fields`` (DDL), computed in Arrow batches.
 
     ``make(*args)`` runs once in each task and returns a function that takes
-    one row's ``inputs`` and returns the new columns' values as a tuple.  All
-    other columns pass through untouched; columns of ``df`` that have one of the
-    new names are replaced.
+    one row's ``inputs`` and returns the new columns' values as a tuple; with
+    ``held_bytes`` one that takes a list of such rows, some ``held_bytes`` of
+    them, and returns a list of tuples.  All other columns pass through
+    untouched, under numbers, so that they may have any names; columns of ``df``
+    that have one of the new names are replaced.
     """
-    bounded_batches(df.sparkSession)
     new = T.StructType.fromDDL(fields)
-    kept = [c for c in df.columns if c not in new.names]
-    # inputs travel under names of their own, so a replaced column can be an input
-    carried = df.select(*[F.col(f"`{c}`") for c in kept],
-                        *[F.col(f"`{c}`").alias(f"__in{i}") for i, c in enumerate(inputs) if c not in kept])
-    source = [c if c in kept else f"__in{i}" for i, c in enumerate(inputs)]
-    schema = T.StructType([carried.schema[c] for c in kept] + new.fields)
+    names = df.columns
+    kept = [i for i, c in enumerate(names) if c not in new.names]
+    source = [names.index(c) for c in inputs]
+    used = [*kept, *[i for i in dict.fromkeys(source) if i not in kept]]
+    carried = df.toDF(*[f"c{i}" for i in range(len(names))]).select(*[f"c{i}" for i in used])
+    schema = T.StructType([carried.schema[f"c{i}"] for i in kept]
+                          + [T.StructField(f"n{i}", f.dataType) for i, f in enumerate(new)])
+    at = [used.index(i) for i in source]
 
     def run(batches):
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow = to_arrow_schema(new)
+        arrow = to_arrow_schema(schema)
         begin_task()
         compute = make(*args)
         end_setup()
+
+        def rows_of(part):
+            return list(zip(*[part.column(i).to_pylist() for i in at], strict=True))
+
+        def with_new(part, rows):
+            columns = list(zip(*rows, strict=True)) if rows else [()] * len(new)
+            return pa.RecordBatch.from_arrays(
+                [part.column(i) for i in range(len(kept))]
+                + [pa.array(list(v), type=f.type) for v, f in zip(columns, list(arrow)[len(kept):], strict=True)],
+                names=schema.names)
+
+        def together(parts):
+            done = iter(compute([row for part in parts for row in rows_of(part)]))
+            for part in parts:
+                yield with_new(part, [next(done) for _ in range(part.num_rows)])
+
+        held, size = [], 0
         for batch in batches:
+            if held_bytes:
+                held.append(batch)
+                size += batch.nbytes
+                if size >= held_bytes:
+                    yield from together(held)
+                    held, size = [], 0
+                continue
             for start in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(start, _ROWS)
-                rows = [compute(*row) for row in zip(*[part.column(c).to_pylist() for c in source], strict=True)]
-                columns = list(zip(*rows, strict=True)) if rows else [()] * len(new)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in kept]
-                    + [pa.array(list(v), type=f.type) for v, f in zip(columns, arrow, strict=True)],
-                    names=kept + new.names)
+                yield with_new(part, [compute(*row) for row in rows_of(part)])
+        if held:
+            yield from together(held)
         pa.default_memory_pool().release_unused()
 
-    return carried.mapInArrow(run, schema)
-
-
-def bounded_batches(spark: SparkSession) -> None:
-    """Smaller batches for Python, unless the session asks for some size."""
-    if spark.conf.get(_BATCH_SETTING) == "10000":
-        spark.conf.set(_BATCH_SETTING, _BATCH_ROWS)
+    return carried.mapInArrow(run, schema).toDF(*[names[i] for i in kept], *new.names)
 
 
 # What a Python worker keeps from task to task: one thing at a time, so that
@@ -145,16 +163,15 @@ def end_setup() -> None:
         _KEPT.clear()
 
 
-def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, list]:
-    """``df`` with columns of these names renamed, so that an operator can use
-    the names itself, and the columns that restore ``df``'s own."""
-    taken = {c: f"__own_{c}" for c in df.columns if c in names}
-    return (df.withColumnsRenamed(taken),
-            [F.col(f"`{taken.get(c, c)}`").alias(c) for c in df.columns])
+def set_aside(df: DataFrame, *used: str):
+    """``df`` with all columns but those named in ``used`` under numbers, so
+    that an operator may use any other name itself, and a function that takes
+    such a frame (with further columns) and returns ``df``'s columns again."""
+    names = df.columns
+    free = [c if c in used and names.index(c) == i else f"own_{i}" for i, c in enumerate(names)]
+    return df.toDF(*free), lambda out: out.select(*free).toDF(*names)
 
 
-#: Rows that add_columns turns into Python values at a time.
+#: Rows that add_columns turns into Python values at a time.  (Spark bounds the
+#: batches it hands to Python by bytes.)
 _ROWS = 128
-#: Rows of the batches that Spark hands to Python, where the session has left
-#: Spark's default of 10,000: texts are long, and a batch is held as a whole.
-_BATCH_ROWS, _BATCH_SETTING = "1000", "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -15,15 +15,17 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, kept_in_worker, read_table, set_aside, staged
+from .common import add_columns, kept_in_worker, read_table, set_aside
 
 #: Words of a window: shared stretches of at least this many words are hit.
 WINDOW = 10
 #: In :func:`decontaminate`, documents with a larger share of hit words go.
 MAX_COVERAGE = 0.5
 #: Bytes of item texts that one automaton is built from (some 100 bytes of
-#: memory for each); larger benchmarks are worked through in several rounds.
+#: memory for each); larger benchmarks take several.
 ITEM_BYTES = 4 << 20
+#: Bytes of documents that a task holds while they pass through several automata.
+HELD_BYTES = 128 << 20
 
 _WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
 #: UTF-8 bytes to word bytes: A-Z lower-cased, separators to blanks.
@@ -202,16 +204,34 @@ def _scanner(items: list[tuple[str, str]], window: int) -> Scanner:
 def _make(items, window, cut):
     scanner = _scanner(items.value, window)
 
-    def compute(text, spans, names):
-        count, new, found = scanner.scan(text)
-        if spans:
-            new = merge_spans([*new, *((s["start"], s["end"]) for s in spans)])
-        row = count, [{"start": s, "end": e} for s, e in new], sorted(found | set(names or ()))
-        return (*row, _cut(text, new) if new else text) if cut else row
+    def compute(text):
+        return _row(text, [scanner.scan(text)], cut)
 
     return compute
 
 
+def _make_in_turn(blocks, window, cut):
+    """For item texts that take several automata: texts are held, and pass
+    through one automaton after the other."""
+
+    def compute(rows):
+        scans = [[] for _ in rows]
+        for items in blocks:
+            scanner = _scanner(items.value, window)
+            for (text,), found in zip(rows, scans, strict=True):
+                found.append(scanner.scan(text))
+        return [_row(text, found, cut) for (text,), found in zip(rows, scans, strict=True)]
+
+    return compute
+
+
+def _row(text, scans, cut):
+    """Words, merged spans, item names (and the text without the spans)."""
+    spans = scans[0][1] if len(scans) == 1 else merge_spans(s for _, spans, _ in scans for s in spans)
+    row = (scans[0][0], [{"start": s, "end": e} for s, e in spans], sorted(set().union(*(names for _, _, names in scans))))
+    return (*row, _cut(text, spans) if spans else text) if cut else row
+
+
 def merge_spans(spans):
     out: list[tuple[int, int]] = []
     for s, e in sorted(spans):
@@ -226,7 +246,7 @@ _SPANS = "array<struct<start: int, end: int>>"
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                       item_bytes: int = ITEM_BYTES, cut: bool = False) -> DataFrame:
+                       item_bytes: int = ITEM_BYTES, cut: bool = False, held_bytes: int = HELD_BYTES) -> DataFrame:
     """``docs`` with ``n_words`` long, ``hit_spans`` (word ranges inside
     occurrences of a window, disjoint, end exclusive) and ``hit_items``
     (item_ids, as strings, that have a window there).
@@ -240,26 +260,25 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
     With ``cut`` the hit words are also cut out of ``text``.
 
-    The items, whose total bytes are counted first, are broadcast in rounds of
-    at most some ``item_bytes``; documents are never shuffled.
+    The items, whose total bytes are counted first, are broadcast in blocks of
+    some ``item_bytes``, an automaton for each.  Texts are read once, whatever
+    the number of blocks: where there are several, a task holds ``held_bytes``
+    of texts while they pass through the automata in turn, so that building
+    those is little beside the scans.  Documents are never shuffled or staged.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"),
                              F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    rounds = max(1, -(-total // item_bytes))
-    out = (docs.withColumn("hit_spans", F.lit(None).cast(_SPANS))
-           .withColumn("hit_items", F.lit(None).cast("array<string>")))
-    for k in range(rounds):
-        part = items.where(F.pmod(F.xxhash64("name", "text"), F.lit(rounds)) == k)
-        shared = spark.sparkContext.broadcast(sorted((r["name"], r["text"]) for r in part.collect()))
-        last = cut and k == rounds - 1  # the texts stay whole until all items are seen
-        out = add_columns(out, ["text", "hit_spans", "hit_items"],
-                          f"n_words long, hit_spans {_SPANS}, hit_items array<string>" + ", text string" * last,
-                          _make, shared, window, last)
-        if rounds > 1:
-            out = staged(out, "decontaminate")
-    return out
+    count = max(1, -(-total // item_bytes))
+    blocks = []
+    for k in range(count):
+        part = items.where(F.pmod(F.xxhash64("name", "text"), F.lit(count)) == k).collect()
+        blocks.append(spark.sparkContext.broadcast(sorted((r["name"], r["text"]) for r in part)))
+    fields = f"n_words long, hit_spans {_SPANS}, hit_items array<string>" + ", text string" * cut
+    if count == 1:
+        return add_columns(docs, ["text"], fields, _make, blocks[0], window, cut)
+    return add_columns(docs, ["text"], fields, _make_in_turn, blocks, window, cut, held_bytes=held_bytes)
 
 
 def _hit_words():
@@ -287,14 +306,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     from the texts, and documents of which more than ``max_coverage`` of the
     words are hit are dropped.  ``n_chars``, where there is one, follows the text.
     Documents without a hit come back as they were."""
-    free, own = set_aside(docs, "n_words", "hit_spans", "hit_items")
+    free, own = set_aside(docs, "text", "n_chars")
     found = find_contamination(free, benchmark, window, cut=True)
     cut = found.where(_hit_words() <= F.col("n_words") * F.lit(max_coverage))
     if "n_chars" in docs.columns:
         changed = F.size("hit_spans") > 0
         cut = cut.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars"))
                              .cast(docs.schema["n_chars"].dataType))
-    return cut.select(*own)
+    return own(cut)
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

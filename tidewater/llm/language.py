@@ -203,8 +203,8 @@ def keep_identified(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     model = train(_learnable(docs), train_rows)
     if model is None:
         return docs.where("text rlike '\\\\p{L}'")
-    free, own = set_aside(docs, "lang_pred", "score", "languages")
-    return _identify(free, model).where(F.col("lang_pred") != UNDETERMINED).select(*own)
+    free, own = set_aside(docs, "text")
+    return own(_identify(free, model).where(F.col("lang_pred") != UNDETERMINED))
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:

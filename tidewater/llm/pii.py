@@ -16,7 +16,7 @@ import ahocorasick
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, read_table
+from .common import add_columns, read_table, set_aside
 
 #: All kinds, in the order in which spans with one start are listed; the
 #: first four are the base kinds.
@@ -34,7 +34,7 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _QUAD = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _GROUPED = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE_REST = re.compile(r"[ ().0-9-]+")
-_SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*\Z")
+_SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
 _USERINFO = re.compile(r"[^\s/?#@:]+:[^\s/?#@]+@[^\s/?#@]+")
 _ANNOUNCED = r"(?:[ \t]*+[:=#][ \t]*+|[ \t]++(?:number|no\.?|id|is)[ \t]*+[:=#]?[ \t]*+|[ \t]++)[\"']?"
 _IDENTIFIER = re.compile(_ANNOUNCED + r"([A-Za-z0-9][A-Za-z0-9_-]{5,})")
@@ -150,10 +150,16 @@ class Finder:
     def _logins(text: str, places: list[int]) -> Iterator[tuple[int, int]]:
         """Urls that carry a user's name and password."""
         for at in places:
-            scheme = _SCHEME.search(text, max(0, at - 32), at)
             match = _USERINFO.match(text, at + 3)
-            if scheme and match:
-                yield scheme.start(), match.end()
+            if not match:
+                continue
+            start = at
+            while start and text[start - 1] in _SCHEME:
+                start -= 1
+            while start < at and not text[start].isalpha():  # a scheme begins with a letter
+                start += 1
+            if start < at:
+                yield start, match.end()
 
     @staticmethod
     def _accounts(text: str, places: list[int]) -> Iterator[tuple[int, int]]:
@@ -225,12 +231,12 @@ def redact_pii(docs: DataFrame) -> DataFrame:
     """``docs`` (same columns) with ``[EMAIL]`` and the like in place of
     personal data in ``text``; ``n_chars``, where there is one, follows the
     texts that change.  Null texts stay null, texts without any stay as they are."""
-    held = docs.withColumn("__before", F.length("text"))
-    out = add_columns(held, ["text"], "text string", _make_redact)
+    free, own = set_aside(docs, "text", "n_chars")
+    out = add_columns(free.withColumn("before", F.length("text")), ["text"], "text string", _make_redact)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.length("text") != F.col("__before"), F.length("text"))
+        out = out.withColumn("n_chars", F.when(F.length("text") != F.col("before"), F.length("text"))
                              .otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return own(out)
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

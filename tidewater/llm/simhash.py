@@ -24,13 +24,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, connected_components, read_table, staged
+from .common import add_columns, connected_components, read_table, set_aside, staged
 
 SHINGLE = 3
 DISTANCE = 3
 SEED = 42
 BLOCKS = 3
 BITS = 64
+#: Fingerprints whose variants one task emits.
+TASK_PRINTS = 10_000
 
 _CHUNK = 1 << 20
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -184,7 +186,9 @@ def near_links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS
     variant but for half the distance, so its size is bounded by the block's
     width, not by the table.
     """
-    emitted = prints.select("fingerprint").mapInArrow(_emit(distance, blocks), "variant long, fingerprint long")
+    tasks = max(1, -(-prints.count() // TASK_PRINTS))
+    emitted = (prints.select("fingerprint").repartition(tasks)
+               .mapInArrow(_emit(distance, blocks), "variant long, fingerprint long"))
     return (emitted.repartition("variant").sortWithinPartitions("variant")
             .mapInArrow(_verify(distance), "a long, b long").distinct())
 
@@ -201,7 +205,7 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIST
     """
     marked = staged(add_columns(docs.select("doc_id", "text"), ["text"], "fingerprint long", _make_fingerprint,
                                 shingle, seed).drop("text"), "simhash")
-    links = near_links(marked.select("fingerprint").distinct(), distance)
+    links = near_links(staged(marked.select("fingerprint").distinct(), "simhash-prints"), distance)
     groups = connected_components(links).select(F.col("node").alias("fingerprint"), "root")
     return (marked.join(groups, "fingerprint", "left")
             .select("doc_id", "fingerprint", F.coalesce("root", "fingerprint").alias("component")))
@@ -223,13 +227,14 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE)
     groups = staged(simhash_groups(docs, shingle, distance), "groups")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fingerprint")
     kept = (groups.groupBy("component").agg(F.min(first).alias("first"))
-            .select(F.col("first.doc_id").alias("__kept_id"), F.col("first.fingerprint").alias("__kept_print")))
-    same_id = F.col("doc_id").eqNullSafe(F.col("__kept_id"))
+            .select(F.col("first.doc_id").alias("kept_id"), F.col("first.fingerprint").alias("kept_print")))
+    free, own = set_aside(docs, "doc_id", "text")
+    same_id = F.col("doc_id").eqNullSafe(F.col("kept_id"))
     if not groups.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        return docs.join(kept, same_id, "left_semi")
-    marked = add_columns(docs, ["text"], "__print long", _make_fingerprint, shingle, SEED)
-    chosen = marked.join(kept, same_id & (F.col("__print") == F.col("__kept_print")), "left_semi")
-    return chosen.dropDuplicates(["doc_id", "__print"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+        return own(free.join(kept, same_id, "left_semi"))
+    marked = add_columns(free, ["text"], "print long", _make_fingerprint, shingle, SEED)
+    chosen = marked.join(kept, same_id & (F.col("print") == F.col("kept_print")), "left_semi")
+    return own(chosen.dropDuplicates(["doc_id", "print"]))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
