@@ -33,23 +33,22 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException, PythonException
+from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from urllib.parse import unquote
-
 from ..functions.paths import route
 from ..operators.batches import ARCHIVED, DEFERRED, FAILED, manifest
 from ..operators.quality import bad_key
 from ..session import work_dir
 from ..sinks import publish
 from ..sinks.files import delete_path
-from ..sinks.ledger import (LEDGER_SCHEMA, append_ledger, append_quarantine, archived_batches, finished_files,
-                            has_batch, path_missing, read_ledger)
+from ..sinks.ledger import (LEDGER_SCHEMA, append_ledger, append_quarantine, archived_batches, compact_ledger,
+                            finished_files, has_batch, read_ledger)
 from ..sinks.tables import BATCH_COLUMN, append_typed, cast_positional, data_columns, drop_batches
 from ..sources.delimited import header_kind, parse_class_lines, read_lines, read_lines_after_header
+from ..sources.landing import file_key_col, list_landing
 from .transform import (BATCH, apply_transform, bound_sql, knows_batches, lateral, legacy_to_named, over_views,
                         run_sql)
 
@@ -73,10 +72,6 @@ def _phase(name: str):
     log.debug("%-24s %.2fs", name, time.time() - start)
 
 
-NAMES_SCHEMA = StructType([StructField("path", StringType(), False),
-                           StructField("file_key", StringType(), False)])
-
-
 class ImbalanceError(ValueError):
     """Classes have different numbers of files: nothing is ingested."""
 
@@ -89,41 +84,6 @@ class IngestResult:
     file_counts: DataFrame | None
 
 
-def list_landing(spark: SparkSession, landing_dir: str) -> DataFrame:
-    return spark.createDataFrame(_listing(spark, landing_dir), NAMES_SCHEMA)
-
-
-def _listing(spark: SparkSession, landing_dir: str) -> list:
-    """Names of the files directly in ``landing_dir`` that have an extension.
-
-    Listing is metadata: Spark's file index lists on the driver (in parallel
-    for large trees); zero-byte markers are included.  ``path`` is decoded
-    for reading, ``file_key`` is the encoded URI that ``_metadata.file_path``
-    reports for the same file."""
-    try:
-        uris = spark.read.format("binaryFile").load(landing_dir).inputFiles()
-    except AnalysisException as exc:
-        if not path_missing(exc):
-            raise
-        uris = []
-    rows = []
-    for uri in uris:
-        if "." not in unquote(uri.rsplit("/", 1)[-1]):
-            continue
-        rows.append((unquote(uri), file_key_of(uri)))
-    return rows
-
-
-def file_key_of(uri: str) -> str:
-    """Join key of a listed file: its encoded URI with ``scheme:///`` folded
-    to ``scheme:/`` (the form ``_metadata.file_path`` reports)."""
-    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*:)//(?=/)", r"\1", uri)
-
-
-def file_key_col(path_col: str = "_file"):
-    return F.regexp_replace(F.col(path_col), r"^([A-Za-z][A-Za-z0-9+.-]*:)//(/)", "$1$2")
-
-
 def ingest(spark: SparkSession, classes, top_directory: str, database: str | None = None,
            landing_folder: str = "landing", failure_folder: str = "failure",
            archive_folder: str = "archive", ledger_path: str | None = None,
@@ -203,6 +163,7 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
     finally:
         if not keep_stage:
             delete_path(spark, run.root)
+    compact_ledger(spark, ledger_path)
     own = F.col("run_id") == F.lit(run.run_id)
     ledger = read_ledger(spark, ledger_path).where(own)
     failed = ledger.where(F.col("outcome") == FAILED).agg(F.sum("n_files")).first()[0] or 0

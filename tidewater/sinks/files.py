@@ -80,6 +80,12 @@ def list_files(spark: SparkSession, folder: str) -> list[str]:
     return found
 
 
+def list_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders directly in ``folder``; none if it is not there."""
+    fs, hpath = file_system(spark, folder)
+    return [f.getPath().getName() for f in fs.listStatus(hpath) if f.isDirectory()] if fs.exists(hpath) else []
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file, or replace it: under another name first, then renamed."""
     fs, part = file_system(spark, f"{path}.part")
@@ -99,3 +105,24 @@ def read_text(spark: SparkSession, path: str) -> str:
         return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode()
     finally:
         source.close()
+
+
+def write_version(spark: SparkSession, folder: str, text: str) -> int:
+    """Write the next version of a small text.  Until it is whole the last
+    version is in force, so there is always one; the one before is deleted."""
+    last = _versions(spark, folder)
+    number = last[-1] + 1 if last else 1
+    write_text(spark, f"{folder}/v{number}", text)
+    for old in last[:-1]:
+        delete_path(spark, f"{folder}/v{old}")
+    return number
+
+
+def read_version(spark: SparkSession, folder: str) -> tuple[int, str] | None:
+    """Number and text of the last version; None if there is none."""
+    found = _versions(spark, folder)
+    return (found[-1], read_text(spark, f"{folder}/v{found[-1]}")) if found else None
+
+
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    return sorted(int(name[1:]) for name in list_files(spark, folder) if name[:1] == "v" and name[1:].isdigit())

@@ -34,9 +34,10 @@ from .schema import FileClass
 from .session import configure, shared_root, work_dir
 from .sinks.collections import commit_documents, delete_all_documents, hit_count
 from .sinks.files import write_delimited, write_lines
-from .sinks.ledger import read_ledger
+from .sinks.ledger import LEDGER_SCHEMA, append_ledger, compact_ledger, finished_files, read_ledger
 from .sinks.tables import BATCH_COLUMN, append_by_name, create_database, create_table
 from .sources.delimited import read_lines, read_quoted, read_remainder, read_strict
+from .sources.landing import LandingIndex
 from .sources.generated import create_external_csv_table, keyed_rows, load_json_documents
 from .streaming.landing import pickup_to_bronze, release
 from .streaming.watermark import incremental_rows, reset_watermarks
@@ -614,6 +615,48 @@ def revert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(t)
 
 
+def landing_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events land in three rounds, one file a type; after each round the
+    index tells the new files, and only those are read.  Files and lines by round."""
+    configure(spark)
+    root = work_dir(spark, "landing_index")
+    events = table(spark, sf_dir, "events")
+    index, parts = LandingIndex(spark, f"{root}/index"), []
+    for k in range(3):
+        landed = events.where(F.col("event_id") % 3 == k)
+        (landed.select(F.col("event_id").cast("string").alias("value"), "event_type").repartition("event_type")
+         .write.mode("append").partitionBy("event_type").text(f"{root}/landing"))
+        fresh = index.update(f"{root}/landing/*").select("path", "file_key").cache()
+        lines = spark.read.text([r["path"] for r in fresh.collect()]).select("value", F.col("_metadata.file_path").alias("file_key"))
+        parts.append(lines.join(fresh, "file_key").agg(
+            F.lit(k).cast("bigint").alias("landing"), F.countDistinct("path").alias("n_files"), F.count(F.lit(1)).alias("n_lines")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def ledger_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger of twelve runs over orders (a batch for each), with a
+    checkpoint after every fifth; outcomes, and the finished files, read back
+    from checkpoint and tail."""
+    configure(spark)
+    path = f"{work_dir(spark, 'ledger')}/_ledger"
+    orders = table(spark, sf_dir, "orders")
+    file = F.concat(F.lit("/landing/f"), F.col("o_orderkey").cast("string"), F.lit(".csv"))
+    outcome = F.when(F.col("o_orderstatus") == "F", F.lit(B.ARCHIVED)).when(
+        F.col("o_orderstatus") == "O", F.lit(B.FAILED)).otherwise(F.lit(B.DEFERRED))
+    known = {"batch_id": F.col("o_orderkey").cast("string"), "batch_index": F.col("o_orderkey"), "outcome": outcome,
+             "ready": F.lit(True), "n_files": F.lit(1), "files": F.array(file)}
+    for k in range(12):
+        rows = orders.where(F.col("o_custkey") % 12 == k).select(*[
+            known.get(f.name, F.lit(f"run-{k}") if f.name == "run_id" else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in LEDGER_SCHEMA])
+        append_ledger(rows, path)
+        compact_ledger(spark, path, after_runs=5)
+    outcomes = read_ledger(spark, path).groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("run_id").alias("n_runs"))
+    return outcomes.unionByName(finished_files(spark, path).agg(
+        F.lit("finished files").alias("outcome"), F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("n_runs")))
+
+
 def revert_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders in files by key range, partitioned by status; a revert of one
     key range replaces the files that hold it.  Rows left, with whether their
@@ -911,6 +954,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "legacy_ingest": legacy_ingest,
     "atomic_append": atomic_append,
     "revert_touched": revert_touched,
+    "landing_index": landing_index,
+    "ledger_compacted": ledger_compacted,
     "ingest_outcomes": ingest_outcomes,
     "stream_release": stream_release,
     "audit_append": audit_append,
@@ -966,6 +1011,12 @@ ORACLES: dict[str, str] = {
                      "FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY c_custkey % 200, n_name",
     "atomic_append": "SELECT CASE o_orderkey % 2 WHEN 0 THEN 'even' ELSE 'odd' END AS side, o_orderkey, o_custkey, "
                      "o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus <> 'P'",
+    "landing_index": "SELECT event_id % 3 AS landing, count(DISTINCT event_type) AS n_files, count(*) AS n_lines "
+                     "FROM events GROUP BY 1",
+    "ledger_compacted": "SELECT CASE o_orderstatus WHEN 'F' THEN 'archived' WHEN 'O' THEN 'failed' ELSE 'deferred' END "
+                        "AS outcome, count(*) AS n, count(DISTINCT o_custkey % 12) AS n_runs FROM orders GROUP BY 1 "
+                        "UNION ALL SELECT 'finished files', count(DISTINCT o_orderkey), CAST(0 AS BIGINT) FROM orders "
+                        "WHERE o_orderstatus IN ('F', 'O')",
     "revert_touched": "SELECT o_orderkey, o_custkey, o_orderstatus, true AS files_kept FROM orders "
                       "WHERE o_orderkey > 1000",
     "strict_ingest": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders",
