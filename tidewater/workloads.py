@@ -39,6 +39,7 @@ from .sinks.tables import BATCH_COLUMN, append_by_name, create_database, create_
 from .sources.delimited import read_lines, read_quoted, read_remainder, read_strict
 from .sources.landing import LandingIndex
 from .sources.generated import create_external_csv_table, keyed_rows, load_json_documents
+from .streaming.gate import log_listing, run_gate
 from .streaming.landing import pickup_to_bronze, release
 from .streaming.watermark import incremental_rows, reset_watermarks
 
@@ -657,6 +658,31 @@ def ledger_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("finished files").alias("outcome"), F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("n_runs")))
 
 
+def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A header and a detail file for each customer, listed in three rounds:
+    files, header markers, detail markers (none where the nation's number
+    divides by five).  A fourth listing two days later lets the rest expire.  The
+    stream is started anew for every round, from its checkpoint."""
+    configure(spark)
+    root = work_dir(spark, "gate")
+    classes = [FileClass(table=t, columns=("v",), pattern=f"^{t}_", extension="csv") for t in ("hdr", "det")]
+    customer = table(spark, sf_dir, "customer")
+
+    def named(kind: str, rest: str, where: str = "true") -> DataFrame:
+        return customer.where(where).select(
+            F.concat(F.lit(f"/landing/{kind}_"), F.col("c_custkey").cast("string"), F.lit(rest)).alias("path"))
+
+    rounds = (named("hdr", ".csv").unionByName(named("det", ".csv")), named("hdr", "_DONE.csv"),
+              named("det", "_DONE.csv", "c_nationkey % 5 <> 0"),
+              customer.limit(1).select(F.lit("/landing/hdr_0.csv").alias("path")))
+    for k, names in enumerate(rounds):
+        log_listing(names, f"{root}/log", k, F.lit(f"2024-01-0{1 if k < 3 else 3} 0{k}:00:00"))
+        run_gate(spark, f"{root}/log", classes, r"_(\d+)$", 24 * 3600, f"{root}/out", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/out").select(
+        F.col("batch_key").cast("bigint").alias("c_custkey"), "outcome", F.size("files").cast("bigint").alias("n_files"),
+        F.array_join("missing", ",").alias("missing"))
+
+
 def revert_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders in files by key range, partitioned by status; a revert of one
     key range replaces the files that hold it.  Rows left, with whether their
@@ -955,6 +981,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "atomic_append": atomic_append,
     "revert_touched": revert_touched,
     "landing_index": landing_index,
+    "stream_gate": stream_gate,
     "ledger_compacted": ledger_compacted,
     "ingest_outcomes": ingest_outcomes,
     "stream_release": stream_release,
@@ -1011,6 +1038,9 @@ ORACLES: dict[str, str] = {
                      "FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY c_custkey % 200, n_name",
     "atomic_append": "SELECT CASE o_orderkey % 2 WHEN 0 THEN 'even' ELSE 'odd' END AS side, o_orderkey, o_custkey, "
                      "o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus <> 'P'",
+    "stream_gate": "SELECT c_custkey, CASE WHEN c_nationkey % 5 <> 0 THEN 'ready' ELSE 'expired' END AS outcome, "
+                   "CAST(2 AS BIGINT) AS n_files, CASE WHEN c_nationkey % 5 <> 0 THEN '' ELSE 'det_DONE' END AS missing "
+                   "FROM customer",
     "landing_index": "SELECT event_id % 3 AS landing, count(DISTINCT event_type) AS n_files, count(*) AS n_lines "
                      "FROM events GROUP BY 1",
     "ledger_compacted": "SELECT CASE o_orderstatus WHEN 'F' THEN 'archived' WHEN 'O' THEN 'failed' ELSE 'deferred' END "
