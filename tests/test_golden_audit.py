@@ -195,10 +195,11 @@ def test_specs_may_name_the_table_and_the_last_one_counts(spark, tmp):
 
 
 @pytest.mark.parametrize("query", [
-    "select?q=word", "select?q=kind:c OR id:1", "select?q=(kind:c)", "select?q=id:[1 TO 5]", "select?q=kind:c*",
-    "select?q=kind:c^2", "select?q=-(kind:c)", "select?q=kind:", 'select?q="a b"', 'select?q=kind:"a b"~2',
-    "select?q=kind:c&fq=NOT id:2", "select?q=*:*&rows=1", "select?q=*:*&start=2", "select?q=*:*&sort=id desc",
-    "select?q=*:*&fl=id,score", "select?q=*:*&facet=true", "select?q=id:>1", "select?q=kind:/c/"])
+    "select?q=word", "select?q=kind:c OR", "select?q=(kind:c", "select?q=id:[1 TO 5", "select?q=id:[1 5]", "select?q=id:[a TO 5]",
+    "select?q=kind:c^2", "select?q=-(kind:c", "select?q=kind:", 'select?q="a b"', 'select?q=kind:"a b"~2', "select?q=kind:c)",
+    "select?q=kind:c&fq=NOT", "select?q=*:*&rows=1", "select?q=*:*&start=2", "select?q=*:*&sort=id desc", "select?q=AND kind:c",
+    "select?q=*:*&fl=id,score", "select?q=*:*&facet=true", "select?q=id:>1", "select?q=kind:/c/", "select?q=nofield:1",
+    "select?q=kind:(a OR)", "select?q=*:x", "select?q=kind:c&q.op=XOR"])
 def test_collection_queries_not_understood(spark, query):
     docs = spark.createDataFrame([(1, "a b", None), (2, "c", "x")], "id int, kind string, note string")
     with pytest.raises(ValueError):
@@ -221,3 +222,23 @@ def test_collection_queries_select(spark):
     assert ids('select?q=kind:"a b"') == [1]
     assert ids("select?q=kind:c&fq=-note:*&wt=json") == [3]
     assert G.collection_frame(docs, "select?q=id:2&fl=id,note").columns == ["id", "note"]
+
+
+def test_a_collection_line_that_is_not_understood_fails_alone(spark, tmp):
+    _table(spark, tmp, "docs2", [(1, "a"), (2, "b")], "id int, kind string")
+    write(f"{tmp}/test/collections", "docs2,select?q=id:1 OR kind:b\ndocs2,select?q=id:1^3\ndocs2,select?q=nofield:1\n")
+    write(f"{tmp}/test/expected/docs2/e.json", '{"id":1,"kind":"a"}\n{"id":2,"kind":"b"}\n')
+    report = G.run_test_dir(spark, f"{tmp}/test", DB).collect()
+    assert [(r["test"], r["status"]) for r in report] == [("docs2", "SUCCESS"), ("docs2", "FAILURE"), ("docs2", "FAILURE")]
+
+
+def test_an_unreadable_list_ends_the_run(spark, tmp, monkeypatch):
+    from pyspark.errors import AnalysisException
+
+    def broken(*_):
+        raise AnalysisException("no permission")
+
+    write(f"{tmp}/test/expected/x/e.json", "{}\n")
+    monkeypatch.setattr(G, "read_spec_lines", broken)
+    with pytest.raises(AnalysisException):
+        G.run_test_dir(spark, f"{tmp}/test", DB)

@@ -9,6 +9,7 @@ aggregation yields the differences of every spec at once.
 
 from __future__ import annotations
 
+import logging
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 from urllib.parse import parse_qs, unquote
 
+from ..functions.search import search_condition
 from ..functions.specs import SPEC_FIELD_SEP, SPEC_ITEM_SEP
 from ..functions.text import FAILURE, SUCCESS, TEST_LINE, padded_status
 from ..operators.compare import drop_volatile, multiset_difference, normalised
+from ..sinks.ledger import path_missing
 from ..sinks.publish import file_table, remove_rows
 from ..sinks.tables import overwrite_from_self
 
@@ -50,45 +53,25 @@ def spec_frame(spark: SparkSession, spec: str, database: str | None = None) -> D
     return spark.sql(sql, args={"spec_table": f"{database}.{name}" if database else name})
 
 
-# *:* is no term: it selects everything. Plain values hold no signs of the query syntax.
-_TERM = re.compile(r'(-?)(\w+):(?:"([^"\\]*)"|(\*|(?![!+/-]|(?:AND|OR|NOT|TO)(?:\s|\Z))[^\s"()\[\]{}^~:\\*?|&<>]+))(?=\s|\Z)')
-_ALL = re.compile(r"\*:\*(?=\s|\Z)")
-_AND = re.compile(r"\s+(?:AND\s+)?")
+log = logging.getLogger("tidewater.golden")
 #: Parameters that say how a response is written, not what it holds.
 _FORMAT = {"wt", "indent", "omitHeader", "echoParams"}
 
 
-def _terms(text: str) -> list[tuple[str, str, str, str]]:
-    """The terms of a query, which must be understood as a whole."""
-    text, at, terms = text.strip(), 0, []
-    while at < len(text):
-        match = _TERM.match(text, at)
-        if match:
-            terms.append(match.groups(""))
-        else:
-            match = _ALL.match(text, at)
-        if not match:
-            raise ValueError(f"query not understood at {text[at:]!r}: {text!r}")
-        at = match.end()
-        if at < len(text):
-            at = _AND.match(text, at).end()
-    return terms
-
-
 def collection_frame(docs: DataFrame, query: str) -> DataFrame:
     """The documents that a collection line's query selects: ``q`` and ``fq``
-    parameters of ``field:value`` terms (all must hold; ``*`` is any value, a
-    leading ``-`` negates, quotes keep blanks), ``fl`` as the list of fields.  Text
-    before a ``?`` and parameters for the response's form are of no effect here;
-    a ValueError tells of any other part, which might select other documents."""
+    parameters (expressions of :func:`~tidewater.functions.search.search_condition`;
+    all must hold), ``q.op`` for how terms of ``q`` side by side are joined
+    (``AND`` by default), ``fl`` as the list of fields.  Text before a ``?`` and
+    parameters for the response's form are of no effect here; a ValueError tells
+    of any other part, which might select other documents."""
     parameters = parse_qs(query.partition("?")[2] or query, keep_blank_values=False)
-    if unknown := parameters.keys() - {"q", "fq", "fl"} - _FORMAT:
+    if unknown := parameters.keys() - {"q", "q.op", "fq", "fl"} - _FORMAT:
         raise ValueError(f"parameters not understood: {', '.join(sorted(unknown))} in {query!r}")
-    for text in parameters.get("q", []) + parameters.get("fq", []):
-        for minus, name, quoted, plain in _terms(text):
-            value = quoted or plain
-            hit = F.col(f"`{name}`").isNotNull() if plain == "*" else F.col(f"`{name}`").cast("string") == F.lit(value)
-            docs = docs.where(~F.coalesce(hit, F.lit(False)) if minus else hit)
+    joined = parameters.get("q.op", ["AND"])[-1]
+    for name in ("q", "fq"):
+        for text in parameters.get(name, []):
+            docs = docs.where(search_condition(docs, text, joined if name == "q" else "AND"))
     fields = [f for text in parameters.get("fl", []) for f in re.split(r"[,\s]+", text) if f]
     if unknown := [f for f in fields if f != "*" and f not in docs.columns]:
         raise ValueError(f"fields not understood: {', '.join(unknown)} in {query!r}")
@@ -141,12 +124,15 @@ def run_golden(spark: SparkSession, specs, expected_root: str, database: str | N
     One report line per spec and collection entry, in their order.  Of several
     specs on one table the last one's rows are compared, as its export
     replaces the earlier ones.  ``collections`` holds (name, DataFrame of
-    response lines ``value``) pairs (or is a mapping), each a test of its own."""
+    response lines ``value``) pairs (or is a mapping), each a test of its own;
+    one with None for the lines fails."""
     if isinstance(collections, dict):
         collections = list(collections.items())
+    collections = [(name, spark.createDataFrame([], "value string") if lines is None else lines, lines is None)
+                   for name, lines in collections]
     last = {parse_spec(s)[0]: s for s in specs}
     tests = [(name, json_lines(spec_frame(spark, s, database)), False) for name, s in last.items()]
-    tests += [(name, lines, True) for name, lines in collections]
+    tests += [(name, lines, True) for name, lines, _ in collections]
     if not tests:
         return spark.createDataFrame([], "line string, test string, status string")
     sides = []
@@ -159,10 +145,11 @@ def run_golden(spark: SparkSession, specs, expected_root: str, database: str | N
     diffs = compare_lines(*sides, keys=("key",))
     # A test whose lines are all blank on both sides has no group: success.
     position = {name: k for k, (name, _, volatile) in enumerate(tests) if not volatile}
-    listed = [(position[parse_spec(s)[0]], parse_spec(s)[0]) for s in specs]
-    listed += [(len(last) + k, name) for k, (name, _) in enumerate(collections)]
-    names = spark.createDataFrame([(at, *x) for at, x in enumerate(listed)], "at int, key int, test string")
-    full = (names.join(diffs, "key", "left").na.fill(0, ["only_actual", "only_expected"]).orderBy("at"))
+    listed = [(position[parse_spec(s)[0]], parse_spec(s)[0], False) for s in specs]
+    listed += [(len(last) + k, name, failed) for k, (name, _, failed) in enumerate(collections)]
+    names = spark.createDataFrame([(at, *x) for at, x in enumerate(listed)], "at int, key int, test string, failed boolean")
+    full = (names.join(diffs, "key", "left").na.fill(0, ["only_actual", "only_expected"])
+            .withColumn("only_actual", F.when(F.col("failed"), 1).otherwise(F.col("only_actual"))).orderBy("at"))
     return report(full, "test", width=int(TEST_LINE[2:4]))
 
 
@@ -191,7 +178,9 @@ def _expected_lines(spark: SparkSession, path: str) -> DataFrame:
     makes the test fail instead of aborting the run)."""
     try:
         return spark.read.text(path)
-    except AnalysisException:
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
         return spark.createDataFrame([], "value string")
 
 
@@ -255,28 +244,19 @@ def run_test_dir(spark: SparkSession, test_dir: str, database: str | None = None
 
     Layout: ``<test>/*.list`` (specs), optional ``<test>/collections``
     (``name,query`` lines; the collection is a table of documents, and what
-    the query selects is compared as JSON lines), and either ``<test>/expected`` or one sub-directory per
+    the query selects is compared as JSON lines, and a query that is not
+    understood is a test that fails), and either ``<test>/expected`` or one sub-directory per
     part, each with ``expected/``.  Parts run in name order on accumulating
     state; ``run_part(part_dir)`` does the part's work first (it replaces
     putting inputs and starting workflows).  Returns the report of all
     parts."""
     base = test_dir.rstrip("/")
     # Listing goes through Spark's file system layer, so the test directory
-    # may live on any storage the cluster reads.
-    try:
-        specs = [r["spec"] for r in read_spec_lines(spark, f"{base}/*.list").collect()]
-    except AnalysisException:
-        specs = []
-    collections = []
-    try:
-        collections = [tuple(r) for r in read_collection_lines(spark, f"{base}/collections").collect()]
-    except AnalysisException:
-        pass
-    try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                      .load(base).inputFiles())
-    except AnalysisException:
-        files = []
+    # may live on any storage the cluster reads.  What is not there is empty;
+    # what cannot be read ends the run, which would otherwise test nothing.
+    specs = [r["spec"] for r in _read(lambda: read_spec_lines(spark, f"{base}/*.list").collect())]
+    collections = [tuple(r) for r in _read(lambda: read_collection_lines(spark, f"{base}/collections").collect())]
+    files = _read(lambda: spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base).inputFiles())
     parts = set()
     for uri in files:
         rel = unquote(uri).split(base.split(":", 1)[-1].lstrip("/"), 1)[-1].lstrip("/")
@@ -290,8 +270,7 @@ def run_test_dir(spark: SparkSession, test_dir: str, database: str | None = None
         part_dir = f"{base}/{part}" if part else base
         if run_part is not None:
             run_part(part_dir)
-        coll = [(name, json_lines(collection_frame(spark.table(f"{database}.{name}" if database else name), query)))
-                for name, query in collections]
+        coll = [(name, _selected(spark, f"{database}.{name}" if database else name, query)) for name, query in collections]
         report = run_golden(spark, specs, f"{part_dir}/expected", database, coll)
         # Later parts change the tables: fix this part's verdict now (one row
         # per table or collection).
@@ -305,6 +284,26 @@ def run_test_dir(spark: SparkSession, test_dir: str, database: str | None = None
     return _union(reports)
 
 
+def _read(action):
+    """What ``action`` reads; nothing if the path is not there."""
+    try:
+        return action()
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
+        return []
+
+
+def _selected(spark: SparkSession, table: str, query: str) -> DataFrame | None:
+    """The lines that a collection's query selects; None, for a test that
+    fails, if the query is not understood."""
+    try:
+        return json_lines(collection_frame(spark.table(table), query))
+    except ValueError as exc:
+        log.warning("collection %s: %s", table, exc)
+        return None
+
+
 def revert_specs(spark: SparkSession, specs: DataFrame, database: str | None = None,
                  allow: bool = False) -> list:
     """Revert every distinct spec line (``sort | uniq`` of all spec lists).
