@@ -1,5 +1,6 @@
 """Known answers of the three dialects and the header rule (FIXTURES §3)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import write
@@ -105,3 +106,38 @@ def test_line_based_strict_parse_matches_the_csv_source(spark, tmp):
     via_lines = view(parse_strict(read_lines_after_header(spark, f"{tmp}/s"), ABC, "|"))
     assert via_csv == via_lines
     assert len(via_csv) == 5
+
+
+def test_quoted_lines_as_the_csv_module_reads_them(spark):
+    """10,000 random lines of the characters that matter."""
+    import csv
+    import random
+
+    from tidewater.sources.delimited import parse_quoted
+
+    rng = random.Random(11)
+    for sep, alphabet in ((",", 'ab", ,""'), ("|", 'a"|| "é'), ("\t", 'x"\t\t" ^')):
+        lines = list({"".join(rng.choice(alphabet) for _ in range(rng.randrange(14))) for _ in range(8000)})
+        rows = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "k int, value string")
+        for n in (1, 3):
+            got = {r["k"]: r for r in parse_quoted(rows, [f"c{i}" for i in range(n)], sep).collect()}
+            for k, line in enumerate(lines):
+                fields = next(csv.reader([line], delimiter=sep), [])
+                assert got[k]["_bad"] == (len(fields) != n), (line, fields, got[k])
+                if len(fields) == n:
+                    assert [got[k][f"c{i}"] for i in range(n)] == fields, line
+
+
+def test_long_quoted_fields(spark):
+    from tidewater.sources.delimited import parse_quoted
+    text = 'x""' * 400_000
+    rows = spark.createDataFrame([(f'1,"{text}"tail,"open {text}',)], "value string")
+    row = parse_quoted(rows, ["a", "b", "c"], ",").first()
+    assert (row["b"], row["c"]) == (text.replace('""', '"') + "tail", "open " + text.replace('""', '"'))
+
+
+@pytest.mark.parametrize("sep", ["", "||", '"', "\n"])
+def test_separators_that_csv_does_not_take(spark, sep):
+    from tidewater.sources.delimited import quoted_fields
+    with pytest.raises(ValueError):
+        quoted_fields(F.col("value"), sep)

@@ -114,31 +114,41 @@ def parse_strict(lines: DataFrame, columns, sep: str, value_col: str = "value")
     )
 
 
-def parse_quoted(lines: DataFrame, columns, sep: str, value_col: str = "value") -> DataFrame:
-    """Quoted dialect over a DataFrame of lines.
+def quoted_fields(line, sep: str):
+    """Column: the fields of a line as Python's ``csv.reader`` splits it.
+
+    A field that begins with ``"`` runs to the closing quote, ``""`` within
+    being one quote; what follows the closing quote up to the separator is part
+    of the value as it stands, and so are quotes within other fields and blanks
+    anywhere.  A quote that is never closed takes the rest of the line.  Quantifiers
+    are possessive: no backtracking, no recursion, whatever the length."""
+    if len(sep) != 1 or sep in '"\r\n':
+        raise ValueError(f"the quoted dialect needs a separator of one character, not {sep!r}")
+    rest = rf"[^\x{{{ord(sep):X}}}]*+"
+    inner = r'"([^"]*+(?:""[^"]*+)*+)'
+    field = rf'{inner.replace("([", "(?:[", 1)}(?:"{rest})?|{rest}'
+    found = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(f"{separator_regex(sep)}({field})"), F.lit(1))
+
+    def value(f):
+        quoted = F.concat(F.replace(F.regexp_extract(f, inner, 1), F.lit('""'), F.lit('"')),
+                          F.regexp_extract(f, rf'(?s)\A{inner}"(.*)', 2))
+        return F.when(F.startswith(f, F.lit('"')), quoted).otherwise(f)
+
+    return (F.when(F.contains(line, F.lit('"')), F.transform(found, value))
+            .otherwise(F.split(line, separator_regex(sep), -1)))
+
 
-    CSV quoting with ``"`` and ``""`` as the escaped quote; the number of
-    fields must equal the number of columns; a blank line or an unclosed
-    quote is an error.  Empty fields (quoted or not) are ''.
+def parse_quoted(lines: DataFrame, columns, sep: str, value_col: str = "value") -> DataFrame:
+    """Quoted dialect over a DataFrame of lines: the fields of
+    :func:`quoted_fields`, as many as there are columns; another number, or a
+    blank line, is an error.  Empty fields (quoted or not) are ''.
     """
     columns = list(columns)
-    schema = StructType(string_schema(columns).fields + [StructField(CORRUPT, StringType(), True)])
-    parsed = F.from_csv(
-        F.col(value_col),
-        _ddl(schema),
-        {
-            "sep": sep,
-            "quote": '"',
-            "escape": '"',
-            "mode": "PERMISSIVE",
-            "columnNameOfCorruptRecord": CORRUPT,
-        },
-    )
     keep = [c for c in lines.columns if c != value_col]
-    with_struct = lines.select(*keep, F.col(value_col).alias("_line"), parsed.alias("_p"))
-    bad = (F.col("_line") == "") | F.col(f"_p.{CORRUPT}").isNotNull()
-    return with_struct.select(
-        *[F.coalesce(F.col(f"_p.`{c}`"), F.lit("")).alias(c) for c in columns],
+    with_parts = lines.select(*keep, F.col(value_col).alias("_line"), quoted_fields(F.col(value_col), sep).alias("_parts"))
+    bad = (F.col("_line") == "") | (F.size("_parts") != len(columns))
+    return with_parts.select(
+        *[F.when(~bad, F.col("_parts")[i]).alias(c) for i, c in enumerate(columns)],
         *keep,
         bad.alias("_bad"),
         "_line",
@@ -167,10 +177,6 @@ def parse_remainder(lines: DataFrame, columns, sep: str, value_col: str = "value
     )
 
 
-def _ddl(schema: StructType) -> str:
-    return ", ".join(f"`{f.name}` STRING" for f in schema.fields)
-
-
 def read_quoted(spark: SparkSession, paths, columns, sep: str, header: str = "contains") -> DataFrame:
     return parse_quoted(_header_lines(spark, paths, columns, header), columns, sep)
 

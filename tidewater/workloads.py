@@ -278,6 +278,31 @@ def quoted_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "text")
 
 
+def quoted_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as lines that CSV readers disagree on: text after a closing
+    quote, quotes within a plain field, blanks beside the separator, a quote that
+    is never closed."""
+    configure(spark)
+    root = work_dir(spark, "quoted_exact")
+    docs = table(spark, sf_dir, "documents")
+    text = F.replace(_single_line("text"), F.lit('"'), F.lit('""'))
+    write_lines(docs.select(F.concat(F.col("doc_id").cast("string"), F.lit(',"'), text, F.lit('"x ""y" '), F.col("source"),
+                                     F.lit(' , k"1" ,"'), F.col("lang")).alias("value")), root)
+    parsed = read_quoted(spark, root, ("doc_id", "text", "kind", "lang"), ",", header="none")
+    return parsed.where(~F.col("_bad")).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "kind", "lang")
+
+
+def collection_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts that a collection line's query selects: alternatives, groups,
+    negation, ranges and wildcards."""
+    configure(spark)
+    line = ("parts,select?q=(p_name:(small* OR \"cold widget\") AND NOT p_brand:Brand#1?) OR p_size:[48 TO *]"
+            "&fq=-p_type:PROMO&fq=p_retailprice:{900 TO 1900]&fl=p_partkey&fl=p_name&fl=p_size")
+    query = TF.collection_query(F.lit(line))
+    text = spark.range(1).select(query.alias("q")).first()["q"]
+    return G.collection_frame(table(spark, sf_dir, "part"), text.replace("#", "%23"))
+
+
 def remainder_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents -> unquoted ``doc_id|lang|text`` (text may hold ``|``) ->
     remainder dialect -> typed rows."""
@@ -994,6 +1019,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "probe_report": probe_report,
     "arity_profile": arity_profile_q,
     "quoted_ingest": quoted_ingest,
+    "quoted_exact": quoted_exact,
+    "collection_query": collection_query,
     "remainder_ingest": remainder_ingest,
     "header_filter": header_filter,
     "file_counts": file_counts,
@@ -1038,6 +1065,11 @@ ORACLES: dict[str, str] = {
                      "FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY c_custkey % 200, n_name",
     "atomic_append": "SELECT CASE o_orderkey % 2 WHEN 0 THEN 'even' ELSE 'odd' END AS side, o_orderkey, o_custkey, "
                      "o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus <> 'P'",
+    "quoted_exact": "SELECT doc_id, replace(text, chr(10), ' ') || 'x \"\"y\" ' || source || ' ' AS text, ' k\"1\" ' AS kind, "
+                    "lang FROM documents",
+    "collection_query": "SELECT p_partkey, p_name, p_size FROM part WHERE (((p_name LIKE 'small%' OR p_name = "
+                        "'cold widget') AND NOT regexp_full_match(p_brand, 'Brand#1.')) OR p_size >= 48) AND NOT "
+                        "p_type = 'PROMO' AND p_retailprice > 900 AND p_retailprice <= 1900",
     "stream_gate": "SELECT c_custkey, CASE WHEN c_nationkey % 5 <> 0 THEN 'ready' ELSE 'expired' END AS outcome, "
                    "CAST(2 AS BIGINT) AS n_files, CASE WHEN c_nationkey % 5 <> 0 THEN '' ELSE 'det_DONE' END AS missing "
                    "FROM customer",
