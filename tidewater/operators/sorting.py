@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import (ArrayType, BooleanType, DateType, MapType, NumericType, StructType, TimestampNTZType,
+                               TimestampType)
 
 from ..session import staged
 from .ordinal import group_ordinal
@@ -31,12 +32,39 @@ def md5_prefix_value(column, start: int = 1) -> Column:
     return F.conv(F.substring(F.md5(c.cast("string")), start, 8), 16, 10).cast("bigint")
 
 
-def row_checksum(*columns) -> Column:
+def row_checksum(df: DataFrame) -> Column:
     """The first 16 hex digits of the md5 of a row's columns as text, joined
-    with ``|`` (NULL as ``~``), as a decimal number: an engine-independent
-    checksum of the whole row whose sum cannot overflow."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
-    return F.conv(F.substring(F.md5(text), 1, 16), 16, 10).cast("decimal(20,0)")
+    with ``|`` (NULL as ``~``; a backslash before these two, and before itself,
+    in a value), as a decimal number: an engine-independent checksum of the
+    whole row whose sum cannot overflow."""
+    def text(f):
+        value = F.col(f"`{f.name}`").cast("string")
+        if isinstance(f.dataType, (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)):
+            return value  # these have none of the three
+        for mark in ("\\", "|", "~"):
+            value = F.replace(value, F.lit(mark), F.lit("\\" + mark))
+        return value
+
+    joined = F.concat_ws("|", *[F.coalesce(text(f), F.lit("~")) for f in df.schema.fields])
+    return F.conv(F.substring(F.md5(joined), 1, 16), 16, 10).cast("decimal(20,0)")
+
+
+def row_sums(df: DataFrame) -> list[Column]:
+    """Two aggregates that tell whether two frames of one schema hold the same
+    rows: sums of 64-bit hashes with different seeds, over all columns and their
+    null flags.  Frames that differ agree in both with a chance of about 2**-128."""
+    def parts(f):
+        column = F.col(f"`{f.name}`")
+        return [F.to_json(F.struct(column)) if _has_map(f.dataType) else column, column.isNull()]
+
+    columns = [c for f in df.schema.fields for c in parts(f)]
+    return [F.coalesce(F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)")), F.lit(0)).cast("string")
+            .alias(f"sum_{seed}") for seed in (1, 2)]
+
+
+def _has_map(kind) -> bool:
+    return (isinstance(kind, MapType) or (isinstance(kind, StructType) and any(_has_map(f.dataType) for f in kind))
+            or (isinstance(kind, ArrayType) and _has_map(kind.elementType)))
 
 
 def total_order_sort(df: DataFrame, key: str, num_partitions: int | None = None) -> DataFrame:
@@ -122,7 +150,7 @@ def validate_sorted(spark: SparkSession, path: str, key: str) -> DataFrame:
         (F.col("inversions") + F.when(F.col("has_prev") & wrong, 1).otherwise(0)).alias("inversions"))
     data = spark.read.parquet(path)
     rows = data.agg(F.count(F.lit(1)).alias("n"),
-                    F.sum(row_checksum(*data.columns)).cast("decimal(38,0)").alias("checksum"),
+                    F.sum(row_checksum(data)).cast("decimal(38,0)").alias("checksum"),
                     F.lit(0).cast("long").alias("inversions"))
     return rows.union(between).agg(
         F.sum("n").alias("n"), F.coalesce(F.sum("checksum").cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))

@@ -20,7 +20,7 @@ from urllib.parse import parse_qs, unquote
 from ..functions.search import search_condition
 from ..functions.specs import SPEC_FIELD_SEP, SPEC_ITEM_SEP
 from ..functions.text import FAILURE, SUCCESS, TEST_LINE, padded_status
-from ..operators.compare import drop_volatile, multiset_difference, normalised
+from ..operators.compare import differing_lines, drop_volatile, multiset_difference, normalised
 from ..sinks.ledger import path_missing
 from ..sinks.publish import file_table, remove_rows
 from ..sinks.tables import overwrite_from_self
@@ -108,6 +108,15 @@ def compare_lines(actual: DataFrame, expected: DataFrame, keys=(), value_col: st
                                keys=keys)
 
 
+def explain_spec(spark: SparkSession, spec: str, expected_path: str, database: str | None = None,
+                 exact: bool = False) -> DataFrame:
+    """The lines in which a spec's table differs from what is expected
+    (``line`` in its compared form, ``only_actual``, ``only_expected``), for a
+    test that failed.  See :func:`~tidewater.operators.compare.differing_lines`."""
+    return differing_lines(normalised(json_lines(spec_frame(spark, spec, database))),
+                           normalised(_expected_lines(spark, expected_path)), exact=exact)
+
+
 def report(diffs: DataFrame, name_col: str, width: int = 50) -> DataFrame:
     """``<name> - SUCCESS|FAILURE`` lines: success when both counts are 0."""
     ok = (F.col("only_actual") == 0) & (F.col("only_expected") == 0)

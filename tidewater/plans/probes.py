@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import FAILURE, PROBE_LINE, SUCCESS
 from ..operators.estimate import estimate_pi, random_points
-from ..operators.sorting import row_checksum, total_order_sort, validate_sorted
+from ..operators.sorting import row_checksum, row_sums, total_order_sort, validate_sorted
 from ..session import shared_root, work_dir
 from ..sinks.files import delete_path
 from ..sinks.tables import create_database, drop_table
@@ -34,15 +34,17 @@ def _row(spark, probe, expected, actual, contains: bool = False) -> DataFrame:
 
 def storage_roundtrip(spark: SparkSession, data: DataFrame) -> DataFrame:
     """Write ``data`` to shared storage, read it back, compare row count and
-    a checksum of all columns."""
+    two sums over all columns (:func:`~tidewater.operators.sorting.row_sums`)."""
     path = work_dir(spark, "roundtrip")
-    summary = lambda df: df.agg(F.count(F.lit(1)).alias("n"),
-                                F.sum(row_checksum(*df.columns)).alias("ck"))
-    before = summary(data).first()
+
+    def summary(df):
+        return "/".join(map(str, df.agg(F.count(F.lit(1)), *row_sums(df)).first()))
+
+    before = summary(data)
     data.write.mode("overwrite").parquet(path)
-    after = summary(spark.read.parquet(path)).first()
+    after = summary(spark.read.parquet(path))
     delete_path(spark, path)
-    return _row(spark, "Storage round trip", f"{before['n']}/{before['ck']}", f"{after['n']}/{after['ck']}")
+    return _row(spark, "Storage round trip", before, after)
 
 
 def catalog_table_probe(spark: SparkSession, lines: DataFrame | None = None,
@@ -77,12 +79,14 @@ def pi_probe(spark: SparkSession, n: int = 200_000, seed: int = 42) -> DataFrame
     return _row(spark, "Pi estimate", "Pi is roughly 3.", "Pi is roughly %r" % est["pi"], contains=True)
 
 
-def sort_probe(spark: SparkSession, rows: int = 1_000_000) -> DataFrame:
-    data = generated_rows(spark, rows)
+def sort_probe(spark: SparkSession, rows: int = 1_000_000, data: DataFrame | None = None) -> DataFrame:
+    """Sort rows by ``key`` (those of ``data``, else generated ones), write them
+    and validate what was written."""
+    data = data if data is not None else generated_rows(spark, rows)
     path = work_dir(spark, "sorted")
     total_order_sort(data, "key").write.mode("overwrite").parquet(path)
     v = validate_sorted(spark, path, "key").first()
-    expected = data.agg(F.count(F.lit(1)).alias("n"), F.sum(row_checksum(*data.columns)).alias("ck")).first()
+    expected = data.agg(F.count(F.lit(1)).alias("n"), F.sum(row_checksum(data)).alias("ck")).first()
     delete_path(spark, path)
     return _row(spark, "Sort and validate", f"{expected['n']}/{expected['ck']}/0",
                 f"{v['n']}/{v['checksum']}/{v['inversions']}")
@@ -90,13 +94,14 @@ def sort_probe(spark: SparkSession, rows: int = 1_000_000) -> DataFrame:
 
 def run_probes(spark: SparkSession, roundtrip_data: DataFrame | None = None,
                json_path: str | None = None, json_expected: int | None = None,
-               sort_rows: int = 1_000_000, json_multiline: bool = True) -> DataFrame:
+               sort_rows: int = 1_000_000, json_multiline: bool = True,
+               sort_data: DataFrame | None = None) -> DataFrame:
     """The whole suite; each probe's rows carry a padded report ``line``."""
     parts = [
         storage_roundtrip(spark, roundtrip_data if roundtrip_data is not None else spark.range(1000)),
         catalog_table_probe(spark),
         pi_probe(spark),
-        sort_probe(spark, sort_rows),
+        sort_probe(spark, sort_rows, sort_data),
     ]
     if json_path is not None:
         parts.append(document_count_probe(spark, json_path, json_expected, json_multiline))

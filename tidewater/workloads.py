@@ -41,7 +41,7 @@ from .sources.landing import LandingIndex
 from .sources.generated import create_external_csv_table, keyed_rows, load_json_documents
 from .streaming.gate import log_listing, run_gate
 from .streaming.landing import pickup_to_bronze, release
-from .streaming.watermark import incremental_rows, reset_watermarks
+from .streaming.watermark import WatermarkLog, incremental_rows, reset_watermarks
 
 SHOWCASE_DB = "tidewater_showcase"
 
@@ -762,6 +762,42 @@ def incremental_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental_rows(events, "ts", wm, "wm").select("event_id")
 
 
+def incremental_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events arrive in three rounds by time, every tenth a day or two late;
+    each round takes what is new and commits.  The second is processed and not
+    committed at first, and so selected again.  Every event with its round."""
+    configure(spark)
+    root = work_dir(spark, "rounds")
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    late = F.col("event_id") % 10 == 0
+    due = F.when(F.col("ts") < F.lit("2024-01-10").cast("timestamp"), 1).when(
+        F.col("ts") < F.lit("2024-01-20").cast("timestamp"), 2).otherwise(3)
+    edge = (F.dayofmonth("ts").isin(9, 19)) & late  # the day before a round ends
+    arrives = F.when(edge, due + 1).otherwise(due)
+    log = WatermarkLog(spark, f"{root}/log", "ts", ["event_id"], overlap_seconds=2 * 86400)
+    for k, commits in ((1, True), (2, False), (2, True), (3, True)):
+        selection = log.select(events.where(arrives <= k))
+        # processing replaces its round's output, so a repeated round does no harm
+        selection.rows.select("event_id", F.lit(k).cast("bigint").alias("round")).write.mode("overwrite").parquet(f"{root}/out/{k}")
+        if commits:
+            log.commit(selection)
+    return spark.read.parquet(*[f"{root}/out/{k}" for k in (1, 2, 3)])
+
+
+def golden_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events against an expectation that lacks some, repeats some and holds
+    others changed: the lines that differ, found by bucket sums."""
+    configure(spark)
+    root = work_dir(spark, "buckets")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    events.createOrReplaceTempView("bucket_events")
+    changed = F.when(F.col("event_id") % 1000 == 7, F.lit("other")).otherwise(F.col("event_type"))
+    copies = F.when(F.col("event_id") % 1000 == 1, 0).when(F.col("event_id") % 1000 == 2, 3).otherwise(1)
+    expected = events.select("event_id", changed.alias("event_type"), F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
+    write_lines(G.json_lines(expected.select("event_id", "event_type")), f"{root}/expected")
+    return G.explain_spec(spark, "bucket_events|event_id, event_type|", f"{root}/expected")
+
+
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events rendered as JSON-lines landing files -> availableNow file stream
     -> bronze (idempotent per epoch) -> counts per event type."""
@@ -990,13 +1026,13 @@ def roundtrip_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def probe_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole probe suite with orders as the round trip's rows, events'
-    props as documents and as many rows to sort as there are orders."""
+    props as documents and rows keyed by the order keys to sort."""
     configure(spark)
     root = work_dir(spark, "probes")
     orders, events = table(spark, sf_dir, "orders"), table(spark, sf_dir, "events")
     write_lines(events.select("props"), f"{root}/docs")
-    return run_probes(spark, orders, f"{root}/docs", events.count(), sort_rows=orders.count(),
-                      json_multiline=False).select("probe", "status", "line")
+    return run_probes(spark, orders, f"{root}/docs", events.count(), json_multiline=False,
+                      sort_data=keyed_rows(orders, "o_orderkey")).select("probe", "status", "line")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -1006,6 +1042,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "atomic_append": atomic_append,
     "revert_touched": revert_touched,
     "landing_index": landing_index,
+    "incremental_rounds": incremental_rounds,
+    "golden_buckets": golden_buckets,
     "stream_gate": stream_gate,
     "ledger_compacted": ledger_compacted,
     "ingest_outcomes": ingest_outcomes,
@@ -1065,6 +1103,14 @@ ORACLES: dict[str, str] = {
                      "FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY c_custkey % 200, n_name",
     "atomic_append": "SELECT CASE o_orderkey % 2 WHEN 0 THEN 'even' ELSE 'odd' END AS side, o_orderkey, o_custkey, "
                      "o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus <> 'P'",
+    "incremental_rounds": "SELECT event_id, CAST(CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 1 WHEN ts < TIMESTAMP "
+                          "'2024-01-20' THEN 2 ELSE 3 END + CASE WHEN event_id % 10 = 0 AND day(ts) IN (9, 19) THEN 1 "
+                          "ELSE 0 END AS BIGINT) AS round FROM events",
+    "golden_buckets": "WITH e AS (SELECT event_id, event_type FROM events WHERE event_id % 1000 IN (1, 2, 7)), d AS ("
+                      "SELECT event_id, event_type, CASE event_id % 1000 WHEN 1 THEN 1 WHEN 2 THEN -2 ELSE 1 END AS net FROM e "
+                      "UNION ALL SELECT event_id, 'other', -1 FROM e WHERE event_id % 1000 = 7) SELECT lower(replace("
+                      "'{\"event_id\":' || event_id || ',\"event_type\":\"' || event_type || '\"}', ' ', '')) AS line, "
+                      "CAST(greatest(net, 0) AS BIGINT) AS only_actual, CAST(greatest(-net, 0) AS BIGINT) AS only_expected FROM d",
     "quoted_exact": "SELECT doc_id, replace(text, chr(10), ' ') || 'x \"\"y\" ' || source || ' ' AS text, ' k\"1\" ' AS kind, "
                     "lang FROM documents",
     "collection_query": "SELECT p_partkey, p_name, p_size FROM part WHERE (((p_name LIKE 'small%' OR p_name = "
