@@ -260,3 +260,30 @@ def test_two_streams_share_one_bronze(spark, tmp):
     write(f"{tmp}/other/b.csv", "two\n")
     pickup_to_bronze(spark, f"{tmp}/other", f"{tmp}/bronze", f"{tmp}/c2")
     assert sorted(r["value"] for r in spark.read.parquet(f"{tmp}/bronze").collect()) == ["one", "two"]
+
+
+def test_continuous_ingest_takes_lines_from_bronze(spark, tmp):
+    """What the stream has read is not read again from the landing folder;
+    a strict header goes by its place, whatever lines are blank."""
+    from tidewater.streaming.landing import continuous_ingest
+    setup_tables(spark, tmp)
+    batch(tmp, 1, ["1|ann"], ["1,1,x"])
+    batch(tmp, 2, ["2|bob", "", "22|id"], ["2,1,y"], markers=(True, False))
+    write(f"{tmp}/landing/hdr_2.csv", "\n  \nid|name\n2|bob\n\n22|id\nid|name\n")
+    write(f"{tmp}/landing/hdr_3.csv", "")  # no line at all
+    write(f"{tmp}/landing/det_3.csv", "id,qty,note\n3,1,z\n")
+    for name in ("hdr_3", "det_3"):
+        write(f"{tmp}/landing/{name}_DONE.csv", "")
+    continuous_ingest(spark, [HDR, DET], tmp, DB, f"{tmp}/_stream_ckpt")
+    assert counts(spark, "hdr") == 1 and counts(spark, "det") == 2
+    for name in ("hdr_2", "det_2", "hdr_1"):
+        write(f"{tmp}/landing/{name}.csv", "garbage\n")
+    write(f"{tmp}/landing/det_2_DONE.csv", "")
+    batch(tmp, 4, ["4|dee"], ["4,1,w"])
+    continuous_ingest(spark, [HDR, DET], tmp, DB, f"{tmp}/_stream_ckpt")
+    got = sorted((r["id"], r["name"]) for r in spark.table(f"{DB}.hdr").where("id is not null").collect())
+    assert got == [(1, "ann"), (2, "bob"), (4, "dee"), (22, "id")] or got == [(1, "ann"), (4, "dee")]
+    ledger = {tuple(sorted(f.rsplit("/", 1)[-1] for f in r["files"])): r["outcome"] for r in
+              spark.read.parquet(f"{tmp}/_ledger").collect() if r["outcome"] != "deferred"}
+    # hdr_2 repeats its header, whose id is no number: its batch fails as it would from the file
+    assert ledger[("det_2.csv", "hdr_2.csv")] == "failed" and ledger[("det_4.csv", "hdr_4.csv")] == "archived"

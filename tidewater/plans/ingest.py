@@ -91,7 +91,8 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
            names: DataFrame | None = None, per_file_counts: bool = True,
            match_on: str = "name", keep_stage: bool = False,
            round_files: int = ROUND_FILES,
-           before_ledger: Callable[[DataFrame], None] | None = None) -> IngestResult:
+           before_ledger: Callable[[DataFrame], None] | None = None,
+           raw_lines: Callable[[DataFrame, bool], DataFrame] | None = None) -> IngestResult:
     """Ingest every ready batch of the landing folder into the classes' tables.
 
     Files of finished batches take no part: they are neither counted nor
@@ -102,8 +103,10 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
     only, and so does an error while its rows are appended.  A round whose
     process ended between its appends and its ledger rows leaves no row in plain
     tables: what is in place is taken out first.  ``before_ledger`` is called with
-    a round's verdict before its ledger rows are written.  One run at a time may
-    use a ledger.
+    a round's verdict before its ledger rows are written.  ``raw_lines`` gives
+    the lines (``value``, ``_file``) of a round's files (path, file_key), without
+    their first ones if asked to; by default they are read from the files.  One
+    run at a time may use a ledger.
 
     Returns the run's ledger rows and the number of files in failed batches.
     The driver sees counts per class and round, the paths of one round's
@@ -120,7 +123,7 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
         names = list_landing(spark, f"{top}/{landing_folder}")
     if "file_key" not in names.columns:
         names = names.withColumn("file_key", file_key_col("path"))
-    run.root = work_dir(spark, f"ingest-stage-{run.run_id}")
+    run.root, run.raw_lines = work_dir(spark, f"ingest-stage-{run.run_id}"), raw_lines
     run.journal = f"{ledger_path.rstrip('/')}_journal"
     publish.recover(spark, run.journal, lambda mark: has_batch(spark, ledger_path, *json.loads(mark)))
     try:
@@ -222,6 +225,7 @@ class _Run:
     journal: str = ""
     targets: list = field(default_factory=list)
     places: list = field(default_factory=list)
+    raw_lines: Callable | None = None
 
     def work_off(self, files: DataFrame, stage: str, quarantine_path: str, counts_path: str | None,
                  change: str) -> DataFrame:
@@ -267,12 +271,15 @@ class _Run:
         """The round's files, parsed once, one columnar stage per class.  The
         round's manifest is bounded and broadcast: lines are not shuffled."""
         paths: dict[int, list] = {}
-        for r in files.select("class_pos", "path").collect():
+        for r in files.select("class_pos", "path").collect() if self.raw_lines is None else ():
             paths.setdefault(r["class_pos"], []).append(r["path"])
         out = []
         for i, c in enumerate(self.classes):
-            read = read_lines_after_header if header_kind(c) == "first_line" else read_lines
-            lines = read(self.spark, paths[i])
+            after_header = header_kind(c) == "first_line"
+            if self.raw_lines is None:
+                lines = (read_lines_after_header if after_header else read_lines)(self.spark, paths[i])
+            else:
+                lines = self.raw_lines(files.where(F.col("class_pos") == i).select("path", "file_key"), after_header)
             keys = files.where(F.col("class_pos") == i).select("file_key", F.col("batch_id").alias(BATCH))
             lines = lines.join(F.broadcast(keys), lines["_file"] == keys["file_key"]).select("value", "_file", BATCH)
             (parse_class_lines(lines, c).withColumn("_line", F.when(F.col("_bad"), F.col("_line")))

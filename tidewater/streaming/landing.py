@@ -21,7 +21,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.batches import manifest
 from ..plans.ingest import LEDGER_ARGS, VERDICT_SCHEMA, ImbalanceError, file_key_col, ingest, ledger_rows
 from ..session import staged
+from ..sinks.files import exists
 from ..sinks.ledger import append_ledger, finished_files
+from ..sources.delimited import read_lines, read_lines_after_header
 
 log = logging.getLogger("tidewater.landing")
 
@@ -39,21 +41,70 @@ def line_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: in
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_path").alias("file_key"),
+        F.col("_metadata.file_block_start").alias("block"),
     )
 
 
 def _bronze_writer(bronze_path: str, checkpoint: str):
     """Writes a micro-batch as partition (stream, epoch), ``stream`` being the
     query's id in its checkpoint: a replayed epoch overwrites itself, and a
-    second stream or a new checkpoint never touches what others wrote."""
+    second stream or a new checkpoint never touches what others wrote.  Beside
+    it goes a list of the files, with the number of each file's first line that
+    is not blank, so that lines can be found, and headers dropped, later."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        state = batch.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
-        (batch.withColumn("stream", F.lit(json.loads(state)["id"])).withColumn("epoch", F.lit(epoch_id))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("stream", "epoch").parquet(bronze_path))
+        spark = batch.sparkSession
+        state = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+        keys = {"stream": json.loads(state)["id"], "epoch": epoch_id}
+
+        def put(rows: DataFrame, path: str) -> None:
+            (rows.withColumns({k: F.lit(v) for k, v in keys.items()}).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
+
+        put(batch.withColumn("line_id", F.monotonically_increasing_id()), bronze_path)
+        written = "/".join([bronze_path.rstrip("/"), *[f"{k}={v}" for k, v in keys.items()]])
+        if exists(spark, written):  # there may be no line at all
+            first = F.when((F.col("block") == 0) & (F.trim("value") != ""), F.col("line_id"))
+            put(spark.read.parquet(written).groupBy("file_key").agg(F.min(first).alias("head")), _files_of(bronze_path))
     return write
 
 
+def _files_of(bronze_path: str) -> str:
+    return f"{bronze_path.rstrip('/')}_files"
+
+
+_FILES_SCHEMA = "file_key string, head long, stream string, epoch int"
+
+
+def bronze_lines(spark: SparkSession, bronze_path: str, files: DataFrame, after_header: bool) -> DataFrame:
+    """``value`` and ``_file`` of the lines of ``files`` (path, file_key; a
+    bounded number), from bronze where it has them and else from the landing
+    folder.  ``after_header``: without blank lines and each file's first line.
+
+    The list of files tells the partitions that hold them; only those are read."""
+    listed = spark.createDataFrame([], _FILES_SCHEMA)
+    if exists(spark, _files_of(bronze_path)):
+        listed = spark.read.schema(_FILES_SCHEMA).parquet(_files_of(bronze_path))
+    # a file that two streams have seen is taken from one of them
+    found = (listed.join(F.broadcast(files.select("file_key")), "file_key").groupBy("file_key")
+             .agg(F.min(F.struct("stream", "epoch", "head")).alias("at")).select("file_key", "at.*"))
+    found = spark.createDataFrame(found.collect(), found.schema)
+    left = [r["path"] for r in files.join(found, "file_key", "left_anti").select("path").collect()]
+    parts = []
+    places = [tuple(r) for r in found.select("stream", "epoch").distinct().collect()]
+    if places:
+        lines = spark.read.parquet(bronze_path).where(
+            F.concat_ws("/", "stream", "epoch").isin([f"{s}/{e}" for s, e in places])
+            & F.col("stream").isin(sorted({s for s, _ in places})) & F.col("epoch").isin(sorted({e for _, e in places})))
+        lines = lines.join(F.broadcast(found), ["file_key", "stream", "epoch"])
+        if after_header:
+            lines = lines.where((F.trim("value") != "") & (F.col("line_id") != F.col("head")))
+        parts.append(lines.select("value", "_file"))
+    if left or not parts:
+        parts.append((read_lines_after_header if after_header else read_lines)(spark, left) if left
+                     else spark.createDataFrame([], "value string, _file string"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def pickup_to_bronze(spark: SparkSession, landing_dir: str, bronze_path: str, checkpoint: str,
                      available_now: bool = True, max_files_per_trigger: int | None = None,
                      path_glob: str | None = None) -> StreamingQuery:
@@ -110,7 +161,8 @@ def continuous_ingest(spark: SparkSession, classes, top_directory: str, database
     Each micro-batch of new landing files (1) appends their raw lines to the
     bronze dataset (the raw archive, idempotent per epoch) and (2) runs
     :func:`tidewater.plans.ingest.ingest`, which takes every batch that is
-    ready and not yet in the ledger.  A deferred batch (late marker) and a
+    ready and not yet in the ledger, with its lines from bronze: landing files
+    are read once, by the stream (and by the ingest, if they land while it runs).  A deferred batch (late marker) and a
     listing whose classes are not balanced yet (late sibling) wait for the
     next trigger.  Zero-byte markers do not trigger a
     micro-batch on their own; a periodic batch ``ingest`` run covers a
@@ -122,7 +174,8 @@ def continuous_ingest(spark: SparkSession, classes, top_directory: str, database
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         write_bronze(batch, epoch_id)
         try:
-            ingest(spark, classes, top, database=database, landing_folder=landing_folder, **ingest_args)
+            ingest(spark, classes, top, database=database, landing_folder=landing_folder,
+                   raw_lines=lambda files, after_header: bronze_lines(spark, bronze, files, after_header), **ingest_args)
         except ImbalanceError as wait:  # a sibling lands in a later trigger
             log.info("waiting for siblings: %s", wait)
 
