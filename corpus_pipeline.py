@@ -12,18 +12,20 @@ from pyspark.sql import functions as F
 
 from tidewater.llm import bpe, decontaminate, language, pii, simhash
 from tidewater.llm.common import read_table
-from tidewater.session import scratch, work_dir
+from tidewater.session import configure, scratch, work_dir
 from tidewater.sinks.files import delete_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language cannot be told: no text, no letters, or
     a text that no language learned from the table explains."""
+    configure(spark)
     return language.keep_identified(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays: the one with the smallest id."""
+    configure(spark)
     return simhash.keep_one(docs)
 
 
@@ -34,11 +36,13 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by its kind."""
+    configure(spark)
     return pii.redact_pii(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds token numbers; keeps only documents that decode to their text."""
+    configure(spark)
     coded = bpe.encode_texts(docs, bpe.default_path(), ("ids", "n_tokens", "ids_sha256", "decoded_sha256"))
     return coded.where(F.col("decoded_sha256") == F.sha2(F.coalesce("text", F.lit("")), 256))
 

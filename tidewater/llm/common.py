@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import staged, work_dir
+from ..session import configure, staged, work_dir
 
 __all__ = ["add_columns", "connected_components", "kept_in_worker", "read_table", "set_aside", "staged", "work_dir"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for a registered query, whose session is configured with it
+    (operators leave the session as it is)."""
+    configure(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
