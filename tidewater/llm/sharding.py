@@ -18,6 +18,8 @@ SEED = 20
 #: Rows that one window group holds on average; groups are cut by a uniform
 #: hash or rank, never by source, so a hot source is only more groups.
 GROUP_ROWS = 5_000
+#: A group with so many times its share of rows holds rows with one hash.
+_FULL = 4
 
 _UNIT = float(1 << 53)
 
@@ -33,6 +35,23 @@ def _running(counts: DataFrame, order: str, *group: str) -> DataFrame:
     return counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
 
 
+def _counted(rows: DataFrame, groups: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their group, and the groups' numbers of rows."""
+    hashed = rows.withColumn("cell", F.floor(_unit(F.col("h")) * groups))
+    return hashed, staged(hashed.groupBy("source", "cell").agg(F.count(F.lit(1)).alias("n")), "shard-counts")
+
+
+def _spread(rows: DataFrame, hashed: DataFrame, full: DataFrame, group_rows: int) -> DataFrame:
+    """Rows with another hash, by their number, where more than ``group_rows``
+    share one.  Only rows of groups that are too full are looked at."""
+    full = full.select(F.col("source").alias("s"), F.col("cell").alias("c"))
+    shared = (hashed.join(full, F.col("source").eqNullSafe(F.col("s")) & (F.col("cell") == F.col("c")), "left_semi")
+              .groupBy("h").count().where(F.col("count") > group_rows).select(F.col("h").alias("shared")))
+    return staged(rows.join(shared, F.col("h") == F.col("shared"), "left")
+                  .withColumn("h", F.when(F.col("shared").isNotNull(), F.xxhash64("h", "row")).otherwise(F.col("h")))
+                  .drop("shared"), "shard-rows")
+
+
 def interleaved_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
                        group_rows: int = GROUP_ROWS) -> DataFrame:
     """``doc_id``, ``source``, ``size``, ``text_crc32``, ``shard`` and ``slot`` for every row.
@@ -48,19 +67,25 @@ def interleaved_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
 
     Positions come from two counted partitions of [0, 1): by the row's hash
     within its source, then by fractional rank over all sources.  Each needs
-    one shuffle of narrow rows and a table of counts of one row per group.
+    one shuffle of narrow rows and a table of counts of one row per group.  Rows
+    equal in id, text and size, which share a hash, are told apart by their
+    number if they are more than a group holds; which of them gets which place
+    is then open.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = staged(docs.select(
         F.col("doc_id"), F.col("source"), (F.octet_length(text) + F.lit(16)).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-    ).withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size")), "shard-rows")
+    ).withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size"))
+        .withColumn("row", F.monotonically_increasing_id()), "shard-rows")
     total = rows.count()
     groups = max(1, -(-total // group_rows))
 
     # rank within the source: rows of earlier hash groups, then the place in the group
-    hashed = rows.withColumn("cell", F.floor(_unit(F.col("h")) * groups))
-    counts = hashed.groupBy("source", "cell").agg(F.count(F.lit(1)).alias("n"))
+    hashed, counts = _counted(rows, groups)
+    full = counts.where(F.col("n") > _FULL * group_rows)
+    if not full.isEmpty():
+        hashed, counts = _counted(_spread(rows, hashed, full, group_rows), groups)
     counts = (_running(counts, "cell", "source")
               .withColumn("of_source", F.sum("n").over(Window.partitionBy("source")))
               .select(F.col("source").alias("s"), F.col("cell").alias("c"), "before", "of_source"))
