@@ -25,6 +25,9 @@ BINS = 1 << 16
 #: Labelled rows that the model is fitted on, for each language, about: rows
 #: are taken by a hash of id and text, so that their number stays bounded.
 TRAIN_ROWS = 2_000
+#: Languages that a model knows at most, those with the most labelled rows: it
+#: bounds the broadcast to 128 MB, whatever labels a table holds.
+MOST_LANGUAGES = 256
 SMOOTHING = 0.05
 MAX_ROUNDS, TOLERANCE = 40, 1e-4
 #: Log-likelihood that a further language must add: this much, and this much
@@ -116,17 +119,19 @@ def _make_counts():
 
 def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Mixture | None:
     """A mixture model of the non-null ``lang`` values of ``labelled`` (doc_id,
-    text, lang), fitted on about ``rows`` rows for each at most.  None if no
-    row has both a language and a letter.  What reaches the driver is one count
-    for each language and trigram bin."""
+    text, lang), fitted on about ``rows`` rows for each at most, of the
+    :data:`MOST_LANGUAGES` most frequent ones (of equals, the first by name).
+    None if no row has both a language and a letter.  What reaches the driver is
+    one count for each language and trigram bin."""
     usable = labelled.select("doc_id", "lang", "text").where("lang is not null and text rlike '\\\\p{L}'")
-    sizes = {r["lang"]: r["count"] for r in labelled.where("lang is not null").groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in labelled.where("lang is not null").groupBy("lang").count()
+             .orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
     if not sizes:
         return None
     chance = F.shiftrightunsigned(F.xxhash64(F.lit(9), "doc_id", "text"), 11).cast("double") / float(1 << 53)
     rate = F.element_at(F.create_map(*[F.lit(x) for k, v in sorted(sizes.items()) for x in (k, min(1.0, rows / v))]),
                         F.col("lang"))
-    counted = add_columns(usable.where(chance < rate), ["lang", "text"],
+    counted = add_columns(usable.where(F.col("lang").isin(list(sizes)) & (chance < rate)), ["lang", "text"],
                           "bins array<int>, counts array<long>", _make_counts)
     model = (counted.select("lang", F.explode(F.arrays_zip("bins", "counts")).alias("x"))
              .groupBy("lang", "x.bins").agg(F.sum("x.counts").alias("n")).toPandas())
@@ -165,7 +170,8 @@ def identify(docs: DataFrame, labelled: DataFrame, train_rows: int = TRAIN_ROWS)
     than the penalty, than if all bins were equally likely), and all texts if there is nothing to learn from,
     are ``und`` with score 0 and no languages.  Rows pass as they
     are; columns named like a new one are replaced.  The model (512 KB a
-    language) is broadcast; documents are not shuffled.
+    language, of which there are :data:`MOST_LANGUAGES` at most) is broadcast;
+    documents are not shuffled.
     """
     return _identify(docs, train(labelled, train_rows))
 
