@@ -243,3 +243,18 @@ def test_bucketed_tables_are_overwritten_as_a_whole(spark, tmp):
     (spark.range(20).write.bucketBy(2, "id").option("path", f"{tmp}/tables/bucketed").saveAsTable(f"{DB}.bucketed"))
     assert G.revert_table(spark, f"{DB}.bucketed|id|id < 5", allow=True) is None
     assert spark.table(f"{DB}.bucketed").count() == 15
+
+
+def test_batches_are_dropped_together(spark, tmp):
+    from tidewater.sinks.tables import BATCH_COLUMN, append_typed, drop_batches
+    schema = StructType([StructField("id", LongType()), StructField(BATCH_COLUMN, StringType())])
+    create_database(spark, DB)
+    drop_table(spark, f"{DB}.dropped")
+    create_table(spark, f"{DB}.dropped", schema, f"{tmp}/tables/dropped", (BATCH_COLUMN,))
+    append_typed(spark.range(12).select("id", F.concat(F.lit("b"), F.col("id") % 6).alias("b")), f"{DB}.dropped", "b")
+    drop_batches(spark, f"{DB}.dropped", ["b1", "b4", "b5", "never"])
+    assert {r[0] for r in spark.table(f"{DB}.dropped").select(BATCH_COLUMN).collect()} == {"b0", "b2", "b3"}
+    assert len(glob.glob(f"{tmp}/tables/dropped/{BATCH_COLUMN}=*")) == 3
+    drop_batches(spark, f"{DB}.dropped", [])
+    append_typed(spark.range(1).select("id", F.lit("b1").alias("b")), f"{DB}.dropped", "b")
+    assert spark.table(f"{DB}.dropped").count() == 7

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import work_dir
+from .files import delete_path
+from .publish import file_table
 
 BATCH_COLUMN = "ingest_batch"
+_DROPPED_AT_ONCE = 500
 _MODE_KEY = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -106,9 +109,22 @@ def append_typed(df: DataFrame, table: str, batch_col: str | None = None) -> Non
 
 def drop_batches(spark: SparkSession, table: str, batch_ids) -> None:
     """Empty the given batches' partitions; tables without batch partitions
-    keep their rows."""
+    keep their rows.  Where the table is plain files and the batch its only
+    partition column, folders are deleted and partitions dropped, many in one
+    statement; else each is overwritten with nothing."""
     target = spark.table(table).schema
-    if BATCH_COLUMN not in target.fieldNames():
+    batch_ids = sorted(batch_ids)
+    if BATCH_COLUMN not in target.fieldNames() or not batch_ids:
+        return
+    files = file_table(spark, table)
+    if files is not None and files.partitions == (BATCH_COLUMN,):
+        for b in batch_ids:
+            delete_path(spark, f"{files.location}/{BATCH_COLUMN}={b}")
+        for start in range(0, len(batch_ids), _DROPPED_AT_ONCE):
+            some = batch_ids[start:start + _DROPPED_AT_ONCE]
+            listed = ", ".join(f"PARTITION ({BATCH_COLUMN} = '{b}')" for b in some)  # digests: hex digits
+            spark.sql(f"ALTER TABLE IDENTIFIER(:t) DROP IF EXISTS {listed}", args={"t": table})
+        spark.catalog.refreshTable(table)
         return
     nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in data_columns(target))
     with overwrite_mode(spark, "static"):
@@ -135,7 +151,6 @@ def overwrite_from_self(spark: SparkSession, table: str, keep: DataFrame) -> str
     staged = spark.read.parquet(stage)
     with overwrite_mode(spark, "static"):
         staged.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    from .files import delete_path
     delete_path(spark, stage)
     return stage
 
