@@ -258,3 +258,25 @@ def test_batches_are_dropped_together(spark, tmp):
     drop_batches(spark, f"{DB}.dropped", [])
     append_typed(spark.range(1).select("id", F.lit("b1").alias("b")), f"{DB}.dropped", "b")
     assert spark.table(f"{DB}.dropped").count() == 7
+
+
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_a_table_is_replaced_from_itself(spark, tmp, monkeypatch, partitioned):
+    from tidewater.sinks.tables import overwrite_from_self
+    t = filled(spark, tmp, partitioned=partitioned)
+    doubled = spark.table(t).select(*[(F.col("id") * 2).alias("id") if c == "id" else F.col(c) for c in spark.table(t).columns])
+
+    def crash(*_):
+        raise Crash
+
+    with monkeypatch.context() as m:
+        m.setattr(publish, "write_aside", crash)
+        with pytest.raises(Crash):
+            overwrite_from_self(spark, t, doubled)
+    assert spark.table(t).agg(F.sum("id")).first()[0] == 4950
+    overwrite_from_self(spark, t, doubled)
+    assert spark.table(t).agg(F.sum("id"), F.count("id")).first() == (9900, 100) and not hidden(tmp)
+    overwrite_from_self(spark, t, spark.table(t).where("id < 20"))
+    assert sorted(r["id"] for r in spark.table(t).collect()) == list(range(0, 20, 2))
+    overwrite_from_self(spark, t, spark.table(t).where("false"))
+    assert spark.table(t).count() == 0 and not hidden(tmp)

@@ -203,6 +203,22 @@ def remove_rows(spark: SparkSession, name: str, condition: str | None) -> tuple[
     return len(hit), written
 
 
+def replace_rows(spark: SparkSession, name: str, rows: DataFrame) -> None:
+    """Replace all rows of a table by ``rows``, which may be a query over the
+    same table: written once, aside, then swapped under a journal entry."""
+    table = file_table(spark, name)
+    if table is None:
+        raise ValueError(f"{name} is not kept as plain files")
+    journal, change = table_journal(table), uuid.uuid4().hex
+    recover(spark, journal)
+    record(spark, journal, change, {table: change})
+    write_aside(rows, table, change)
+    old = [_decoded(p) for p in spark.table(name).inputFiles()]
+    record(spark, journal, change, {table: change}, old, forward=True)
+    carry_out(spark, journal, change)
+    close(spark, journal, change)
+
+
 _FILE = "_tidewater_file"
 
 

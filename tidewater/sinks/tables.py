@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..session import work_dir
 from .files import delete_path
-from .publish import file_table
+from .publish import file_table, replace_rows
 
 BATCH_COLUMN = "ingest_batch"
 _DROPPED_AT_ONCE = 500
@@ -139,18 +139,19 @@ def append_by_name(df: DataFrame, table: str) -> None:
     df.select(*target).write.insertInto(table)
 
 
-def overwrite_from_self(spark: SparkSession, table: str, keep: DataFrame) -> str:
+def overwrite_from_self(spark: SparkSession, table: str, keep: DataFrame) -> None:
     """Replace the rows of ``table`` by ``keep`` (a query over the same table).
 
-    Spark rejects reading and overwriting one table in one statement, so the
-    rows are first written to a stage on shared storage; the overwrite then
-    reads the stage.  Static overwrite mode: partitions left empty are
-    cleared too.  The stage is deleted afterwards; returns its path."""
+    Spark rejects reading and overwriting one table in one statement.  The
+    rows of a plain file table are written aside and swapped in; others are
+    written to a stage on shared storage, and the overwrite reads that (static
+    mode: partitions left empty are cleared too)."""
+    if file_table(spark, table) is not None:
+        replace_rows(spark, table, keep)
+        return
     stage = work_dir(spark, "stage")
     keep.write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)
     with overwrite_mode(spark, "static"):
         staged.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
     delete_path(spark, stage)
-    return stage
-

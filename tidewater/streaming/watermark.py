@@ -27,10 +27,9 @@ def reset_rows(current: DataFrame, reset_time: str = DEFAULT_RESET_TIME) -> Data
     return current.select(*[epoch.alias(c) for c in current.columns])
 
 
-def reset_watermarks(spark: SparkSession, table: str, reset_time: str = DEFAULT_RESET_TIME) -> str:
-    """Overwrite the watermark table with :func:`reset_rows` (through a stage,
-    since a table cannot be overwritten from itself)."""
-    return overwrite_from_self(spark, table, reset_rows(spark.table(table), reset_time))
+def reset_watermarks(spark: SparkSession, table: str, reset_time: str = DEFAULT_RESET_TIME) -> None:
+    """Overwrite the watermark table with :func:`reset_rows`."""
+    overwrite_from_self(spark, table, reset_rows(spark.table(table), reset_time))
 
 
 def after_watermark(df: DataFrame, ts_col: str, watermark_epoch) -> Column:
