@@ -41,6 +41,7 @@ def test_slots_elsewhere():
         legacy_to_named("SELECT 1 AS `%s`, '%s'")
     assert knows_batches("SELECT t._BATCH_ID FROM t") and knows_batches("SELECT `_batch_id` FROM t")
     assert not knows_batches("SELECT '_batch_id' -- _batch_id\n FROM t")
+    assert not knows_batches("SELECT order_batch_id, _batch_id2 FROM t")
 
 
 QUERIES = [  # (SQL, whether Spark plans it for all batches at once)

@@ -25,6 +25,7 @@ _OPENING = re.compile(r"""--|/\*|`|(?:(?<![A-Za-z0-9_])[rR])?['"]""")
 _CLOSING = {"'": re.compile(r"(?:[^'\\]|\\.|'')*'", re.S), '"': re.compile(r'(?:[^"\\]|\\.|"")*"', re.S),
             "r'": re.compile(r"[^']*'"), 'r"': re.compile(r'[^"]*"'), "`": re.compile(r"(?:[^`]|``)*`"),
             "--": re.compile(r"[^\r\n]*")}
+_BATCH_NAME = re.compile(rf"(?<![A-Za-z0-9_]){BATCH}(?![A-Za-z0-9_])", re.I)
 _COMMENT_EDGE = re.compile(r"/\*|\*/")
 
 
@@ -99,7 +100,7 @@ def run_sql(spark: SparkSession, sql: str, user: str) -> DataFrame:
 
 def knows_batches(sql: str) -> bool:
     """Whether the SQL names the batch column."""
-    return any(BATCH in text.lower() for kind, text in tokens(sql) if kind in ("text", "name"))
+    return any(_BATCH_NAME.search(text) for kind, text in tokens(sql) if kind in ("text", "name"))
 
 
 def _quoted(name: str) -> str:
