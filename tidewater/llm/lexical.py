@@ -31,6 +31,8 @@ TOP = 10
 QUERY_BYTES = 4 << 20
 #: Postings of a shard: some 100 bytes of memory each, with the sparse table.
 SHARD_POSTINGS = 1 << 19
+#: Postings that one task searches, so that its time does not grow with the table.
+TASK_POSTINGS = 1 << 20
 #: Intervals that are split together, best ones first.
 WIDTH = 32
 #: Interval ends held for one query; beyond, intervals are split newest first,
@@ -257,12 +259,14 @@ def _search_block(docs: DataFrame, items: list, item_id: T.StructField, top: int
     texts = [query_terms(r["text"]) for r in items]
     vocabulary = {t: k for k, t in enumerate(sorted({t for terms in texts for t in terms}))}
     counted = staged(term_counts(docs, spark.sparkContext.broadcast(vocabulary)), "lexical-counts")
-    seen = counted.agg(F.count_if(F.col("n") > 0).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
+    seen = counted.agg(F.count_if(F.col("n") > 0).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L"),
+                       F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("postings")).first()
     df = counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect()  # at most the vocabulary
     statistics = Statistics(seen["N"], seen["L"], {r["t"]: r["count"] for r in df})
     queries = [[vocabulary[t] for t in terms] for terms in texts]
     schema = T.StructType(T.StructType.fromDDL("query int, score long").fields + [docs.schema["doc_id"]])
-    found = counted.where("size(terms) > 0").mapInArrow(
+    tasks = max(1, -(-seen["postings"] // TASK_POSTINGS))
+    found = counted.where("size(terms) > 0").repartition(tasks).mapInArrow(
         _search_shards(spark.sparkContext.broadcast(queries), spark.sparkContext.broadcast(statistics), top,
                        shard_postings), schema)
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
@@ -288,8 +292,8 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP, query_bytes: int
     tables give no rows; other columns are not looked at.
 
     Texts are read once for each ``query_bytes`` of queries, whose total is
-    counted first; postings of the queries' terms are never shuffled, and every
-    task hands on its best ``top`` of each query."""
+    counted first; the counts of the queries' terms are dealt out once, by
+    documents, and every task hands on its best ``top`` of each query."""
     queries = queries.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     total = queries.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks, out = max(1, -(-total // query_bytes)), None
