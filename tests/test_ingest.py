@@ -287,3 +287,15 @@ def test_continuous_ingest_takes_lines_from_bronze(spark, tmp):
               spark.read.parquet(f"{tmp}/_ledger").collect() if r["outcome"] != "deferred"}
     # hdr_2 repeats its header, whose id is no number: its batch fails as it would from the file
     assert ledger[("det_2.csv", "hdr_2.csv")] == "failed" and ledger[("det_4.csv", "hdr_4.csv")] == "archived"
+
+
+def test_a_run_leaves_nothing_in_the_work_area(spark, tmp):
+    import os
+
+    from tidewater.session import shared_root
+    setup_tables(spark, tmp)
+    batch(tmp, 1, ["1|ann"], ["1,1,x"])
+    work = f"{shared_root(spark).removeprefix('file:')}/tidewater-work"
+    before = set(os.listdir(work)) if os.path.isdir(work) else set()
+    assert ingest(spark, [HDR, DET], tmp, database=DB).failed_files == 0
+    assert set(os.listdir(work)) == before

@@ -41,9 +41,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions.paths import route
 from ..operators.batches import ARCHIVED, DEFERRED, FAILED, manifest
 from ..operators.quality import bad_key
-from ..session import work_dir
+from ..session import scratch, work_dir
 from ..sinks import publish
-from ..sinks.files import delete_path
 from ..sinks.ledger import (LEDGER_SCHEMA, append_ledger, append_quarantine, archived_batches, compact_ledger,
                             finished_files, has_batch, read_ledger)
 from ..sinks.tables import BATCH_COLUMN, append_typed, cast_positional, data_columns, drop_batches
@@ -119,15 +118,17 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
     empty = IngestResult(run.run_id, spark.createDataFrame([], LEDGER_SCHEMA), 0, None)
     if not run.classes:
         return empty
-    if names is None:
-        names = list_landing(spark, f"{top}/{landing_folder}")
-    if "file_key" not in names.columns:
-        names = names.withColumn("file_key", file_key_col("path"))
-    run.root, run.raw_lines = work_dir(spark, f"ingest-stage-{run.run_id}"), raw_lines
-    run.journal = f"{ledger_path.rstrip('/')}_journal"
+    run.journal, run.raw_lines = f"{ledger_path.rstrip('/')}_journal", raw_lines
     publish.recover(spark, run.journal, lambda mark: has_batch(spark, ledger_path, *json.loads(mark)))
-    try:
+    with scratch(spark) as keep:  # all that the run stages goes with it
+        run.root = work_dir(spark, f"ingest-stage-{run.run_id}")
+        if keep_stage:
+            keep.add(run.root)
         with _phase("manifest"):
+            if names is None:
+                names = list_landing(spark, f"{top}/{landing_folder}")
+            if "file_key" not in names.columns:
+                names = names.withColumn("file_key", file_key_col("path"))
             left = names.join(finished_files(spark, ledger_path), "path", "left_anti")
             (manifest(left, run.classes, on=match_on)
                 .select("path", "file_key", "name", "class_pos", "batch_index", "batch_id", "ready")
@@ -163,9 +164,6 @@ def ingest(spark: SparkSession, classes, top_directory: str, database: str | Non
                 append_ledger(ledger_rows(run.run_id, files, verdict, landing_folder, archive_folder,
                                            failure_folder), ledger_path)
                 publish.close(spark, run.journal, change)
-    finally:
-        if not keep_stage:
-            delete_path(spark, run.root)
     compact_ledger(spark, ledger_path)
     own = F.col("run_id") == F.lit(run.run_id)
     ledger = read_ledger(spark, ledger_path).where(own)
