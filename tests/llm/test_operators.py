@@ -83,6 +83,40 @@ def test_embeddings_edges(spark):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("least,most", [(4, 16), (1, 16), (3, 2)])
+def test_embeddings_planted_in_many_dimensions(spark, monkeypatch, least, most):
+    """Clusters of links among scattered vectors in 64 dimensions, over several
+    units and blocks."""
+    monkeypatch.setattr(embeddings, "LEAST_BLOCKS", least)
+    monkeypatch.setattr(embeddings, "BLOCK_UNITS", most)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(60, 64))
+    spread = rng.choice([0.02, 0.15, 0.3], size=60)
+    x = np.concatenate([c + rng.normal(size=(20, 64)) * s for c, s in zip(centres, spread, strict=True)]
+                       + [rng.normal(size=(1200, 64)), np.repeat(centres[:5], 4, axis=0)])
+    rng.shuffle(x)
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_duplicates(df, unit=200).collect()}
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    root = brute.components(len(x), zip(*np.nonzero(near), strict=True))
+    assert got == {k: (int(near[k].sum()), root[k]) for k in range(len(x))}
+    assert near.sum() > 8000
+
+
+def test_blocks_part_cells_that_are_far_apart():
+    pivots = {3: np.eye(3), 2: np.eye(2)}
+    cells = [(3, 0, 5, 0.1), (3, 1, 1, 0.1), (3, 2, 4, 0.9), (2, 0, 1, 0.0)]
+    first, pairs, units = embeddings._blocks(cells, pivots, 0.447)
+    assert units == 11 and [f[3] for f in first] == [0, 1, 6, 7]
+    # dimension 2 is block 0; of dimension 3, blocks 1 and 2 hold cell 0 and 1, block 3 cell 1 or 2, block 4 cell 2
+    assert (0, 0) in pairs and not [p for p in pairs if p[0] == 0 and p[1] > 0]
+    assert (1, 4) in pairs and (1, 1) in pairs and all(a <= b for a, b in pairs)
+    near = [(3, 0, 2, 0.1), (3, 1, 2, 0.1)]
+    assert embeddings._blocks(near, pivots, 0.447)[1] == [(0, 0), (0, 1), (1, 1), (2, 2), (2, 3), (3, 3)]
+
+
 # -- simhash ------------------------------------------------------------------
 
 def test_ball_hashing_finds_all_links(spark):

@@ -9,8 +9,10 @@ allows, and its children are never looked at.
 
 Spark deals the work out: the top levels, fitted on a bounded sample, cut the
 space into cells; cells are cut into units of a few thousand vectors by a
-hash; each unit gets its tree, and each pair of units whose cells the bounds
-cannot part is traversed in a task of its own.
+hash, and each unit gets its tree.  Consecutive units form blocks.  A task takes
+a pair of blocks that the bounds cannot part and traverses all their pairs of
+units, so a vector is sent once for each block, not for each unit, that it is
+compared with.
 """
 
 from __future__ import annotations
@@ -26,11 +28,13 @@ THRESHOLD = 0.9
 UNIT, SAMPLE = 4_096, 2_048
 #: Cells at most: the lowest level of the sample's tree with no more nodes is used.
 CELLS = 256
-#: Partitions at most that the pairs of units are dealt out to.
-MOST_TASKS = 20_000
+#: Blocks at least (where there are as many units), so that there are tasks to
+#: deal out, and units of a block at most, which bounds a task's memory: some
+#: 140 MB for two blocks of 64 dimensions.
+LEAST_BLOCKS, BLOCK_UNITS = 4, 16
 #: Radii of the levels: any two unit vectors are within 2.
 RADII = tuple(2.0 ** (1 - k) for k in range(6))
-_ROWS = 1_024
+_ROWS, _PAIRS = 1_024, 1 << 15
 _SLACK = 1e-9
 
 
@@ -52,18 +56,23 @@ def nested_nets(x: np.ndarray, radii=RADII) -> np.ndarray:
     paths = np.zeros((n, len(radii)), np.int64)
     if not n:
         return paths
-    above = np.zeros(n, np.int64)
+    # single precision will do: covering radii are measured from what comes out
+    above, rough = np.zeros(n, np.int64), x.astype(np.float32)
     for level, radius in enumerate(radii):
+        least = np.float32(1.0 - radius * radius / 2 - 1e-6)
         here = np.full(n, -1, np.int64)
+        alone = np.bincount(above, minlength=n)[above] == 1
+        here[alone] = np.flatnonzero(alone)
         by = np.argsort(above, kind="stable")
-        for members in np.split(by, np.flatnonzero(np.diff(above[by])) + 1):
+        by = by[~alone[by]]
+        for members in np.split(by, np.flatnonzero(np.diff(above[by])) + 1) if len(by) else ():
             # nested: a node comes first among those below it
             members = np.concatenate(([above[members[0]]], members[members != above[members[0]]]))
-            gap = distances(x[members], x[members]) <= radius if len(members) <= 2 * UNIT else None
+            gap = rough[members] @ rough[members].T >= least if len(members) <= 2 * UNIT else None
             free = np.ones(len(members), bool)
             for k, row in enumerate(members.tolist()):
                 if free[k]:
-                    near = gap[k] if gap is not None else distances(x[members[k:k + 1]], x[members])[0] <= radius
+                    near = gap[k] if gap is not None else rough[members] @ rough[row] >= least
                     near = near & free
                     near[k] = True
                     here[members[near]] = row
@@ -77,6 +86,11 @@ class Tree:
 
     def __init__(self, x: np.ndarray, paths: np.ndarray):
         self.x, self.levels = x, []
+        self.rough = x.astype(np.float32)
+        #: For each level, the place of each vector's node among the level's nodes.
+        self.at: list[np.ndarray] = []
+        #: Levels that are not the one above over again.
+        self.differs = [k == 0 or bool((paths[:, k] != paths[:, k - 1]).any()) for k in range(paths.shape[1])]
         parent = np.zeros(len(x), np.int64)
         for level in range(paths.shape[1]):
             nodes, at = np.unique(paths[:, level], return_inverse=True)
@@ -86,15 +100,26 @@ class Tree:
             above = np.zeros(len(nodes), np.int64)
             above[at] = parent
             self.levels.append((nodes, radius, above))
+            self.at.append(at)
             parent = at
-        self.leaf = parent
 
 
 def linked_pairs(a: Tree, b: Tree, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs (row of a, row of b) with a cosine of at least ``threshold``."""
+    """All pairs (row of a, row of b) with a cosine of at least ``threshold``.
+
+    Levels are gone down together while they have fewer pairs of nodes than
+    there are pairs of vectors; below, the vectors of the node pairs that are
+    left are compared.  Single precision, with room for its rounding, is enough
+    to drop pairs; what it leaves is decided in double precision."""
     reach = np.sqrt(2.0 - 2.0 * threshold) + _SLACK
+    room = 1e-6 + 5e-7 * a.x.shape[1]
     alive = np.ones((1, 1), bool)
-    for (na, ra, pa), (nb, rb, pb) in zip(a.levels, b.levels, strict=True):
+    at_a, at_b = np.zeros(len(a.x), np.int64), np.zeros(len(b.x), np.int64)
+    for level, ((na, ra, pa), (nb, rb, pb)) in enumerate(zip(a.levels, b.levels, strict=True)):
+        if not (a.differs[level] or b.differs[level]):
+            continue  # the same nodes as above, already compared
+        if 2 * len(na) * len(nb) > len(a.x) * len(b.x):
+            break
         kept = np.zeros((len(na), len(nb)), bool)
         for start in range(0, len(na), _ROWS):
             rows = np.arange(start, min(start + _ROWS, len(na)))
@@ -102,21 +127,31 @@ def linked_pairs(a: Tree, b: Tree, threshold: float = THRESHOLD) -> tuple[np.nda
             if not len(rows):
                 continue
             columns = np.flatnonzero(alive[np.unique(pa[rows])].any(axis=0)[pb])
-            near = distances(a.x[na[rows]], b.x[nb[columns]]) <= ra[rows][:, None] + rb[columns] + reach
+            cosine = a.rough[na[rows]] @ b.rough[nb[columns]].T
+            # the distance is at most t where the cosine is at least 1 - t * t / 2
+            near = cosine >= 1.0 - (ra[rows][:, None] + rb[columns] + reach) ** 2 / 2 - room
             kept[np.ix_(rows, columns)] = near & alive[np.ix_(pa[rows], pb[columns])]
-        alive = kept
+        alive, at_a, at_b = kept, a.at[level], b.at[level]
         if not alive.any():
             break
     found = []
-    if alive.any():
-        some = np.flatnonzero(alive.any(axis=1)[a.leaf])
-        for start in range(0, len(some), _ROWS):
-            rows = some[start:start + _ROWS]
-            columns = np.flatnonzero(alive[np.unique(a.leaf[rows])].any(axis=0)[b.leaf])
-            cosine = a.x[rows] @ b.x[columns].T
-            cosine[~alive[np.ix_(a.leaf[rows], b.leaf[columns])]] = -2.0
-            i, j = np.nonzero(cosine >= threshold)
-            found.append((rows[i], columns[j]))
+    some = np.argsort(at_a, kind="stable")  # neighbours have the same nodes to meet
+    some = some[alive.any(axis=1)[at_a[some]]]
+    for start in range(0, len(some), _ROWS):
+        rows = some[start:start + _ROWS]
+        columns = np.flatnonzero(alive[np.unique(at_a[rows])].any(axis=0)[at_b])
+        i, j = np.nonzero(a.rough[rows] @ b.rough[columns].T >= np.float32(threshold - room))
+        if not len(i):
+            continue
+        if 20 * len(i) > len(rows) * len(columns):
+            i, j = np.nonzero(a.x[rows] @ b.x[columns].T >= threshold)
+            i, j = rows[i], columns[j]
+        else:
+            i, j = rows[i], columns[j]
+            exact = np.concatenate([np.einsum("ij,ij->i", a.x[i[k:k + _PAIRS]], b.x[j[k:k + _PAIRS]])
+                                    for k in range(0, len(i), _PAIRS)]) >= threshold
+            i, j = i[exact], j[exact]
+        found.append((i, j))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -175,37 +210,72 @@ def _plant(table):
 
 
 def _traverse(threshold: float):
+    """Links of all pairs of units of two blocks (or within one)."""
+
     def run(table):
         import pyarrow as pa
 
         nodes, weights = (table.column(c).to_numpy() for c in ("node", "copies"))
+        units, place = table.column("unit").to_numpy(), table.column("place").to_numpy()
         side = table.column("side").to_numpy()
-        x = unit_vectors(_matrix(table.column("embedding")))
-        paths, place = _matrix(table.column("path")), table.column("place").to_numpy()
-        trees, rows = [], []
-        for s in (0, 1):
-            own = np.flatnonzero(side == s)
+        x, paths = unit_vectors(_matrix(table.column("embedding"))), _matrix(table.column("path"))
+        trees = []
+        for u in np.unique(units).tolist():
+            own = np.flatnonzero(units == u)
             own = own[np.argsort(place[own])]
-            if len(own):
-                trees.append(Tree(x[own], paths[own]))
-                rows.append(own)
-        out = [np.zeros(0, np.int64)] * 3
-        if len(trees) == 2 or 0 in side:
-            i, j = linked_pairs(trees[0], trees[-1], threshold)
-            i, j = rows[0][i], rows[-1][j]
-            if len(trees) == 1:  # a unit with itself: each pair comes both ways
-                i, j = i[i != j], j[i != j]
-                links = np.bincount(i, weights[j], len(nodes))
-            else:
-                links = np.bincount(i, weights[j], len(nodes)) + np.bincount(j, weights[i], len(nodes))
-            low = smallest_reached(len(nodes), i, j)
-            linked = np.flatnonzero(links)
-            out = [nodes[linked], nodes[low[linked]], links[linked].astype(np.int64)]
-        return pa.table([pa.array(c, pa.int64()) for c in out], names=["a", "b", "links"])
+            trees.append((int(side[own[0]]), own, Tree(x[own], paths[own])))
+        within = not side.any()
+        label, links = np.arange(len(nodes)), np.zeros(len(nodes))
+        for k, (side_a, rows_a, a) in enumerate(trees):
+            for m, (side_b, rows_b, b) in enumerate(trees[k:], k):
+                if side_a == side_b and not within:
+                    continue
+                i, j = linked_pairs(a, b, threshold)
+                i, j = rows_a[i], rows_b[j]
+                if m == k:  # a unit with itself: each pair comes both ways
+                    i, j = i[i != j], j[i != j]
+                    links += np.bincount(i, weights[j], len(nodes))
+                elif len(i):
+                    links += np.bincount(i, weights[j], len(nodes)) + np.bincount(j, weights[i], len(nodes))
+                if len(i):  # what was joined before is summed up in the labels
+                    every = np.arange(len(nodes))
+                    label = smallest_reached(len(nodes), np.concatenate((i, every)), np.concatenate((j, label)))
+        linked = np.flatnonzero(links)
+        return pa.table([pa.array(c, pa.int64()) for c in (nodes[linked], nodes[label[linked]], links[linked].astype(np.int64))],
+                        names=["a", "b", "links"])
 
     return run
 
 
+def _blocks(cells: list, pivots: dict, reach: float) -> tuple[list, list, int]:
+    """Where units and blocks go: for each cell (dim, cell, units, far), its
+    first unit's number; the pairs of blocks to compare; the number of units.
+
+    Units are numbered by dimension and cell, blocks are runs of them.  Two
+    blocks are compared if they have cells that the triangle inequality does not
+    part, by the distance of their pivots and the reach of their vectors."""
+    first, pairs, units = [], [], 0
+    blocks = 0
+    for dim in sorted({c[0] for c in cells}):
+        own = sorted(c for c in cells if c[0] == dim)
+        counts, far = np.array([c[2] for c in own]), np.array([c[3] for c in own])
+        centre = np.array([pivots[dim][c[1]] for c in own])
+        # distances of nearly equal vectors are only good to some 1e-8
+        meets = distances(centre, centre) <= far[:, None] + far + reach + 1e-6
+        size = min(BLOCK_UNITS, max(1, -(-int(counts.sum()) // LEAST_BLOCKS)))
+        cell_of = np.repeat(np.arange(len(own)), counts)
+        block_of = np.arange(len(cell_of)) // size
+        holds = np.zeros((int(block_of[-1]) + 1, len(own)), np.float32)
+        holds[block_of, cell_of] = 1
+        left, right = np.nonzero(np.triu(holds @ meets.astype(np.float32) @ holds.T > 0))
+        pairs += [(blocks + a, blocks + b) for a, b in zip(left.tolist(), right.tolist(), strict=True)]
+        starts = np.cumsum(counts) - counts
+        first += [(dim, c[1], c[2], units + int(start), units, size, blocks) for c, start in zip(own, starts, strict=True)]
+        units += len(cell_of)
+        blocks += len(holds)
+    return first, pairs, units
+
+
 def _pivots(sample: list, most: int = CELLS) -> dict[int, np.ndarray]:
     """For each dimension, the nodes of the lowest level with at most ``most``."""
     out = {}
@@ -226,6 +296,18 @@ def usable(vector):
         & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
+def _one_a_partition(spark: SparkSession, n: int) -> list[int]:
+    """``n`` numbers that a hash partitioning by number into ``n`` partitions
+    deals to one partition each."""
+    place = F.pmod(F.hash(F.col("id").cast("int")), F.lit(n)).alias("place")
+    tried = 16 * n
+    while True:
+        rows = spark.range(tried).groupBy(place).agg(F.min("id").alias("id")).collect()
+        if len(rows) == n:
+            return [r["id"] for r in rows]
+        tried *= 2
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, unit: int = UNIT,
                     sample: int = SAMPLE) -> DataFrame:
     """``vec_id``, ``n_links`` (other vectors with a cosine of at least
@@ -256,33 +338,24 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, unit: int
         _assign(pivots), f"node long, copies long, embedding {kind}, dim int, cell int, far double")
     bounds = dealt.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()
     cells = [(r["dim"], r["cell"], -(-r["n"] // unit), r["far"]) for r in bounds]
-    reach = float(np.sqrt(2.0 - 2.0 * threshold)) + _SLACK
-    partners = []
-    for dim, cell, units, far in cells:
-        for dim2, cell2, units2, far2 in cells:
-            gap = pivots.value[dim][cell] - pivots.value[dim2][cell2] if dim == dim2 else None
-            if gap is not None and np.sqrt(gap @ gap) <= far + far2 + reach:
-                partners.append((dim, cell, units, cell2, units2))
-    tasks = max(1, min(MOST_TASKS, sum(a * b for _, _, a, _, b in partners) // 2))
-    # at most CELLS x CELLS rows a dimension
-    partners = spark.createDataFrame(partners, "dim int, cell int, units int, cell2 int, units2 int")
-
-    sizes = partners.select("dim", "cell", "units").distinct()
-    planted = staged(dealt.join(sizes, ["dim", "cell"])
-                     .withColumn("part", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("units")).cast("int"))
-                     .select("dim", "cell", "part", "node", "copies", "embedding")
-                     .repartition(sum(units for _, _, units, _ in cells) or 1, "dim", "cell", "part")
-                     .groupBy("dim", "cell", "part").applyInArrow(
-                         _plant, f"dim int, cell int, part int, node long, copies long, embedding {kind}, "
+    first, pairs, units = _blocks(cells, pivots.value, float(np.sqrt(2.0 - 2.0 * threshold)))
+    # at most CELLS rows a dimension
+    places = spark.createDataFrame(first, "dim int, cell int, units int, start int, base int, size int, blocks int")
+    part = F.pmod(F.xxhash64(F.lit(3), "node"), F.col("units")).cast("int")
+    planted = staged(dealt.join(F.broadcast(places), ["dim", "cell"])
+                     .withColumn("unit", F.col("start") + part)
+                     .withColumn("block", F.expr("blocks + (unit - base) div size").cast("int"))
+                     .select("block", "unit", "node", "copies", "embedding")
+                     .repartition(max(1, units), "unit").groupBy("unit").applyInArrow(
+                         _plant, f"block int, unit int, node long, copies long, embedding {kind}, "
                                  "place int, path array<int>"), "trees")
-    paired = (planted.join(partners.drop("units"), ["dim", "cell"])
-              .withColumn("part2", F.explode(F.sequence(F.lit(0), F.col("units2") - 1))))
-    own, other = F.struct("cell", "part"), F.struct(F.col("cell2").alias("cell"), F.col("part2").alias("part"))
-    paired = paired.select("dim", F.least(own, other).alias("left"), F.greatest(own, other).alias("right"),
-                           (own > other).cast("int").alias("side"), "node", "copies", "embedding", "place", "path")
-    # work grows with pairs of vectors, not with bytes, which is what adaptive
-    # execution would size partitions by
-    found = staged(paired.repartition(tasks, "dim", "left", "right").groupBy("dim", "left", "right").applyInArrow(
+    tasks = max(1, len(pairs))
+    keys = _one_a_partition(spark, tasks)
+    sides = [(a, k, 0) for (a, _), k in zip(pairs, keys)] + [(b, k, 1) for (a, b), k in zip(pairs, keys) if a != b]
+    paired = planted.join(spark.createDataFrame(sides, "block int, pair int, side int"), "block")
+    # a task for each pair of blocks: work grows with pairs of vectors, not with
+    # bytes, which is what adaptive execution would size partitions by
+    found = staged(paired.repartition(tasks, "pair").groupBy("pair").applyInArrow(
         _traverse(threshold), "a long, b long, links long"), "links")
 
     roots = connected_components(found.select("a", "b")).withColumnRenamed("node", "linked")
