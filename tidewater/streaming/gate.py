@@ -2,10 +2,10 @@
 
 Each listing of the landing folder appends the names it saw first to a log.
 The log is read as a stream: names of one batch (siblings and their markers)
-share a key, and the state of a key holds which of them have come.  A batch is
+share a key, and the stream's state holds which of them have come.  A batch is
 released in the trigger that completes it, once; one that is not complete when
 the watermark has passed its last name by ``expire`` is reported with what is
-missing.  State is a few names a key and goes when a key expires.
+missing.  State is a few names a key and goes when the key expires.
 """
 
 from __future__ import annotations
@@ -22,7 +22,9 @@ from ..functions.paths import MARKER_INFIX, base_name, is_marker, strip_extensio
 from ..sinks.files import exists
 
 READY, EXPIRED = "ready", "expired"
-GATE_SCHEMA = "batch_key string, outcome string, files array<string>, missing array<string>, last_listed timestamp"
+#: Groups of keys that share a state.
+BUCKETS = 256
+_OUT_SCHEMA = "batch_key string, outcome string, files array<string>, missing array<string>, last_ms long"
 _LOG_SCHEMA = "path string, listed_at timestamp"
 
 
@@ -56,51 +58,67 @@ def gate_entries(names: DataFrame, classes, key_pattern: str) -> DataFrame:
 
 
 def _gate(tables: list[str], expire_ms: int):
-    def run(key, frames, state: GroupState):
-        held = json.loads(state.get[0]) if state.exists else {"files": {}, "marks": [], "released": False, "last": 0}
-
-        def row(outcome):
-            missing = [t for i, t in enumerate(tables) if str(i) not in held["files"]]
-            missing += [t + MARKER_INFIX for i, t in enumerate(tables) if i not in held["marks"]]
-            return pd.DataFrame({"batch_key": [key[0]], "outcome": [outcome], "files": [sorted(held["files"].values())],
-                                 "missing": [missing], "last_listed": [pd.Timestamp(held["last"], unit="ms")]})
-
-        if state.hasTimedOut:
-            if not held["released"]:
-                yield row(EXPIRED)
-            state.remove()
-            return
-        for frame in frames:
-            for pos, marker, path, at in frame[["class_pos", "marker", "path", "listed_at"]].itertuples(index=False):
+    def row(key, held, outcome):
+        missing = [t for i, t in enumerate(tables) if str(i) not in held["files"]]
+        missing += [t + MARKER_INFIX for i, t in enumerate(tables) if i not in held["marks"]]
+        return key, outcome, sorted(held["files"].values()), missing, held["last"]
+
+    def run(_bucket, frames, state: GroupState):
+        batches = json.loads(state.get[0]) if state.exists else {}
+        out, touched = [], set()
+        for frame in () if state.hasTimedOut else frames:
+            columns = [frame[c].tolist() for c in ("batch_key", "class_pos", "marker", "path", "listed_ms")]
+            for key, pos, marker, path, at in zip(*columns, strict=True):
+                held = batches.setdefault(key, {"files": {}, "marks": [], "released": False, "last": 0})
                 if not marker:  # of several files of one class the first by name counts
                     held["files"][str(pos)] = min(path, held["files"].get(str(pos), path))
                 elif pos not in held["marks"]:
                     held["marks"].append(int(pos))
-                held["last"] = max(held["last"], int(at.timestamp() * 1000))
-        complete = len(held["files"]) == len(held["marks"]) == len(tables)
-        if complete and not held["released"]:
-            held["released"] = True
-            yield row(READY)
-        state.update((json.dumps(held),))
-        state.setTimeoutTimestamp(max(held["last"] + expire_ms, state.getCurrentWatermarkMs() + 1))
+                held["last"] = max(held["last"], at)
+                touched.add(key)
+        for key in sorted(touched):
+            held = batches[key]
+            if not held["released"] and len(held["files"]) == len(held["marks"]) == len(tables):
+                held["released"] = True
+                out.append(row(key, held, READY))
+        now = state.getCurrentWatermarkMs()
+        for key in sorted(batches.keys() - touched):
+            if batches[key]["last"] + expire_ms <= now:
+                held = batches.pop(key)
+                if not held["released"]:
+                    out.append(row(key, held, EXPIRED))
+        if batches:
+            state.update((json.dumps(batches),))
+            state.setTimeoutTimestamp(max(min(h["last"] for h in batches.values()) + expire_ms, now + 1))
+        else:
+            state.remove()
+        if out:
+            yield pd.DataFrame(out, columns=["batch_key", "outcome", "files", "missing", "last_ms"])
 
     return run
 
 
 def gate_stream(spark: SparkSession, log_path: str, classes, key_pattern: str, expire_seconds: int,
-                delay: str = "0 seconds", max_files_per_trigger: int | None = None) -> DataFrame:
-    """The log as a stream of :data:`GATE_SCHEMA` rows, one for each batch:
-    ``ready`` in the trigger that has its last name, or ``expired``.
+                delay: str = "0 seconds", max_files_per_trigger: int | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """The log as a stream of ``batch_key``, ``outcome``, ``files``, ``missing``,
+    ``last_listed``, one row for each batch: ``ready`` in the trigger that has
+    its last name, or ``expired`` with what is missing.
 
     A released key is remembered until it expires, so that a name that is
-    listed again releases nothing."""
+    listed again releases nothing.  State is kept by buckets of keys, since a
+    Python call for each key costs milliseconds; ``buckets`` bounds the tasks of a
+    trigger and must stay as it is for a checkpoint."""
     reader = spark.readStream.schema(_LOG_SCHEMA).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     entries = gate_entries(reader.load(f"{log_path.rstrip('/')}/*"), classes, key_pattern)
-    return (entries.withWatermark("listed_at", delay).groupBy("batch_key")
-            .applyInPandasWithState(_gate([c.table for c in classes], expire_seconds * 1000), GATE_SCHEMA,
-                                    "held string", "append", GroupStateTimeout.EventTimeTimeout))
+    # times cross to Python as numbers, which no session time zone bends
+    entries = entries.withColumns({"bucket": F.pmod(F.xxhash64("batch_key"), F.lit(buckets)),
+                                   "listed_ms": F.unix_millis("listed_at")})
+    return (entries.withWatermark("listed_at", delay).groupBy("bucket")
+            .applyInPandasWithState(_gate([c.table for c in classes], expire_seconds * 1000), _OUT_SCHEMA,
+                                    "held string", "append", GroupStateTimeout.EventTimeTimeout)
+            .select("batch_key", "outcome", "files", "missing", F.timestamp_millis("last_ms").alias("last_listed")))
 
 
 def run_gate(spark: SparkSession, log_path: str, classes, key_pattern: str, expire_seconds: int, out_path: str,
