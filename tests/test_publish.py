@@ -241,6 +241,7 @@ def test_bucketed_tables_are_overwritten_as_a_whole(spark, tmp):
     create_database(spark, DB)
     drop_table(spark, f"{DB}.bucketed")
     (spark.range(20).write.bucketBy(2, "id").option("path", f"{tmp}/tables/bucketed").saveAsTable(f"{DB}.bucketed"))
+    assert publish.file_table(spark, f"{DB}.no_such_table") is None and publish.file_table(spark, "a.b.c.d") is None
     assert G.revert_table(spark, f"{DB}.bucketed|id|id < 5", allow=True) is None
     assert spark.table(f"{DB}.bucketed").count() == 15
 

@@ -21,6 +21,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from urllib.parse import unquote, urlsplit
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,9 +45,12 @@ class FileTable:
 
 def file_table(spark: SparkSession, name: str) -> FileTable | None:
     """The table's files; None if its files are not Spark's alone to place
-    (views, bucketed tables, other formats)."""
+    (views, bucketed tables, other formats and catalogs)."""
     session = spark._jsparkSession.sessionState()
-    known = session.catalog().getTableMetadata(session.sqlParser().parseTableIdentifier(name))
+    try:
+        known = session.catalog().getTableMetadata(session.sqlParser().parseTableIdentifier(name))
+    except (AnalysisException, ParseException):  # no table of the session's own catalog
+        return None
     provider = known.provider().get().lower() if known.provider().isDefined() else ""
     if provider not in FORMATS or known.bucketSpec().isDefined() or not known.storage().locationUri().isDefined():
         return None
