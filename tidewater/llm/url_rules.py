@@ -73,20 +73,21 @@ def judge_urls(urls: DataFrame, rules: Iterable[tuple[str, str, str]] = RULES,
     expressions = [F.when((labels >= n) & (F.length("path") >= k),
                           F.concat(F.substring_index("host", ".", -n), F.substring("path", 1, k)))
                    for n, k in shapes] or [F.lit(None).cast("string")]
-    expanded = (parts.select("url", F.explode(F.array(*expressions)).alias("expression"))
-                .where("expression is not null")
+    # urls without any such shape keep a row
+    expanded = (parts.select("url", "host", "path", F.explode_outer(F.array_compact(F.array(*expressions))).alias("expression"))
                 .withColumn("digest", _digest(F.col("expression")))
-                .select("url", "digest", F.substring("digest", 1, PREFIX_DIGITS).alias("short")))
+                .select("url", "host", "path", "digest", F.substring("digest", 1, PREFIX_DIGITS).alias("short")))
     listed = spark.createDataFrame(rules, "action string, rule_host string, rule_path string")
     listed = listed.select("action", F.concat("rule_host", "rule_path").alias("rule"),
                            F.length("rule_host").alias("host_length")).withColumn(
         "rule_digest", _digest(F.col("rule"))).withColumn("short", F.substring("rule_digest", 1, PREFIX_DIGITS))
     if len(rules) <= BROADCAST_RULES:
         listed = F.broadcast(listed)
-    best = (expanded.join(listed, "short").where("digest = rule_digest")
-            .groupBy("url").agg(F.max(F.struct(
-                F.length("rule").alias("length"), "host_length", "action", "rule")).alias("best")))
-    return (parts.join(best, "url", "left")
+    # the join with few rules leaves a url's rows where distinct has put them: no second shuffle
+    hit = F.col("digest") == F.col("rule_digest")
+    best = F.max(F.when(hit, F.struct(F.length("rule").alias("length"), "host_length", "action", "rule")))
+    return (expanded.join(listed, "short", "left").groupBy("url")
+            .agg(F.first("host").alias("host"), F.first("path").alias("path"), best.alias("best"))
             .select("url", "host", "path", F.col("best.rule").alias("rule"),
                     F.coalesce(F.col("best.action"), F.lit(default)).alias("verdict")))
 
